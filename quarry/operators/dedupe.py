@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 def keep_first(df: DataFrame, key, order_by=()) -> DataFrame:
     """One row per ``key``: the one with the smallest ``order_by`` values.
 
-    Ties on ``order_by`` are broken by the remaining columns in table order,
-    ascending, NULLs first. The output has the input's columns in its order.
+    Every column compares ascending with NULLs last, so a complete row wins
+    over one with gaps. Ties on ``order_by`` are broken by the remaining
+    columns in table order. The output has the input's columns in its order.
     """
     key = [key] if isinstance(key, str) else list(key)
     order_by = [order_by] if isinstance(order_by, str) else list(order_by)
@@ -33,7 +34,10 @@ def keep_first(df: DataFrame, key, order_by=()) -> DataFrame:
     ordered = [c for c in order_by if c not in key] + rest
     if not ordered:
         return df.select(*key).distinct()
-    fields = [F.col(c).alias(f"f{i}") for i, c in enumerate(ordered)]
+    # (is NULL, value) pairs: false < true puts NULLs last inside min(struct).
+    fields = []
+    for i, c in enumerate(ordered):
+        fields += [F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"f{i}")]
     best = df.groupBy(*key).agg(F.min(F.struct(*fields)).alias("__best"))
     back = {c: F.col(f"__best.f{i}") for i, c in enumerate(ordered)}
     return best.select(*[F.col(c) if c in key else back[c].alias(c) for c in cols])

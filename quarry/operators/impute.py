@@ -11,16 +11,37 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType, DoubleType, FloatType
 
 from quarry.operators.staging import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, join_small
 
+# Scale of the exact decimal mean (see :func:`exact_mean`).
+MEAN_SCALE = 10
 
-def mean_expr(name: str, digits: int | None = None, integer: bool = False) -> Column:
-    """``avg(name)`` rounded half-up to ``digits`` places; bigint when ``integer``."""
-    m = F.avg(F.col(name))
+
+def exact_mean(name: str, dtype: DataType | None = None) -> Column:
+    """Mean of a numeric column in exact decimal arithmetic: ``decimal(38, 10)``.
+
+    Values are taken as ``decimal(38, 10)`` (NaN counts as missing), summed
+    exactly and divided once, rounding half-up at the tenth place. A double
+    sum would depend on the order in which partitions are combined, so a
+    mean that lies on a rounding tie could round either way between two runs
+    (or after a retried task); this cannot. Values beyond 10^28 fail the cast
+    (ANSI) instead of being dropped.
+    """
+    c = F.col(name)
+    if isinstance(dtype, (DoubleType, FloatType)):
+        c = F.when(~F.isnan(c), c)
+    return F.avg(c.cast(DecimalType(38, MEAN_SCALE)))
+
+
+def mean_expr(name: str, digits: int | None = None, integer: bool = False,
+              dtype: DataType | None = None) -> Column:
+    """Exact mean rounded half-up to ``digits`` places (double); bigint when ``integer``."""
+    m = exact_mean(name, dtype)
     if integer:
-        return F.round(m, 0).try_cast("bigint")
-    return F.round(m, digits) if digits is not None else m
+        return F.round(m, 0).cast("bigint")
+    return (F.round(m, digits) if digits is not None else m).cast("double")
 
 
 def group_means(df: DataFrame, group, columns: dict, integer=(), prefix: str = "avg_",
@@ -32,7 +53,8 @@ def group_means(df: DataFrame, group, columns: dict, integer=(), prefix: str = "
     """
     group = [group] if isinstance(group, str) else list(group)
     integer = set(integer)
-    aggs = [mean_expr(c, d, c in integer).alias(prefix + c) for c, d in columns.items()]
+    aggs = [mean_expr(c, d, c in integer, df.schema[c].dataType).alias(prefix + c)
+            for c, d in columns.items()]
     return df.groupBy(*group).agg(*aggs)
 
 

@@ -1,2 +1,420 @@
-JOB_QUERIES = {}
-JOB_ORACLE = {}
+"""The three migration jobs, written as data: a table spec and ordered steps.
+
+* file job: CSV -> rename -> one row per key -> drop rows with NULLs;
+* document job: documents -> lift ``_id.oid`` -> required fields -> one row
+  per id, then per country -> numbers from text with thousands commas ->
+  NULLs filled with region means -> table columns;
+* delimited job: text lines -> required fields -> one row per code, then per
+  name -> numbers from money text -> NULLs filled with region means -> table
+  columns -> drop rows with NULLs.
+
+:func:`run_job` checks the insert mode before any Spark work and then writes
+with the overwrite or update sink. The sample queries at the end feed the
+unchanged job specs with source data derived from the test tables, in the
+formats the jobs read (CSV with a header, JSON documents, comma lines).
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quarry.functions.numbers import money_to_double, parse_bigint, thousands_to_bigint
+from quarry.operators.clean import drop_any_null, keep_columns, lift_field, rename, require
+from quarry.operators.dedupe import keep_first_each
+from quarry.operators.impute import impute_group_mean
+from quarry.session import staging_path
+from quarry.sinks.files import write_overwrite, write_update
+from quarry.sources.delimited import parse_lines
+from quarry.sources.files import read_csv, read_documents
+from quarry.specs import InsertMode, JobResult, TableSpec
+
+# --- steps ---------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Rename:
+    mapping: dict
+
+    def apply(self, df):
+        return rename(df, self.mapping)
+
+
+@dataclass(frozen=True)
+class LiftField:
+    struct_col: str
+    field_name: str
+    alias: str
+
+    def apply(self, df):
+        return lift_field(df, self.struct_col, self.field_name, self.alias)
+
+
+@dataclass(frozen=True)
+class Require:
+    columns: tuple
+    trim: bool = False
+
+    def apply(self, df):
+        return require(df, self.columns, self.trim)
+
+
+@dataclass(frozen=True)
+class KeepFirst:
+    """One row per key, for each key in turn (see :func:`keep_first`)."""
+
+    keys: tuple
+    order_by: tuple = ()
+
+    def apply(self, df):
+        return keep_first_each(df, [[k] if isinstance(k, str) else list(k) for k in self.keys],
+                               self.order_by)
+
+
+PARSERS = {
+    "thousands_bigint": thousands_to_bigint,
+    "bigint": parse_bigint,
+    "money_double": money_to_double,
+}
+
+
+@dataclass(frozen=True)
+class ParseNumbers:
+    """``{column: parser}``; parsers are the keys of :data:`PARSERS`."""
+
+    columns: dict
+
+    def apply(self, df):
+        return df.withColumns({c: PARSERS[p](c) for c, p in self.columns.items()})
+
+
+@dataclass(frozen=True)
+class ImputeMean:
+    group: str
+    columns: dict
+    integer: tuple = ()
+
+    def apply(self, df):
+        return impute_group_mean(df, self.group, self.columns, self.integer)
+
+
+@dataclass(frozen=True)
+class DropNulls:
+    subset: tuple | None = None
+
+    def apply(self, df):
+        return drop_any_null(df, self.subset)
+
+
+@dataclass(frozen=True)
+class Select:
+    columns: tuple
+
+    def apply(self, df):
+        return keep_columns(df, self.columns)
+
+
+@dataclass(frozen=True)
+class JobSpec:
+    name: str
+    table: TableSpec
+    steps: tuple = field(default_factory=tuple)
+
+    def plan(self, source: DataFrame) -> DataFrame:
+        df = source
+        for step in self.steps:
+            df = step.apply(df)
+        return keep_columns(df, self.table.columns)
+
+
+# --- the three tables and jobs (fixed values: names of the original tables) -----
+
+SPEED = TableSpec("internet_speed", ("country",), ("country", "avg_mbit_per_s_ookla"))
+USERS = TableSpec("internet_users", ("id",),
+                  ("id", "country", "internet_users", "population", "region", "sub_region"))
+PRICES = TableSpec("internet_prices", ("country_code",),
+                   ("country_code", "name", "continental_region", "no_internal_plans",
+                    "avg_price_1gb_usd", "cheapest_1gb_30days_usd", "most_expensive_1gb_usd",
+                    "avg_1gb_start2021_usd", "avg_1gb_start2020_usd"))
+
+# Header texts of the speed CSV and the ordered header map of the
+# price payload. Only the map's values are used, by position; the last key is
+# stored mis-encoded at the source, so its text is never matched.
+SPEED_CSV_SCHEMA = "`Country` string, `Avg(Mbit/s)Ookla` double"
+SPEED_RENAMES = {"Country": "country", "Avg(Mbit/s)Ookla": "avg_mbit_per_s_ookla"}
+PRICE_HEADER_MAP = {
+    "Country code": "country_code",
+    "Name": "name",
+    "Continental region": "continental_region",
+    "NO. OF Internet Plans ": "no_internal_plans",
+    "Average price of 1GB (USD)": "avg_price_1gb_usd",
+    "Cheapest 1GB for 30 days (USD)": "cheapest_1gb_30days_usd",
+    "Most expensive 1GB (USD)": "most_expensive_1gb_usd",
+    "Average price of 1GB (USD at start of 2021)": "avg_1gb_start2021_usd",
+    "Average price of 1GB (USD – at start of 2020)": "avg_1gb_start2020_usd",
+}
+PRICE_NAMES = list(PRICE_HEADER_MAP.values())
+PRICE_MONEY = PRICE_NAMES[4:]
+
+FILE_JOB = JobSpec("file", SPEED, (
+    Rename(SPEED_RENAMES),
+    KeepFirst(("country",)),
+    DropNulls(),
+))
+
+DOCUMENT_JOB = JobSpec("documents", USERS, (
+    LiftField("_id", "oid", "id"),
+    Require(("id", "region", "sub_region", "country")),
+    KeepFirst(("id", "country")),
+    ParseNumbers({"internet_users": "thousands_bigint", "population": "thousands_bigint"}),
+    ImputeMean("region", {"internet_users": 0, "population": 0},
+               integer=("internet_users", "population")),
+))
+
+DELIMITED_JOB = JobSpec("delimited", PRICES, (
+    Require(("name", "continental_region", "country_code")),
+    KeepFirst(("country_code", "name")),
+    ParseNumbers({"no_internal_plans": "bigint", **{c: "money_double" for c in PRICE_MONEY}}),
+    ImputeMean("continental_region", {c: 2 for c in ["no_internal_plans", *PRICE_MONEY]}),
+    Select(tuple(PRICES.columns)),
+    DropNulls(),
+))
+
+
+def run_job(spark: SparkSession, spec: JobSpec, source: DataFrame, mode, target: str,
+            out_path: str | None = None, allow_empty: bool = False,
+            keep_missing: bool = True) -> JobResult:
+    """Plan ``spec`` over ``source`` and write it to the Parquet table at ``target``.
+
+    ``overwrite`` replaces ``target``. ``update`` compares with the table at
+    ``target`` and writes the updated table to ``out_path`` (a new location;
+    readers are repointed by the caller), or writes nothing if no row changed.
+    """
+    mode = InsertMode.parse(mode)
+    if mode is InsertMode.UPDATE and not out_path:
+        raise ValueError("update needs out_path: the target is never overwritten in place")
+    if not allow_empty and source.isEmpty():
+        raise ValueError(f"job {spec.name}: the source has no rows")
+    df = spec.plan(source)
+    if mode is InsertMode.OVERWRITE:
+        return write_overwrite(df, target)
+    current = spark.read.parquet(target)
+    return write_update(df, current, spec.table.key, spec.table.columns, out_path,
+                        keep_missing=keep_missing)
+
+
+# --- sample queries: the jobs on source data derived from the test tables --------
+
+def _t(spark, d, name):
+    return spark.read.parquet(f"{d.rstrip('/')}/{name}.parquet")
+
+
+def _every(c, n):
+    return (F.col(c) % n) == 0
+
+
+def _null(t="string"):
+    return F.lit(None).cast(t)
+
+
+def speed_csv(spark, d) -> str:
+    """Part rows as the speed CSV: name as country, price as speed (some blank/NULL)."""
+    p = _t(spark, d, "part")
+    rows = p.select(
+        F.when(_every("p_partkey", 17), _null()).otherwise(F.col("p_name")).alias("Country"),
+        F.when(_every("p_partkey", 13), _null("double")).otherwise(F.col("p_retailprice"))
+         .alias("Avg(Mbit/s)Ookla"))
+    path = staging_path(spark, "speed-csv")
+    rows.write.option("header", True).csv(path)
+    return path
+
+
+def _thousands_text(c):
+    cents = F.round(F.col(c) * 100).cast("bigint")
+    return F.concat(F.format_number(F.floor(cents / 100).cast("bigint"), 0), F.lit("."),
+                    F.lpad((cents % 100).cast("string"), 2, "0"))
+
+
+def user_documents(spark, d) -> str:
+    """Orders as user documents: customer as country, priority as region."""
+    o = _t(spark, d, "orders")
+    docs = o.select(
+        F.struct(F.col("o_orderkey").cast("string").alias("oid")).alias("_id"),
+        F.when(_every("o_orderkey", 23), F.lit("")).otherwise(F.col("o_custkey").cast("string"))
+         .alias("country"),
+        F.when(_every("o_orderkey", 7), F.lit("NA")).otherwise(_thousands_text("o_totalprice"))
+         .alias("internet_users"),
+        F.when(_every("o_orderkey", 11), _null())
+         .otherwise(F.format_number(F.col("o_orderkey") * 37, 0)).alias("population"),
+        F.col("o_orderpriority").alias("region"),
+        F.when(_every("o_orderkey", 29), F.lit("")).otherwise(F.col("o_orderstatus"))
+         .alias("sub_region"))
+    path = staging_path(spark, "user-docs")
+    docs.write.json(path)
+    return path
+
+
+USER_DOC_SCHEMA = ("_id struct<oid:string>, country string, internet_users string, "
+                   "population string, region string, sub_region string")
+
+
+def _money(cents):
+    return F.concat(F.lit("$"), F.floor(cents / 100).cast("bigint").cast("string"), F.lit("."),
+                    F.lpad((cents % 100).cast("string"), 2, "0"))
+
+
+def price_lines(spark, d) -> DataFrame:
+    """Parts as the price payload (9 comma fields; a header; some broken lines)."""
+    p = _t(spark, d, "part")
+    cents = F.round(F.col("p_retailprice") * 100).cast("bigint")
+    fields = [
+        F.concat_ws("-", "p_brand", F.col("p_size").cast("string")),
+        F.when(_every("p_partkey", 9), F.concat(F.col("p_name"), F.lit(",x")))
+         .otherwise(F.col("p_name")),
+        F.when(_every("p_partkey", 31), F.lit("")).otherwise(F.col("p_type")),
+        F.when(_every("p_partkey", 10), F.lit("")).otherwise(F.col("p_size").cast("string")),
+        F.when(_every("p_partkey", 6), F.lit("$")).otherwise(_money(cents)),
+        _money(cents - 100),
+        _money(cents * 2),
+        F.when(_every("p_partkey", 4), F.lit("")).otherwise(_money(cents + 50)),
+        F.concat(_money(cents + 25), F.lit("\n")),
+    ]
+    body = p.select(F.concat_ws(",", *fields).alias("value"))
+    header = spark.createDataFrame([(",".join(PRICE_HEADER_MAP),)], "value string")
+    return header.unionByName(body)
+
+
+def job_file_migration(spark, d):
+    src = read_csv(spark, speed_csv(spark, d), schema=SPEED_CSV_SCHEMA)
+    target = staging_path(spark, "internet_speed")
+    run_job(spark, FILE_JOB, src, "overwrite", target)
+    return spark.read.parquet(target)
+
+
+def job_document_migration(spark, d):
+    src = read_documents(spark, user_documents(spark, d), schema=USER_DOC_SCHEMA)
+    target = staging_path(spark, "internet_users")
+    run_job(spark, DOCUMENT_JOB, src, "overwrite", target)
+    return spark.read.parquet(target)
+
+
+def job_delimited_migration(spark, d):
+    src = parse_lines(price_lines(spark, d), PRICE_NAMES, header=",".join(PRICE_HEADER_MAP))
+    target = staging_path(spark, "internet_prices")
+    run_job(spark, DELIMITED_JOB, src, "overwrite", target)
+    return spark.read.parquet(target)
+
+
+JOB_QUERIES = {
+    "job_file_migration": job_file_migration,
+    "job_document_migration": job_document_migration,
+    "job_delimited_migration": job_delimited_migration,
+}
+
+
+# --- oracle SQL for the job queries --------------------------------------------
+
+def _sql_money(cents: str) -> str:
+    return (f"('$' || CAST(({cents}) // 100 AS VARCHAR) || '.' || "
+            f"lpad(CAST(({cents}) % 100 AS VARCHAR), 2, '0'))")
+
+
+def _sql_parse_double(expr: str, strip: str = "") -> str:
+    from quarry.plans.oracle import _parse_double
+    return _parse_double(expr, strip)
+
+
+def _sql_parse_bigint(expr: str, strip: str = "") -> str:
+    from quarry.plans.oracle import _parse_bigint
+    return _parse_bigint(expr, strip)
+
+
+def _sql_mean(col: str, digits: int | None = None, integer: bool = False) -> str:
+    from quarry.plans.oracle import exact_mean
+    return exact_mean(col, digits, integer)
+
+
+def _sql_first(src: str, key: str, order: list[str], cols: list[str]) -> str:
+    o = ", ".join(f"{c} NULLS LAST" for c in order)
+    return (f"SELECT {', '.join(cols)} FROM (SELECT *, row_number() OVER "
+            f"(PARTITION BY {key} ORDER BY {o}) AS rn FROM {src}) WHERE rn = 1")
+
+
+_USERS_COLS = ["country", "internet_users", "population", "region", "sub_region", "id"]
+_PRICE_CENTS = "CAST(round(p_retailprice * 100) AS BIGINT)"
+
+JOB_ORACLE = {
+    "job_file_migration": f"""
+WITH src AS (
+  SELECT CASE WHEN p_partkey % 17 = 0 THEN NULL ELSE p_name END AS country,
+         CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE p_retailprice END AS avg_mbit_per_s_ookla
+  FROM part),
+k AS ({_sql_first('src', 'country', ['avg_mbit_per_s_ookla'], ['country', 'avg_mbit_per_s_ookla'])})
+SELECT country, avg_mbit_per_s_ookla FROM k
+WHERE country IS NOT NULL AND avg_mbit_per_s_ookla IS NOT NULL""",
+
+    "job_document_migration": f"""
+WITH docs AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS id,
+         CASE WHEN o_orderkey % 23 = 0 THEN '' ELSE CAST(o_custkey AS VARCHAR) END AS country,
+         CASE WHEN o_orderkey % 7 = 0 THEN 'NA'
+              ELSE format('{{:,}}', CAST(round(o_totalprice * 100) AS BIGINT) // 100) || '.' ||
+                   lpad(CAST(CAST(round(o_totalprice * 100) AS BIGINT) % 100 AS VARCHAR), 2, '0')
+         END AS internet_users,
+         CASE WHEN o_orderkey % 11 = 0 THEN NULL
+              ELSE format('{{:,}}', o_orderkey * 37) END AS population,
+         o_orderpriority AS region,
+         CASE WHEN o_orderkey % 29 = 0 THEN '' ELSE o_orderstatus END AS sub_region
+  FROM orders),
+req AS (SELECT * FROM docs WHERE id <> '' AND region <> '' AND sub_region <> ''
+                             AND country <> ''),
+k1 AS ({_sql_first('req', 'id', [c for c in _USERS_COLS if c != 'id'], _USERS_COLS)}),
+k2 AS ({_sql_first('k1', 'country', [c for c in _USERS_COLS if c != 'country'], _USERS_COLS)}),
+num AS (
+  SELECT id, country, {_sql_parse_bigint('internet_users', ',')} AS internet_users,
+         {_sql_parse_bigint('population', ',')} AS population, region, sub_region FROM k2),
+m AS (
+  SELECT region, {_sql_mean('internet_users', integer=True)} AS mu,
+         {_sql_mean('population', integer=True)} AS mp FROM num GROUP BY region)
+SELECT n.id, n.country, coalesce(n.internet_users, m.mu) AS internet_users,
+       coalesce(n.population, m.mp) AS population, n.region, n.sub_region
+FROM num n LEFT JOIN m ON n.region = m.region""",
+
+    "job_delimited_migration": f"""
+WITH lines AS (
+  SELECT concat_ws(',',
+    p_brand || '-' || CAST(p_size AS VARCHAR),
+    CASE WHEN p_partkey % 9 = 0 THEN p_name || ',x' ELSE p_name END,
+    CASE WHEN p_partkey % 31 = 0 THEN '' ELSE p_type END,
+    CASE WHEN p_partkey % 10 = 0 THEN '' ELSE CAST(p_size AS VARCHAR) END,
+    CASE WHEN p_partkey % 6 = 0 THEN '$' ELSE {_sql_money(_PRICE_CENTS)} END,
+    {_sql_money(_PRICE_CENTS + ' - 100')},
+    {_sql_money(_PRICE_CENTS + ' * 2')},
+    CASE WHEN p_partkey % 4 = 0 THEN '' ELSE {_sql_money(_PRICE_CENTS + ' + 50')} END,
+    {_sql_money(_PRICE_CENTS + ' + 25')} || chr(10)) AS value
+  FROM part),
+parts AS (SELECT string_split(value, ',') AS p FROM lines),
+rows AS (
+  SELECT {', '.join(f'p[{i + 1}] AS {c}' for i, c in enumerate(PRICE_NAMES))}
+  FROM parts WHERE len(p) = 9),
+req AS (SELECT * FROM rows WHERE name <> '' AND continental_region <> '' AND country_code <> ''),
+k1 AS ({_sql_first('req', 'country_code', PRICE_NAMES[1:], PRICE_NAMES)}),
+k2 AS ({_sql_first('k1', 'name', [c for c in PRICE_NAMES if c != 'name'], PRICE_NAMES)}),
+num AS (
+  SELECT country_code, name, continental_region,
+         {_sql_parse_bigint('no_internal_plans')} AS no_internal_plans,
+         {', '.join(_sql_parse_double(c, '$' + chr(13) + chr(10)) + ' AS ' + c
+                    for c in PRICE_MONEY)}
+  FROM k2),
+m AS (
+  SELECT continental_region,
+         {', '.join(f'{_sql_mean(c, 2)} AS m_{c}' for c in ['no_internal_plans', *PRICE_MONEY])}
+  FROM num GROUP BY continental_region),
+filled AS (
+  SELECT n.country_code, n.name, n.continental_region,
+         {', '.join(f'coalesce(n.{c}, m.m_{c}) AS {c}' for c in ['no_internal_plans', *PRICE_MONEY])}
+  FROM num n LEFT JOIN m ON n.continental_region = m.continental_region)
+SELECT * FROM filled WHERE {' AND '.join(f'{c} IS NOT NULL' for c in PRICE_NAMES)}""",
+}

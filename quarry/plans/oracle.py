@@ -10,6 +10,7 @@ parsing by truncation (DuckDB's cast from double rounds).
 from __future__ import annotations
 
 from quarry.functions.numbers import NUMBER_PATTERN
+from quarry.operators.impute import MEAN_SCALE
 from quarry.plans.samples import LOOKUP_NATION, ORDER_LINE_NAMES, PART_RENAMES
 
 
@@ -24,6 +25,30 @@ def _parse_bigint(expr: str, strip: str = "") -> str:
     return f"TRY_CAST(trunc({_parse_double(expr, strip)}) AS BIGINT)"
 
 
+def mean_units(col: str) -> str:
+    """Exact mean in units of 10^-MEAN_SCALE, rounded half-up (HUGEINT arithmetic)."""
+    unit = 10 ** MEAN_SCALE
+    total = f"CAST(sum(CAST({col} AS DECIMAL(38, {MEAN_SCALE}))) * {unit} AS HUGEINT)"
+    n = f"count({col})"
+    return (f"(CASE WHEN {n} = 0 THEN NULL "
+            f"ELSE sign({total}) * ((2 * abs({total}) + {n}) // (2 * {n})) END)")
+
+
+def _round_units(units: str, digits: int) -> str:
+    f = 10 ** (MEAN_SCALE - digits)
+    return f"(sign({units}) * ((2 * abs({units}) + {f}) // {2 * f}))"
+
+
+def exact_mean(col: str, digits: int | None = None, integer: bool = False) -> str:
+    """The library's exact group mean (decimal sum, half-up rounding) in DuckDB SQL."""
+    u = mean_units(col)
+    if integer:
+        return f"CAST({_round_units(u, 0)} AS BIGINT)"
+    if digits is None:
+        return f"(CAST({u} AS DOUBLE) / {10 ** MEAN_SCALE})"
+    return f"(CAST({_round_units(u, digits)} AS DOUBLE) / {10 ** digits})"
+
+
 def _cents(c: str) -> str:
     return f"CAST(round({c} * 100) AS BIGINT)"
 
@@ -73,7 +98,7 @@ _LI_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity"
 
 
 def _first_per_key(src: str, key: list[str], cols: list[str]) -> str:
-    order = ", ".join(f"{c} NULLS FIRST" for c in cols if c not in key)
+    order = ", ".join(f"{c} NULLS LAST" for c in cols if c not in key)
     return (f"SELECT {', '.join(cols)} FROM (SELECT *, row_number() OVER "
             f"(PARTITION BY {', '.join(key)} ORDER BY {order}) AS rn FROM {src}) WHERE rn = 1")
 
@@ -88,17 +113,17 @@ def _extreme(qt: str) -> str:
 def _group_avg(qt: str) -> str:
     col = "l_extendedprice" if qt == "highest" else "l_discount"
     d = "DESC" if qt == "highest" else "ASC"
-    return (f"SELECT l_returnflag AS region, round(avg({col}), 3) AS price, "
+    return (f"SELECT l_returnflag AS region, {exact_mean(col, 3)} AS price, "
             f"'{qt}' AS query_type FROM lineitem GROUP BY l_returnflag "
-            f"HAVING avg({col}) IS NOT NULL ORDER BY avg({col}) {d}, l_returnflag LIMIT 1")
+            f"HAVING count({col}) > 0 ORDER BY {mean_units(col)} {d}, l_returnflag LIMIT 1")
 
 
 def _group_avg_join(qt: str) -> str:
     d = "DESC" if qt == "highest" else "ASC"
-    return (f"SELECT n_name AS region, round(avg(s_acctbal), 3) AS internet_speed, "
+    return (f"SELECT n_name AS region, {exact_mean('s_acctbal', 3)} AS internet_speed, "
             f"'{qt}' AS query_type FROM supplier JOIN nation ON s_nationkey = n_nationkey "
-            f"GROUP BY n_name HAVING avg(s_acctbal) IS NOT NULL "
-            f"ORDER BY avg(s_acctbal) {d}, n_name LIMIT 1")
+            f"GROUP BY n_name HAVING count(s_acctbal) > 0 "
+            f"ORDER BY {mean_units('s_acctbal')} {d}, n_name LIMIT 1")
 
 
 ORACLE = {
@@ -166,8 +191,8 @@ SELECT p_partkey, {_parse_bigint('txt')} AS size FROM t""",
 
     "dedupe_one_key": (
         "SELECT doc_id, text, lang, source, n_chars FROM (SELECT *, row_number() OVER "
-        "(PARTITION BY text ORDER BY doc_id NULLS FIRST, lang NULLS FIRST, source NULLS FIRST, "
-        "n_chars NULLS FIRST) AS rn FROM documents) WHERE rn = 1"),
+        "(PARTITION BY text ORDER BY doc_id NULLS LAST, lang NULLS LAST, source NULLS LAST, "
+        "n_chars NULLS LAST) AS rn FROM documents) WHERE rn = 1"),
 
     "dedupe_two_keys": f"""
 WITH li AS (SELECT {', '.join(_LI_COLS)} FROM lineitem),
@@ -175,35 +200,34 @@ s1 AS ({_first_per_key('li', ['l_orderkey', 'l_linenumber'], _LI_COLS)}),
 s2 AS ({_first_per_key('s1', ['l_partkey', 'l_suppkey'], _LI_COLS)})
 SELECT * FROM s2""",
 
-    "agg_group_mean_int": """
+    "agg_group_mean_int": f"""
 SELECT l_returnflag,
-       CAST(round(avg(l_quantity), 0) AS BIGINT) AS avg_l_quantity,
-       CAST(round(avg(l_extendedprice), 0) AS BIGINT) AS avg_l_extendedprice
+       {exact_mean('l_quantity', integer=True)} AS avg_l_quantity,
+       {exact_mean('l_extendedprice', integer=True)} AS avg_l_extendedprice
 FROM lineitem GROUP BY l_returnflag""",
 
-    "agg_group_mean_2dp": """
-SELECT l_returnflag,
-       round(avg(l_quantity), 2) AS avg_l_quantity,
-       round(avg(l_extendedprice), 2) AS avg_l_extendedprice,
-       round(avg(l_discount), 2) AS avg_l_discount,
-       round(avg(l_tax), 2) AS avg_l_tax
-FROM lineitem GROUP BY l_returnflag""",
+    "agg_group_mean_2dp": "SELECT l_returnflag, " + ", ".join(
+        f"{exact_mean(c, 2)} AS avg_{c}"
+        for c in ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
+        + " FROM lineitem GROUP BY l_returnflag",
 
-    "impute_group_mean": """
+    "impute_group_mean": f"""
 WITH src AS (
   SELECT o_orderkey,
          CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE o_orderpriority END AS o_orderpriority,
          CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_totalprice END AS o_totalprice
   FROM orders),
-m AS (SELECT o_orderpriority, round(avg(o_totalprice), 2) AS m FROM src GROUP BY o_orderpriority)
+m AS (SELECT o_orderpriority, {exact_mean('o_totalprice', 2)} AS m
+      FROM src GROUP BY o_orderpriority)
 SELECT s.o_orderkey, s.o_orderpriority, coalesce(s.o_totalprice, m.m) AS o_totalprice
 FROM src s LEFT JOIN m ON s.o_orderpriority = m.o_orderpriority""",
 
-    "impute_group_mean_joined": """
+    "impute_group_mean_joined": f"""
 WITH src AS (
   SELECT d.doc_id, d.lang, l.quality, l.toxic
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
-m AS (SELECT lang, CAST(round(avg(quality), 0) AS BIGINT) AS mq, round(avg(toxic), 2) AS mt
+m AS (SELECT lang, {exact_mean('quality', integer=True)} AS mq,
+             {exact_mean('toxic', 2)} AS mt
       FROM src GROUP BY lang)
 SELECT s.doc_id, s.lang, coalesce(s.quality, m.mq) AS quality, coalesce(s.toxic, m.mt) AS toxic
 FROM src s LEFT JOIN m ON s.lang = m.lang""",
@@ -232,10 +256,10 @@ SELECT CAST(0 AS BIGINT) AS rows_written, false AS wrote, count(*) AS target_row
 
     "report_lookup": f"""
 WITH speed AS (
-  SELECT n.n_name AS country, round(avg(s.s_acctbal), 2) AS avg_speed
+  SELECT n.n_name AS country, {exact_mean('s.s_acctbal', 2)} AS avg_speed
   FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey GROUP BY n.n_name),
 prices AS (
-  SELECT n.n_name AS name, round(avg(c.c_acctbal), 2) AS avg_price
+  SELECT n.n_name AS name, {exact_mean('c.c_acctbal', 2)} AS avg_price
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY n.n_name)
 SELECT speed.country AS country, speed.avg_speed AS mbit_per_s, prices.avg_price AS price_1gb_usd
 FROM prices JOIN speed ON prices.name = speed.country

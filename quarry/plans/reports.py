@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.impute import exact_mean
 from quarry.operators.topk import top_k
 from quarry.specs import QueryType
 
@@ -61,9 +62,9 @@ def best_group(df: DataFrame, group: str, measure: dict | str, query_type="lowes
     """Group with the highest/lowest mean; ``measure`` may map direction to column."""
     qt = QueryType.parse(query_type)
     col = measure[qt.value] if isinstance(measure, dict) else measure
-    means = df.groupBy(group).agg(F.avg(col).alias("__mean"))
+    means = df.groupBy(group).agg(exact_mean(col, df.schema[col].dataType).alias("__mean"))
     best = top_k(means, "__mean", 1, qt, tiebreak=[group])
-    value = F.round("__mean", digits) if digits is not None else F.col("__mean")
+    value = (F.round("__mean", digits) if digits is not None else F.col("__mean")).cast("double")
     return best.select(F.col(group).alias(group_as), value.alias(value_as),
                        F.lit(qt.value).alias("query_type"))
 

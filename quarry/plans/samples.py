@@ -17,7 +17,7 @@ from quarry.functions.numbers import money_to_double, parse_bigint, thousands_to
 from quarry.operators.clean import drop_any_null, lift_field, rename, require
 from quarry.operators.dedupe import keep_first, keep_first_each
 from quarry.operators.delta import changed_rows
-from quarry.operators.impute import group_means, impute_group_mean
+from quarry.operators.impute import group_means, impute_group_mean, mean_expr
 from quarry.operators.staging import stage
 from quarry.plans import reports
 from quarry.session import staging_path
@@ -279,7 +279,7 @@ def _per_nation_mean(spark, d, fact: str, key: str, value: str, name_as: str, va
     n = table(spark, d, "nation")
     j = f.join(n, f[key] == n["n_nationkey"], "inner")
     return j.groupBy(F.col("n_name").alias(name_as)).agg(
-        F.round(F.avg(value), 2).alias(value_as))
+        mean_expr(value, 2, dtype=f.schema[value].dataType).alias(value_as))
 
 
 def report_lookup(spark, d):
