@@ -3,7 +3,8 @@
 Rules (one set for every source):
 
 * listed characters (thousands commas, currency signs, line breaks) are removed;
-* the rest must look like a plain decimal number, otherwise the value is NULL.
+* the rest must look like a plain decimal number within the double range,
+  otherwise the value is NULL.
   That guard keeps ``'NaN'``, ``'Infinity'``, ``'1.5d'`` and ``''`` out, which
   Spark's own cast would accept or reject differently from other engines;
 * ``try_cast`` is used throughout, so ANSI mode never fails a whole job on one
@@ -48,7 +49,9 @@ def parse_double(c, strip: str = "") -> Column:
     """Text to double; NULL for anything that is not a plain number."""
     s = F.trim(strip_chars(F.col(c).cast("string") if isinstance(c, str) else c.cast("string"),
                            strip))
-    return F.when(s.rlike(NUMBER_PATTERN), s.try_cast("double"))
+    d = s.try_cast("double")
+    # Digits beyond the double range parse to infinity: not a usable number either.
+    return F.when(s.rlike(NUMBER_PATTERN) & (F.abs(d) < F.lit(float("inf"))), d)
 
 
 def parse_bigint(c, strip: str = "") -> Column:

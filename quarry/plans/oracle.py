@@ -18,7 +18,7 @@ def _parse_double(expr: str, strip: str = "") -> str:
     s = f"regexp_replace({expr}, '[{strip}]', '', 'g')" if strip else expr
     s = f"trim({s})"
     return (f"(CASE WHEN regexp_full_match({s}, '{NUMBER_PATTERN}') "
-            f"THEN TRY_CAST({s} AS DOUBLE) END)")
+            f"AND isfinite(TRY_CAST({s} AS DOUBLE)) THEN TRY_CAST({s} AS DOUBLE) END)")
 
 
 def _parse_bigint(expr: str, strip: str = "") -> str:

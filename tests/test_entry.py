@@ -1,0 +1,54 @@
+import duckdb
+import pytest
+
+import __spark_entry__ as E
+from tests.conftest import rows
+
+SMOKE = "/root/testdata/sf0.001"
+TABLES = ("region nation customer supplier part orders lineitem events documents "
+          "embeddings pages benchmark labels conversations").split()
+
+
+def test_entry_runs(spark):
+    df = E.entry(spark)
+    assert df.columns == ["region", "internet_speed", "query_type"]
+    assert df.count() == 1
+
+
+def test_every_query_has_an_oracle():
+    assert set(E.queries()) == set(E.oracle_sql())
+    for name in E.queries():
+        assert "pipeline" not in name and not name.startswith("op")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMOKE}/{t}.parquet')")
+    return con
+
+
+def _norm(v):
+    return round(v, 9) if isinstance(v, float) else v
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_query_matches_oracle_at_sf0001(spark, duck, name):
+    df = E.queries()[name](spark, SMOKE)
+    cols = sorted(df.columns)
+    got = [tuple(_norm(v) for v in r) for r in rows(df, *cols)]
+    res = duck.execute(E.oracle_sql()[name])
+    ocols = [d[0] for d in res.description]
+    assert sorted(ocols) == cols
+    idx = [ocols.index(c) for c in cols]
+    want = sorted((tuple(_norm(r[i]) for i in idx) for r in res.fetchall()),
+                  key=lambda t: tuple((v is not None, v) for v in t))
+    assert got == want
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_no_python_in_plans(spark, name):
+    df = E.queries()[name](spark, SMOKE)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "EvalPython" not in plan and "PythonUDF" not in plan

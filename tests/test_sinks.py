@@ -1,0 +1,64 @@
+import os
+
+import pytest
+
+from quarry.sinks.files import OwnInputError, write_overwrite, write_update
+from tests.conftest import rows
+
+SCHEMA = "k int, v string"
+
+
+def test_upsert_keeps_target_only_rows(spark, tmp_path):
+    t = spark.createDataFrame([(1, "a"), (3, "z"), (9, "t")], SCHEMA)
+    s = spark.createDataFrame([(1, "a"), (3, "c"), (5, "x")], SCHEMA)
+    res = write_update(s, t, "k", ["k", "v"], str(tmp_path / "v2"))
+    assert res.wrote and res.rows_written == 2
+    assert rows(spark.read.parquet(str(tmp_path / "v2"))) == [
+        (1, "a"), (3, "c"), (5, "x"), (9, "t")]
+
+
+def test_replace_mode_drops_target_only_rows(spark, tmp_path):
+    t = spark.createDataFrame([(1, "a"), (3, "z"), (9, "t")], SCHEMA)
+    s = spark.createDataFrame([(1, "a"), (3, "c"), (5, "x")], SCHEMA)
+    write_update(s, t, "k", ["k", "v"], str(tmp_path / "v2"), keep_missing=False)
+    assert rows(spark.read.parquet(str(tmp_path / "v2"))) == [(1, "a"), (3, "c"), (5, "x")]
+
+
+def test_no_change_writes_nothing(spark, tmp_path):
+    t = spark.createDataFrame([(1, "a")], SCHEMA)
+    out = tmp_path / "v2"
+    res = write_update(t, t, "k", ["k", "v"], str(out))
+    assert not res.wrote and res.rows_written == 0 and not out.exists()
+
+
+def test_upsert_twice_equals_once(spark, tmp_path):
+    t = spark.createDataFrame([(1, "a"), (3, "z")], SCHEMA)
+    s = spark.createDataFrame([(3, "c"), (5, "x")], SCHEMA)
+    write_update(s, t, "k", ["k", "v"], str(tmp_path / "v2"))
+    v2 = spark.read.parquet(str(tmp_path / "v2"))
+    res = write_update(s, v2, "k", ["k", "v"], str(tmp_path / "v3"))
+    assert not res.wrote and rows(v2) == [(1, "a"), (3, "c"), (5, "x")]
+
+
+def test_overwrite_of_own_input_is_refused_before_deleting(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_overwrite(spark.createDataFrame([(1, "a")], SCHEMA), path)
+    before = sorted(os.listdir(path))
+    own = spark.read.parquet(path)
+    with pytest.raises(OwnInputError):
+        write_overwrite(own, path)
+    assert sorted(os.listdir(path)) == before and rows(spark.read.parquet(path)) == [(1, "a")]
+
+
+def test_update_refuses_output_under_its_inputs(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_overwrite(spark.createDataFrame([(1, "a")], SCHEMA), path)
+    t = spark.read.parquet(path)
+    s = spark.createDataFrame([(2, "b")], SCHEMA)
+    with pytest.raises(OwnInputError):
+        write_update(s, t, "k", ["k", "v"], path)
+
+
+def test_overwrite_counts_rows_from_observed_metric(spark, tmp_path):
+    res = write_overwrite(spark.range(17).selectExpr("id AS k"), str(tmp_path / "o"))
+    assert res.rows_written == 17 and res.wrote
