@@ -27,7 +27,7 @@ from quarry.operators.dedupe import keep_first_each
 from quarry.operators.impute import impute_group_mean
 from quarry.session import staging_path
 from quarry.sinks.files import write_overwrite, write_update
-from quarry.sources.delimited import parse_lines
+from quarry.sources.delimited import read_lines
 from quarry.sources.files import read_csv, read_documents
 from quarry.specs import InsertMode, JobResult, TableSpec
 
@@ -301,7 +301,9 @@ def job_document_migration(spark, d):
 
 
 def job_delimited_migration(spark, d):
-    src = parse_lines(price_lines(spark, d), PRICE_NAMES, header=",".join(PRICE_HEADER_MAP))
+    from quarry.plans.samples import land_lines
+    path = land_lines(price_lines(spark, d), "price-lines")
+    src = read_lines(spark, path, PRICE_NAMES, header=",".join(PRICE_HEADER_MAP))
     target = staging_path(spark, "internet_prices")
     run_job(spark, DELIMITED_JOB, src, "overwrite", target)
     return spark.read.parquet(target)

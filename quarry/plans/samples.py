@@ -22,7 +22,7 @@ from quarry.operators.staging import stage
 from quarry.plans import reports
 from quarry.session import staging_path
 from quarry.sinks.files import write_overwrite, write_update
-from quarry.sources.delimited import parse_lines
+from quarry.sources.delimited import read_lines
 from quarry.sources.files import read_csv, read_documents
 
 # Fixed values for the sample queries.
@@ -92,10 +92,17 @@ def _order_lines(spark, d) -> DataFrame:
     return header.unionByName(o.select(line.alias("value")))
 
 
+def land_lines(lines: DataFrame, name: str) -> str:
+    """Write a DataFrame of text lines as landed payload files; return the folder."""
+    path = staging_path(lines.sparkSession, name)
+    lines.write.text(path)
+    return path
+
+
 def src_delimited_lines(spark, d):
-    """Order lines as a comma payload; lines without exactly 3 fields are rejected."""
-    return parse_lines(_order_lines(spark, d), ORDER_LINE_NAMES,
-                       header=",".join(ORDER_LINE_NAMES))
+    """Order lines landed as a comma payload; lines without exactly 3 fields are rejected."""
+    path = land_lines(_order_lines(spark, d), "order-lines")
+    return read_lines(spark, path, ORDER_LINE_NAMES, header=",".join(ORDER_LINE_NAMES))
 
 
 # --- projections and filters -------------------------------------------------
