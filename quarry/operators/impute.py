@@ -19,7 +19,7 @@ from quarry.operators.staging import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_
 MEAN_SCALE = 10
 
 
-def exact_mean(name: str, dtype: DataType | None = None) -> Column:
+def exact_mean(name: str, dtype: DataType | None = None, exact: bool = True) -> Column:
     """Mean of a numeric column in exact decimal arithmetic: ``decimal(38, 10)``.
 
     Values are taken as ``decimal(38, 10)`` (NaN counts as missing), summed
@@ -32,20 +32,23 @@ def exact_mean(name: str, dtype: DataType | None = None) -> Column:
     c = F.col(name)
     if isinstance(dtype, (DoubleType, FloatType)):
         c = F.when(~F.isnan(c), c)
+    if not exact:
+        # Plain double mean: ~2.5x cheaper aggregate, but ties may round either way.
+        return F.avg(c)
     return F.avg(c.cast(DecimalType(38, MEAN_SCALE)))
 
 
 def mean_expr(name: str, digits: int | None = None, integer: bool = False,
-              dtype: DataType | None = None) -> Column:
-    """Exact mean rounded half-up to ``digits`` places (double); bigint when ``integer``."""
-    m = exact_mean(name, dtype)
+              dtype: DataType | None = None, exact: bool = True) -> Column:
+    """Mean rounded half-up to ``digits`` places (double); bigint when ``integer``."""
+    m = exact_mean(name, dtype, exact)
     if integer:
         return F.round(m, 0).cast("bigint")
     return (F.round(m, digits) if digits is not None else m).cast("double")
 
 
 def group_means(df: DataFrame, group, columns: dict, integer=(), prefix: str = "avg_",
-                ) -> DataFrame:
+                exact: bool = True) -> DataFrame:
     """One row per group with ``prefix + column`` holding the rounded mean.
 
     ``columns`` maps a column to its number of decimal places (None: unrounded).
@@ -53,14 +56,15 @@ def group_means(df: DataFrame, group, columns: dict, integer=(), prefix: str = "
     """
     group = [group] if isinstance(group, str) else list(group)
     integer = set(integer)
-    aggs = [mean_expr(c, d, c in integer, df.schema[c].dataType).alias(prefix + c)
+    aggs = [mean_expr(c, d, c in integer, df.schema[c].dataType, exact).alias(prefix + c)
             for c, d in columns.items()]
     return df.groupBy(*group).agg(*aggs)
 
 
 def impute_group_mean(df: DataFrame, group, columns: dict, integer=(),
                       max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                      max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+                      max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+                      exact: bool = True) -> DataFrame:
     """Replace NULLs in ``columns`` by the rounded mean of the row's group.
 
     Non-NULL values never change. A row whose group key is NULL, or whose whole
@@ -70,7 +74,7 @@ def impute_group_mean(df: DataFrame, group, columns: dict, integer=(),
     """
     group = [group] if isinstance(group, str) else list(group)
     prefix = "__mean_"
-    means = group_means(df, group, columns, integer, prefix)
+    means = group_means(df, group, columns, integer, prefix, exact)
     joined = join_small(df, means, on=group, how="left",
                         max_rows=max_broadcast_rows, max_bytes=max_broadcast_bytes,
                         name="group-means")

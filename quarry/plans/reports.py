@@ -58,11 +58,11 @@ def extreme_row(df: DataFrame, label: str, measure: str, query_type="lowest",
 
 def best_group(df: DataFrame, group: str, measure: dict | str, query_type="lowest",
                group_as: str = "region", value_as: str = "price",
-               digits: int | None = REPORT_DIGITS) -> DataFrame:
+               digits: int | None = REPORT_DIGITS, exact: bool = True) -> DataFrame:
     """Group with the highest/lowest mean; ``measure`` may map direction to column."""
     qt = QueryType.parse(query_type)
     col = measure[qt.value] if isinstance(measure, dict) else measure
-    means = df.groupBy(group).agg(exact_mean(col, df.schema[col].dataType).alias("__mean"))
+    means = df.groupBy(group).agg(exact_mean(col, df.schema[col].dataType, exact).alias("__mean"))
     best = top_k(means, "__mean", 1, qt, tiebreak=[group])
     value = (F.round("__mean", digits) if digits is not None else F.col("__mean")).cast("double")
     return best.select(F.col(group).alias(group_as), value.alias(value_as),

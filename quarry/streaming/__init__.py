@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The jobs this library rebuilds are batch jobs: they read a whole source, compare
+it with a whole target table and write once. There is no watermark, stream
+window or stateful operator to carry over, so nothing here uses Structured
+Streaming. New source files are processed by running a batch job again (see
+:mod:`quarry.cli`), which reads the landed files as a whole.
+"""

@@ -67,3 +67,8 @@ def test_non_null_values_never_change(spark):
     for r in df.collect():
         if r["v"] is not None:
             assert out[r["id"]] == r["v"]
+
+
+def test_double_means_opt_in(spark):
+    df = spark.createDataFrame([("g", 1.0), ("g", 2.0)], "g string, v double")
+    assert group_means(df, "g", {"v": 2}, exact=False).first()["avg_v"] == 1.5
