@@ -16,6 +16,9 @@ Rules:
 
 from __future__ import annotations
 
+import posixpath
+from urllib.parse import unquote, urlsplit
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -29,12 +32,22 @@ class OwnInputError(ValueError):
     pass
 
 
+def _uri_key(uri: str) -> tuple[str, str, str]:
+    parts = urlsplit(uri)
+    path = posixpath.normpath(unquote(parts.path) or "/")
+    return parts.scheme or "file", parts.netloc, path.rstrip("/") + "/"
+
+
 def assert_not_reading(df: DataFrame, path: str) -> None:
-    """Refuse to write ``df`` to ``path`` if ``df`` reads any file below ``path``."""
-    spark = df.sparkSession
-    target = qualify(spark, path).rstrip("/") + "/"
+    """Refuse to write ``df`` to ``path`` if ``df`` reads any file below ``path``.
+
+    The target is qualified once through Hadoop; the plan's input files (already
+    qualified URIs, possibly millions) are compared as normalised strings.
+    """
+    scheme, netloc, prefix = _uri_key(qualify(df.sparkSession, path))
     for f in df.inputFiles():
-        if qualify(spark, f).startswith(target):
+        s, n, p = _uri_key(f)
+        if s == scheme and n == netloc and p.startswith(prefix):
             raise OwnInputError(f"refusing to write to {path}: the plan reads {f}")
 
 
