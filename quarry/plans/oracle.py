@@ -250,6 +250,11 @@ UNION ALL SELECT * FROM d""",
 
     "sink_update_replace": f"WITH {_DELTA_INPUTS} SELECT * FROM s",
 
+    "sink_update_table": f"""
+WITH {_DELTA_INPUTS}, {_DELTA}
+SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.o_orderkey = t.o_orderkey)
+UNION ALL SELECT * FROM d""",
+
     "sink_update_noop": f"""
 WITH {_DELTA_INPUTS}
 SELECT CAST(0 AS BIGINT) AS rows_written, false AS wrote, count(*) AS target_rows FROM t""",

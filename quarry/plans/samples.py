@@ -10,6 +10,8 @@ changed rows) are derived from the rows by fixed rules written out below;
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,7 @@ from quarry.operators.staging import stage
 from quarry.plans import reports
 from quarry.session import staging_path
 from quarry.sinks.files import write_overwrite, write_update
+from quarry.sinks.tables import create_table, update_table
 from quarry.sources.delimited import read_lines
 from quarry.sources.files import read_csv, read_documents
 
@@ -269,6 +272,14 @@ def sink_update_replace(spark, d):
     return spark.read.parquet(out) if res.wrote else target
 
 
+def sink_update_table(spark, d):
+    """Catalog table: created from the target, updated, repointed to the new version."""
+    name = f"quarry_orders_{uuid.uuid4().hex[:12]}"
+    create_table(delta_target(spark, d), name, staging_path(spark, "orders-table"))
+    update_table(delta_source(spark, d), name, ORDER_KEY, ORDER_COLUMNS)
+    return spark.table(name)
+
+
 def sink_update_noop(spark, d):
     """Source equal to the target: nothing is written, zero rows reported."""
     target = stage(delta_target(spark, d), "orders-target").df
@@ -346,6 +357,7 @@ QUERIES = {
     "sink_overwrite_roundtrip": sink_overwrite_roundtrip,
     "sink_update_upsert": sink_update_upsert,
     "sink_update_replace": sink_update_replace,
+    "sink_update_table": sink_update_table,
     "sink_update_noop": sink_update_noop,
     "report_lookup": report_lookup,
     "report_extreme_high": _extreme("highest"),

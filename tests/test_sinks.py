@@ -62,3 +62,23 @@ def test_update_refuses_output_under_its_inputs(spark, tmp_path):
 def test_overwrite_counts_rows_from_observed_metric(spark, tmp_path):
     res = write_overwrite(spark.range(17).selectExpr("id AS k"), str(tmp_path / "o"))
     assert res.rows_written == 17 and res.wrote
+
+
+def test_catalog_table_versions(spark, tmp_path):
+    from quarry.sinks.tables import create_table, overwrite_table, table_location, update_table
+    name = "quarry_test_versions"
+    create_table(spark.createDataFrame([(1, "a"), (3, "z"), (9, "t")], SCHEMA), name,
+                 str(tmp_path / "v1"))
+    v1 = table_location(spark, name)
+    reader = spark.table(name)  # planned against v1
+    res = update_table(spark.createDataFrame([(1, "a"), (3, "c"), (5, "x")], SCHEMA), name,
+                       "k", ["k", "v"])
+    assert res.wrote and table_location(spark, name) != v1
+    assert rows(spark.table(name)) == [(1, "a"), (3, "c"), (5, "x"), (9, "t")]
+    assert rows(spark.read.parquet(v1)) == [(1, "a"), (3, "z"), (9, "t")]  # old version intact
+    assert reader.count() in (3, 4)
+    same = update_table(spark.table(name), name, "k", ["k", "v"])
+    assert not same.wrote
+    overwrite_table(spark.createDataFrame([(7, "q")], SCHEMA), name)
+    assert rows(spark.table(name)) == [(7, "q")]
+    spark.sql(f"DROP TABLE {name}")
