@@ -38,14 +38,17 @@ def parse_args(argv=None):
     return p.parse_args(argv)
 
 
-def main(argv=None) -> int:
+def main(argv=None, spark=None) -> int:
+    """Run one job; a given ``spark`` session is used and left running."""
     args = parse_args(argv)
     from quarry.plans import jobs
     from quarry.session import build_session
     from quarry.sources.delimited import header_names, read_lines
     from quarry.sources.files import read_csv, read_documents
 
-    spark = build_session(app=f"quarry-{args.job}")
+    own = spark is None
+    if own:
+        spark = build_session(app=f"quarry-{args.job}")
     options = dict(kv.split("=", 1) for kv in args.option)
     if args.job == "file":
         spec = jobs.FILE_JOB
@@ -63,7 +66,8 @@ def main(argv=None) -> int:
     result = jobs.run_job(spark, spec, source, args.mode, args.target, out_path=args.out,
                           allow_empty=args.allow_empty, keep_missing=not args.replace_missing)
     print(json.dumps(result.__dict__, default=str))
-    spark.stop()
+    if own:
+        spark.stop()
     return 0
 
 

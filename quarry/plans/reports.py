@@ -26,6 +26,23 @@ from quarry.specs import QueryType
 REPORT_DIGITS = 3
 
 
+class NoDataError(LookupError):
+    """A report found no row for its parameters."""
+
+
+def fetch_one(report: DataFrame) -> dict:
+    """The report's single row as a dict; :class:`NoDataError` when there is none.
+
+    Reports are one-row plans (``limit(1)``), so this moves one row to the
+    driver. The column names and types are fixed by the plan, so no per-value
+    type guard is needed.
+    """
+    rows = report.limit(1).collect()
+    if not rows:
+        raise NoDataError("no data found for the provided parameters")
+    return rows[0].asDict()
+
+
 def lookup(left: DataFrame, right: DataFrame, left_on: str, right_on: str, value: str,
            columns: dict[str, str], filter_on: str | None = None) -> DataFrame:
     """Rows of ``left JOIN right ON left_on = right_on`` where the key equals ``value``.

@@ -7,13 +7,23 @@ Spark's JDBC writer has no upsert, and an overwrite of a table that the plan
 reads drops the table before the tasks read it. So an update:
 
 1. computes the change set once and stages it in the shared folder;
-2. writes it to a staging table (parallel, one connection per partition);
-3. applies it with one DELETE + INSERT in a single transaction on the driver's
-   connection: set-based SQL, no rows pass through the driver.
+2. writes it to a uniquely named staging table (parallel, one connection per
+   partition);
+3. checks the staging table's row count against the staged delta: a task
+   retried after a lost executor can leave the rows of its failed attempt
+   behind, and such a staging table is never merged;
+4. applies it with one DELETE + INSERT in a single transaction on the driver's
+   connection (set-based SQL, no rows pass through the driver), then drops
+   the staging table.
+
+``write_overwrite`` goes the same way (stage, staging table, count check, one
+transaction), so a failed or retried write never leaves a half-written table.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 from quarry.operators.delta import assert_unique, changed_rows
@@ -22,13 +32,33 @@ from quarry.specs import InsertMode, JobResult
 
 
 def write_overwrite(df: DataFrame, url: str, table: str, properties: dict,
-                    truncate: bool = True, batch_size: int = 10_000,
-                    num_partitions: int | None = None) -> JobResult:
-    """Replace the rows of ``table``; ``truncate`` keeps its definition and grants."""
-    w = df.coalesce(num_partitions) if num_partitions else df
-    props = dict(properties, truncate=str(truncate).lower(), batchsize=str(batch_size))
-    w.write.jdbc(url, table, mode="overwrite", properties=props)
-    return JobResult(mode=InsertMode.OVERWRITE.value, target=table, wrote=True)
+                    batch_size: int = 10_000, num_partitions: int | None = None) -> JobResult:
+    """Replace the rows of an existing ``table`` (definition and grants kept)."""
+    frozen = stage(df, "jdbc-overwrite")
+    n = frozen.rows()
+    staging = _load_staging(frozen.df, n, url, table, properties, batch_size, num_partitions)
+    cols = ", ".join(_quote(c) for c in df.columns)
+    _run_transaction(df.sparkSession, url, properties, [
+        f"DELETE FROM {table}",
+        f"INSERT INTO {table} ({cols}) SELECT {cols} FROM {staging}",
+        f"DROP TABLE {staging}",
+    ])
+    return JobResult(mode=InsertMode.OVERWRITE.value, target=table, rows_written=n, wrote=True)
+
+
+def _load_staging(rows: DataFrame, expected: int, url: str, table: str, properties: dict,
+                  batch_size: int, num_partitions: int | None) -> str:
+    """Write ``rows`` to a fresh staging table and verify its row count."""
+    staging = f"{table}__stage_{uuid.uuid4().hex[:10]}"
+    w = rows.coalesce(num_partitions) if num_partitions else rows
+    w.write.jdbc(url, staging, mode="errorifexists",
+                 properties=dict(properties, batchsize=str(batch_size)))
+    got = _query_scalar(rows.sparkSession, url, properties, f"SELECT count(*) FROM {staging}")
+    if got != expected:
+        _run_transaction(rows.sparkSession, url, properties, [f"DROP TABLE {staging}"])
+        raise RuntimeError(f"staging table for {table} holds {got} rows, expected {expected}; "
+                           "nothing was merged")
+    return staging
 
 
 def _quote(name: str) -> str:
@@ -52,7 +82,8 @@ def merge_statements(table: str, staging: str, key, columns, keep_missing: bool
 
 def write_update(source: DataFrame, target: DataFrame, url: str, table: str,
                  properties: dict, key, columns, keep_missing: bool = True,
-                 rule: str = "null_safe", check_keys: bool = True) -> JobResult:
+                 rule: str = "null_safe", check_keys: bool = True,
+                 batch_size: int = 10_000, num_partitions: int | None = None) -> JobResult:
     key = [key] if isinstance(key, str) else list(key)
     if check_keys:
         assert_unique(source.select(*key), key, "source")
@@ -62,24 +93,41 @@ def write_update(source: DataFrame, target: DataFrame, url: str, table: str,
     result = JobResult(mode=InsertMode.UPDATE.value, target=table, rows_written=n)
     if n == 0:
         return result
-    staging_table = f"{table}__staging"
-    rows = frozen.df if keep_missing else stage(source.select(*key, *[
-        c for c in columns if c not in key]), "jdbc-source").df
-    rows.write.jdbc(url, staging_table, mode="overwrite", properties=properties)
+    if keep_missing:
+        rows, expected = frozen.df, n
+    else:
+        whole = stage(source.select(*key, *[c for c in columns if c not in key]), "jdbc-source")
+        rows, expected = whole.df, whole.rows()
+    staging = _load_staging(rows, expected, url, table, properties, batch_size, num_partitions)
     _run_transaction(source.sparkSession, url, properties,
-                     merge_statements(table, staging_table, key, columns, keep_missing))
+                     merge_statements(table, staging, key, columns, keep_missing)
+                     + [f"DROP TABLE {staging}"])
     result.wrote = True
     return result
 
 
-def _run_transaction(spark, url: str, properties: dict, statements) -> None:
+def _connect(spark, url: str, properties: dict):
     jvm = spark._jvm
     if "driver" in properties:
         jvm.java.lang.Class.forName(properties["driver"])
     jprops = jvm.java.util.Properties()
     for k, v in properties.items():
         jprops.setProperty(k, str(v))
-    conn = jvm.java.sql.DriverManager.getConnection(url, jprops)
+    return jvm.java.sql.DriverManager.getConnection(url, jprops)
+
+
+def _query_scalar(spark, url: str, properties: dict, sql: str) -> int:
+    conn = _connect(spark, url, properties)
+    try:
+        rs = conn.createStatement().executeQuery(sql)
+        rs.next()
+        return int(rs.getLong(1))
+    finally:
+        conn.close()
+
+
+def _run_transaction(spark, url: str, properties: dict, statements) -> None:
+    conn = _connect(spark, url, properties)
     try:
         conn.setAutoCommit(False)
         st = conn.createStatement()

@@ -60,3 +60,12 @@ def test_top_k_plan_has_no_full_sort(spark):
     plan = top_k(df, "v", 3, "highest", ["id"])._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
     assert rows(top_k(df, "v", 2, "highest", ["id"]), "id") == [(6,), (13,)]
+
+
+def test_fetch_one_guards(spark):
+    df = people(spark)
+    got = reports.fetch_one(reports.extreme_row(df, "country", "internet_users", "highest"))
+    assert got == {"country": "A", "internet_users": 10, "query_type": "highest"}
+    empty = reports.extreme_row(df.where("internet_users > 100"), "country", "internet_users")
+    with pytest.raises(reports.NoDataError):
+        reports.fetch_one(empty)
