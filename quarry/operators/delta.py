@@ -46,6 +46,24 @@ def assert_unique(df: DataFrame, key, what: str = "table") -> None:
             f"{what}: {dups['keys']} key values repeat, covering {dups['rows']} rows")
 
 
+def assert_unique_sides(sides: dict, key) -> None:
+    """:func:`assert_unique` for several frames in one job (keys tagged by side)."""
+    key = [key] if isinstance(key, str) else list(key)
+    tagged = None
+    for name, df in sides.items():
+        part = df.select(F.lit(name).alias("__side"), *key)
+        tagged = part if tagged is None else tagged.unionByName(part)
+    dups = (tagged.groupBy("__side", *key).agg(F.count(F.lit(1)).alias("n"))
+                  .where(F.col("n") > 1)
+                  .groupBy("__side").agg(F.count(F.lit(1)).alias("keys"),
+                                         F.sum("n").alias("rows"))
+                  .collect())
+    if dups:
+        msg = "; ".join(f"{r['__side']}: {r['keys']} key values repeat, covering {r['rows']} rows"
+                        for r in sorted(dups, key=lambda r: r["__side"]))
+        raise DuplicateKeyError(msg)
+
+
 def changed_rows(source: DataFrame, target: DataFrame, key, columns=None,
                  rule: str = "null_safe") -> DataFrame:
     """Source rows (key + columns, source values) that are new or changed."""

@@ -22,7 +22,7 @@ from urllib.parse import unquote, urlsplit
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from quarry.operators.delta import assert_unique, changed_rows, upsert_rows
+from quarry.operators.delta import assert_unique_sides, changed_rows, upsert_rows
 from quarry.operators.staging import stage
 from quarry.session import qualify
 from quarry.specs import InsertMode, JobResult
@@ -76,8 +76,7 @@ def write_update(source: DataFrame, target: DataFrame, key, columns, out_path: s
     key = [key] if isinstance(key, str) else list(key)
     columns = list(columns)
     if check_keys:
-        assert_unique(source.select(*key), key, "source")
-        assert_unique(target.select(*key), key, "target")
+        assert_unique_sides({"source": source, "target": target}, key)
     assert_not_reading(source, out_path)
     assert_not_reading(target, out_path)
     delta = stage(changed_rows(source, target, key, columns, rule), "delta")

@@ -26,7 +26,7 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-from quarry.operators.delta import assert_unique, changed_rows
+from quarry.operators.delta import assert_unique_sides, changed_rows
 from quarry.operators.staging import stage
 from quarry.specs import InsertMode, JobResult
 
@@ -86,8 +86,7 @@ def write_update(source: DataFrame, target: DataFrame, url: str, table: str,
                  batch_size: int = 10_000, num_partitions: int | None = None) -> JobResult:
     key = [key] if isinstance(key, str) else list(key)
     if check_keys:
-        assert_unique(source.select(*key), key, "source")
-        assert_unique(target.select(*key), key, "target")
+        assert_unique_sides({"source": source, "target": target}, key)
     frozen = stage(changed_rows(source, target, key, columns, rule), "jdbc-delta")
     n = frozen.rows()
     result = JobResult(mode=InsertMode.UPDATE.value, target=table, rows_written=n)

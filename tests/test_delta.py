@@ -44,3 +44,12 @@ def test_bad_rule_or_column(spark):
         changed_rows(s, t, "k", rule="nope")
     with pytest.raises(ValueError):
         changed_rows(s, t, "k", ["missing"])
+
+
+def test_unique_check_for_both_sides_in_one_job(spark):
+    from quarry.operators.delta import assert_unique_sides
+    s = spark.createDataFrame([(1, "a"), (2, "b")], SCHEMA)
+    t = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (2, "d"), (3, "e")], SCHEMA)
+    assert_unique_sides({"source": s}, "k")
+    with pytest.raises(DuplicateKeyError, match="target: 2 key values repeat, covering 4 rows"):
+        assert_unique_sides({"source": s, "target": t}, "k")
