@@ -41,10 +41,19 @@ def test_nulls_last_prefers_complete_rows(spark):
     assert rows(keep_first(df, "k")) == [("A", 5.0)]
 
 
-def test_plan_is_partial_aggregate_not_window(spark):
+def test_plan_limits_each_key_before_the_shuffle(spark):
     df = spark.createDataFrame([("A", 1)], "k string, v int")
     plan = keep_first(df, "k")._jdf.queryExecution().executedPlan().toString()
-    assert "partial_min" in plan and "Window" not in plan
+    partial = plan.find("WindowGroupLimit")
+    assert partial != -1 and "Partial" in plan and "Final" in plan
+    # the partial limit sits below (after, in the text) the exchange
+    assert plan.rfind("WindowGroupLimit") > plan.find("Exchange hashpartitioning")
+
+
+def test_descending_columns(spark):
+    df = spark.createDataFrame([("A", 1, "x"), ("A", 3, "y"), ("A", None, "z")],
+                               "k string, v int, w string")
+    assert rows(keep_first(df, "k", order_by="v", descending="v")) == [("A", 3, "y")]
 
 
 def brute_force(data):
