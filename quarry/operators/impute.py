@@ -19,6 +19,14 @@ from quarry.operators.staging import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_
 MEAN_SCALE = 10
 
 
+def exact_value(name: str, dtype: DataType | None = None) -> Column:
+    """A numeric column as ``decimal(38, MEAN_SCALE)``; NaN becomes NULL."""
+    c = F.col(name)
+    if isinstance(dtype, (DoubleType, FloatType)):
+        c = F.when(~F.isnan(c), c)
+    return c.cast(DecimalType(38, MEAN_SCALE))
+
+
 def exact_mean(name: str, dtype: DataType | None = None, exact: bool = True) -> Column:
     """Mean of a numeric column in exact decimal arithmetic: ``decimal(38, 10)``.
 
@@ -29,13 +37,13 @@ def exact_mean(name: str, dtype: DataType | None = None, exact: bool = True) ->
     (or after a retried task); this cannot. Values beyond 10^28 fail the cast
     (ANSI) instead of being dropped.
     """
-    c = F.col(name)
-    if isinstance(dtype, (DoubleType, FloatType)):
-        c = F.when(~F.isnan(c), c)
     if not exact:
         # Plain double mean: ~2.5x cheaper aggregate, but ties may round either way.
+        c = F.col(name)
+        if isinstance(dtype, (DoubleType, FloatType)):
+            c = F.when(~F.isnan(c), c)
         return F.avg(c)
-    return F.avg(c.cast(DecimalType(38, MEAN_SCALE)))
+    return F.avg(exact_value(name, dtype))
 
 
 def mean_expr(name: str, digits: int | None = None, integer: bool = False,

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.impute import exact_mean
+from quarry.operators.impute import exact_mean, exact_value
 from quarry.operators.topk import top_k
 from quarry.specs import QueryType
 
@@ -89,12 +89,32 @@ def best_group(df: DataFrame, group: str, measure: dict | str, query_type="lowes
 def best_group_joined(left: DataFrame, right: DataFrame, on, group: str, measure: str,
                       query_type="lowest", group_as: str = "region",
                       value_as: str = "internet_speed",
-                      digits: int | None = REPORT_DIGITS) -> DataFrame:
-    """:func:`best_group` over ``left JOIN right`` (inner, equality on ``on``)."""
+                      digits: int | None = REPORT_DIGITS, exact: bool = True,
+                      pre_aggregate: bool = True) -> DataFrame:
+    """:func:`best_group` over ``left JOIN right ON left[on[0]] = right[on[1]]`` (inner).
+
+    ``measure`` comes from ``left`` and ``group`` from ``right``. With
+    ``pre_aggregate`` (and exact means), ``left`` is first reduced to one row
+    per join key (exact decimal sum and count, partial aggregation on the map
+    side), so the join moves one row per key instead of every fact row. Each
+    right row matching key k adds k's sum and count to its group, exactly what
+    the row-level join would add, so the mean is identical (same decimal sum,
+    same single division as ``avg``).
+    """
     qt = QueryType.parse(query_type)
-    if isinstance(on, (tuple, list)) and len(on) == 2 and all(isinstance(x, str) for x in on):
-        cond = left[on[0]] == right[on[1]]
-    else:
-        cond = on
-    joined = left.join(right, cond, "inner").select(F.col(group), F.col(measure))
-    return best_group(joined, group, measure, qt, group_as, value_as, digits)
+    lk, rk = on
+    if not (pre_aggregate and exact):
+        joined = left.join(right, left[lk] == right[rk], "inner").select(
+            F.col(group), F.col(measure))
+        return best_group(joined, group, measure, qt, group_as, value_as, digits, exact)
+    dtype = left.schema[measure].dataType
+    per_key = left.groupBy(F.col(lk).alias("__k")).agg(
+        F.sum(exact_value(measure, dtype)).alias("__s"), F.count(measure).alias("__n"))
+    joined = per_key.join(right, per_key["__k"] == right[rk], "inner")
+    means = joined.groupBy(group).agg(F.sum("__s").alias("__s"), F.sum("__n").alias("__n"))
+    means = means.select(group, F.when(F.col("__n") > 0, F.col("__s") / F.col("__n"))
+                         .alias("__mean"))
+    best = top_k(means, "__mean", 1, qt, tiebreak=[group])
+    value = (F.round("__mean", digits) if digits is not None else F.col("__mean")).cast("double")
+    return best.select(F.col(group).alias(group_as), value.alias(value_as),
+                       F.lit(qt.value).alias("query_type"))

@@ -69,3 +69,18 @@ def test_fetch_one_guards(spark):
     empty = reports.extreme_row(df.where("internet_users > 100"), "country", "internet_users")
     with pytest.raises(reports.NoDataError):
         reports.fetch_one(empty)
+
+
+def test_pre_aggregated_join_equals_row_level_join(spark):
+    import random
+    rnd = random.Random(3)
+    facts = spark.createDataFrame(
+        [(f"c{rnd.randint(0, 30)}", rnd.choice([None, rnd.randint(0, 999) / 8]))
+         for _ in range(400)], "country string, s double")
+    dims = spark.createDataFrame([(f"c{i}", f"r{i % 4}") for i in range(25)] + [("c3", "r9")],
+                                 "ucountry string, sub_region string")
+    for qt in ("highest", "lowest"):
+        a = reports.best_group_joined(facts, dims, ("country", "ucountry"), "sub_region", "s", qt)
+        b = reports.best_group_joined(facts, dims, ("country", "ucountry"), "sub_region", "s", qt,
+                                      pre_aggregate=False)
+        assert rows(a) == rows(b) and a.count() == 1
