@@ -3,10 +3,10 @@
 * file job: CSV -> rename -> one row per key -> drop rows with NULLs;
 * document job: documents -> lift ``_id.oid`` -> required fields -> one row
   per id, then per country -> numbers from text with thousands commas ->
-  NULLs filled with region means -> table columns;
+  (persist) -> NULLs filled with region means -> table columns;
 * delimited job: text lines -> required fields -> one row per code, then per
-  name -> numbers from money text -> NULLs filled with region means -> table
-  columns -> drop rows with NULLs.
+  name -> numbers from money text -> (persist) -> NULLs filled with region
+  means -> table columns -> drop rows with NULLs.
 
 :func:`run_job` checks the insert mode before any Spark work and then writes
 with the overwrite or update sink. The sample queries at the end feed the
@@ -116,16 +116,37 @@ class Select:
         return keep_columns(df, self.columns)
 
 
+@dataclass(frozen=True)
+class Persist:
+    """Keep the rows computed so far for the steps that read them twice.
+
+    Imputation reads its input twice (group means, then the join back). After
+    shuffling steps (dedupe) that would repeat the scan and the shuffles;
+    persisted, they run once. Blocks lost with an executor are recomputed from
+    the lineage, which gives the same rows (the dedupe is deterministic).
+    ``run_job`` releases the data after the write.
+    """
+
+    level: str = "MEMORY_AND_DISK"
+
+    def apply(self, df):
+        from pyspark import StorageLevel
+        return df.persist(getattr(StorageLevel, self.level))
+
+
 @dataclass(frozen=True)
 class JobSpec:
     name: str
     table: TableSpec
     steps: tuple = field(default_factory=tuple)
 
-    def plan(self, source: DataFrame) -> DataFrame:
+    def plan(self, source: DataFrame, held: list | None = None) -> DataFrame:
+        """The job's result plan; persisted frames are appended to ``held``."""
         df = source
         for step in self.steps:
             df = step.apply(df)
+            if isinstance(step, Persist) and held is not None:
+                held.append(df)
         return keep_columns(df, self.table.columns)
 
 
@@ -169,6 +190,7 @@ DOCUMENT_JOB = JobSpec("documents", USERS, (
     Require(("id", "region", "sub_region", "country")),
     KeepFirst(("id", "country")),
     ParseNumbers({"internet_users": "thousands_bigint", "population": "thousands_bigint"}),
+    Persist(),
     ImputeMean("region", {"internet_users": 0, "population": 0},
                integer=("internet_users", "population")),
 ))
@@ -177,6 +199,7 @@ DELIMITED_JOB = JobSpec("delimited", PRICES, (
     Require(("name", "continental_region", "country_code")),
     KeepFirst(("country_code", "name")),
     ParseNumbers({"no_internal_plans": "bigint", **{c: "money_double" for c in PRICE_MONEY}}),
+    Persist(),
     ImputeMean("continental_region", {c: 2 for c in ["no_internal_plans", *PRICE_MONEY]}),
     Select(tuple(PRICES.columns)),
     DropNulls(),
@@ -197,12 +220,17 @@ def run_job(spark: SparkSession, spec: JobSpec, source: DataFrame, mode, target:
         raise ValueError("update needs out_path: the target is never overwritten in place")
     if not allow_empty and source.isEmpty():
         raise ValueError(f"job {spec.name}: the source has no rows")
-    df = spec.plan(source)
-    if mode is InsertMode.OVERWRITE:
-        return write_overwrite(df, target)
-    current = spark.read.parquet(target)
-    return write_update(df, current, spec.table.key, spec.table.columns, out_path,
-                        keep_missing=keep_missing)
+    held: list[DataFrame] = []
+    try:
+        df = spec.plan(source, held)
+        if mode is InsertMode.OVERWRITE:
+            return write_overwrite(df, target)
+        current = spark.read.parquet(target)
+        return write_update(df, current, spec.table.key, spec.table.columns, out_path,
+                            keep_missing=keep_missing)
+    finally:
+        for h in held:
+            h.unpersist()
 
 
 # --- sample queries: the jobs on source data derived from the test tables --------
