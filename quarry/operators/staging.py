@@ -30,6 +30,18 @@ class Staged:
         return int(fs.getContentSummary(p).getLength())
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of ``df`` (from file sizes and projections)."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size if isinstance(size, int) else size.toString())
+
+
+def planner_broadcasts(df: DataFrame) -> bool:
+    """True when the planner would broadcast ``df`` as a join side on its own."""
+    limit = int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    return 0 <= limit and estimated_bytes(df) <= limit
+
+
 def stage(df: DataFrame, name: str) -> Staged:
     """Write ``df`` to the shared folder and read it back.
 

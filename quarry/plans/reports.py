@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.impute import exact_mean, exact_value
+from quarry.operators.staging import planner_broadcasts
 from quarry.operators.topk import top_k
 from quarry.specs import QueryType
 
@@ -90,19 +91,23 @@ def best_group_joined(left: DataFrame, right: DataFrame, on, group: str, measure
                       query_type="lowest", group_as: str = "region",
                       value_as: str = "internet_speed",
                       digits: int | None = REPORT_DIGITS, exact: bool = True,
-                      pre_aggregate: bool = True) -> DataFrame:
+                      pre_aggregate: bool | None = None) -> DataFrame:
     """:func:`best_group` over ``left JOIN right ON left[on[0]] = right[on[1]]`` (inner).
 
     ``measure`` comes from ``left`` and ``group`` from ``right``. With
     ``pre_aggregate`` (and exact means), ``left`` is first reduced to one row
     per join key (exact decimal sum and count, partial aggregation on the map
-    side), so the join moves one row per key instead of every fact row. Each
-    right row matching key k adds k's sum and count to its group, exactly what
-    the row-level join would add, so the mean is identical (same decimal sum,
-    same single division as ``avg``).
+    side), so a shuffle join moves one row per key instead of every fact row.
+    Each right row matching key k adds k's sum and count to its group, exactly
+    what the row-level join would add, so the mean is identical (same decimal
+    sum, same single division as ``avg``). The default (None) pre-aggregates
+    only when the planner would not broadcast ``right``: with a broadcast join
+    the fact rows are never shuffled and the extra aggregate only costs a stage.
     """
     qt = QueryType.parse(query_type)
     lk, rk = on
+    if pre_aggregate is None:
+        pre_aggregate = not planner_broadcasts(right)
     if not (pre_aggregate and exact):
         joined = left.join(right, left[lk] == right[rk], "inner").select(
             F.col(group), F.col(measure))

@@ -84,3 +84,21 @@ def test_pre_aggregated_join_equals_row_level_join(spark):
         b = reports.best_group_joined(facts, dims, ("country", "ucountry"), "sub_region", "s", qt,
                                       pre_aggregate=False)
         assert rows(a) == rows(b) and a.count() == 1
+
+
+def test_pre_aggregation_chosen_by_planner_size_check(spark, tmp_path):
+    facts = spark.createDataFrame([("c1", 1.0), ("c2", 3.0)], "country string, s double")
+    spark.createDataFrame([("c1", "r1"), ("c2", "r2")], "ucountry string, sub_region string") \
+        .write.parquet(str(tmp_path / "dims"))
+    dims = spark.read.parquet(str(tmp_path / "dims"))  # file size known to the planner
+    small = reports.best_group_joined(facts, dims, ("country", "ucountry"), "sub_region", "s",
+                                      "highest")
+    assert "__s" not in small._jdf.queryExecution().optimizedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = reports.best_group_joined(facts, dims, ("country", "ucountry"), "sub_region", "s",
+                                        "highest")
+        assert "__s" in big._jdf.queryExecution().optimizedPlan().toString()
+        assert rows(big) == rows(small) == [("r2", 3.0, "highest")]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
