@@ -23,6 +23,12 @@ class Staged:
         """Row count (answered from Parquet footers, no data scan)."""
         return self.df.count()
 
+    def drop(self) -> None:
+        """Delete the staged files; only once nothing lazy still reads them."""
+        spark = self.df.sparkSession
+        p = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
     def bytes(self) -> int:
         spark = self.df.sparkSession
         p = spark._jvm.org.apache.hadoop.fs.Path(self.path)

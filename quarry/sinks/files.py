@@ -8,7 +8,8 @@ Rules:
    deleted.
 2. An update computes the change set once and stages it in the shared folder;
    the count and the write both use the staged rows, so the delta is not
-   computed twice and cannot differ between the two.
+   computed twice and cannot differ between the two. The staged delta is
+   deleted once the new table is written.
 3. The merged table is written to a new location; the caller repoints readers
    to it (catalog ``ALTER TABLE ... SET LOCATION``, or a path in the job's
    configuration). The old version stays readable until then.
@@ -81,11 +82,11 @@ def write_update(source: DataFrame, target: DataFrame, key, columns, out_path: s
     assert_not_reading(target, out_path)
     delta = stage(changed_rows(source, target, key, columns, rule), "delta")
     n = delta.rows()
-    result = JobResult(mode=InsertMode.UPDATE.value, target=out_path, rows_written=n,
-                       details={"delta_path": delta.path})
-    if n == 0:
-        return result
-    merged = upsert_rows(target, delta.df, key, columns, keep_missing, source)
-    merged.write.mode("errorifexists").parquet(out_path)
-    result.wrote = True
+    result = JobResult(mode=InsertMode.UPDATE.value, target=out_path, rows_written=n)
+    if n:
+        merged = upsert_rows(target, delta.df, key, columns, keep_missing, source)
+        merged.write.mode("errorifexists").parquet(out_path)
+        result.wrote = True
+    # The staged delta only froze the rows between the count and the write.
+    delta.drop()
     return result

@@ -43,6 +43,7 @@ def write_overwrite(df: DataFrame, url: str, table: str, properties: dict,
         f"INSERT INTO {table} ({cols}) SELECT {cols} FROM {staging}",
         f"DROP TABLE {staging}",
     ])
+    frozen.drop()
     return JobResult(mode=InsertMode.OVERWRITE.value, target=table, rows_written=n, wrote=True)
 
 
@@ -101,6 +102,9 @@ def write_update(source: DataFrame, target: DataFrame, url: str, table: str,
     _run_transaction(source.sparkSession, url, properties,
                      merge_statements(table, staging, key, columns, keep_missing)
                      + [f"DROP TABLE {staging}"])
+    frozen.drop()
+    if not keep_missing:
+        whole.drop()
     result.wrote = True
     return result
 
