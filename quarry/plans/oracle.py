@@ -118,12 +118,12 @@ def _group_avg(qt: str) -> str:
             f"HAVING count({col}) > 0 ORDER BY {mean_units(col)} {d}, l_returnflag LIMIT 1")
 
 
-def _group_avg_join(qt: str) -> str:
+def _group_avg_join(qt: str, k: int = 1) -> str:
     d = "DESC" if qt == "highest" else "ASC"
     return (f"SELECT n_name AS region, {exact_mean('s_acctbal', 3)} AS internet_speed, "
             f"'{qt}' AS query_type FROM supplier JOIN nation ON s_nationkey = n_nationkey "
             f"GROUP BY n_name HAVING count(s_acctbal) > 0 "
-            f"ORDER BY {mean_units('s_acctbal')} {d}, n_name LIMIT 1")
+            f"ORDER BY {mean_units('s_acctbal')} {d}, n_name LIMIT {k}")
 
 
 ORACLE = {
@@ -140,6 +140,11 @@ parts AS (SELECT string_split(value, ',') AS p FROM lines
           WHERE value <> '{",".join(ORDER_LINE_NAMES)}')
 SELECT p[1] AS order_key, p[2] AS status, p[3] AS priority FROM parts WHERE len(p) = 3""",
 
+    "src_delimited_rejects": f"""
+WITH {_ORDER_LINES}
+SELECT value AS line FROM lines
+WHERE value <> '{",".join(ORDER_LINE_NAMES)}' AND len(string_split(value, ',')) <> 3""",
+
     "proj_rename": "SELECT " + ", ".join(f"{k} AS {v}" for k, v in PART_RENAMES.items())
                    + " FROM part",
 
@@ -277,4 +282,5 @@ ORDER BY 1, 2, 3 LIMIT 1""",
     "report_group_avg_low": _group_avg("lowest"),
     "report_group_avg_join_high": _group_avg_join("highest"),
     "report_group_avg_join_low": _group_avg_join("lowest"),
+    "report_group_avg_join_top3": _group_avg_join("highest", 3),
 }

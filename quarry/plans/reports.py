@@ -76,12 +76,15 @@ def extreme_row(df: DataFrame, label: str, measure: str, query_type="lowest",
 
 def best_group(df: DataFrame, group: str, measure: dict | str, query_type="lowest",
                group_as: str = "region", value_as: str = "price",
-               digits: int | None = REPORT_DIGITS, exact: bool = True) -> DataFrame:
-    """Group with the highest/lowest mean; ``measure`` may map direction to column."""
+               digits: int | None = REPORT_DIGITS, exact: bool = True, k: int = 1) -> DataFrame:
+    """Group(s) with the highest/lowest mean; ``measure`` may map direction to column.
+
+    ``k=1`` is the original report; a larger ``k`` gives the top-k groups.
+    """
     qt = QueryType.parse(query_type)
     col = measure[qt.value] if isinstance(measure, dict) else measure
     means = df.groupBy(group).agg(exact_mean(col, df.schema[col].dataType, exact).alias("__mean"))
-    best = top_k(means, "__mean", 1, qt, tiebreak=[group])
+    best = top_k(means, "__mean", k, qt, tiebreak=[group])
     value = (F.round("__mean", digits) if digits is not None else F.col("__mean")).cast("double")
     return best.select(F.col(group).alias(group_as), value.alias(value_as),
                        F.lit(qt.value).alias("query_type"))
@@ -91,7 +94,7 @@ def best_group_joined(left: DataFrame, right: DataFrame, on, group: str, measure
                       query_type="lowest", group_as: str = "region",
                       value_as: str = "internet_speed",
                       digits: int | None = REPORT_DIGITS, exact: bool = True,
-                      pre_aggregate: bool | None = None) -> DataFrame:
+                      pre_aggregate: bool | None = None, k: int = 1) -> DataFrame:
     """:func:`best_group` over ``left JOIN right ON left[on[0]] = right[on[1]]`` (inner).
 
     ``measure`` comes from ``left`` and ``group`` from ``right``. With
@@ -111,7 +114,7 @@ def best_group_joined(left: DataFrame, right: DataFrame, on, group: str, measure
     if not (pre_aggregate and exact):
         joined = left.join(right, left[lk] == right[rk], "inner").select(
             F.col(group), F.col(measure))
-        return best_group(joined, group, measure, qt, group_as, value_as, digits, exact)
+        return best_group(joined, group, measure, qt, group_as, value_as, digits, exact, k)
     dtype = left.schema[measure].dataType
     per_key = left.groupBy(F.col(lk).alias("__k")).agg(
         F.sum(exact_value(measure, dtype)).alias("__s"), F.count(measure).alias("__n"))
@@ -119,7 +122,7 @@ def best_group_joined(left: DataFrame, right: DataFrame, on, group: str, measure
     means = joined.groupBy(group).agg(F.sum("__s").alias("__s"), F.sum("__n").alias("__n"))
     means = means.select(group, F.when(F.col("__n") > 0, F.col("__s") / F.col("__n"))
                          .alias("__mean"))
-    best = top_k(means, "__mean", 1, qt, tiebreak=[group])
+    best = top_k(means, "__mean", k, qt, tiebreak=[group])
     value = (F.round("__mean", digits) if digits is not None else F.col("__mean")).cast("double")
     return best.select(F.col(group).alias(group_as), value.alias(value_as),
                        F.lit(qt.value).alias("query_type"))

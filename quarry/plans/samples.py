@@ -108,6 +108,14 @@ def src_delimited_lines(spark, d):
     return read_lines(spark, path, ORDER_LINE_NAMES, header=",".join(ORDER_LINE_NAMES))
 
 
+def src_delimited_rejects(spark, d):
+    """The rejected lines of the same payload, so dropped input stays visible."""
+    path = land_lines(_order_lines(spark, d), "order-lines")
+    _, rejects = read_lines(spark, path, ORDER_LINE_NAMES, header=",".join(ORDER_LINE_NAMES),
+                            with_rejects=True)
+    return rejects
+
+
 # --- projections and filters -------------------------------------------------
 
 def proj_rename(spark, d):
@@ -330,6 +338,13 @@ def _group_avg_join(qt):
     return q
 
 
+def report_group_avg_join_top3(spark, d):
+    """Top-k variant of the joined report: the three nations with the highest mean."""
+    return reports.best_group_joined(table(spark, d, "supplier"), table(spark, d, "nation"),
+                                     ("s_nationkey", "n_nationkey"), "n_name", "s_acctbal",
+                                     "highest", k=3)
+
+
 def flagship(spark, d):
     """Sub-group with the highest mean over a join (the minimum end-to-end slice)."""
     return _group_avg_join("highest")(spark, d)
@@ -339,6 +354,7 @@ QUERIES = {
     "src_csv": src_csv,
     "src_nested_documents": src_nested_documents,
     "src_delimited_lines": src_delimited_lines,
+    "src_delimited_rejects": src_delimited_rejects,
     "proj_rename": proj_rename,
     "filter_required_not_blank": filter_required_not_blank,
     "filter_drop_any_null": filter_drop_any_null,
@@ -366,4 +382,5 @@ QUERIES = {
     "report_group_avg_low": _group_avg("lowest"),
     "report_group_avg_join_high": _group_avg_join("highest"),
     "report_group_avg_join_low": _group_avg_join("lowest"),
+    "report_group_avg_join_top3": report_group_avg_join_top3,
 }
