@@ -281,9 +281,10 @@ def sink_update_replace(spark, d):
 
 
 def sink_update_table(spark, d):
-    """Catalog table: created from the target, updated, repointed to the new version."""
+    """Catalog table bucketed by the key: created, updated, repointed to the new version."""
     name = f"quarry_orders_{uuid.uuid4().hex[:12]}"
-    create_table(delta_target(spark, d), name, staging_path(spark, "orders-table"))
+    create_table(delta_target(spark, d), name, staging_path(spark, "orders-table"),
+                 buckets=8, key=ORDER_KEY)
     update_table(delta_source(spark, d), name, ORDER_KEY, ORDER_COLUMNS)
     return spark.table(name)
 

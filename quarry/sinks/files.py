@@ -66,13 +66,18 @@ def write_overwrite(df: DataFrame, path: str, partition_by=None) -> JobResult:
                      rows_read=n, rows_written=n, wrote=True)
 
 
+def write_parquet(df: DataFrame, path: str) -> None:
+    df.write.mode("errorifexists").parquet(path)
+
+
 def write_update(source: DataFrame, target: DataFrame, key, columns, out_path: str,
                  keep_missing: bool = True, rule: str = "null_safe",
-                 check_keys: bool = True) -> JobResult:
+                 check_keys: bool = True, writer=write_parquet) -> JobResult:
     """Apply new and changed source rows to ``target``; write the result to ``out_path``.
 
     Nothing is written when the change set is empty (``wrote=False``,
     ``rows_written=0``). ``rows_written`` counts the added or modified rows.
+    ``writer(df, path)`` writes the merged table (plain Parquet by default).
     """
     key = [key] if isinstance(key, str) else list(key)
     columns = list(columns)
@@ -85,7 +90,7 @@ def write_update(source: DataFrame, target: DataFrame, key, columns, out_path: s
     result = JobResult(mode=InsertMode.UPDATE.value, target=out_path, rows_written=n)
     if n:
         merged = upsert_rows(target, delta.df, key, columns, keep_missing, source)
-        merged.write.mode("errorifexists").parquet(out_path)
+        writer(merged, out_path)
         result.wrote = True
     # The staged delta only froze the rows between the count and the write.
     delta.drop()

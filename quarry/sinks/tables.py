@@ -1,7 +1,7 @@
 """Catalog tables: every write is a new version folder, then the table is repointed.
 
-A catalog table here is an external Parquet table. Writes never touch the
-folder readers currently use:
+A catalog table here is an external Parquet table, optionally bucketed by its
+key. Writes never touch the folder readers currently use:
 
 * :func:`create_table` writes the first version and registers it;
 * :func:`overwrite_table` writes a new version next to the current one and
@@ -10,6 +10,13 @@ folder readers currently use:
   version, writes the merged rows as a new version and repoints. With no
   change, nothing is written and the table keeps its location.
 
+Bucketing (``buckets=B``): every version is written hash-partitioned by the
+key into B buckets, one sorted file per bucket. Later change-set joins and
+anti-joins against the table then shuffle only the incoming side; the table
+side is read bucket by bucket without an exchange. Keys are unique (checked
+before every update), so no bucket can hold a hot key. New versions keep the
+table's bucket spec.
+
 Old versions stay on storage for readers still planning against them;
 removing them is a retention decision left to the operator.
 """
@@ -21,7 +28,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.sinks.files import write_overwrite, write_update
+from quarry.sinks.files import write_overwrite, write_parquet, write_update
 from quarry.specs import JobResult
 
 
@@ -33,12 +40,26 @@ def _literal(path: str) -> str:
     return "'" + path.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _describe(spark: SparkSession, name: str) -> dict:
+    return {r["col_name"]: r["data_type"]
+            for r in spark.sql(f"DESCRIBE TABLE EXTENDED {_ident(name)}").collect()}
+
+
 def table_location(spark: SparkSession, name: str) -> str:
     """Current storage location of a catalog table (from DESCRIBE, a few rows)."""
-    for r in spark.sql(f"DESCRIBE TABLE EXTENDED {_ident(name)}").collect():
-        if r["col_name"] == "Location":
-            return r["data_type"]
-    raise ValueError(f"table {name} has no location (not a file-based table)")
+    loc = _describe(spark, name).get("Location")
+    if not loc:
+        raise ValueError(f"table {name} has no location (not a file-based table)")
+    return loc
+
+
+def bucket_spec(spark: SparkSession, name: str) -> tuple[int, list[str]] | None:
+    """(number of buckets, bucket columns) of a table, or None."""
+    d = _describe(spark, name)
+    if "Num Buckets" not in d:
+        return None
+    cols = [c.strip().strip("`") for c in d["Bucket Columns"].strip("[]").split(",")]
+    return int(d["Num Buckets"]), cols
 
 
 def next_version(location: str, name: str) -> str:
@@ -48,16 +69,44 @@ def next_version(location: str, name: str) -> str:
     return f"{parent}/{leaf}__v{int(time.time() * 1000)}_{uuid.uuid4().hex[:8]}"
 
 
+def _bucketed_writer(spark: SparkSession, buckets: int, key: list[str]):
+    """Write a bucketed version through a short-lived external table definition."""
+    def write(df: DataFrame, path: str) -> None:
+        tmp = f"quarry_version_{uuid.uuid4().hex[:12]}"
+        (df.repartition(buckets, *key).write.format("parquet")
+           .bucketBy(buckets, *key).sortBy(*key)
+           .option("path", path).saveAsTable(tmp))
+        spark.sql(f"DROP TABLE {_ident(tmp)}")  # external: the files stay
+    return write
+
+
+def _writer_for(spark: SparkSession, name: str):
+    spec = bucket_spec(spark, name)
+    return _bucketed_writer(spark, *spec) if spec else write_parquet
+
+
 def _repoint(spark: SparkSession, name: str, path: str) -> None:
     spark.sql(f"ALTER TABLE {_ident(name)} SET LOCATION {_literal(path)}")
     spark.sql(f"REFRESH TABLE {_ident(name)}")
 
 
-def create_table(df: DataFrame, name: str, path: str) -> JobResult:
-    """Write ``df`` to ``path`` and register it as external Parquet table ``name``."""
+def create_table(df: DataFrame, name: str, path: str, buckets: int | None = None,
+                 key=None) -> JobResult:
+    """Write ``df`` to ``path`` and register it as external Parquet table ``name``.
+
+    With ``buckets``, the table is bucketed (and sorted) by ``key``.
+    """
     spark = df.sparkSession
     if spark.catalog.tableExists(name):
         raise ValueError(f"table {name} already exists")
+    if buckets:
+        key = [key] if isinstance(key, str) else list(key or [])
+        if not key:
+            raise ValueError("a bucketed table needs its key")
+        (df.repartition(buckets, *key).write.format("parquet")
+           .bucketBy(buckets, *key).sortBy(*key).option("path", path).saveAsTable(name))
+        return JobResult(mode="overwrite", target=name, wrote=True,
+                         details={"location": path, "buckets": buckets})
     res = write_overwrite(df, path)
     spark.sql(f"CREATE TABLE {_ident(name)} USING parquet LOCATION {_literal(path)}")
     res.target = name
@@ -68,7 +117,12 @@ def overwrite_table(df: DataFrame, name: str) -> JobResult:
     """Replace the rows of ``name`` with ``df`` (new version, then repoint)."""
     spark = df.sparkSession
     path = next_version(table_location(spark, name), name)
-    res = write_overwrite(df, path)
+    writer = _writer_for(spark, name)
+    if writer is write_parquet:
+        res = write_overwrite(df, path)
+    else:
+        writer(df, path)
+        res = JobResult(mode="overwrite", target=name, wrote=True)
     _repoint(spark, name, path)
     res.target = name
     res.details["location"] = path
@@ -82,7 +136,7 @@ def update_table(source: DataFrame, name: str, key, columns, keep_missing: bool
     current = spark.table(name)
     path = next_version(table_location(spark, name), name)
     res = write_update(source, current, key, columns, path, keep_missing=keep_missing,
-                       rule=rule, check_keys=check_keys)
+                       rule=rule, check_keys=check_keys, writer=_writer_for(spark, name))
     if res.wrote:
         _repoint(spark, name, path)
         res.details["location"] = path

@@ -82,3 +82,24 @@ def test_catalog_table_versions(spark, tmp_path):
     overwrite_table(spark.createDataFrame([(7, "q")], SCHEMA), name)
     assert rows(spark.table(name)) == [(7, "q")]
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_bucketed_table_keeps_its_layout_and_skips_the_target_shuffle(spark, tmp_path):
+    from quarry.operators.delta import changed_rows
+    from quarry.sinks.tables import bucket_spec, create_table, update_table
+    name = "quarry_test_bucketed"
+    t = spark.range(200).selectExpr("CAST(id AS INT) AS k", "CAST(id % 7 AS STRING) AS v")
+    create_table(t, name, str(tmp_path / "v1"), buckets=4, key="k")
+    s = spark.range(100, 300).selectExpr("CAST(id AS INT) AS k", "CAST(id % 5 AS STRING) AS v")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = changed_rows(s, spark.table(name), "k")._jdf.queryExecution() \
+            .executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+        res = update_table(s, name, "k", ["k", "v"])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert res.wrote and bucket_spec(spark, name) == (4, ["k"])
+    got = dict(rows(spark.table(name)))
+    assert len(got) == 300 and got[150] == str(150 % 5) and got[50] == str(50 % 7)
+    spark.sql(f"DROP TABLE {name}")
