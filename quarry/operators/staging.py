@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quarry.session import staging_path
@@ -18,10 +18,11 @@ DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
 class Staged:
     df: DataFrame
     path: str
+    written: int | None = None
 
     def rows(self) -> int:
-        """Row count (answered from Parquet footers, no data scan)."""
-        return self.df.count()
+        """Row count: observed while writing, else from the Parquet footers."""
+        return self.written if self.written is not None else self.df.count()
 
     def drop(self) -> None:
         """Delete the staged files; only once nothing lazy still reads them."""
@@ -57,8 +58,9 @@ def stage(df: DataFrame, name: str) -> Staged:
     """
     spark = df.sparkSession
     path = staging_path(spark, name)
-    df.write.mode("errorifexists").parquet(path)
-    return Staged(spark.read.parquet(path), path)
+    obs = Observation(f"stage-{name}")
+    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
+    return Staged(spark.read.parquet(path), path, int(obs.get["rows"]))
 
 
 def broadcast_if_small(staged: Staged, max_rows: int = DEFAULT_BROADCAST_ROWS,
