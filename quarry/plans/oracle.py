@@ -205,6 +205,10 @@ s1 AS ({_first_per_key('li', ['l_orderkey', 'l_linenumber'], _LI_COLS)}),
 s2 AS ({_first_per_key('s1', ['l_partkey', 'l_suppkey'], _LI_COLS)})
 SELECT * FROM s2""",
 
+    "dedupe_hot_keys": f"""
+WITH li AS (SELECT {', '.join(_LI_COLS)} FROM lineitem)
+{_first_per_key('li', ['l_returnflag', 'l_linestatus'], _LI_COLS)}""",
+
     "agg_group_mean_int": f"""
 SELECT l_returnflag,
        {exact_mean('l_quantity', integer=True)} AS avg_l_quantity,
