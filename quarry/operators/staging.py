@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation
@@ -58,7 +60,7 @@ def stage(df: DataFrame, name: str) -> Staged:
     """
     spark = df.sparkSession
     path = staging_path(spark, name)
-    obs = Observation(f"stage-{name}")
+    obs = Observation(f"stage-{name}-{uuid.uuid4().hex[:8]}")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
     return Staged(spark.read.parquet(path), path, int(obs.get["rows"]))
 

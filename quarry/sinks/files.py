@@ -17,6 +17,8 @@ Rules:
 
 from __future__ import annotations
 
+import uuid
+
 import posixpath
 from urllib.parse import unquote, urlsplit
 
@@ -55,7 +57,7 @@ def assert_not_reading(df: DataFrame, path: str) -> None:
 def write_overwrite(df: DataFrame, path: str, partition_by=None) -> JobResult:
     """Replace the table at ``path``; counts come from an observed metric."""
     assert_not_reading(df, path)
-    obs = Observation("overwrite")
+    obs = Observation(f"overwrite-{uuid.uuid4().hex[:8]}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     w = observed.write.mode("overwrite")
     if partition_by:

@@ -53,3 +53,14 @@ def test_filters_reach_the_parquet_scan(spark, tmp_path):
         .executedPlan().toString()
     assert "PushedFilters: [IsNotNull(s), Not(EqualTo(s,))]" in plan
     assert "extra" not in plan
+
+
+def test_csv_inference_and_documents_inference(spark, tmp_path):
+    from quarry.sources.files import read_csv, read_documents
+    (tmp_path / "a.csv").write_text("Country,Avg(Mbit/s)Ookla\nA,1.5\nB,2\n")
+    df = read_csv(spark, str(tmp_path / "a.csv"), infer=True)
+    assert dict((f.name, f.dataType.simpleString()) for f in df.schema.fields) == {
+        "Country": "string", "Avg(Mbit/s)Ookla": "double"}
+    (tmp_path / "d.json").write_text('{"_id": {"oid": "x1"}, "country": "A"}\n')
+    docs = read_documents(spark, str(tmp_path / "d.json"))
+    assert lift_field(docs, "_id", "oid", "id").first()["id"] == "x1"

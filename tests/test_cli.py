@@ -49,3 +49,17 @@ def test_merge_statements_are_set_based():
     assert i == 'INSERT INTO public.t ("k", "v") SELECT "k", "v" FROM public.t__stage'
     d2, _ = merge_statements("t", "s", ["k"], ["k", "v"], keep_missing=False)
     assert d2 == "DELETE FROM t"
+
+
+def test_document_job_from_the_command_line(spark, tmp_path, capsys):
+    docs = tmp_path / "docs"
+    docs.mkdir()
+    (docs / "part-0.json").write_text(
+        '{"_id": {"oid": "1"}, "country": "X", "internet_users": "1,500", "population": "9",'
+        ' "region": "R", "sub_region": "S"}\n'
+        '{"_id": {"oid": "2"}, "country": "Y", "internet_users": "NA", "population": "3",'
+        ' "region": "R", "sub_region": "S"}\n')
+    target = tmp_path / "users"
+    main(["documents", "overwrite", "--source", str(docs), "--target", str(target)], spark=spark)
+    got = rows(spark.read.parquet(str(target)), "id", "internet_users")
+    assert got == [("1", 1500), ("2", 1500)]
