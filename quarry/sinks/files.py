@@ -17,9 +17,8 @@ Rules:
 
 from __future__ import annotations
 
-import uuid
-
 import posixpath
+import uuid
 from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import DataFrame, Observation
