@@ -26,9 +26,16 @@ def _parse_bigint(expr: str, strip: str = "") -> str:
 
 
 def mean_units(col: str) -> str:
-    """Exact mean in units of 10^-MEAN_SCALE, rounded half-up (HUGEINT arithmetic)."""
+    """Exact mean in units of 10^-MEAN_SCALE, rounded half-up (HUGEINT arithmetic).
+
+    Each value is taken to MEAN_SCALE places the way the library does it: whole
+    part ``floor(x)`` plus ``floor((x - floor(x)) * 1e10 + 0.5)`` units.
+    """
     unit = 10 ** MEAN_SCALE
-    total = f"CAST(sum(CAST({col} AS DECIMAL(38, {MEAN_SCALE}))) * {unit} AS HUGEINT)"
+    whole = f"CAST(sum(CAST(floor({col}) AS BIGINT)) AS HUGEINT)"
+    frac = (f"CAST(sum(CAST(floor(({col} - floor({col})) * CAST({unit} AS DOUBLE) "
+            f"+ CAST(0.5 AS DOUBLE)) AS BIGINT)) AS HUGEINT)")
+    total = f"({whole} * {unit} + {frac})"
     n = f"count({col})"
     return (f"(CASE WHEN {n} = 0 THEN NULL "
             f"ELSE sign({total}) * ((2 * abs({total}) + {n}) // (2 * {n})) END)")

@@ -72,3 +72,27 @@ def test_non_null_values_never_change(spark):
 def test_double_means_opt_in(spark):
     df = spark.createDataFrame([("g", 1.0), ("g", 2.0)], "g string, v double")
     assert group_means(df, "g", {"v": 2}, exact=False).first()["avg_v"] == 1.5
+
+
+def test_exact_mean_matches_decimal_arithmetic(spark):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from quarry.operators.impute import exact_mean
+    vals = [965.82, 965.83, -0.005, 1e15 + 0.25, 0.1, 0.2, 123456.789, -7.5]
+    df = spark.createDataFrame([("g", v) for v in vals] + [("h", None)], "g string, v double")
+    got = dict(rows(df.groupBy("g").agg(exact_mean("v", df.schema["v"].dataType).alias("m"))))
+    # each value is its exact binary value taken to 10 places (1e15 + 0.25 stays .25,
+    # although its shortest decimal text is ...000.2)
+    tenth = Decimal("1e-10")
+    total = sum(Decimal(v).quantize(tenth, ROUND_HALF_UP) for v in vals)
+    want = (total / len(vals)).quantize(tenth, ROUND_HALF_UP)
+    assert got["g"] == want and got["h"] is None
+
+
+def test_exact_mean_rejects_values_it_cannot_sum(spark):
+    import pytest
+
+    from quarry.operators.impute import exact_mean
+    df = spark.createDataFrame([("g", 1e19)], "g string, v double")
+    with pytest.raises(Exception, match="too large"):
+        df.groupBy("g").agg(exact_mean("v", df.schema["v"].dataType)).collect()
