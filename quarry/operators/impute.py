@@ -21,9 +21,6 @@ from quarry.operators.staging import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_
 MEAN_SCALE = 10
 _UNIT = 10 ** MEAN_SCALE
 _SPLIT = 10 ** 5
-_D_LONG = DecimalType(20, 0)
-_D_PART = DecimalType(30, MEAN_SCALE)
-_D_MEAN = DecimalType(38, MEAN_SCALE)
 
 
 def exact_value(name: str, dtype: DataType | None = None) -> Column:
@@ -34,9 +31,68 @@ def exact_value(name: str, dtype: DataType | None = None) -> Column:
     return c.cast(DecimalType(38, MEAN_SCALE))
 
 
-def _fraction_units(c: Column) -> Column:
-    """``c - floor(c)`` in units of 10^-MEAN_SCALE, rounded half up (plain double arithmetic)."""
-    return F.floor((c - F.floor(c)) * F.lit(float(_UNIT)) + F.lit(0.5))
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _row_parts(name: str, dtype: DataType | None):
+    """SQL for (value, whole, high, low, largest) per row; None for types summed as decimals.
+
+    ``value`` is the column with NaN as NULL (what ``count`` counts); ``whole +
+    (high * 10^5 + low) * 10^-10`` is the value taken to 10 decimal places:
+    ``whole = floor(x)``, fraction ``floor((x - floor(x)) * 1e10 + 0.5)`` (plain
+    double arithmetic). Written as SQL text so each mean costs one call to
+    build instead of one per operator.
+    """
+    c = _quoted(name)
+    if isinstance(dtype, (ByteType, ShortType, IntegerType, LongType)):
+        x = f"CAST({c} AS BIGINT)"
+        zero = "CAST(0 AS BIGINT)"
+        return x, x, zero, zero, "0"
+    if isinstance(dtype, (DoubleType, FloatType)):
+        x = f"nanvl(CAST({c} AS DOUBLE), CAST(NULL AS DOUBLE))"
+        frac = f"floor(({x} - floor({x})) * {float(_UNIT)!r}D + 0.5D)"
+        high = f"floor({frac} / {float(_SPLIT)!r}D)"  # exact: frac is an integer below 2^53
+        low = f"({frac} - {high} * {_SPLIT})"
+        return x, f"floor({x})", high, low, f"abs({x})"
+    return None
+
+
+def exact_sums(name: str, dtype: DataType | None) -> list[Column] | None:
+    """The long sums behind :func:`exact_mean`, as aggregates that can be summed again.
+
+    Aliased ``__w``, ``__h``, ``__l``, ``__n`` (count) and ``__m`` (largest
+    magnitude, for the range check). Summing the sums (and taking the max of
+    ``__m``) over several partial groups and passing them to
+    :func:`mean_from_sums` gives the same exact mean as aggregating the rows.
+    """
+    parts = _row_parts(name, dtype)
+    if parts is None:
+        return None
+    x, whole, high, low, largest = parts
+    return [F.expr(f"sum({whole})").alias("__w"), F.expr(f"sum({high})").alias("__h"),
+            F.expr(f"sum({low})").alias("__l"), F.expr(f"count({x})").alias("__n"),
+            F.expr(f"max({largest})").alias("__m")]
+
+
+def _mean_sql(whole: str, high: str, low: str, n: str, largest: str) -> str:
+    # Each part is an exact decimal with 10 places; their sum fits decimal(32, 10).
+    total = (f"CAST(CAST({whole} AS DECIMAL(30, 10)) "
+             f"+ CAST(CAST({high} AS DECIMAL(20, 0)) / {_SPLIT} AS DECIMAL(30, 10)) "
+             f"+ CAST(CAST({low} AS DECIMAL(20, 0)) / {_UNIT} AS DECIMAL(30, 10)) "
+             f"AS DECIMAL(38, {MEAN_SCALE}))")
+    return (f"CASE WHEN {largest} >= 9.0E18 "
+            f"THEN raise_error('a value is too large for an exact mean') "
+            f"WHEN {n} > 0 THEN {total} / CAST({n} AS DECIMAL(20, 0)) END")
+
+
+def mean_from_sums(whole: str, high: str, low: str, n: str, largest: str) -> Column:
+    """Exact mean (``decimal(38, 10)``, half up) from SQL aggregates of the sums.
+
+    Values of 9e18 or more cannot be split into long parts: the job fails
+    instead of returning a wrong mean.
+    """
+    return F.expr(_mean_sql(whole, high, low, n, largest))
 
 
 def exact_mean(name: str, dtype: DataType | None = None, exact: bool = True) -> Column:
@@ -44,47 +100,33 @@ def exact_mean(name: str, dtype: DataType | None = None, exact: bool = True) ->
 
     Doubles are taken to MEAN_SCALE (10) decimal places of their exact binary
     value: whole part ``floor(x)`` and fraction
-    ``floor((x - floor(x)) * 1e10 + 0.5)``, each
-    summed as a long (the fraction split in two longs of at most 10^5 each, so
-    a group of 10^13 rows cannot overflow). The per-group total is rebuilt
-    exactly as ``decimal(38, 0)`` and divided once by the count, rounding
-    half up at the tenth decimal, the same division ``avg`` does on decimals.
-    The aggregation buffers are all fixed-width longs, so the aggregate stays
-    a hash aggregate (a ``decimal(38, 10)`` sum costs about 2.7x a double
-    ``avg``, measured). NaN counts as missing; values of 9e18 or more fail
-    the job rather than being summed wrongly. Integral columns are summed
-    as they are; decimal columns go through ``decimal(38, 10)``.
+    ``floor((x - floor(x)) * 1e10 + 0.5)``, each summed as a long (the
+    fraction split in two longs of at most 10^5 each, so a group of 10^13 rows
+    cannot overflow). The per-group total is rebuilt as an exact decimal and
+    divided once by the count, rounding half up at the tenth decimal, the same
+    division ``avg`` does on decimals. The aggregation buffers are all
+    fixed-width longs, so the aggregate stays a hash aggregate (a
+    ``decimal(38, 10)`` sum costs about twice as much, measured). NaN counts as
+    missing; values of 9e18 or more fail the job rather than being summed
+    wrongly. Integral columns are summed as they are; decimal columns go
+    through ``decimal(38, 10)``.
 
     A double sum would depend on the order in which partitions are combined,
     so a mean on a rounding tie could round either way between two runs (or
     after a retried task); this cannot.
     """
-    c = F.col(name)
     if not exact:
         # Plain double mean: cheaper, but ties may round either way.
+        c = F.col(name)
         if isinstance(dtype, (DoubleType, FloatType)):
             c = F.when(~F.isnan(c), c)
         return F.avg(c)
-    if isinstance(dtype, (ByteType, ShortType, IntegerType, LongType)):
-        n = F.count(c)
-        total = F.sum(c.cast("bigint")).cast(_D_MEAN)
-    elif isinstance(dtype, (DoubleType, FloatType)):
-        x = c.cast("double")
-        x = F.when(~F.isnan(x), x)
-        x = F.when(x.isNull() | (F.abs(x) < F.lit(9.0e18)), x).otherwise(
-            F.raise_error(F.lit(f"value of {name} too large for an exact mean")))
-        n = F.count(x)
-        frac = _fraction_units(x)
-        low = frac % _SPLIT
-        high = ((frac - low) / _SPLIT).cast("bigint")
-        # Each part is an exact decimal with 10 places; their sum fits decimal(32, 10).
-        whole = F.sum(F.floor(x)).cast(_D_PART)
-        tenths = (F.sum(high).cast(_D_LONG) / F.lit(_SPLIT)).cast(_D_PART)
-        units = (F.sum(low).cast(_D_LONG) / F.lit(_UNIT)).cast(_D_PART)
-        total = (whole + tenths + units).cast(_D_MEAN)
-    else:
+    parts = _row_parts(name, dtype)
+    if parts is None:
         return F.avg(exact_value(name, dtype))
-    return F.when(n > 0, total / n.cast(_D_LONG))
+    x, whole, high, low, largest = parts
+    return mean_from_sums(f"sum({whole})", f"sum({high})", f"sum({low})", f"count({x})",
+                          f"max({largest})")
 
 
 def mean_expr(name: str, digits: int | None = None, integer: bool = False,

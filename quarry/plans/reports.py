@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.impute import exact_mean, exact_value
+from quarry.operators.impute import exact_mean, exact_sums, mean_from_sums
 from quarry.operators.staging import planner_broadcasts
 from quarry.operators.topk import top_k
 from quarry.specs import QueryType
@@ -101,9 +101,8 @@ def best_group_joined(left: DataFrame, right: DataFrame, on, group: str, measure
     ``pre_aggregate`` (and exact means), ``left`` is first reduced to one row
     per join key (exact decimal sum and count, partial aggregation on the map
     side), so a shuffle join moves one row per key instead of every fact row.
-    Each right row matching key k adds k's sum and count to its group, exactly
-    what the row-level join would add, so the mean is identical (same decimal
-    sum, same single division as ``avg``). The default (None) pre-aggregates
+    Each right row matching key k adds k's long sums and count to its group,
+    exactly what the row-level join would add, so the mean is identical. The default (None) pre-aggregates
     only when the planner would not broadcast ``right``: with a broadcast join
     the fact rows are never shuffled and the extra aggregate only costs a stage.
     """
@@ -111,17 +110,15 @@ def best_group_joined(left: DataFrame, right: DataFrame, on, group: str, measure
     lk, rk = on
     if pre_aggregate is None:
         pre_aggregate = not planner_broadcasts(right)
-    if not (pre_aggregate and exact):
+    sums = exact_sums(measure, left.schema[measure].dataType) if exact else None
+    if not (pre_aggregate and sums):
         joined = left.join(right, left[lk] == right[rk], "inner").select(
             F.col(group), F.col(measure))
         return best_group(joined, group, measure, qt, group_as, value_as, digits, exact, k)
-    dtype = left.schema[measure].dataType
-    per_key = left.groupBy(F.col(lk).alias("__k")).agg(
-        F.sum(exact_value(measure, dtype)).alias("__s"), F.count(measure).alias("__n"))
+    per_key = left.groupBy(F.col(lk).alias("__k")).agg(*sums)
     joined = per_key.join(right, per_key["__k"] == right[rk], "inner")
-    means = joined.groupBy(group).agg(F.sum("__s").alias("__s"), F.sum("__n").alias("__n"))
-    means = means.select(group, F.when(F.col("__n") > 0, F.col("__s") / F.col("__n"))
-                         .alias("__mean"))
+    means = joined.groupBy(group).agg(mean_from_sums(
+        "sum(__w)", "sum(__h)", "sum(__l)", "sum(__n)", "max(__m)").alias("__mean"))
     best = top_k(means, "__mean", k, qt, tiebreak=[group])
     value = (F.round("__mean", digits) if digits is not None else F.col("__mean")).cast("double")
     return best.select(F.col(group).alias(group_as), value.alias(value_as),

@@ -75,12 +75,15 @@ def test_pre_aggregated_join_equals_row_level_join(spark):
     import random
     rnd = random.Random(3)
     facts = spark.createDataFrame(
-        [(f"c{rnd.randint(0, 30)}", rnd.choice([None, rnd.randint(0, 999) / 8]))
+        [(f"c{rnd.randint(0, 30)}", rnd.choice([None, rnd.randint(0, 999) / 8,
+                                                 rnd.uniform(-1e9, 1e9)]))
          for _ in range(400)], "country string, s double")
     dims = spark.createDataFrame([(f"c{i}", f"r{i % 4}") for i in range(25)] + [("c3", "r9")],
                                  "ucountry string, sub_region string")
     for qt in ("highest", "lowest"):
         a = reports.best_group_joined(facts, dims, ("country", "ucountry"), "sub_region", "s", qt)
+        a = reports.best_group_joined(facts, dims, ("country", "ucountry"), "sub_region", "s", qt,
+                                      pre_aggregate=True)
         b = reports.best_group_joined(facts, dims, ("country", "ucountry"), "sub_region", "s", qt,
                                       pre_aggregate=False)
         assert rows(a) == rows(b) and a.count() == 1
@@ -93,12 +96,12 @@ def test_pre_aggregation_chosen_by_planner_size_check(spark, tmp_path):
     dims = spark.read.parquet(str(tmp_path / "dims"))  # file size known to the planner
     small = reports.best_group_joined(facts, dims, ("country", "ucountry"), "sub_region", "s",
                                       "highest")
-    assert "__s" not in small._jdf.queryExecution().optimizedPlan().toString()
+    assert "__w" not in small._jdf.queryExecution().optimizedPlan().toString()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         big = reports.best_group_joined(facts, dims, ("country", "ucountry"), "sub_region", "s",
                                         "highest")
-        assert "__s" in big._jdf.queryExecution().optimizedPlan().toString()
+        assert "__w" in big._jdf.queryExecution().optimizedPlan().toString()
         assert rows(big) == rows(small) == [("r2", 3.0, "highest")]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
