@@ -147,7 +147,8 @@ def group_means(df: DataFrame, group, columns: dict, integer=(), prefix: str = "
     """
     group = [group] if isinstance(group, str) else list(group)
     integer = set(integer)
-    aggs = [mean_expr(c, d, c in integer, df.schema[c].dataType, exact).alias(prefix + c)
+    schema = df.schema  # one round trip to the JVM, not one per column
+    aggs = [mean_expr(c, d, c in integer, schema[c].dataType, exact).alias(prefix + c)
             for c, d in columns.items()]
     return df.groupBy(*group).agg(*aggs)
 
