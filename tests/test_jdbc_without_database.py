@@ -71,3 +71,19 @@ def test_replace_mode_and_overwrite(spark, fake_db):
     assert fake_db["statements"][-1][0] == "DELETE FROM public.p"
     res = jdbc.write_overwrite(s, "jdbc:x", "public.p", PROPS)
     assert res.rows_written == 1 and fake_db["statements"][-1][0] == "DELETE FROM public.p"
+
+
+def test_partitioned_read_needs_bounds(spark, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameReader
+
+    from quarry.sources.jdbc import read_table
+    calls = []
+    monkeypatch.setattr(DataFrameReader, "jdbc",
+                        lambda self, url, table, **kw: calls.append((table, kw)) or "df")
+    with pytest.raises(ValueError):
+        read_table(spark, "jdbc:x", "public.t", PROPS, partition_column="id")
+    assert read_table(spark, "jdbc:x", "public.t", PROPS, partition_column="id",
+                      lower_bound=0, upper_bound=100, num_partitions=4) == "df"
+    (table, kw), = calls
+    assert kw["numPartitions"] == 4 and kw["column"] == "id"
+    assert kw["properties"]["fetchsize"] == "10000"
