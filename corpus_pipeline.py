@@ -10,10 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quarry.llm.exact_dedup import exact_dedup
 from quarry.llm.mixing import mixed_rows
+from quarry.llm.pieces import encoded
+from quarry.llm.quality_trees import accepted
+from quarry.llm.queries import piece_model, table
 from quarry.llm.simhash import near_dedup
 from quarry.session import staging_path
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, trained on the labelled rows among them, accepts."""
+    return accepted(docs, table(spark, sf_dir, "labels"))
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents whose text is equal but for white space, the longest stays."""
     return exact_dedup(docs)
@@ -29,10 +37,17 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed_rows(docs)
 
 
+def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids and the text they decode to, beside the documents' other columns."""
+    return encoded(docs, piece_model())
+
+
 STAGES = [
+    ("quality classifier", quality),
     ("exact dedup", exact),
     ("simhash near-dedup", near),
     ("mixing sources to target weights", mixing),
+    ("sentencepiece encoding and decoding", pieces),
 ]
 
 # Fingerprints, the classifier's scores and the encoded ids are beyond SQL.

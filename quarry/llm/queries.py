@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from quarry.llm.exact_dedup import exact_groups
 from quarry.llm.mixing import mix
+from quarry.llm.pieces import encoded
+from quarry.llm.quality_trees import THRESHOLD, held_out, scored, train
 from quarry.llm.simhash import simhash_components
 
 
@@ -86,10 +88,31 @@ FROM once o LEFT JOIN taken t ON o.doc_id = t.doc_id
 """
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = scored(docs, train(docs, table(spark, sf_dir, "labels")), keep=["doc_id"])
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+def piece_model() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = encoded(docs, piece_model(), keep=["doc_id"])
+    return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), "n_corrected")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_exact_dedup": op3_exact_dedup,
     "op6_mixing": op6_mixing,
+    "op7_quality_classifier": op7_quality_classifier,
+    "op10_sentencepiece": op10_sentencepiece,
 }
 
 ORACLE = {"op3_exact_dedup": OP3_SQL, "op6_mixing": OP6_SQL}
