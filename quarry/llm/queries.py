@@ -10,10 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm.exact_dedup import exact_groups
+from quarry.llm.line_dedup import LEAST_PAGES, RATIO, line_dedup
 from quarry.llm.mixing import mix
 from quarry.llm.pieces import encoded
 from quarry.llm.quality_trees import THRESHOLD, held_out, scored, train
+from quarry.llm.secret_scan import BASE, scanned
 from quarry.llm.simhash import simhash_components
+from quarry.llm.warc import page_number, read_warc, write_warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +47,37 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM k
 """
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "host", F.size("kept_lines").alias("n_kept"), "n_lines",
+                        F.sha2(F.array_join("kept_lines", "\n").cast("binary"), 256).alias("kept_sha256"))
+
+
+OP4_SQL = rf"""
+WITH cut AS (
+  SELECT page_id, lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS host,
+    list_filter(list_transform(string_split(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''),
+      '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', '', 'g'),
+      '(?i)</?(?:html|head|title|body|main|article|section|header|footer|nav|aside|div|p|ul|ol|li|h1|h2|h3|h4|h5|h6|br|hr|table|tr|td|th|pre|blockquote|form)\b[^>]*>', chr(10), 'g'),
+      '<[^>]*>', '', 'g'), chr(10)),
+      lambda x: regexp_replace(x, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')), lambda x: x <> '') AS lines
+  FROM pages),
+totals AS (SELECT host, count(*) AS pages FROM cut WHERE host <> '' GROUP BY host),
+counts AS (
+  SELECT host, line, count(*) AS pages_with
+  FROM (SELECT host, unnest(list_distinct(lines)) AS line FROM cut WHERE host <> '') GROUP BY host, line),
+common AS (
+  SELECT c.host, list(c.line) AS common FROM counts c JOIN totals t ON c.host = t.host
+  WHERE c.pages_with >= {LEAST_PAGES} AND c.pages_with > {RATIO}e0 * t.pages GROUP BY c.host),
+kept AS (
+  SELECT page_id, cut.host, lines, list_filter(lines, lambda x: NOT list_contains(coalesce(common.common, []), x)) AS kept
+  FROM cut LEFT JOIN common ON cut.host = common.host)
+SELECT page_id, host, CAST(len(kept) AS INTEGER) AS n_kept, CAST(len(lines) AS INTEGER) AS n_lines,
+       sha256(coalesce(array_to_string(kept, chr(10)), '')) AS kept_sha256
+FROM kept
+"""
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mix(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "size", "source_size", "target",
@@ -95,6 +129,48 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
+def _written(spans, kinds: tuple[str, ...] | None = None):
+    """kind:start:end of an array of spans, comma-joined in its order."""
+    chosen = spans if kinds is None else F.filter(spans, lambda s: s["kind"].isin(*kinds))
+    return F.array_join(F.transform(chosen, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def _of_kind(spans, kind: str):
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scanned(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
+    spans = F.col("spans")
+    return found.select(
+        "doc_id", *[_of_kind(spans, k).alias(f"n_{k}") for k in BASE],
+        F.sha2(_written(spans, BASE).cast("binary"), 256).alias("base_sha256"), _written(spans).alias("spans"),
+        F.size(F.filter(spans, lambda s: s["structure"].isNotNull())).cast("long").alias("n_confirmed"))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = read_warc(write_warc(table(spark, sf_dir, "pages")), payloads=False)
+    return found.select(page_number(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest",
+                        "record_type", page_number(F.col("refers_to")).alias("refers_to"))
+
+
+OP9_SQL = r"""
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+d AS (
+  SELECT *, min(page_id) OVER (PARTITION BY hex) AS first,
+    array_to_string(list_transform(range(0, 8), lambda i: (
+      array_to_string(list_transform(range(0, 4), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        1 + CAST((CAST('0x' || substr(hex, CAST(5 * i + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * j AS BIGINT)) & 31 AS BIGINT), 1)), ''))), '') AS payload_digest
+  FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM d
+"""
+
+
 def piece_model() -> str:
     import public_tokenizers
     return public_tokenizers.path("piece_bpe_32k.model")
@@ -110,9 +186,12 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_line_dedup": op4_line_dedup,
     "op6_mixing": op6_mixing,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_secrets": op8_secrets,
+    "op9_warc": op9_warc,
     "op10_sentencepiece": op10_sentencepiece,
 }
 
-ORACLE = {"op3_exact_dedup": OP3_SQL, "op6_mixing": OP6_SQL}
+ORACLE = {"op3_exact_dedup": OP3_SQL, "op4_line_dedup": OP4_SQL, "op6_mixing": OP6_SQL, "op9_warc": OP9_SQL}
