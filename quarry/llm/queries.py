@@ -13,6 +13,7 @@ from quarry.llm.exact_dedup import exact_groups
 from quarry.llm.line_dedup import LEAST_PAGES, RATIO, line_dedup
 from quarry.llm.mixing import mix
 from quarry.llm.pieces import encoded
+from quarry.llm.quality_rules import judged
 from quarry.llm.quality_trees import THRESHOLD, held_out, scored, train
 from quarry.llm.secret_scan import BASE, scanned
 from quarry.llm.simhash import simhash_components
@@ -78,6 +79,11 @@ FROM kept
 """
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return judged(docs, table(spark, sf_dir, "labels"), keep=["doc_id"])
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mix(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "size", "source_size", "target",
@@ -187,6 +193,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_line_dedup": op4_line_dedup,
+    "op5_quality_rules": op5_quality_rules,
     "op6_mixing": op6_mixing,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_secrets": op8_secrets,
