@@ -13,9 +13,12 @@ from quarry.llm.exact_dedup import exact_groups
 from quarry.llm.line_dedup import LEAST_PAGES, RATIO, line_dedup
 from quarry.llm.mixing import mix
 from quarry.llm.pieces import encoded
+from quarry.llm.pii import BASE as PII_BASE
+from quarry.llm.pii import pii_spans
 from quarry.llm.quality_rules import judged
 from quarry.llm.quality_trees import THRESHOLD, held_out, scored, train
-from quarry.llm.secret_scan import BASE, scanned
+from quarry.llm.secret_scan import BASE as SECRET_BASE
+from quarry.llm.secret_scan import scanned
 from quarry.llm.simhash import simhash_components
 from quarry.llm.warc import page_number, read_warc, write_warc
 
@@ -29,6 +32,25 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def _written(spans, kinds: tuple[str, ...] | None = None):
+    """kind:start:end of an array of spans, comma-joined in its order."""
+    chosen = spans if kinds is None else F.filter(spans, lambda s: s["kind"].isin(*kinds))
+    return F.array_join(F.transform(chosen, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def _of_kind(spans, kind: str):
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii_spans(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    spans = F.col("spans")
+    return found.select(
+        "doc_id", *[_of_kind(spans, k).alias(f"n_{k}") for k in PII_BASE],
+        F.sha2(_written(spans, PII_BASE).cast("binary"), 256).alias("base_sha256"), _written(spans).alias("spans"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.col("keep_key").alias("keep_id"), F.col("rows").alias("group_size"),
@@ -135,23 +157,12 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
-def _written(spans, kinds: tuple[str, ...] | None = None):
-    """kind:start:end of an array of spans, comma-joined in its order."""
-    chosen = spans if kinds is None else F.filter(spans, lambda s: s["kind"].isin(*kinds))
-    return F.array_join(F.transform(chosen, lambda s: F.concat_ws(
-        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
-
-
-def _of_kind(spans, kind: str):
-    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
-
-
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scanned(table(spark, sf_dir, "documents").select("doc_id", "text"), keep=["doc_id"])
     spans = F.col("spans")
     return found.select(
-        "doc_id", *[_of_kind(spans, k).alias(f"n_{k}") for k in BASE],
-        F.sha2(_written(spans, BASE).cast("binary"), 256).alias("base_sha256"), _written(spans).alias("spans"),
+        "doc_id", *[_of_kind(spans, k).alias(f"n_{k}") for k in SECRET_BASE],
+        F.sha2(_written(spans, SECRET_BASE).cast("binary"), 256).alias("base_sha256"), _written(spans).alias("spans"),
         F.size(F.filter(spans, lambda s: s["structure"].isNotNull())).cast("long").alias("n_confirmed"))
 
 
@@ -191,6 +202,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_pii": op2_pii,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op5_quality_rules": op5_quality_rules,
