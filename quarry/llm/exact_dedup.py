@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm.common import FILE, ROW, located, squeezed, text_of, without_rows
-from quarry.operators.staging import broadcast_if_small, stage
+from quarry.operators.staging import Staged, broadcast_if_small, stage
 from quarry.session import staging_path
 
 _STATE_CONF = {
@@ -38,6 +38,8 @@ _STATE_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
     "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",
+    # Else every store, however small, sets aside some MB of disk in advance.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
@@ -45,10 +47,10 @@ def sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
-def run_state(spark: SparkSession, folder: str, schema, checkpoint: str) -> DataFrame:
+def run_state(spark: SparkSession, folder: str, schema, checkpoint: str) -> Staged:
     """Feed the files of ``folder`` that ``checkpoint`` has not seen to the keyed state;
-    return the state: digest, rows, keep (struct). Call it again after files arrived and
-    only those are read."""
+    return the state as a staged table: digest, rows, keep (struct). Call it again after
+    files arrived and only those are read."""
     stream = (spark.readStream.schema(schema).parquet(folder).groupBy("digest")
               .agg(F.count(F.lit(1)).alias("rows"), F.min("rank").alias("keep")))
     before = {k: spark.conf.get(k, None) for k in _STATE_CONF}
@@ -58,13 +60,13 @@ def run_state(spark: SparkSession, folder: str, schema, checkpoint: str) -> Data
         query = (stream.writeStream.format("noop").outputMode("update")
                  .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
         query.awaitTermination()
+        state = spark.read.format("statestore").load(checkpoint)
+        rows, keep = [F.col("value")[f.name] for f in state.schema["value"].dataType.fields]
+        return stage(state.select(F.col("key.digest").alias("digest"), rows.alias("rows"), keep.alias("keep")),
+                     "dedup-groups")
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    state = spark.read.format("statestore").load(checkpoint)
-    rows, keep = [f.name for f in state.schema["value"].dataType.fields]
-    return state.select(F.col("key.digest").alias("digest"),
-                        F.col("value")[rows].alias("rows"), F.col("value")[keep].alias("keep"))
 
 
 def exact_groups(df: DataFrame, text: str = "text", key: str = "doc_id",
@@ -82,8 +84,7 @@ def exact_groups(df: DataFrame, text: str = "text", key: str = "doc_id",
     if not keyed.rows():
         return _decide(keyed.df, keyed.df.select(
             "digest", F.lit(0).cast("long").alias("rows"), F.col("rank").alias("keep")), key)
-    state = stage(run_state(spark, keyed.path, keyed.df.schema, staging_path(spark, "dedup-state")),
-                  "dedup-groups").df
+    state = run_state(spark, keyed.path, keyed.df.schema, staging_path(spark, "dedup-state")).df
 
     hits = broadcast_if_small(stage(
         state.where("rows > 1").select("digest", F.col("keep.file").alias("keep_file"),
