@@ -1,0 +1,293 @@
+"""Personal data, secrets, quality rules, classifier and SentencePiece against brute force."""
+
+import base64
+import json
+import struct
+
+import brute
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from quarry.llm import pii, queries, secret_scan
+from quarry.llm.pieces import MARK, Codec, encoded
+from quarry.llm.pii import expectation_maximisation, pii_spans
+from quarry.llm.quality_rules import judged, learn, statistics
+from quarry.llm.quality_trees import STATISTICS, accepted, fit, scored, train
+from quarry.llm.quality_trees import statistics as document_statistics
+from quarry.llm.secret_scan import scanned, spans
+
+
+def frame(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+
+# ------------------------------------------------------------ personal data
+
+PII_TEXTS = [
+    "a@b.com_x@y.com", "a@b@c.de", "1.2.3.4.5.6.7.8", "x" * 20_000 + "@", "a." * 8_000, "1" * 9_000, "1 " * 5_000, "1.2.3", "999.1.1.1 1.1.1.1",
+    "😀 a@b.co", "4111 1111 1111 1111 and 4111-1111-1111-1112", "+" + "1 " * 3_000, "007.1.2.3", "a@b.c.-d.e..f", "1-1-1", "0" * 40 + "1.1.1.1",
+    "a%b@c.d@e.f", "+1 (555) 123-4567", "++1 234 567 8901 ", "call +49 30 1234567890 now", "@", "+", "a@b", "1.1.1.1.1.1.1.1.1", "x@y.z" * 500,
+    "tel: 555-123-4567", "SSN 123-45-6789", "mail john (at) example (dot) com", "Dear Mary Smith, IBAN DE89 3704 0044 0532 0130 00", None, ""]
+
+
+def test_base_spans_stay_whatever_is_added(spark, hostile):
+    for df in (frame(spark, PII_TEXTS), hostile):
+        texts = {}
+        for r in df.collect():
+            texts.setdefault(r.doc_id, []).append(r.text)
+        got = pii_spans(df, keep=["doc_id"]).collect()
+        assert len(got) == df.count()
+        for r in got:
+            want = [brute.pii(t) for t in texts[r.doc_id]]
+            assert [(s.kind, s.start, s.end) for s in r.spans if s.base] in want
+
+
+@settings(max_examples=3, deadline=None)
+@given(texts=st.lists(st.text(alphabet="a1.2@+- (b%_)9é", max_size=40), min_size=150, max_size=150))
+def test_base_spans_property(spark, texts):
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans if s.base] for r in pii_spans(frame(spark, texts)).collect()}
+    assert got == {i: brute.pii(t) for i, t in enumerate(texts)}
+
+
+def test_weak_supervision_adds_spans_with_evidence(spark):
+    got = {r.doc_id: {s.kind for s in r.spans if not s.base} for r in pii_spans(frame(spark, PII_TEXTS + [
+        "The Red Fox of Old Town", "version 555-123-4567", "order 000-00-0000"])).collect()}
+    at = {t: i for i, t in enumerate(PII_TEXTS)}
+    assert got[at["tel: 555-123-4567"]] == {"phone_local"} and got[at["SSN 123-45-6789"]] == {"ssn"}
+    assert got[at["mail john (at) example (dot) com"]] == {"mail_words"}
+    assert got[at["Dear Mary Smith, IBAN DE89 3704 0044 0532 0130 00"]] == {"person", "account"}
+    assert got[len(PII_TEXTS)] == set() and got[len(PII_TEXTS) + 2] == set()
+
+
+def test_expectation_maximisation_finds_the_reliable_labeler():
+    """Labelers 0 and 1 agree with the truth in 90 of 100 cases, labeler 2 is a coin."""
+    patterns = {}
+    for truth in (1, -1):
+        for a, pa in ((truth, 0.9), (-truth, 0.1)):
+            for b, pb in ((truth, 0.9), (-truth, 0.1)):
+                for c in (1, -1):
+                    patterns[a, b, c] = patterns.get((a, b, c), 0) + 1000 * pa * pb * 0.5
+    post = expectation_maximisation(patterns)
+    assert post[1, 1, -1] > 0.9 > 0.1 > post[-1, -1, 1]
+
+
+def test_pii_query_against_brute_force(spark, sf):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    for r in queries.op2_pii(spark, sf).collect():
+        want = brute.pii(texts[r.doc_id])
+        assert r.base_sha256 == brute.sha(brute.joined(want))
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == kind for k, _, _ in want) for kind in pii.BASE]
+        assert set(brute.joined(want).split(",")) <= set(r.spans.split(","))
+
+
+# ------------------------------------------------------------------ secrets
+
+def der(tag, content):
+    size = bytes([len(content)]) if len(content) < 128 else bytes([0x80 + (n := (len(content).bit_length() + 7) // 8)]) + len(content).to_bytes(n, "big")
+    return bytes([tag]) + size + content
+
+
+PKCS8 = der(0x30, der(2, b"\0") + der(0x30, der(6, b"\x2b\x65\x70")) + der(4, der(4, bytes(range(32)))))
+PKCS1 = der(0x30, der(2, b"\0") + b"".join(der(2, bytes([k + 1]) * 30) for k in range(8)))
+SEC1 = der(0x30, der(2, b"\1") + der(4, bytes(range(1, 33))) + der(0xA0, der(6, b"\x2a\x86\x48\xce\x3d\x03\x01\x07")))
+SSH = b"openssh-key-v1\0" + b"".join(struct.pack(">I", len(x)) + x for x in (b"none", b"none", b"")) + struct.pack(">I", 1) + b"".join(
+    struct.pack(">I", len(x)) + x for x in (b"public part", b"private part" * 4))
+
+
+def b64(data, urlsafe=False):
+    return (base64.urlsafe_b64encode if urlsafe else base64.b64encode)(data).decode()
+
+
+TOKEN = ".".join(b64(json.dumps(x).encode(), True).rstrip("=") for x in ({"alg": "HS256", "typ": "JWT"}, {"sub": "1"})) + ".c2lnbmF0dXJlLWhlcmU"
+
+
+@pytest.mark.parametrize("data,name", [(PKCS8, "pkcs8"), (PKCS1, "pkcs1"), (SEC1, "sec1"), (SSH, "openssh")])
+def test_key_material_is_confirmed_only_whole(data, name):
+    assert secret_scan.key_format(data) == name
+    assert secret_scan.key_format(data[:-1]) is None and secret_scan.key_format(data + b"\0") is None
+    run = b64(data)
+    assert ("key", 5, 5 + len(run), name) in spans(f"see: {run} .")
+    assert [s for s in spans(f"see: {b64(data[:-3])} .") if s[0] == "key"] == []
+    armored = f"-----BEGIN PRIVATE KEY-----\n{run[:40]}\n{run[40:]}\n-----END PRIVATE KEY-----"
+    assert spans("é " + armored) == [("armor", 2, 2 + len(armored), name)]
+    if name != "openssh":
+        assert any(s[0] == "hex" and s[3] == name for s in spans(data.hex()))
+
+
+def test_signed_tokens_need_a_json_header_with_an_algorithm():
+    assert spans(f"x {TOKEN} y") == [("token", 2, 2 + len(TOKEN), "HS256")]
+    fake = b64(b'{"typ":"none at all"}', True).rstrip("=") + "." + TOKEN.split(".", 1)[1]
+    assert spans(f"x {fake} y") == []
+    assert ("assign", 0, 8 + len(TOKEN), "HS256") in spans(f"token = {TOKEN}")
+
+
+SECRET_TEXTS = ["password: hunter2hunter2", "PassWord='12345678'", "paſsword: 12345678", "tokKen = 12345678", "secret=1234567 secret=12345678", "AKIA" + "A" * 11 + " AKIA" + "B" * 12,
+                "a" * 31 + " " + "b" * 32 + "g" + "c" * 33, "api_key:api_key=abcdefgh", "token token = abcdefghij", "f" * 20_000, "=" * 20_000, "eyJ." * 3_000, None, "", "password" + " " * 5_000]
+
+
+def test_base_secrets_against_brute_force(spark, hostile, sf):
+    for t in SECRET_TEXTS + PII_TEXTS:
+        assert [s[:3] for s in spans(t or "") if s[0] in secret_scan.BASE] == brute.secrets(t)
+    assert scanned(hostile).count() == hostile.count()
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    for r in queries.op8_secrets(spark, sf).collect():
+        want = brute.secrets(texts[r.doc_id])
+        assert r.base_sha256 == brute.sha(brute.joined(want)) and set(brute.joined(want).split(",")) <= set(r.spans.split(","))
+
+
+# ------------------------------------------------------------ quality rules
+
+RULE_TEXTS = ["a b c a b c", "a b c d a b c", "a a a a a", "a b a b a b", "x y", "x y z", "x y z x y z w x y z", "a\nb\n\n a\na\nb", "# * $ % & | < > #*", "w " * 4000,
+              " ".join(str(i % 700) for i in range(3000)), "é ß x é ß x é", None, ""]
+
+
+def test_statistics_against_brute_force(spark, hostile):
+    texts = RULE_TEXTS + [r.text for r in hostile.collect()]
+    got = frame(spark, texts).select("doc_id", statistics(F.coalesce("text", F.lit(""))).alias("s")).collect()
+    for r in got:
+        s = r.s
+        assert (s.n_words, s.word_chars, s.n_symbols, s.lines.dup, s.n_repeat_words) == brute.rule_stats(texts[r.doc_id]), texts[r.doc_id]
+
+
+@settings(max_examples=3, deadline=None)
+@given(texts=st.lists(st.lists(st.sampled_from(["a", "b", "c", "dd", "\n", "a|"]), max_size=30).map(" ".join), min_size=120, max_size=120))
+def test_statistics_property(spark, texts):
+    got = frame(spark, texts).select("doc_id", statistics(F.col("text")).alias("s")).collect()
+    assert {r.doc_id: (r.s.n_words, r.s.word_chars, r.s.n_symbols, r.s.lines.dup, r.s.n_repeat_words) for r in got} == {
+        i: brute.rule_stats(t) for i, t in enumerate(texts)}
+
+
+def test_covering_learns_conjunctions_and_prunes_noise():
+    rng = np.random.default_rng(3)
+    x = rng.random((3000, 3))
+    bad = (x[:, 0] > 0.7) & (x[:, 1] <= 0.4)
+    rules = learn([(list(map(float, r)), int(not b)) for r, b in zip(x, bad)], ("a", "b", "c"))
+    def rejects(r):
+        return any(all((r["abc".index(c.feature)] > c.threshold) == c.above for c in rule) for rule in rules)
+    assert np.mean([rejects(r) == b for r, b in zip(x, bad)]) > 0.97
+    assert learn([], ("a",)) == [] and learn([([0.1], 1)] * 50, ("a",)) == []
+    noise = [([float(v)], int(y)) for v, y in zip(rng.random(600), rng.random(600) > 0.3)]
+    assert learn(noise, ("a",)) == []  # nothing is precise enough on the rows that prune
+
+
+def test_rules_query_against_brute_force_and_labels(spark, sf):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    right = []
+    for r in queries.op5_quality_rules(spark, sf).collect():
+        want = brute.rule_stats(texts[r.doc_id])
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want
+        assert r.base_failed == (want[0] < 50 or 100 * want[4] > 50 * want[0])
+        assert not (r.kept and r.base_failed)
+        if r.doc_id in labels and not r.base_failed:
+            right.append(r.kept == (labels[r.doc_id] == 1))
+    assert np.mean(right) > 0.9
+
+
+def test_rules_without_labels(spark, hostile, empty):
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    got = judged(hostile, none, keep=["doc_id", "kept"]).collect()
+    assert len(got) == hostile.count() and "kept_" in got[0].asDict()
+    assert judged(empty, none).count() == 0
+
+
+# --------------------------------------------------------------- classifier
+
+def test_trees_match_a_walk_node_by_node():
+    rng = np.random.default_rng(5)
+    x = rng.random((800, 4))
+    y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.3)).astype(float)
+    forest = fit(x[:600], y[:600], trees=30, depth=3)
+    s = forest.score(x)
+    for row in range(0, 800, 37):
+        total = forest.base
+        for t in range(len(forest.feature)):
+            node = 0
+            while node < 7:
+                node = 2 * node + 1 + int(x[row, forest.feature[t, node]] > forest.threshold[t, node])
+            total += forest.leaf[t, node - 7]
+        assert np.isclose(s[row], 1 / (1 + np.exp(-total)))
+    assert ((s[600:] >= 0.5) == y[600:]).mean() > 0.9
+
+
+def test_classifier_on_held_out_rows(spark, sf):
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    got = queries.op7_quality_classifier(spark, sf).collect()
+    assert len(got) == spark.read.parquet(f"{sf}/documents.parquet").count()
+    right = []
+    for r in got:
+        assert r.held_out == brute.held_out(r.doc_id) and 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3)
+        if r.held_out and r.doc_id in labels:
+            right.append(r.predicted == labels[r.doc_id])
+    assert np.mean(right) > 0.85
+    assert {r.doc_id: r.score for r in queries.op7_quality_classifier(spark, sf).collect()} == {r.doc_id: r.score for r in got}
+
+
+def test_classifier_on_hostile_rows(spark, hostile, empty):
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, None), (None, 1), (5, 0), (6, 1), (8, 1), (9, 0)], "doc_id long, quality int")
+    forest = train(hostile, labels)
+    got = scored(hostile, forest)
+    assert got.columns == [*hostile.columns, "score"] and got.count() == hostile.count()
+    assert all(0 <= r.score <= 1 for r in got.collect())
+    assert scored(empty, train(empty, labels)).count() == 0
+    assert accepted(hostile, labels.limit(0)).count() == hostile.count()  # no labels: 0.5, nothing rejected
+    assert len(document_statistics(b"")) == len(STATISTICS)
+
+
+# ------------------------------------------------------------ sentencepiece
+
+PIECE_TEXTS = ["", " ", "  ", MARK, "a\x00b", "  a  b\t\n ", MARK + "x  ", "日本語 テキスト 😀😀", "<s> </s> <unk> <0x0A>", "x" * 5_000, "a" + " " * 60 + "b", "İstanbul ﬁ",
+               "​﻿ hi", MARK * 2 + "a " + MARK + "b", "a" + MARK, " " + MARK, "the theory of the thing " * 300, "ñandú übeŕ é"]
+
+
+@pytest.fixture(scope="module")
+def codec():
+    return Codec(queries.piece_model())
+
+
+def agree(codec, texts):
+    done = codec.encode(texts)
+    theirs = codec.sp.encode(texts, add_bos=True, add_eos=True)
+    assert [np.frombuffer(p, "<u4").tolist() for p, _ in done] == theirs
+    assert sum(n for _, n in done) == 0  # the agenda itself, not the correction
+    assert codec.decode([p for p, _ in done]) == codec.sp.decode(theirs)
+
+
+def test_agenda_equals_the_library(codec, hostile):
+    agree(codec, PIECE_TEXTS + [r.text or "" for r in hostile.collect()])
+    agree(codec, PIECE_TEXTS)  # now from the cache
+
+
+def test_list_and_heap_are_the_same_agenda(codec):
+    a = codec.agenda
+    for text in PIECE_TEXTS:
+        for part in a.parts(codec.sp.normalize(text)):
+            sym = [a.symbols.get(c, a.none) for c in part]
+            assert a._by_list(list(sym)) == a._by_heap(list(sym))
+
+
+@settings(max_examples=60, deadline=None)
+@given(texts=st.lists(st.text(max_size=60), max_size=8))
+def test_agenda_property(codec, texts):
+    agree(codec, texts)
+
+
+def test_cache_generations_do_not_change_results(monkeypatch):
+    monkeypatch.setattr("quarry.llm.pieces.CACHE", 3)
+    small = Codec(queries.piece_model())
+    for _ in range(3):
+        agree(small, PIECE_TEXTS)
+
+
+def test_sentencepiece_query_and_hostile_rows(spark, sf, hostile, empty, codec):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    for r in queries.op10_sentencepiece(spark, sf).collect():
+        ids = codec.sp.encode(texts[r.doc_id], add_bos=True, add_eos=True)
+        assert r.n_tokens == len(ids) and r.ids_sha256 == __import__("hashlib").sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert r.decoded_sha256 == brute.sha(codec.sp.decode(ids)) and r.n_corrected == 0
+    got = encoded(hostile, queries.piece_model()).collect()
+    assert len(got) == hostile.count() and all(r.n_tokens >= 2 for r in got)
+    assert encoded(empty, queries.piece_model()).count() == 0
