@@ -3,7 +3,6 @@
 import base64
 import gzip
 import hashlib
-import os
 
 import duckdb
 import pytest
@@ -141,7 +140,7 @@ def test_small_payloads_stay_responses_and_archives_roll(spark, tmp_path):
     folder = f"file://{tmp_path}/w"
     write_warc(pages(spark).coalesce(1), folder, least_payload=2, archive_bytes=400)
     listed = archive_table(spark, folder)
-    assert listed.count() > 3 == len({os.path.basename(folder), "w", "x", "y"} - {"w"}) + 1 - 0
+    assert listed.count() > 3  # 400 bytes hold few records
     got = read_warc(listed, payloads=False)
     types = {(r.page, r.payload_bytes): r.record_type for r in got.withColumn("page", page_number(got.record_id)).collect()}
     assert types[1, 1] == types[2, 1] == "response" and got.where("payload is not null").count() == 0
@@ -175,7 +174,9 @@ def test_pipeline_stages_one_by_one(spark, sf):
     sizes = {r.doc_id: len(brute.WORD.findall(r.text)) for r in kept[2]}
     assert set(mixed) <= set(near) and max(mixed.count(d) for d in set(mixed)) <= 2
     assert abs(sum(sizes[d] for d in mixed) - 1.5 * sum(sizes.values())) <= max(sizes.values())
-    assert sorted(pieces) == sorted(mixed) and all(r.n_corrected == 0 and r.decoded == r.text for r in kept[4])
+    texts = {r.doc_id: r.text for r in kept[3]}
+    assert sorted(pieces) == sorted(mixed) and all(
+        r.n_corrected == 0 and r.decoded == texts[r.doc_id] for r in kept[4])
 
 
 def test_run_returns_the_last_stage(spark, sf):
