@@ -17,146 +17,121 @@ from pyspark.sql.types import (
 
 from quarry.operators.staging import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, join_small
 
-# Scale of the exact mean (see :func:`exact_mean`).
-MEAN_SCALE = 10
-_UNIT = 10 ** MEAN_SCALE
-_SPLIT = 10 ** 5
-
-
-def exact_value(name: str, dtype: DataType | None = None) -> Column:
-    """A numeric column as ``decimal(38, MEAN_SCALE)``; NaN becomes NULL."""
-    c = F.col(name)
-    if isinstance(dtype, (DoubleType, FloatType)):
-        c = F.when(~F.isnan(c), c)
-    return c.cast(DecimalType(38, MEAN_SCALE))
+# Exact sums keep at most this many decimal places, so that Spark's decimal
+# arithmetic below never shortens a scale.
+MOST_PLACES = 6
+MEAN_SUMS = ("__s", "__d", "__n", "__e")
 
 
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _row_parts(name: str, dtype: DataType | None):
-    """SQL for (value, whole, high, low, largest) per row; None for types summed as decimals.
-
-    ``value`` is the column with NaN as NULL (what ``count`` counts); ``whole +
-    (high * 10^5 + low) * 10^-10`` is the value taken to 10 decimal places:
-    ``whole = floor(x)``, fraction ``floor((x - floor(x)) * 1e10 + 0.5)`` (plain
-    double arithmetic). Written as SQL text so each mean costs one call to
-    build instead of one per operator.
-    """
+def _addends(name: str, dtype: DataType | None, scale: int | None) -> tuple[str | None, str | None, int | None]:
+    """SQL of a column as a decimal and as a double (whichever is needed), and the decimal's places."""
     c = _quoted(name)
     if isinstance(dtype, (ByteType, ShortType, IntegerType, LongType)):
-        x = f"CAST({c} AS BIGINT)"
-        zero = "CAST(0 AS BIGINT)"
-        return x, x, zero, zero, "0"
-    if isinstance(dtype, (DoubleType, FloatType)):
-        x = f"nanvl(CAST({c} AS DOUBLE), CAST(NULL AS DOUBLE))"
-        frac = f"floor(({x} - floor({x})) * {float(_UNIT)!r}D + 0.5D)"
-        high = f"floor({frac} / {float(_SPLIT)!r}D)"  # exact: frac is an integer below 2^53
-        low = f"({frac} - {high} * {_SPLIT})"
-        return x, f"floor({x})", high, low, f"abs({x})"
-    return None
-
-
-def exact_sums(name: str, dtype: DataType | None) -> list[Column] | None:
-    """The long sums behind :func:`exact_mean`, as aggregates that can be summed again.
-
-    Aliased ``__w``, ``__h``, ``__l``, ``__n`` (count) and ``__m`` (largest
-    magnitude, for the range check). Summing the sums (and taking the max of
-    ``__m``) over several partial groups and passing them to
-    :func:`mean_from_sums` gives the same exact mean as aggregating the rows.
-    """
-    parts = _row_parts(name, dtype)
-    if parts is None:
-        return None
-    x, whole, high, low, largest = parts
-    return [F.expr(f"sum({whole})").alias("__w"), F.expr(f"sum({high})").alias("__h"),
-            F.expr(f"sum({low})").alias("__l"), F.expr(f"count({x})").alias("__n"),
-            F.expr(f"max({largest})").alias("__m")]
-
-
-def _mean_sql(whole: str, high: str, low: str, n: str, largest: str) -> str:
-    # Each part is an exact decimal with 10 places; their sum fits decimal(32, 10).
-    total = (f"CAST(CAST({whole} AS DECIMAL(30, 10)) "
-             f"+ CAST(CAST({high} AS DECIMAL(20, 0)) / {_SPLIT} AS DECIMAL(30, 10)) "
-             f"+ CAST(CAST({low} AS DECIMAL(20, 0)) / {_UNIT} AS DECIMAL(30, 10)) "
-             f"AS DECIMAL(38, {MEAN_SCALE}))")
-    return (f"CASE WHEN {largest} >= 9.0E18 "
-            f"THEN raise_error('a value is too large for an exact mean') "
-            f"WHEN {n} > 0 THEN {total} / CAST({n} AS DECIMAL(20, 0)) END")
-
-
-def mean_from_sums(whole: str, high: str, low: str, n: str, largest: str) -> Column:
-    """Exact mean (``decimal(38, 10)``, half up) from SQL aggregates of the sums.
-
-    Values of 9e18 or more cannot be split into long parts: the job fails
-    instead of returning a wrong mean.
-    """
-    return F.expr(_mean_sql(whole, high, low, n, largest))
-
-
-def exact_mean(name: str, dtype: DataType | None = None, exact: bool = True) -> Column:
-    """Mean of a numeric column, exact and independent of the order rows are combined.
-
-    Doubles are taken to MEAN_SCALE (10) decimal places of their exact binary
-    value: whole part ``floor(x)`` and fraction
-    ``floor((x - floor(x)) * 1e10 + 0.5)``, each summed as a long (the
-    fraction split in two longs of at most 10^5 each, so a group of 10^13 rows
-    cannot overflow). The per-group total is rebuilt as an exact decimal and
-    divided once by the count, rounding half up at the tenth decimal, the same
-    division ``avg`` does on decimals. The aggregation buffers are all
-    fixed-width longs, so the aggregate stays a hash aggregate (a
-    ``decimal(38, 10)`` sum costs about twice as much, measured). NaN counts as
-    missing; values of 9e18 or more fail the job rather than being summed
-    wrongly. Integral columns are summed as they are; decimal columns go
-    through ``decimal(38, 10)``.
-
-    A double sum would depend on the order in which partitions are combined,
-    so a mean on a rounding tie could round either way between two runs (or
-    after a retried task); this cannot.
+        return f"CAST({c} AS DECIMAL(28, 0))", None, 0
+    if isinstance(dtype, DecimalType) and dtype.scale <= MOST_PLACES:
+        return f"CAST({c} AS DECIMAL({min(28, max(dtype.precision, 1))}, {dtype.scale}))", None, dtype.scale
+    x = f"nanvl(CAST({c} AS DOUBLE), CAST(NULL AS DOUBLE))"
+    if scale is None:
+        return None, x, None
+    if not 0 <= scale <= MOST_PLACES:
+        raise ValueError(f"scale must be 0 to {MOST_PLACES}")
+    d = f"TRY_CAST({x} AS DECIMAL(28, {scale}))"
+    return f"CASE WHEN CAST({d} AS DOUBLE) = {x} THEN {d} END", x, scale
+
+
+def mean_places(name: str, dtype: DataType | None, scale: int | None) -> int | None:
+    """Decimal places of the exact sum; None where only doubles are summed."""
+    return _addends(name, dtype, scale)[2]
+
+
+def _sums(name: str, dtype: DataType | None, scale: int | None) -> dict[str, str]:
+    exact, double, _ = _addends(name, dtype, scale)
+    out = {"__n": f"count({double or exact})"}
+    if exact:
+        out |= {"__s": f"sum({exact})", "__e": f"count({exact})"}
+    if double:
+        out["__d"] = f"sum({double})"
+    return out
+
+
+def mean_sums(name: str, dtype: DataType | None, scale: int | None = None, prefix: str = "") -> list[Column]:
+    """The sums and counts behind a mean, as aggregates that can be summed again over
+    several partial groups: ``__s`` (exact), ``__d`` (double), ``__n`` (values) and ``__e``
+    (values in the exact sum), those that apply.
+
+    Integers and decimals (up to six places) are summed exactly. Doubles are summed as
+    doubles, of any size; such a sum depends in its last bits on the order in which
+    partitions are combined, so a mean that lies on a rounding tie may go either way. For
+    columns that hold decimals of a known number of places (amounts of money), ``scale``
+    sums them exactly as such; a group with a value of more places, or of 10^22 and
+    beyond, gets the mean of its double sum. NaN counts as missing.
     """
-    if not exact:
-        # Plain double mean: cheaper, but ties may round either way.
-        c = F.col(name)
-        if isinstance(dtype, (DoubleType, FloatType)):
-            c = F.when(~F.isnan(c), c)
-        return F.avg(c)
-    parts = _row_parts(name, dtype)
-    if parts is None:
-        return F.avg(exact_value(name, dtype))
-    x, whole, high, low, largest = parts
-    return mean_from_sums(f"sum({whole})", f"sum({high})", f"sum({low})", f"count({x})",
-                          f"max({largest})")
-
-
-def mean_expr(name: str, digits: int | None = None, integer: bool = False,
-              dtype: DataType | None = None, exact: bool = True) -> Column:
-    """Mean rounded half-up to ``digits`` places (double); bigint when ``integer``."""
-    m = exact_mean(name, dtype, exact)
-    if integer:
-        return F.round(m, 0).cast("bigint")
-    return (F.round(m, digits) if digits is not None else m).cast("double")
+    return [F.expr(sql).alias(prefix + a) for a, sql in _sums(name, dtype, scale).items()]
+
+
+def _rounded(total: str, n: str, places: int, digits: int) -> str:
+    """An exact sum's mean, rounded half away from zero once, from the unrounded quotient.
+
+    The quotient, which Spark cuts to six places, gives a candidate; the remainder
+    ``sum - candidate * count`` tells whether it is one unit off. All terms are cast to one
+    scale, so that no comparison shortens them."""
+    kind, whole = f"DECIMAL(38, {digits})", f"DECIMAL(38, {max(places, digits)})"
+    count, size = f"CAST({n} AS DECIMAL(20, 0))", f"abs(CAST({total} AS {whole}))"
+    unit = f"CAST('{10.0 ** -digits:.{digits}f}' AS DECIMAL(7, {digits}))"
+    near = f"CAST(round({size} / {count}, {digits}) AS {kind})"
+    rest = f"CAST({size} - CAST({near} * {count} AS {whole}) AS {whole})"
+    half = f"CAST({unit} * {count} AS {whole})"
+    twice = f"CAST({rest} + {rest} AS {whole})"
+    mean = (f"CAST({near} + CASE WHEN {twice} >= {half} THEN {unit} WHEN {twice} < -{half} THEN -{unit} "
+            f"ELSE CAST(0 AS DECIMAL(7, {digits})) END AS {kind})")
+    return f"CASE WHEN {n} > 0 THEN IF({total} < 0, -{mean}, {mean}) END"
+
+
+def mean_from_sums(columns: list[str], places: int | None, digits: int | None = None,
+                   integer: bool = False, prefix: str = "") -> Column:
+    """The mean (double; bigint when ``integer``) from columns named as by :func:`mean_sums`."""
+    n, total, double, held = (_quoted(prefix + c) if prefix + c in columns else None for c in ("__n", "__s", "__d", "__e"))
+    digits = 0 if integer and digits is None else digits
+    kind = "BIGINT" if integer else "DOUBLE"
+    plain = f"CASE WHEN {n} > 0 THEN {double or f'CAST({total} AS DOUBLE)'} / {n} END"
+    if digits is None:
+        return F.expr(plain)
+    plain = f"CAST(round({plain}, {digits}) AS {kind})"
+    if places is None or not 0 <= digits <= MOST_PLACES:
+        return F.expr(plain)
+    exact = f"CAST({_rounded(total, n, places, digits)} AS {kind})"
+    return F.expr(f"CASE WHEN {held} = {n} THEN {exact} ELSE {plain} END" if double else exact)
 
 
 def group_means(df: DataFrame, group, columns: dict, integer=(), prefix: str = "avg_",
-                exact: bool = True) -> DataFrame:
+                scale: dict | None = None) -> DataFrame:
     """One row per group with ``prefix + column`` holding the rounded mean.
 
-    ``columns`` maps a column to its number of decimal places (None: unrounded).
-    Columns in ``integer`` are rounded to whole numbers and typed bigint.
+    ``columns`` maps a column to its number of decimal places (None: unrounded); means are
+    rounded once, half away from zero. Columns in ``integer`` are rounded to whole numbers
+    and typed bigint. ``scale`` maps a column of doubles to the places at which it is
+    summed exactly (see :func:`mean_sums`).
     """
+    scale = scale or {}
     group = [group] if isinstance(group, str) else list(group)
     integer = set(integer)
-    schema = df.schema  # one round trip to the JVM, not one per column
-    aggs = [mean_expr(c, d, c in integer, schema[c].dataType, exact).alias(prefix + c)
-            for c, d in columns.items()]
-    return df.groupBy(*group).agg(*aggs)
+    types = {f.name: f.dataType for f in df.schema}  # one round trip to the JVM
+    parts = {c: f"__{i}" for i, c in enumerate(columns)}
+    sums = df.groupBy(*group).agg(*[a for c, p in parts.items() for a in mean_sums(c, types[c], scale.get(c), p)])
+    names = sums.columns
+    return sums.select(*group, *[
+        mean_from_sums(names, mean_places(c, types[c], scale.get(c)), columns[c], c in integer, p).alias(prefix + c)
+        for c, p in parts.items()])
 
 
 def impute_group_mean(df: DataFrame, group, columns: dict, integer=(),
                       max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                       max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-                      exact: bool = True) -> DataFrame:
+                      scale: dict | None = None) -> DataFrame:
     """Replace NULLs in ``columns`` by the rounded mean of the row's group.
 
     Non-NULL values never change. A row whose group key is NULL, or whose whole
@@ -166,7 +141,7 @@ def impute_group_mean(df: DataFrame, group, columns: dict, integer=(),
     """
     group = [group] if isinstance(group, str) else list(group)
     prefix = "__mean_"
-    means = group_means(df, group, columns, integer, prefix, exact)
+    means = group_means(df, group, columns, integer, prefix, scale)
     joined = join_small(df, means, on=group, how="left",
                         max_rows=max_broadcast_rows, max_bytes=max_broadcast_bytes,
                         name="group-means")

@@ -95,9 +95,10 @@ class ImputeMean:
     group: str
     columns: dict
     integer: tuple = ()
+    scale: dict | None = None
 
     def apply(self, df):
-        return impute_group_mean(df, self.group, self.columns, self.integer)
+        return impute_group_mean(df, self.group, self.columns, self.integer, scale=self.scale)
 
 
 @dataclass(frozen=True)
@@ -200,7 +201,8 @@ DELIMITED_JOB = JobSpec("delimited", PRICES, (
     KeepFirst(("country_code", "name")),
     ParseNumbers({"no_internal_plans": "bigint", **{c: "money_double" for c in PRICE_MONEY}}),
     Persist(),
-    ImputeMean("continental_region", {c: 2 for c in ["no_internal_plans", *PRICE_MONEY]}),
+    ImputeMean("continental_region", {c: 2 for c in ["no_internal_plans", *PRICE_MONEY]},
+               scale={c: 2 for c in PRICE_MONEY}),
     Select(tuple(PRICES.columns)),
     DropNulls(),
 ))
@@ -361,9 +363,9 @@ def _sql_parse_bigint(expr: str, strip: str = "") -> str:
     return _parse_bigint(expr, strip)
 
 
-def _sql_mean(col: str, digits: int | None = None, integer: bool = False) -> str:
+def _sql_mean(col: str, digits: int, places: int) -> str:
     from quarry.plans.oracle import exact_mean
-    return exact_mean(col, digits, integer)
+    return exact_mean(col, digits, places)
 
 
 def _sql_first(src: str, key: str, order: list[str], cols: list[str]) -> str:
@@ -406,8 +408,8 @@ num AS (
   SELECT id, country, {_sql_parse_bigint('internet_users', ',')} AS internet_users,
          {_sql_parse_bigint('population', ',')} AS population, region, sub_region FROM k2),
 m AS (
-  SELECT region, {_sql_mean('internet_users', integer=True)} AS mu,
-         {_sql_mean('population', integer=True)} AS mp FROM num GROUP BY region)
+  SELECT region, CAST({_sql_mean('internet_users', 0, 0)} AS BIGINT) AS mu,
+         CAST({_sql_mean('population', 0, 0)} AS BIGINT) AS mp FROM num GROUP BY region)
 SELECT n.id, n.country, coalesce(n.internet_users, m.mu) AS internet_users,
        coalesce(n.population, m.mp) AS population, n.region, n.sub_region
 FROM num n LEFT JOIN m ON n.region = m.region""",
@@ -440,7 +442,8 @@ num AS (
   FROM k2),
 m AS (
   SELECT continental_region,
-         {', '.join(f'{_sql_mean(c, 2)} AS m_{c}' for c in ['no_internal_plans', *PRICE_MONEY])}
+         {_sql_mean('no_internal_plans', 2, 0)} AS m_no_internal_plans,
+         {', '.join(f'{_sql_mean(c, 2, 2)} AS m_{c}' for c in PRICE_MONEY)}
   FROM num GROUP BY continental_region),
 filled AS (
   SELECT n.country_code, n.name, n.continental_region,

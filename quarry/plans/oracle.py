@@ -10,7 +10,6 @@ parsing by truncation (DuckDB's cast from double rounds).
 from __future__ import annotations
 
 from quarry.functions.numbers import NUMBER_PATTERN
-from quarry.operators.impute import MEAN_SCALE
 from quarry.plans.samples import LOOKUP_NATION, ORDER_LINE_NAMES, PART_RENAMES
 
 
@@ -25,35 +24,13 @@ def _parse_bigint(expr: str, strip: str = "") -> str:
     return f"TRY_CAST(trunc({_parse_double(expr, strip)}) AS BIGINT)"
 
 
-def mean_units(col: str) -> str:
-    """Exact mean in units of 10^-MEAN_SCALE, rounded half-up (HUGEINT arithmetic).
-
-    Each value is taken to MEAN_SCALE places the way the library does it: whole
-    part ``floor(x)`` plus ``floor((x - floor(x)) * 1e10 + 0.5)`` units.
-    """
-    unit = 10 ** MEAN_SCALE
-    whole = f"CAST(sum(CAST(floor({col}) AS BIGINT)) AS HUGEINT)"
-    frac = (f"CAST(sum(CAST(floor(({col} - floor({col})) * CAST({unit} AS DOUBLE) "
-            f"+ CAST(0.5 AS DOUBLE)) AS BIGINT)) AS HUGEINT)")
-    total = f"({whole} * {unit} + {frac})"
-    n = f"count({col})"
-    return (f"(CASE WHEN {n} = 0 THEN NULL "
-            f"ELSE sign({total}) * ((2 * abs({total}) + {n}) // (2 * {n})) END)")
-
-
-def _round_units(units: str, digits: int) -> str:
-    f = 10 ** (MEAN_SCALE - digits)
-    return f"(sign({units}) * ((2 * abs({units}) + {f}) // {2 * f}))"
-
-
-def exact_mean(col: str, digits: int | None = None, integer: bool = False) -> str:
-    """The library's exact group mean (decimal sum, half-up rounding) in DuckDB SQL."""
-    u = mean_units(col)
-    if integer:
-        return f"CAST({_round_units(u, 0)} AS BIGINT)"
-    if digits is None:
-        return f"(CAST({u} AS DOUBLE) / {10 ** MEAN_SCALE})"
-    return f"(CAST({_round_units(u, digits)} AS DOUBLE) / {10 ** digits})"
+def exact_mean(col: str, digits: int, places: int) -> str:
+    """Mean of a column of decimals with ``places`` places: integer division, half away from zero."""
+    total = f"CAST(sum(CAST({col} AS DECIMAL(28, {places}))) * {10 ** places} AS HUGEINT)"
+    n = f"(CAST(count({col}) AS HUGEINT) * {10 ** max(0, places - digits)})"
+    up = 10 ** max(0, digits - places)
+    return (f"(CASE WHEN count({col}) > 0 THEN CAST(sign({total}) * ((2 * abs({total}) * {up} + {n}) // (2 * {n})) AS DOUBLE) "
+            f"/ {10 ** digits} END)")
 
 
 def _cents(c: str) -> str:
@@ -120,17 +97,17 @@ def _extreme(qt: str) -> str:
 def _group_avg(qt: str) -> str:
     col = "l_extendedprice" if qt == "highest" else "l_discount"
     d = "DESC" if qt == "highest" else "ASC"
-    return (f"SELECT l_returnflag AS region, {exact_mean(col, 3)} AS price, "
+    return (f"SELECT l_returnflag AS region, round(favg({col}), 3) AS price, "
             f"'{qt}' AS query_type FROM lineitem GROUP BY l_returnflag "
-            f"HAVING count({col}) > 0 ORDER BY {mean_units(col)} {d}, l_returnflag LIMIT 1")
+            f"HAVING count({col}) > 0 ORDER BY favg({col}) {d}, l_returnflag LIMIT 1")
 
 
 def _group_avg_join(qt: str, k: int = 1) -> str:
     d = "DESC" if qt == "highest" else "ASC"
-    return (f"SELECT n_name AS region, {exact_mean('s_acctbal', 3)} AS internet_speed, "
+    return (f"SELECT n_name AS region, {exact_mean('s_acctbal', 3, 2)} AS internet_speed, "
             f"'{qt}' AS query_type FROM supplier JOIN nation ON s_nationkey = n_nationkey "
             f"GROUP BY n_name HAVING count(s_acctbal) > 0 "
-            f"ORDER BY {mean_units('s_acctbal')} {d}, n_name LIMIT {k}")
+            f"ORDER BY favg(s_acctbal) {d}, n_name LIMIT {k}")
 
 
 ORACLE = {
@@ -218,12 +195,12 @@ WITH li AS (SELECT {', '.join(_LI_COLS)} FROM lineitem)
 
     "agg_group_mean_int": f"""
 SELECT l_returnflag,
-       {exact_mean('l_quantity', integer=True)} AS avg_l_quantity,
-       {exact_mean('l_extendedprice', integer=True)} AS avg_l_extendedprice
+       CAST(round(favg(l_quantity)) AS BIGINT) AS avg_l_quantity,
+       CAST(round(favg(l_extendedprice)) AS BIGINT) AS avg_l_extendedprice
 FROM lineitem GROUP BY l_returnflag""",
 
     "agg_group_mean_2dp": "SELECT l_returnflag, " + ", ".join(
-        f"{exact_mean(c, 2)} AS avg_{c}"
+        f"{exact_mean(c, 2, 2)} AS avg_{c}"
         for c in ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])
         + " FROM lineitem GROUP BY l_returnflag",
 
@@ -233,7 +210,7 @@ WITH src AS (
          CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE o_orderpriority END AS o_orderpriority,
          CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_totalprice END AS o_totalprice
   FROM orders),
-m AS (SELECT o_orderpriority, {exact_mean('o_totalprice', 2)} AS m
+m AS (SELECT o_orderpriority, {exact_mean('o_totalprice', 2, 2)} AS m
       FROM src GROUP BY o_orderpriority)
 SELECT s.o_orderkey, s.o_orderpriority, coalesce(s.o_totalprice, m.m) AS o_totalprice
 FROM src s LEFT JOIN m ON s.o_orderpriority = m.o_orderpriority""",
@@ -242,8 +219,8 @@ FROM src s LEFT JOIN m ON s.o_orderpriority = m.o_orderpriority""",
 WITH src AS (
   SELECT d.doc_id, d.lang, l.quality, l.toxic
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
-m AS (SELECT lang, {exact_mean('quality', integer=True)} AS mq,
-             {exact_mean('toxic', 2)} AS mt
+m AS (SELECT lang, CAST({exact_mean('quality', 0, 0)} AS BIGINT) AS mq,
+             {exact_mean('toxic', 2, 0)} AS mt
       FROM src GROUP BY lang)
 SELECT s.doc_id, s.lang, coalesce(s.quality, m.mq) AS quality, coalesce(s.toxic, m.mt) AS toxic
 FROM src s LEFT JOIN m ON s.lang = m.lang""",
@@ -277,10 +254,10 @@ SELECT CAST(0 AS BIGINT) AS rows_written, false AS wrote, count(*) AS target_row
 
     "report_lookup": f"""
 WITH speed AS (
-  SELECT n.n_name AS country, {exact_mean('s.s_acctbal', 2)} AS avg_speed
+  SELECT n.n_name AS country, {exact_mean('s.s_acctbal', 2, 2)} AS avg_speed
   FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey GROUP BY n.n_name),
 prices AS (
-  SELECT n.n_name AS name, {exact_mean('c.c_acctbal', 2)} AS avg_price
+  SELECT n.n_name AS name, {exact_mean('c.c_acctbal', 2, 2)} AS avg_price
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY n.n_name)
 SELECT speed.country AS country, speed.avg_speed AS mbit_per_s, prices.avg_price AS price_1gb_usd
 FROM prices JOIN speed ON prices.name = speed.country

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.impute import exact_mean, exact_sums, mean_from_sums
+from quarry.operators.impute import MEAN_SUMS, mean_from_sums, mean_places, mean_sums
 from quarry.operators.staging import planner_broadcasts
 from quarry.operators.topk import top_k
 from quarry.specs import QueryType
@@ -40,12 +40,12 @@ def fetch_one(report: DataFrame) -> dict:
     """
     rows = report.limit(1).collect()
     if not rows:
-        raise NoDataError("no data found for the provided parameters")
+        raise NoDataError("the report has no row for these arguments")
     return rows[0].asDict()
 
 
 def lookup(left: DataFrame, right: DataFrame, left_on: str, right_on: str, value: str,
-           columns: dict[str, str], filter_on: str | None = None) -> DataFrame:
+           columns: dict[str, str]) -> DataFrame:
     """Rows of ``left JOIN right ON left_on = right_on`` where the key equals ``value``.
 
     ``columns`` maps output names to input column names. The first row in
@@ -55,11 +55,15 @@ def lookup(left: DataFrame, right: DataFrame, left_on: str, right_on: str, value
         raise TypeError("lookup value must be a string")
     if value == "":
         raise ValueError("lookup value not provided")
-    filter_on = filter_on or right_on
     # Filter both sides before the join; Catalyst would infer it too, but this
-    # keeps the pushed filters visible at both scans.
+    # keeps the pushed filters visible at both scans. Only the first row in output
+    # order is wanted, so each side is cut to its distinct wanted columns first: a
+    # value that fills a side does not multiply with the other.
+    wanted = list(columns.values())
     lhs = left.where(F.col(left_on) == F.lit(value))
-    rhs = right.where(F.col(filter_on) == F.lit(value)) if filter_on in right.columns else right
+    rhs = right.where(F.col(right_on) == F.lit(value))
+    lhs = lhs.select(*{left_on: 0, **{c: 0 for c in wanted if c in left.columns}}).distinct()
+    rhs = rhs.select(*{right_on: 0, **{c: 0 for c in wanted if c in right.columns}}).distinct()
     j = lhs.join(rhs, lhs[left_on] == rhs[right_on], "inner")
     out = j.select(*[F.col(src).alias(name) for name, src in columns.items()])
     return out.orderBy(*[F.col(n).asc_nulls_last() for n in columns]).limit(1)
@@ -74,52 +78,57 @@ def extreme_row(df: DataFrame, label: str, measure: str, query_type="lowest",
                        F.lit(qt.value).alias("query_type"))
 
 
+def _best(sums: DataFrame, group: str, places: int | None, qt: QueryType, group_as: str,
+          value_as: str, digits: int | None, k: int) -> DataFrame:
+    """Groups ranked on the unrounded mean of ``__s`` / ``__n``; the value shown is rounded once."""
+    names = sums.columns
+    means = sums.select(F.col(group), mean_from_sums(names, None).alias("__mean"),
+                        mean_from_sums(names, places, digits).alias("__value"))
+    best = top_k(means, "__mean", k, qt, tiebreak=[group])
+    return best.select(F.col(group).alias(group_as), F.col("__value").alias(value_as),
+                       F.lit(qt.value).alias("query_type"))
+
+
 def best_group(df: DataFrame, group: str, measure: dict | str, query_type="lowest",
                group_as: str = "region", value_as: str = "price",
-               digits: int | None = REPORT_DIGITS, exact: bool = True, k: int = 1) -> DataFrame:
+               digits: int | None = REPORT_DIGITS, scale: int | None = None, k: int = 1) -> DataFrame:
     """Group(s) with the highest/lowest mean; ``measure`` may map direction to column.
 
-    ``k=1`` is the original report; a larger ``k`` gives the top-k groups.
+    ``k=1`` is the original report; a larger ``k`` gives the top-k groups. ``scale``: see
+    :func:`quarry.operators.impute.mean_expr`.
     """
     qt = QueryType.parse(query_type)
     col = measure[qt.value] if isinstance(measure, dict) else measure
-    means = df.groupBy(group).agg(exact_mean(col, df.schema[col].dataType, exact).alias("__mean"))
-    best = top_k(means, "__mean", k, qt, tiebreak=[group])
-    value = (F.round("__mean", digits) if digits is not None else F.col("__mean")).cast("double")
-    return best.select(F.col(group).alias(group_as), value.alias(value_as),
-                       F.lit(qt.value).alias("query_type"))
+    dtype = df.schema[col].dataType
+    sums = df.groupBy(group).agg(*mean_sums(col, dtype, scale))
+    return _best(sums, group, mean_places(col, dtype, scale), qt, group_as, value_as, digits, k)
 
 
 def best_group_joined(left: DataFrame, right: DataFrame, on, group: str, measure: str,
                       query_type="lowest", group_as: str = "region",
                       value_as: str = "internet_speed",
-                      digits: int | None = REPORT_DIGITS, exact: bool = True,
+                      digits: int | None = REPORT_DIGITS, scale: int | None = None,
                       pre_aggregate: bool | None = None, k: int = 1) -> DataFrame:
     """:func:`best_group` over ``left JOIN right ON left[on[0]] = right[on[1]]`` (inner).
 
     ``measure`` comes from ``left`` and ``group`` from ``right``. With
-    ``pre_aggregate`` (and exact means), ``left`` is first reduced to one row
-    per join key (exact decimal sum and count, partial aggregation on the map
-    side), so a shuffle join moves one row per key instead of every fact row.
-    Each right row matching key k adds k's long sums and count to its group,
-    exactly what the row-level join would add, so the mean is identical. The default (None) pre-aggregates
-    only when the planner would not broadcast ``right``: with a broadcast join
-    the fact rows are never shuffled and the extra aggregate only costs a stage.
+    ``pre_aggregate``, ``left`` is first reduced to one row per join key (sum and
+    count, partial aggregation on the map side), so a shuffle join moves one row per
+    key instead of every fact row; the sums add up to the same either way. The default
+    (None) pre-aggregates only when the planner would not broadcast ``right``: with a
+    broadcast join the fact rows are never shuffled and the extra aggregate only costs
+    a stage.
     """
     qt = QueryType.parse(query_type)
     lk, rk = on
+    dtype = left.schema[measure].dataType
     if pre_aggregate is None:
         pre_aggregate = not planner_broadcasts(right)
-    sums = exact_sums(measure, left.schema[measure].dataType) if exact else None
-    if not (pre_aggregate and sums):
-        joined = left.join(right, left[lk] == right[rk], "inner").select(
-            F.col(group), F.col(measure))
-        return best_group(joined, group, measure, qt, group_as, value_as, digits, exact, k)
-    per_key = left.groupBy(F.col(lk).alias("__k")).agg(*sums)
-    joined = per_key.join(right, per_key["__k"] == right[rk], "inner")
-    means = joined.groupBy(group).agg(mean_from_sums(
-        "sum(__w)", "sum(__h)", "sum(__l)", "sum(__n)", "max(__m)").alias("__mean"))
-    best = top_k(means, "__mean", k, qt, tiebreak=[group])
-    value = (F.round("__mean", digits) if digits is not None else F.col("__mean")).cast("double")
-    return best.select(F.col(group).alias(group_as), value.alias(value_as),
-                       F.lit(qt.value).alias("query_type"))
+    if pre_aggregate:
+        per_key = left.groupBy(F.col(lk).alias("__k")).agg(*mean_sums(measure, dtype, scale))
+        sums = per_key.join(right, per_key["__k"] == right[rk], "inner").groupBy(group).agg(
+            *[F.sum(c).alias(c) for c in per_key.columns if c in MEAN_SUMS])
+    else:
+        sums = left.join(right, left[lk] == right[rk], "inner").select(group, measure).groupBy(
+            group).agg(*mean_sums(measure, dtype, scale))
+    return _best(sums, group, mean_places(measure, dtype, scale), qt, group_as, value_as, digits, k)

@@ -19,7 +19,7 @@ from quarry.functions.numbers import money_to_double, parse_bigint, thousands_to
 from quarry.operators.clean import drop_any_null, lift_field, rename, require
 from quarry.operators.dedupe import keep_first, keep_first_each
 from quarry.operators.delta import changed_rows
-from quarry.operators.impute import group_means, impute_group_mean, mean_expr
+from quarry.operators.impute import group_means, impute_group_mean
 from quarry.operators.staging import stage
 from quarry.plans import reports
 from quarry.session import staging_path
@@ -206,7 +206,7 @@ def agg_group_mean_int(spark, d):
 def agg_group_mean_2dp(spark, d):
     li = table(spark, d, "lineitem")
     cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    return group_means(li, "l_returnflag", {c: 2 for c in cols})
+    return group_means(li, "l_returnflag", {c: 2 for c in cols}, scale={c: 2 for c in cols})
 
 
 def _orders_with_gaps(spark, d) -> DataFrame:
@@ -220,7 +220,8 @@ def _orders_with_gaps(spark, d) -> DataFrame:
 
 
 def impute_group_mean_q(spark, d):
-    return impute_group_mean(_orders_with_gaps(spark, d), "o_orderpriority", {"o_totalprice": 2})
+    return impute_group_mean(_orders_with_gaps(spark, d), "o_orderpriority", {"o_totalprice": 2},
+                             scale={"o_totalprice": 2})
 
 
 def impute_group_mean_joined(spark, d):
@@ -310,8 +311,8 @@ def _per_nation_mean(spark, d, fact: str, key: str, value: str, name_as: str, va
     f = table(spark, d, fact)
     n = table(spark, d, "nation")
     j = f.join(n, f[key] == n["n_nationkey"], "inner")
-    return j.groupBy(F.col("n_name").alias(name_as)).agg(
-        mean_expr(value, 2, dtype=f.schema[value].dataType).alias(value_as))
+    means = group_means(j, "n_name", {value: 2}, prefix="mean_", scale={value: 2})
+    return means.select(F.col("n_name").alias(name_as), F.col("mean_" + value).alias(value_as))
 
 
 def report_lookup(spark, d):
@@ -340,7 +341,7 @@ def _group_avg(qt):
 def _group_avg_join(qt):
     def q(spark, d):
         return reports.best_group_joined(table(spark, d, "supplier"), table(spark, d, "nation"),
-                                         ("s_nationkey", "n_nationkey"), "n_name", "s_acctbal", qt)
+                                         ("s_nationkey", "n_nationkey"), "n_name", "s_acctbal", qt, scale=2)
     return q
 
 
@@ -348,7 +349,7 @@ def report_group_avg_join_top3(spark, d):
     """Top-k variant of the joined report: the three nations with the highest mean."""
     return reports.best_group_joined(table(spark, d, "supplier"), table(spark, d, "nation"),
                                      ("s_nationkey", "n_nationkey"), "n_name", "s_acctbal",
-                                     "highest", k=3)
+                                     "highest", scale=2, k=3)
 
 
 def flagship(spark, d):

@@ -96,12 +96,40 @@ def test_pre_aggregation_chosen_by_planner_size_check(spark, tmp_path):
     dims = spark.read.parquet(str(tmp_path / "dims"))  # file size known to the planner
     small = reports.best_group_joined(facts, dims, ("country", "ucountry"), "sub_region", "s",
                                       "highest")
-    assert "__w" not in small._jdf.queryExecution().optimizedPlan().toString()
+    assert "AS __k" not in small._jdf.queryExecution().optimizedPlan().toString()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         big = reports.best_group_joined(facts, dims, ("country", "ucountry"), "sub_region", "s",
                                         "highest")
-        assert "__w" in big._jdf.queryExecution().optimizedPlan().toString()
+        assert "AS __k" in big._jdf.queryExecution().optimizedPlan().toString()
         assert rows(big) == rows(small) == [("r2", 3.0, "highest")]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("values", [[1e-12, 9e-12, 5e-12], [1e19, 3e19, 2e19], [float("nan"), 2.0, 1.0]])
+def test_both_ways_to_join_agree_on_hostile_values(spark, values):
+    facts = spark.createDataFrame([(i % 3, v) for i, v in enumerate(values * 2)], "k int, v double")
+    groups = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c"), (2, "c2")], "k2 int, g string")
+    ways = [rows(reports.best_group_joined(facts, groups, ("k", "k2"), "g", "v", "highest", digits=None, pre_aggregate=p)) for p in (True, False)]
+    assert ways[0] == ways[1] and ways[0][0][0] == "b"
+
+
+def test_unmatched_keys_never_fail_a_report(spark):
+    big = 7_000_000_000_000_000_000
+    facts = spark.createDataFrame([(1, 4), (9, big), (9, big)], "k int, v bigint")
+    groups = spark.createDataFrame([(1, "a")], "k2 int, g string")
+    for p in (True, False):
+        assert rows(reports.best_group_joined(facts, groups, ("k", "k2"), "g", "v", "highest", pre_aggregate=p)) == [("a", 4.0, "highest")]
+
+
+def test_nan_is_never_the_extreme(spark):
+    df = spark.createDataFrame([("a", float("nan")), ("b", 1.0)], "country string, internet_users double")
+    for qt in ("highest", "lowest"):
+        assert reports.extreme_row(df, "country", "internet_users", qt).first()["country"] == "b"
+
+
+def test_lookup_of_a_value_that_fills_both_sides(spark):
+    left = spark.range(500).selectExpr("'x' AS name", "id % 3 AS p")
+    right = spark.range(500).selectExpr("'x' AS country", "id % 2 AS s")
+    assert rows(reports.lookup(left, right, "name", "country", "x", {"c": "name", "p": "p", "s": "s"})) == [("x", 0, 0)]
