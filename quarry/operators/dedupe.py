@@ -21,16 +21,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, MapType, StringType
 
 _RN = "__rn"
 
 
-def keep_first(df: DataFrame, key, order_by=(), descending=()) -> DataFrame:
+def _sortable(df: DataFrame, name: str):
+    """What a column is ordered by: itself, or a map's entries in key order."""
+    dtype = df.schema[name].dataType
+    if isinstance(dtype, MapType):
+        return F.array_sort(F.map_entries(name))
+    if "map<" in dtype.simpleString():
+        raise ValueError(f"column {name!r} holds maps inside {dtype.simpleString()}, which have no order; "
+                         "name the columns to order by and set unique_order=True")
+    return F.col(name)
+
+
+def keep_first(df: DataFrame, key, order_by=(), descending=(), unique_order: bool = False) -> DataFrame:
     """One row per ``key``: the first under ``order_by`` then the remaining columns.
 
     Every column sorts ascending with NULLs last (a complete row wins over one
-    with gaps); columns in ``descending`` sort descending, still NULLs last.
-    The output has the input's columns in its order.
+    with gaps); columns in ``descending`` sort descending, still NULLs last. Maps are
+    ordered by their sorted entries. ``unique_order=True`` states that ``order_by`` never
+    ties within a key, so that the other columns need not be sorted. Text keys are
+    compared by a 64-bit hash first, then by the text. The output has the input's columns
+    in its order.
     """
     key = [key] if isinstance(key, str) else list(key)
     order_by = [order_by] if isinstance(order_by, str) else list(order_by)
@@ -39,18 +54,22 @@ def keep_first(df: DataFrame, key, order_by=(), descending=()) -> DataFrame:
     for name in key + order_by + sorted(descending):
         if name not in cols:
             raise ValueError(f"unknown column {name!r}")
-    rest = [c for c in cols if c not in key and c not in order_by]
+    if unique_order and not order_by:
+        raise ValueError("unique_order needs order_by")
+    rest = [] if unique_order else [c for c in cols if c not in key and c not in order_by]
     ordered = [c for c in order_by if c not in key] + rest
     if not ordered:
         return df.select(*key).distinct()
-    sort = [F.col(c).desc_nulls_last() if c in descending else F.col(c).asc_nulls_last()
+    sort = [_sortable(df, c).desc_nulls_last() if c in descending else _sortable(df, c).asc_nulls_last()
             for c in ordered]
-    w = Window.partitionBy(*key).orderBy(*sort)
+    texts = [c for c in key if isinstance(df.schema[c].dataType, (StringType, BinaryType))]
+    first = [F.xxhash64(*texts)] if texts else []
+    w = Window.partitionBy(*first, *key).orderBy(*sort)
     return df.withColumn(_RN, F.row_number().over(w)).where(F.col(_RN) == 1).drop(_RN)
 
 
-def keep_first_each(df: DataFrame, keys, order_by=(), descending=()) -> DataFrame:
+def keep_first_each(df: DataFrame, keys, order_by=(), descending=(), unique_order: bool = False) -> DataFrame:
     """Apply :func:`keep_first` for each key in turn (each on the survivors of the last)."""
     for k in keys:
-        df = keep_first(df, k, order_by, descending)
+        df = keep_first(df, k, order_by, descending, unique_order)
     return df

@@ -9,6 +9,9 @@ Two comparison rules:
   target != source``. NULL on both sides counts as a change every time, and a
   source NULL against a target value is never seen.
 
+Keys are compared null-safe: a NULL key is a key like any other, and occurs at most
+once per side (see :func:`assert_unique`).
+
 The join is a left outer join on the key. Both sides can be large, so it is a
 shuffle join chosen by the planner (AQE turns it into a broadcast join only
 when the target turns out to be small at run time).
@@ -47,21 +50,44 @@ def assert_unique(df: DataFrame, key, what: str = "table") -> None:
 
 
 def assert_unique_sides(sides: dict, key) -> None:
-    """:func:`assert_unique` for several frames in one job (keys tagged by side)."""
-    key = [key] if isinstance(key, str) else list(key)
-    tagged = None
+    """:func:`assert_unique` for several frames, naming every side that fails.
+
+    Each side is grouped on its own: a table bucketed by the key is counted bucket by
+    bucket, without a shuffle."""
+    failed = []
     for name, df in sides.items():
-        part = df.select(F.lit(name).alias("__side"), *key)
-        tagged = part if tagged is None else tagged.unionByName(part)
-    dups = (tagged.groupBy("__side", *key).agg(F.count(F.lit(1)).alias("n"))
-                  .where(F.col("n") > 1)
-                  .groupBy("__side").agg(F.count(F.lit(1)).alias("keys"),
-                                         F.sum("n").alias("rows"))
-                  .collect())
-    if dups:
-        msg = "; ".join(f"{r['__side']}: {r['keys']} key values repeat, covering {r['rows']} rows"
-                        for r in sorted(dups, key=lambda r: r["__side"]))
-        raise DuplicateKeyError(msg)
+        try:
+            assert_unique(df, key, name)
+        except DuplicateKeyError as e:
+            failed.append(str(e))
+    if failed:
+        raise DuplicateKeyError("; ".join(failed))
+
+
+def join_by_key(left: DataFrame, right: DataFrame, key, how: str) -> DataFrame:
+    """``left`` joined to ``right``, whose key columns are named ``__t_`` + key, with NULL
+    equal to NULL.
+
+    Rows with a whole key are joined by plain equality, which a table bucketed by the key
+    serves without a shuffle; null-safe equality would not be. The rows with a NULL in
+    their key are joined on their own; the scans skip to them by file statistics.
+    """
+    def gap(df, names):
+        return any_of([df[n].isNull() for n in names])
+
+    far = [_T + k for k in key]
+    whole_l, whole_r = left.where(~gap(left, key)), right.where(~gap(right, far))
+    whole = whole_l.join(whole_r, [whole_l[k] == whole_r[_T + k] for k in key], how)
+    if not any(left.schema[k].nullable for k in key):
+        return whole
+    part_l, part_r = left.where(gap(left, key)), right.where(gap(right, far))
+    return whole.unionByName(part_l.join(part_r, [part_l[k].eqNullSafe(part_r[_T + k]) for k in key], how))
+
+
+def missing_keys(target: DataFrame, source: DataFrame, key) -> DataFrame:
+    """Keys of the target that the source does not have (deletions)."""
+    key = [key] if isinstance(key, str) else list(key)
+    return join_by_key(target.select(*key), source.select(*[F.col(k).alias(_T + k) for k in key]), key, "left_anti")
 
 
 def changed_rows(source: DataFrame, target: DataFrame, key, columns=None,
@@ -77,16 +103,14 @@ def changed_rows(source: DataFrame, target: DataFrame, key, columns=None,
         if c not in source.columns or c not in target.columns:
             raise ValueError(f"column {c!r} must exist in source and target")
 
-    t = target.select(*key, *[F.col(c).alias(_T + c) for c in columns],
-                      F.lit(True).alias(_PRESENT))
-    j = source.select(*key, *columns).join(t, on=key, how="left")
+    t = target.select(*[F.col(c).alias(_T + c) for c in key + columns], F.lit(True).alias(_PRESENT))
+    j = join_by_key(source.select(*key, *columns), t, key, "left")
     if rule == "null_safe":
         changed = F.col(_PRESENT).isNull() | any_of(
             [~F.col(c).eqNullSafe(F.col(_T + c)) for c in columns])
     else:
-        changed = any_of([F.col(_T + c).isNull() | (F.col(_T + c) != F.col(c))
-                          for c in columns])
-        changed = F.coalesce(changed, F.lit(False))
+        changed = F.col(_PRESENT).isNull() | F.coalesce(any_of(
+            [F.col(_T + c).isNull() | (F.col(_T + c) != F.col(c)) for c in columns]), F.lit(False))
     return j.where(changed).select(*key, *columns)
 
 
@@ -104,5 +128,5 @@ def upsert_rows(target: DataFrame, delta: DataFrame, key, columns,
         if source is None:
             raise ValueError("keep_missing=False needs the whole source")
         return source.select(*cols)
-    kept = target.select(*cols).join(delta.select(*key), on=key, how="left_anti")
+    kept = join_by_key(target.select(*cols), delta.select(*[F.col(k).alias(_T + k) for k in key]), key, "left_anti")
     return kept.unionByName(delta.select(*cols))

@@ -8,12 +8,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 from quarry.session import staging_path
 
-# Largest side ever broadcast by these helpers: rows, and bytes of its Parquet files.
+# Largest side ever broadcast by these helpers: rows, and bytes of the rows in memory.
 DEFAULT_BROADCAST_ROWS = 1_000_000
-DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 @dataclass
@@ -21,6 +22,7 @@ class Staged:
     df: DataFrame
     path: str
     written: int | None = None
+    memory: int | None = None
 
     def rows(self) -> int:
         """Row count: observed while writing, else from the Parquet footers."""
@@ -33,10 +35,35 @@ class Staged:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
     def bytes(self) -> int:
-        spark = self.df.sparkSession
-        p = spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-        return int(fs.getContentSummary(p).getLength())
+        """Bytes of the rows in memory: observed while writing, else measured in one pass."""
+        if self.memory is None:
+            self.memory = int(self.df.agg(_row_bytes(self.df).alias("b")).first()["b"] or 0)
+        return self.memory
+
+
+def _row_bytes(df: DataFrame):
+    """Sum over all rows of their size as Spark keeps them: a header, eight bytes for a
+    field, and the bytes of strings, binaries and (as JSON text) arrays and maps."""
+    def size(column, dtype):
+        if isinstance(dtype, (StringType, BinaryType)):
+            return F.coalesce(F.octet_length(column), F.lit(0)) + 8
+        if isinstance(dtype, StructType):
+            total = F.lit(16)
+            for f in dtype:
+                total = total + size(column[f.name], f.dataType)
+            return total
+        if isinstance(dtype, (ArrayType, MapType)):
+            return F.coalesce(F.octet_length(F.to_json(column)), F.lit(0)) + 16
+        return F.lit(8)
+
+    total = F.lit(16).cast("long")
+    for f in df.schema:
+        total = total + size(_name(f.name), f.dataType)
+    return F.sum(total)
+
+
+def _name(column: str):
+    return F.col("`" + column.replace("`", "``") + "`")
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -61,8 +88,10 @@ def stage(df: DataFrame, name: str) -> Staged:
     spark = df.sparkSession
     path = staging_path(spark, name)
     obs = Observation(f"stage-{name}-{uuid.uuid4().hex[:8]}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
-    return Staged(spark.read.parquet(path), path, int(obs.get["rows"]))
+    seen = df.observe(obs, F.count(F.lit(1)).alias("rows"), _row_bytes(df).alias("bytes"))
+    seen.write.mode("errorifexists").parquet(path)
+    got = obs.get
+    return Staged(spark.read.parquet(path), path, int(got["rows"]), int(got["bytes"] or 0))
 
 
 def broadcast_if_small(staged: Staged, max_rows: int = DEFAULT_BROADCAST_ROWS,

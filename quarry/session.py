@@ -83,12 +83,6 @@ def qualify(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(p).toString()
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 def env_int(name: str, default: int) -> int:
     try:
         return int(os.environ.get(name, default))

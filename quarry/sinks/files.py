@@ -5,12 +5,14 @@ Rules:
 1. Never write to a location the plan still reads. Spark deletes the old files
    before its tasks read them, so a plan that reads its own target loses the
    table. :func:`assert_not_reading` refuses such a write before anything is
-   deleted.
-2. An update computes the change set once and stages it in the shared folder;
+   deleted. It compares the root paths of the analysed plan, below cached frames too.
+2. An overwrite writes the new rows to a folder beside the table and swaps the
+   two by renaming once all rows are there; a job that fails leaves the old table.
+3. An update computes the change set once and stages it in the shared folder;
    the count and the write both use the staged rows, so the delta is not
    computed twice and cannot differ between the two. The staged delta is
    deleted once the new table is written.
-3. The merged table is written to a new location; the caller repoints readers
+4. The merged table is written to a new location; the caller repoints readers
    to it (catalog ``ALTER TABLE ... SET LOCATION``, or a path in the job's
    configuration). The old version stays readable until then.
 """
@@ -24,7 +26,7 @@ from urllib.parse import unquote, urlsplit
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from quarry.operators.delta import assert_unique_sides, changed_rows, upsert_rows
+from quarry.operators.delta import assert_unique_sides, changed_rows, missing_keys, upsert_rows
 from quarry.operators.staging import stage
 from quarry.session import qualify
 from quarry.specs import InsertMode, JobResult
@@ -40,31 +42,82 @@ def _uri_key(uri: str) -> tuple[str, str, str]:
     return parts.scheme or "file", parts.netloc, path.rstrip("/") + "/"
 
 
+def root_paths(df: DataFrame) -> set[str]:
+    """The folders and files that the frame's relations were opened on, its subqueries'
+    included: a few per relation, however many files they hold."""
+    out, plans = set(), [df._jdf.queryExecution().analyzed()]
+    while plans:
+        plan = plans.pop()
+        below = plan.subqueriesAll()
+        plans += [below.apply(i) for i in range(below.size())]
+        leaves = plan.collectLeaves()
+        for i in range(leaves.size()):
+            leaf = leaves.apply(i)
+            if leaf.getClass().getSimpleName() != "LogicalRelation":
+                continue
+            relation = leaf.relation()
+            if relation.getClass().getSimpleName() == "HadoopFsRelation":
+                roots = relation.location().rootPaths()
+                out |= {roots.apply(j).toString() for j in range(roots.size())}
+    return out
+
+
 def assert_not_reading(df: DataFrame, path: str) -> None:
-    """Refuse to write ``df`` to ``path`` if ``df`` reads any file below ``path``.
+    """Refuse to write ``df`` to ``path`` if ``df`` reads from it, below it or above it."""
+    spark = df.sparkSession
+    scheme, netloc, target = _uri_key(qualify(spark, path))
+    for root in sorted(root_paths(df)):
+        s, n, p = _uri_key(qualify(spark, root))
+        if (s, n) == (scheme, netloc) and (p.startswith(target) or target.startswith(p)):
+            raise OwnInputError(f"refusing to write to {path}: the plan reads {root}")
+
+
+def swap(spark, new: str, path: str) -> None:
+    """Put the folder ``new`` in the place of ``path``; the old one is deleted last."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    to = jvm.org.apache.hadoop.fs.Path(path)
+    fs, old = to.getFileSystem(conf), jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}__old_{uuid.uuid4().hex[:8]}")
+    had = fs.exists(to)
+    if had and not fs.rename(to, old):
+        raise OSError(f"cannot move {path} aside; the new rows are in {new}")
+    if not fs.rename(jvm.org.apache.hadoop.fs.Path(new), to):
+        if had:
+            fs.rename(old, to)
+        raise OSError(f"cannot move {new} to {path}")
+    if had:
+        fs.delete(old, True)
+
+
+class EmptyResultError(ValueError):
+    pass
 
-    The target is qualified once through Hadoop; the plan's input files (already
-    qualified URIs, possibly millions) are compared as normalised strings.
-    """
-    scheme, netloc, prefix = _uri_key(qualify(df.sparkSession, path))
-    for f in df.inputFiles():
-        s, n, p = _uri_key(f)
-        if s == scheme and n == netloc and p.startswith(prefix):
-            raise OwnInputError(f"refusing to write to {path}: the plan reads {f}")
 
+def write_overwrite(df: DataFrame, path: str, partition_by=None, allow_empty: bool = True) -> JobResult:
+    """Replace the table at ``path``; counts come from an observed metric.
 
-def write_overwrite(df: DataFrame, path: str, partition_by=None) -> JobResult:
-    """Replace the table at ``path``; counts come from an observed metric."""
+    With ``allow_empty=False``, no rows leave the old table and raise."""
     assert_not_reading(df, path)
+    spark, new = df.sparkSession, f"{path.rstrip('/')}__new_{uuid.uuid4().hex[:8]}"
     obs = Observation(f"overwrite-{uuid.uuid4().hex[:8]}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    w = observed.write.mode("overwrite")
+    w = observed.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    n = int(obs.get["rows"])
-    return JobResult(mode=InsertMode.OVERWRITE.value, target=path,
-                     rows_read=n, rows_written=n, wrote=True)
+    try:
+        w.parquet(new)
+        n = int(obs.get["rows"])
+        if not n and not allow_empty:
+            raise EmptyResultError(f"no rows to write to {path}; the table stays as it is")
+    except Exception:
+        discard(spark, new)
+        raise
+    swap(spark, new, path)
+    return JobResult(mode=InsertMode.OVERWRITE.value, target=path, rows_written=n, wrote=True)
+
+
+def discard(spark, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
@@ -77,7 +130,9 @@ def write_update(source: DataFrame, target: DataFrame, key, columns, out_path: s
     """Apply new and changed source rows to ``target``; write the result to ``out_path``.
 
     Nothing is written when the change set is empty (``wrote=False``,
-    ``rows_written=0``). ``rows_written`` counts the added or modified rows.
+    ``rows_written=0``). ``rows_written`` counts the added or modified rows. With
+    ``keep_missing=False``, rows whose key the source lacks are a change too: they go, and
+    ``details["rows_removed"]`` counts them.
     ``writer(df, path)`` writes the merged table (plain Parquet by default).
     """
     key = [key] if isinstance(key, str) else list(key)
@@ -89,7 +144,11 @@ def write_update(source: DataFrame, target: DataFrame, key, columns, out_path: s
     delta = stage(changed_rows(source, target, key, columns, rule), "delta")
     n = delta.rows()
     result = JobResult(mode=InsertMode.UPDATE.value, target=out_path, rows_written=n)
-    if n:
+    removed = 0
+    if not keep_missing:
+        removed = missing_keys(target, source, key).count()
+        result.details["rows_removed"] = removed
+    if n or removed:
         merged = upsert_rows(target, delta.df, key, columns, keep_missing, source)
         writer(merged, out_path)
         result.wrote = True

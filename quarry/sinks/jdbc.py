@@ -26,18 +26,27 @@ import uuid
 
 from pyspark.sql import DataFrame
 
-from quarry.operators.delta import assert_unique_sides, changed_rows
+from quarry.operators.delta import assert_unique_sides, changed_rows, missing_keys
 from quarry.operators.staging import stage
+from quarry.sinks.files import EmptyResultError
 from quarry.specs import InsertMode, JobResult
 
 
 def write_overwrite(df: DataFrame, url: str, table: str, properties: dict,
-                    batch_size: int = 10_000, num_partitions: int | None = None) -> JobResult:
-    """Replace the rows of an existing ``table`` (definition and grants kept)."""
+                    batch_size: int = 10_000, num_partitions: int | None = None,
+                    allow_empty: bool = True) -> JobResult:
+    """Replace the rows of ``table``, keeping its definition and grants; a table that does not
+    exist is created with the frame's columns. No rows leave the table as it is, unless
+    ``allow_empty``."""
     frozen = stage(df, "jdbc-overwrite")
     n = frozen.rows()
+    if not n and not allow_empty:
+        frozen.drop()
+        raise EmptyResultError(f"no rows to write to {table}; the table stays as it is")
     staging = _load_staging(frozen.df, n, url, table, properties, batch_size, num_partitions)
     cols = ", ".join(_quote(c) for c in df.columns)
+    if not _table_exists(df.sparkSession, url, properties, table):
+        df.limit(0).write.jdbc(url, table, mode="errorifexists", properties=dict(properties))
     _run_transaction(df.sparkSession, url, properties, [
         f"DELETE FROM {table}",
         f"INSERT INTO {table} ({cols}) SELECT {cols} FROM {staging}",
@@ -70,7 +79,8 @@ def merge_statements(table: str, staging: str, key, columns, keep_missing: bool
     """SQL applying ``staging`` to ``table`` (portable DELETE + INSERT)."""
     key = list(key)
     cols = key + [c for c in columns if c not in key]
-    match = " AND ".join(f"t.{_quote(k)} = s.{_quote(k)}" for k in key)
+    # A NULL key is a key (portable spelling of null-safe equality).
+    match = " AND ".join(f"(t.{_quote(k)} = s.{_quote(k)} OR (t.{_quote(k)} IS NULL AND s.{_quote(k)} IS NULL))" for k in key)
     col_list = ", ".join(_quote(c) for c in cols)
     if keep_missing:
         delete = (f"DELETE FROM {table} t WHERE EXISTS "
@@ -91,7 +101,12 @@ def write_update(source: DataFrame, target: DataFrame, url: str, table: str,
     frozen = stage(changed_rows(source, target, key, columns, rule), "jdbc-delta")
     n = frozen.rows()
     result = JobResult(mode=InsertMode.UPDATE.value, target=table, rows_written=n)
-    if n == 0:
+    removed = 0
+    if not keep_missing:
+        removed = missing_keys(target, source, key).count()
+        result.details["rows_removed"] = removed
+    if not n and not removed:
+        frozen.drop()
         return result
     if keep_missing:
         rows, expected = frozen.df, n
@@ -129,6 +144,17 @@ def _query_scalar(spark, url: str, properties: dict, sql: str) -> int:
         conn.close()
 
 
+def _table_exists(spark, url: str, properties: dict, table: str) -> bool:
+    conn = _connect(spark, url, properties)
+    try:
+        conn.createStatement().executeQuery(f"SELECT 1 FROM {table} WHERE 1 = 0")
+        return True
+    except Exception:  # the driver's own error for an unknown table
+        return False
+    finally:
+        conn.close()
+
+
 def _run_transaction(spark, url: str, properties: dict, statements) -> None:
     conn = _connect(spark, url, properties)
     try:

@@ -13,9 +13,9 @@ key. Writes never touch the folder readers currently use:
 Bucketing (``buckets=B``): every version is written hash-partitioned by the
 key into B buckets, one sorted file per bucket. Later change-set joins and
 anti-joins against the table then shuffle only the incoming side; the table
-side is read bucket by bucket without an exchange. Keys are unique (checked
-before every update), so no bucket can hold a hot key. New versions keep the
-table's bucket spec.
+side is read bucket by bucket without an exchange, for the key check as well. Keys are
+unique (checked before every update), so no bucket can hold a hot key. New versions keep
+the table's bucket spec.
 
 Old versions stay on storage for readers still planning against them;
 removing them is a retention decision left to the operator.
@@ -26,9 +26,10 @@ from __future__ import annotations
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from quarry.sinks.files import write_overwrite, write_parquet, write_update
+from quarry.sinks.files import EmptyResultError, discard, write_overwrite, write_parquet, write_update
 from quarry.specs import JobResult
 
 
@@ -113,16 +114,17 @@ def create_table(df: DataFrame, name: str, path: str, buckets: int | None = None
     return res
 
 
-def overwrite_table(df: DataFrame, name: str) -> JobResult:
+def overwrite_table(df: DataFrame, name: str, allow_empty: bool = True) -> JobResult:
     """Replace the rows of ``name`` with ``df`` (new version, then repoint)."""
     spark = df.sparkSession
     path = next_version(table_location(spark, name), name)
-    writer = _writer_for(spark, name)
-    if writer is write_parquet:
-        res = write_overwrite(df, path)
-    else:
-        writer(df, path)
-        res = JobResult(mode="overwrite", target=name, wrote=True)
+    obs = Observation(f"table-{uuid.uuid4().hex[:8]}")
+    _writer_for(spark, name)(df.observe(obs, F.count(F.lit(1)).alias("rows")), path)
+    n = int(obs.get["rows"])
+    if not n and not allow_empty:
+        discard(spark, path)
+        raise EmptyResultError(f"no rows to write to {name}; the table stays as it is")
+    res = JobResult(mode="overwrite", target=name, rows_written=n, wrote=True)
     _repoint(spark, name, path)
     res.target = name
     res.details["location"] = path

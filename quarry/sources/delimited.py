@@ -1,6 +1,6 @@
 """Delimited text lines to rows, split on the executors.
 
-A payload is a set of text lines; the header line names the fields. Each line
+A payload is a list of text lines; its first is the header. Each line
 is split on every delimiter (quotes are not special in ``strict`` mode), and
 only lines with exactly the expected number of fields are kept. A trailing
 empty field counts as a field. Lines with another count are returned as
@@ -37,7 +37,8 @@ def parse_lines(lines: DataFrame, names, delimiter: str = ",", header: str | Non
     """Rows of string columns ``names`` from a DataFrame of text lines.
 
     ``header``: the header line text; lines equal to it are skipped (files
-    landed in several parts each start with it).
+    landed in several parts each start with it). Payloads whose header text is not known
+    are read by :func:`read_payloads`, which skips it by position.
     """
     names = list(names)
     n = len(names)
@@ -71,6 +72,19 @@ def read_lines(spark: SparkSession, path, names, delimiter: str = ",",
     return parse_lines(spark.read.text(path), names, delimiter, header, "value", **kw)
 
 
+def payload_lines(payloads: DataFrame, column: str = "value") -> DataFrame:
+    """The data lines of payloads: each is a JSON array of lines whose first element is the
+    header, whatever its text, and is left out by its position. Line breaks inside an
+    element stay. A payload is one response, so its array is bounded."""
+    each = payloads.select(F.posexplode(F.from_json(F.col(column), "array<string>")).alias("__pos", "value"))
+    return each.where("__pos > 0").select("value")
+
+
+def read_payloads(spark: SparkSession, path, names, delimiter: str = ",", whole_files: bool = False, **kw):
+    """Landed payloads, one JSON array per line (or per file), parsed by :func:`parse_lines`."""
+    return parse_lines(payload_lines(spark.read.text(path, wholetext=whole_files)), names, delimiter, **kw)
+
+
 def _re(delimiter: str) -> str:
     import re
     return re.escape(delimiter)

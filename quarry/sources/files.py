@@ -1,4 +1,4 @@
-"""File sources: CSV with a header, JSON documents, Parquet."""
+"""File sources: CSV with a header, JSON documents."""
 
 from __future__ import annotations
 
@@ -7,21 +7,33 @@ from pyspark.sql.types import StructType
 
 
 def read_csv(spark: SparkSession, path, schema: StructType | str | None = None,
-             header: bool = True, infer: bool = False, **options) -> DataFrame:
+             header: bool = True, infer: bool = False, extra: bool = False, **options) -> DataFrame:
     """CSV with a header row.
 
-    Give ``schema`` whenever the columns are known: inference costs an extra
-    pass over the whole input before the job starts. With a schema, the
-    header row is skipped and columns are taken by position.
+    With a ``schema``, its columns are found by their header names, in any order, and cast
+    (text that is no value of the type becomes NULL); a column that the file lacks is an
+    error. Files whose headers differ from the first one's are refused by the reader.
+    ``extra=True`` keeps the file's other columns, as text, after those of the schema.
+    Without a schema all columns are text, or inferred (an extra pass over the input).
+    Without a header, columns are taken by position.
     """
-    r = spark.read.option("header", header)
-    if schema is not None:
-        r = r.schema(schema)
-    elif infer:
-        r = r.option("inferSchema", True)
-    for k, v in options.items():
-        r = r.option(k, v)
-    return r.csv(path)
+    r = spark.read.options(header=header, enforceSchema=False, **options)
+    if schema is None:
+        return r.option("inferSchema", infer).csv(path)
+    if not header:
+        return r.schema(schema).csv(path)
+    wanted = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    text = r.csv(path)
+    missing = [f.name for f in wanted if f.name not in text.columns]
+    if missing:
+        raise ValueError(f"{path}: no column {missing} in the header {text.columns}")
+    names = set(wanted.names)
+    more = [text[_quoted(c)] for c in text.columns if extra and c not in names]
+    return text.select(*[text[_quoted(f.name)].try_cast(f.dataType).alias(f.name) for f in wanted], *more)
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def read_documents(spark: SparkSession, path=None, schema: StructType | str | None = None,
@@ -40,7 +52,3 @@ def read_documents(spark: SparkSession, path=None, schema: StructType | str | No
     for k, v in options.items():
         r = r.option(k, v)
     return r.load(path) if path is not None else r.load()
-
-
-def read_parquet(spark: SparkSession, path) -> DataFrame:
-    return spark.read.parquet(path)

@@ -45,13 +45,9 @@ class QueryType(str, Enum):
             return cls(value)
         except ValueError:
             raise ValueError(
-                f'wrong query type {value!r}; it should be either "lowest" or "highest"'
+                f"a report ranks by lowest or highest, not by {value!r}"
             ) from None
 
-    @classmethod
-    def is_valid(cls, value) -> bool:
-        return any(value == m.value for m in cls)
-
 
 @dataclass(frozen=True)
 class TableSpec:
@@ -70,14 +66,10 @@ class TableSpec:
         if len(set(self.columns)) != len(self.columns):
             raise ValueError(f"table {self.name}: repeated column names")
 
-    @property
-    def value_columns(self) -> tuple[str, ...]:
-        return tuple(c for c in self.columns if c not in self.key)
-
 
 @dataclass
 class JobResult:
-    """What a job or sink did. Counts come from observed metrics, not extra passes."""
+    """What a job or sink did. ``rows_read`` and ``rows_rejected`` are None where not counted."""
 
     mode: str
     target: str

@@ -45,7 +45,7 @@ def test_delimited_job_update_from_the_command_line(spark, tmp_path, capsys):
 def test_merge_statements_are_set_based():
     d, i = merge_statements("public.t", "public.t__stage", ["k"], ["k", "v"])
     assert d == ('DELETE FROM public.t t WHERE EXISTS (SELECT 1 FROM public.t__stage s '
-                 'WHERE t."k" = s."k")')
+                 'WHERE (t."k" = s."k" OR (t."k" IS NULL AND s."k" IS NULL)))')
     assert i == 'INSERT INTO public.t ("k", "v") SELECT "k", "v" FROM public.t__stage'
     d2, _ = merge_statements("t", "s", ["k"], ["k", "v"], keep_missing=False)
     assert d2 == "DELETE FROM t"

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -73,3 +74,22 @@ def brute_force(data):
 def test_matches_brute_force(spark, data, parts):
     df = spark.createDataFrame(data, "k string, v int, w string").repartition(parts)
     assert rows(keep_first(df, "k")) == brute_force(data)
+
+
+def test_map_columns_are_ordered_by_their_entries(spark):
+    df = spark.sql("SELECT * FROM VALUES ('A', map('y', 2)), ('A', map('x', 9, 'y', 1)) AS t(k, m)")
+    assert keep_first(df, "k").first()["m"] == {"x": 9, "y": 1}
+    nested = spark.sql("SELECT 'A' AS k, array(map('x', 1)) AS m, 1 AS o")
+    with pytest.raises(ValueError, match="no order"):
+        keep_first(nested, "k")
+    assert keep_first(nested, "k", order_by="o", unique_order=True).count() == 1
+
+
+def test_unique_order_sorts_only_the_stated_columns(spark):
+    df = spark.createDataFrame([("A", 2, "long text"), ("A", 1, "other")], "k string, o int, v string")
+    out = keep_first(df, "k", order_by="o", unique_order=True)
+    assert rows(out) == [("A", 1, "other")]
+    sorts = [x for x in out._jdf.queryExecution().executedPlan().toString().split("\n") if " Sort [" in x]
+    assert sorts and all("v#" not in x for x in sorts)
+    with pytest.raises(ValueError):
+        keep_first(df, "k", unique_order=True)

@@ -53,3 +53,18 @@ def test_unique_check_for_both_sides_in_one_job(spark):
     assert_unique_sides({"source": s}, "k")
     with pytest.raises(DuplicateKeyError, match="target: 2 key values repeat, covering 4 rows"):
         assert_unique_sides({"source": s, "target": t}, "k")
+
+
+def test_null_keys_equal_null_keys(spark):
+    s = spark.createDataFrame([(None, "a"), (1, None), (2, "b")], SCHEMA)
+    assert changed_rows(s, s, "k").isEmpty()
+    t = spark.createDataFrame([(None, "z"), (1, None)], SCHEMA)
+    assert rows(changed_rows(s, t, "k")) == [(None, "a"), (2, "b")]
+    with pytest.raises(DuplicateKeyError, match="covering 2 rows"):
+        assert_unique(s.union(spark.createDataFrame([(None, "c")], SCHEMA)), "k")
+
+
+def test_tables_of_keys_only_find_new_rows(spark):
+    s, t = spark.createDataFrame([(1,), (2,), (None,)], "k int"), spark.createDataFrame([(1,)], "k int")
+    for rule in ("null_safe", "null_as_changed"):
+        assert rows(changed_rows(s, t, "k", rule=rule)) == [(None,), (2,)]

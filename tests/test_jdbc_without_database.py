@@ -32,6 +32,7 @@ def fake_db(monkeypatch):
     monkeypatch.setattr(DataFrameWriter, "jdbc", fake_jdbc)
     monkeypatch.setattr(jdbc, "_query_scalar", fake_count)
     monkeypatch.setattr(jdbc, "_run_transaction", fake_tx)
+    monkeypatch.setattr(jdbc, "_table_exists", lambda spark, url, properties, table: table not in db.get("absent", ()))
     return db
 
 
@@ -73,6 +74,22 @@ def test_replace_mode_and_overwrite(spark, fake_db):
     assert res.rows_written == 1 and fake_db["statements"][-1][0] == "DELETE FROM public.p"
 
 
+def test_overwrite_creates_an_absent_table_and_refuses_an_empty_result(spark, fake_db):
+    s = spark.createDataFrame([(1, "b")], SCHEMA)
+    fake_db["absent"] = {"public.new"}
+    jdbc.write_overwrite(s, "jdbc:x", "public.new", PROPS)
+    assert fake_db["tables"]["public.new"] == []  # created without rows; the transaction fills it
+    assert fake_db["statements"][-1][1].startswith("INSERT INTO public.new")
+    with pytest.raises(jdbc.EmptyResultError):
+        jdbc.write_overwrite(s.limit(0), "jdbc:x", "public.p", PROPS, allow_empty=False)
+
+
+def test_replace_mode_sends_deletions_alone(spark, fake_db):
+    t = spark.createDataFrame([(1, "a"), (9, "t")], SCHEMA)
+    res = jdbc.write_update(t.where("k = 1"), t, "jdbc:x", "public.p", PROPS, "k", ["k", "v"], keep_missing=False)
+    assert res.wrote and res.details["rows_removed"] == 1 and fake_db["statements"][-1][0] == "DELETE FROM public.p"
+
+
 def test_partitioned_read_needs_bounds(spark, monkeypatch):
     from pyspark.sql.readwriter import DataFrameReader
 

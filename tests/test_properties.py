@@ -8,7 +8,7 @@ from quarry.operators.delta import changed_rows, upsert_rows
 from tests.conftest import rows
 
 VAL = st.one_of(st.none(), st.sampled_from(["a", "b", "c"]))
-TABLE = st.dictionaries(st.integers(0, 12), st.tuples(VAL, st.one_of(st.none(), st.integers(0, 3))),
+TABLE = st.dictionaries(st.one_of(st.none(), st.integers(0, 12)), st.tuples(VAL, st.one_of(st.none(), st.integers(0, 3))),
                         max_size=10)
 SCHEMA = "k int, v string, w int"
 

@@ -2,7 +2,7 @@ import os
 
 import pytest
 
-from quarry.sinks.files import OwnInputError, write_overwrite, write_update
+from quarry.sinks.files import EmptyResultError, OwnInputError, write_overwrite, write_update
 from tests.conftest import rows
 
 SCHEMA = "k int, v string"
@@ -85,7 +85,7 @@ def test_catalog_table_versions(spark, tmp_path):
 
 
 def test_bucketed_table_keeps_its_layout_and_skips_the_target_shuffle(spark, tmp_path):
-    from quarry.operators.delta import changed_rows
+    from quarry.operators.delta import changed_rows, duplicate_keys
     from quarry.sinks.tables import bucket_spec, create_table, update_table
     name = "quarry_test_bucketed"
     t = spark.range(200).selectExpr("CAST(id AS INT) AS k", "CAST(id % 7 AS STRING) AS v")
@@ -95,7 +95,11 @@ def test_bucketed_table_keeps_its_layout_and_skips_the_target_shuffle(spark, tmp
     try:
         plan = changed_rows(s, spark.table(name), "k")._jdf.queryExecution() \
             .executedPlan().toString()
-        assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+        # one shuffle by the key, the source's (rows with a NULL key are joined apart)
+        assert plan.count("Exchange hashpartitioning(k#") == 1 and "Bucketed: true" in plan
+        # the target's key check counts bucket by bucket
+        check = duplicate_keys(spark.table(name), "k")._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in check
         res = update_table(s, name, "k", ["k", "v"])
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -103,3 +107,51 @@ def test_bucketed_table_keeps_its_layout_and_skips_the_target_shuffle(spark, tmp
     got = dict(rows(spark.table(name)))
     assert len(got) == 300 and got[150] == str(150 % 5) and got[50] == str(50 % 7)
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_failed_overwrite_keeps_the_old_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_overwrite(spark.createDataFrame([(1, "a")], SCHEMA), path)
+    bad = spark.range(4).selectExpr("CAST(id AS INT) AS k", "IF(id = 3, raise_error('broken row'), 'x') AS v")
+    with pytest.raises(Exception, match="broken row"):
+        write_overwrite(bad, path)
+    assert rows(spark.read.parquet(path)) == [(1, "a")] and os.listdir(tmp_path) == ["t"]
+
+
+def test_empty_overwrite_can_be_refused(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_overwrite(spark.createDataFrame([(1, "a")], SCHEMA), path)
+    with pytest.raises(EmptyResultError):
+        write_overwrite(spark.createDataFrame([], SCHEMA), path, allow_empty=False)
+    assert rows(spark.read.parquet(path)) == [(1, "a")] and os.listdir(tmp_path) == ["t"]
+    assert write_overwrite(spark.createDataFrame([], SCHEMA), path).rows_written == 0
+
+
+def test_own_input_is_seen_below_a_cache_and_a_subquery(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_overwrite(spark.createDataFrame([(1, "a")], SCHEMA), path)
+    spark.read.parquet(path).createOrReplaceTempView("quarry_own")
+    for df in (spark.read.parquet(path).persist(), spark.sql("SELECT 1 AS k, 'x' AS v WHERE 1 IN (SELECT k FROM quarry_own)")):
+        with pytest.raises(OwnInputError):
+            write_overwrite(df, path)
+        df.unpersist()
+    assert rows(spark.read.parquet(path)) == [(1, "a")]
+
+
+def test_deletions_alone_are_a_change(spark, tmp_path):
+    t = spark.createDataFrame([(1, "a"), (9, "z")], SCHEMA)
+    s = spark.createDataFrame([(1, "a")], SCHEMA)
+    res = write_update(s, t, "k", ["k", "v"], str(tmp_path / "v2"), keep_missing=False)
+    assert res.wrote and res.rows_written == 0 and res.details["rows_removed"] == 1
+    assert rows(spark.read.parquet(str(tmp_path / "v2"))) == [(1, "a")]
+    again = write_update(s, spark.read.parquet(str(tmp_path / "v2")), "k", ["k", "v"], str(tmp_path / "v3"), keep_missing=False)
+    assert not again.wrote
+
+
+def test_null_keys_update_once(spark, tmp_path):
+    t = spark.createDataFrame([(None, "a"), (1, "b")], SCHEMA)
+    s = spark.createDataFrame([(None, "c"), (1, "b"), (2, "d")], SCHEMA)
+    res = write_update(s, t, "k", ["k", "v"], str(tmp_path / "v2"))
+    v2 = spark.read.parquet(str(tmp_path / "v2"))
+    assert res.rows_written == 2 and rows(v2) == [(None, "c"), (1, "b"), (2, "d")]
+    assert not write_update(s, v2, "k", ["k", "v"], str(tmp_path / "v3")).wrote
