@@ -4,10 +4,10 @@ A text is normalised by the model's own rules and cut where no piece of the
 vocabulary can cross: before a run of the white-space mark. (If some piece does
 cross there, texts are not cut.) Each part is merged by an agenda: a heap of
 adjacent symbol pairs ordered by the score of the piece they form, leftmost
-first among equals; entries that a merge has made stale are skipped. For short
-parts the agenda is a plain list of the pairs' ranks, of which the first smallest
-is taken; that is the same order without the heap's bookkeeping. Symbols that are
-no piece fall back to their bytes.
+first among equals; entries that a merge has made stale are skipped. Short parts of
+equal length are merged together: their agendas are the rows of one array of pair
+ranks, and in each step every row takes its first smallest, the same order without
+the heap's bookkeeping. Symbols that are no piece fall back to their bytes.
 
 Parts repeat, so a worker keeps encoded parts in a two-generation cache of fixed
 size. Every part that is not in it is encoded by the agenda and, in one call per
@@ -25,8 +25,9 @@ from __future__ import annotations
 
 import heapq
 import re
+import struct
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +38,9 @@ from quarry.llm.common import fresh, text_of
 MARK = "▁"
 CACHE = 200_000          # parts in each of the two generations
 LONGEST_CACHED = 48      # characters
-_SHORT = 40              # symbols up to which the agenda is a list
-_NEVER = 1 << 60
-_SLICE_CHARS = 1 << 20   # characters encoded between two calls of the library
+_SHORT = 40              # symbols up to which agendas are rows of an array
+_NEVER = np.int32(2 ** 31 - 1)
+_SLICE_CHARS = 1 << 22   # characters encoded between two calls of the library
 
 
 class Agenda:
@@ -63,13 +64,17 @@ class Agenda:
         rank = {s: k for k, s in enumerate(scores)}  # equal scores share a rank
         self.none = self.size + len(chars)  # stands for characters of no piece; in no rule
         self.width = self.none + 1
-        self.merges, self.ranks = {}, {}
+        self.merges = {}
         for piece, i in normal.items():
             for cut in range(1, len(piece)):
                 left, right = self.symbols.get(piece[:cut]), self.symbols.get(piece[cut:])
                 if left is not None and right is not None:
                     self.merges[left * self.width + right] = (rank[sp.get_score(i)], i)
-                    self.ranks[left * self.width + right] = rank[sp.get_score(i)]
+        self.of_char = np.full(0x110000, self.none, dtype=np.int32)
+        for c, i in self.symbols.items():
+            if len(c) == 1:
+                self.of_char[ord(c)] = i
+        self._hash_rules()
         self.lengths = {i: len(p) for p, i in normal.items()}
         self.cuts = not any(re.search(f"[^{MARK}]{MARK}", p) for p in normal)
 
@@ -78,25 +83,91 @@ class Agenda:
             return []
         return re.findall(f"{MARK}+[^{MARK}]*|[^{MARK}]+", normalised) if self.cuts else [normalised]
 
+    def _hash_rules(self) -> None:
+        """The rules as an open-addressing table, for lookups of whole arrays."""
+        bits = max(4, (4 * len(self.merges)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.keys = np.full((1 << bits) + 64, -1, dtype=np.int64)
+        self.rank_of, self.piece_of = np.full(len(self.keys), _NEVER, dtype=np.int32), np.zeros(len(self.keys), dtype=np.int32)
+        self.tries = 1
+        homes = self._home(np.fromiter(self.merges, dtype=np.int64, count=len(self.merges)))
+        for (key, (rank, piece)), home in zip(self.merges.items(), homes.tolist()):
+            at = home
+            while self.keys[at] >= 0:
+                at += 1
+            if at - home >= 64 or at >= len(self.keys):
+                raise ValueError("rules do not spread over the table")
+            self.keys[at], self.rank_of[at], self.piece_of[at] = key, rank, piece
+            self.tries = max(self.tries, at - home + 1)
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def _rules(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and piece of the rule for each pair; rank ``_NEVER`` if there is none."""
+        keys = left.astype(np.int64) * self.width + right
+        at = self._home(keys)
+        found = self.keys[at]
+        for _ in range(1, self.tries):
+            step = (found != keys) & (found >= 0)
+            if not step.any():
+                break
+            at += step
+            found = self.keys[at]
+        return np.where(found == keys, self.rank_of[at], _NEVER), self.piece_of[at]
+
     def encode(self, part: str) -> list[int]:
-        sym = list(map(self.symbols.get, part, repeat(self.none)))
-        merged = self._by_list(sym) if len(sym) <= _SHORT else self._by_heap(sym)
-        if max(merged) < self.size:
-            return merged
-        return self._fall_back(part, merged)
-
-    def _by_list(self, sym: list[int]) -> list[int]:
-        merges, ranks, width = self.merges, self.ranks.get, self.width
-        agenda = [ranks(a * width + b, _NEVER) for a, b in zip(sym, sym[1:])]
-        while agenda and (low := min(agenda)) != _NEVER:
-            at = agenda.index(low)
-            new = sym[at] = merges[sym[at] * width + sym[at + 1]][1]
-            del sym[at + 1], agenda[at]
-            if at < len(agenda):
-                agenda[at] = ranks(new * width + sym[at + 1], _NEVER)
-            if at:
-                agenda[at - 1] = ranks(sym[at - 1] * width + new, _NEVER)
-        return sym
+        return self.encode_all([part])[0]
+
+    def encode_all(self, parts: list[str]) -> list[list[int]]:
+        out: list[list[int]] = [[]] * len(parts)
+        by_length: dict[int, list[int]] = {}
+        for k, part in enumerate(parts):
+            by_length.setdefault(len(part), []).append(k)
+        for n, which in by_length.items():
+            if n <= _SHORT:
+                chars = np.frombuffer("".join([parts[k] for k in which]).encode("utf-32-le"), dtype="<u4").reshape(-1, n)
+                for k, merged in zip(which, self._by_rows(self.of_char[chars])):
+                    out[k] = merged
+            else:
+                for k in which:
+                    out[k] = self._by_heap(list(map(self.symbols.get, parts[k], repeat(self.none))))
+        return [self._fall_back(part, merged) if max(merged) >= self.size else merged for part, merged in zip(parts, out)]
+
+    def _by_rows(self, sym: np.ndarray) -> list[list[int]]:
+        """Merge rows of equally many symbols, each by its own agenda."""
+        n = sym.shape[1]
+        out: list[list[int]] = [[]] * len(sym)
+        rows, length = np.arange(len(sym)), n
+        rank, piece = (self._rules(sym[:, :-1].ravel(), sym[:, 1:].ravel()) if n > 1 else (np.empty(0, np.int32),) * 2)
+        rank, piece = rank.reshape(len(sym), n - 1), piece.reshape(len(sym), n - 1)
+        while len(rows):
+            if length > 1:
+                at = rank.argmin(axis=1)
+                k = np.arange(len(rows))
+                done = rank[k, at] == _NEVER
+            else:
+                done = np.ones(len(rows), dtype=bool)
+            if done.any():
+                for row, merged in zip(rows[done].tolist(), sym[done].tolist()):
+                    out[row] = merged
+                if done.all():
+                    break
+                left = ~done
+                rows, sym, rank, piece, at = rows[left], sym[left], rank[left], piece[left], at[left]
+                k = np.arange(len(rows))
+            sym[k, at] = piece[k, at]
+            # One symbol and one pair fewer: what lies behind them moves up.
+            cols = np.arange(length - 1)
+            sym = np.take_along_axis(sym, cols + (cols > at[:, None]), axis=1)
+            cols = np.arange(length - 2)
+            move = cols + (cols >= at[:, None])
+            rank, piece = np.take_along_axis(rank, move, axis=1), np.take_along_axis(piece, move, axis=1)
+            length -= 1
+            for near, ok in ((at, at < length - 1), (at - 1, at > 0)):
+                r, c = k[ok], near[ok]
+                rank[r, c], piece[r, c] = self._rules(sym[r, c], sym[r, c + 1])
+        return out
 
     def _by_heap(self, sym: list[int]) -> list[int]:
         merges, width, n = self.merges, self.width, len(sym)
@@ -164,25 +235,24 @@ class Codec:
     def encode(self, texts: list[str]) -> list[tuple[bytes, int]]:
         """Packed ids (little-endian, 32 bits) and corrected parts, for each text."""
         cut = [self.agenda.parts(self.sp.normalize(t)) for t in texts]
-        get, found = self.young.get, {}
-        missing = []
-        for part in dict.fromkeys(p for parts in cut for p in parts):
-            ids = get(part)
-            if ids is None and (ids := self.old.get(part)) is not None:
-                self.young[part] = ids
-            if ids is None:
-                missing.append(part)
-            else:
-                found[part] = ids
+        found = dict.fromkeys(chain.from_iterable(cut))
+        young, old, missing = self.young, self.old, []
+        for part in found:
+            if (ids := young.get(part)) is None:
+                if (ids := old.get(part)) is None:
+                    missing.append(part)
+                    continue
+                young[part] = ids
+            found[part] = ids
         wrong = set()
         if missing:
             checkable = self.plain and self.agenda.cuts
-            for part, theirs in zip(missing, self._library(missing) if checkable else repeat(None)):
-                ids = self.agenda.encode(part)
+            ours = self.agenda.encode_all(missing)
+            for part, ids, theirs in zip(missing, ours, self._library(missing) if checkable else repeat(None)):
                 if theirs is not None and ids != theirs and part != MARK:
                     wrong.add(part)
                     ids = theirs
-                packed = found[part] = np.array(ids, dtype="<u4").tobytes()
+                packed = found[part] = struct.pack(f"<{len(ids)}I", *ids)
                 if len(part) <= LONGEST_CACHED and part not in wrong:
                     self.young[part] = packed
             if len(self.young) > CACHE:
@@ -202,6 +272,16 @@ class Codec:
         return self.sp.decode([np.frombuffer(p, dtype="<u4").tolist() for p in packed])
 
 
+_CODECS: dict[tuple[str, bool], Codec] = {}
+
+
+def codec(path: str, begin_end: bool = True) -> Codec:
+    """The worker process's codec, kept with its cache from task to task."""
+    if (path, begin_end) not in _CODECS:
+        _CODECS[path, begin_end] = Codec(path, begin_end)
+    return _CODECS[path, begin_end]
+
+
 def _slices(texts: list[str]) -> Iterator[list[str]]:
     part, chars = [], 0
     for t in texts:
@@ -227,17 +307,17 @@ def encoded(df: DataFrame, model: str, text: str = "text", keep: list[str] | Non
         kind = kind.add(*field.split(" "))
 
     def batches(it):
-        codec = Codec(model, begin_end)
+        own = codec(model, begin_end)
         for batch in it:
             texts = batch.column(len(keep))
             at = 0
             for part in _slices(texts.to_pylist()):
-                done = codec.encode(part)
+                done = own.encode(part)
                 packed = [p for p, _ in done]
                 yield pa.RecordBatch.from_arrays([
                     *[batch.column(i).slice(at, len(part)) for i in range(len(keep))],
                     pa.array(packed, pa.binary()), pa.array([len(p) // 4 for p in packed], pa.int64()),
-                    pa.array(codec.decode(packed), pa.string()), pa.array([n for _, n in done], pa.int64())],
+                    pa.array(own.decode(packed), pa.string()), pa.array([n for _, n in done], pa.int64())],
                     names=[f.name for f in kind])
                 at += len(part)
 
