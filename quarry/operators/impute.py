@@ -131,20 +131,24 @@ def group_means(df: DataFrame, group, columns: dict, integer=(), prefix: str = "
 def impute_group_mean(df: DataFrame, group, columns: dict, integer=(),
                       max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
                       max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
-                      scale: dict | None = None) -> DataFrame:
+                      scale: dict | None = None, held: list | None = None) -> DataFrame:
     """Replace NULLs in ``columns`` by the rounded mean of the row's group.
 
     Non-NULL values never change. A row whose group key is NULL, or whose whole
     group is NULL in a column, keeps its NULL. Result types follow the usual
     widening of the value and the mean (int value with a double mean gives
     double). Output columns are the input's, in its order.
+
+    Building the plan runs the job for the means (their size decides the join), and the
+    input is evaluated once more for the result; ``held``: see
+    :func:`quarry.operators.staging.join_small`.
     """
     group = [group] if isinstance(group, str) else list(group)
     prefix = "__mean_"
     means = group_means(df, group, columns, integer, prefix, scale)
     joined = join_small(df, means, on=group, how="left",
                         max_rows=max_broadcast_rows, max_bytes=max_broadcast_bytes,
-                        name="group-means")
+                        name="group-means", held=held)
     filled = {c: F.coalesce(F.col(c), F.col(prefix + c)) for c in columns}
     return joined.select(*[filled[c].alias(c) if c in filled else F.col(c)
                            for c in df.columns])

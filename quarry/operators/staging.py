@@ -104,13 +104,18 @@ def broadcast_if_small(staged: Staged, max_rows: int = DEFAULT_BROADCAST_ROWS,
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
                max_rows: int = DEFAULT_BROADCAST_ROWS,
-               max_bytes: int = DEFAULT_BROADCAST_BYTES, name: str = "small") -> DataFrame:
+               max_bytes: int = DEFAULT_BROADCAST_BYTES, name: str = "small",
+               held: list | None = None) -> DataFrame:
     """Join ``big`` to a side expected to be small, with a checked broadcast.
 
     ``small`` is written to the shared folder first; its real size decides the
     strategy. Within the limits it is broadcast (``big`` is not shuffled);
     beyond them the join is a shuffle join, where AQE can still split skewed
-    partitions of ``big``.
+    partitions of ``big``. The staged side is appended to ``held``, so that the caller can
+    drop it once the result is written; the returned plan reads it until then.
     """
-    side = broadcast_if_small(stage(small, name), max_rows, max_bytes)
+    staged = stage(small, name)
+    if held is not None:
+        held.append(staged)
+    side = broadcast_if_small(staged, max_rows, max_bytes)
     return big.join(side, on=on, how=how)

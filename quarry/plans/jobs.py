@@ -1,21 +1,26 @@
 """The three migration jobs, written as data: a table spec and ordered steps.
 
 * file job: CSV -> rename -> one row per key -> drop rows with NULLs;
-* document job: documents -> lift ``_id.oid`` -> required fields -> one row
-  per id, then per country -> numbers from text with thousands commas ->
-  (persist) -> NULLs filled with region means -> table columns;
-* delimited job: text lines -> required fields -> one row per code, then per
-  name -> numbers from money text -> (persist) -> NULLs filled with region
-  means -> table columns -> drop rows with NULLs.
-
-:func:`run_job` checks the insert mode before any Spark work and then writes
-with the overwrite or update sink. The sample queries at the end feed the
-unchanged job specs with source data derived from the test tables, in the
-formats the jobs read (CSV with a header, JSON documents, comma lines).
+* document job: documents -> lift ``_id.oid`` -> required fields -> numbers from
+  text with thousands commas -> one row per id, then per country -> (hold) ->
+  NULLs filled with region means -> table columns;
+* delimited job: payload lines -> required fields -> numbers from money text ->
+  one row per code, then per name -> (hold) -> NULLs filled with region means ->
+  table columns -> drop rows with NULLs.
+
+Numbers are parsed before duplicates are dropped, so that a row whose number
+is blank or no number counts as one with a gap and loses to a complete one.
+
+:func:`run_job` checks the mode, the target and that the source is not read from
+it before any Spark work, and then writes with the overwrite or update sink. The
+sample queries at the end feed the unchanged job specs with source data derived
+from the test tables, in the formats the jobs read (CSV with a header, JSON
+documents, payloads of comma lines).
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,9 +30,12 @@ from quarry.functions.numbers import money_to_double, parse_bigint, thousands_to
 from quarry.operators.clean import drop_any_null, keep_columns, lift_field, rename, require
 from quarry.operators.dedupe import keep_first_each
 from quarry.operators.impute import impute_group_mean
+from quarry.operators.staging import Staged, stage
 from quarry.session import staging_path
-from quarry.sinks.files import write_overwrite, write_update
-from quarry.sources.delimited import read_lines
+from quarry.sinks.files import EmptyResultError
+from quarry.sinks.tables import table_location
+from quarry.sinks.targets import PathTarget, TableTarget
+from quarry.sources.delimited import read_payloads
 from quarry.sources.files import read_csv, read_documents
 from quarry.specs import InsertMode, JobResult, TableSpec
 
@@ -97,8 +105,8 @@ class ImputeMean:
     integer: tuple = ()
     scale: dict | None = None
 
-    def apply(self, df):
-        return impute_group_mean(df, self.group, self.columns, self.integer, scale=self.scale)
+    def apply(self, df, held=None):
+        return impute_group_mean(df, self.group, self.columns, self.integer, scale=self.scale, held=held)
 
 
 @dataclass(frozen=True)
@@ -118,21 +126,19 @@ class Select:
 
 
 @dataclass(frozen=True)
-class Persist:
-    """Keep the rows computed so far for the steps that read them twice.
+class Hold:
+    """Write the rows computed so far to the shared folder for the steps that read them twice.
 
     Imputation reads its input twice (group means, then the join back). After
-    shuffling steps (dedupe) that would repeat the scan and the shuffles;
-    persisted, they run once. Blocks lost with an executor are recomputed from
-    the lineage, which gives the same rows (the dedupe is deterministic).
-    ``run_job`` releases the data after the write.
+    shuffling steps (dedupe) that would repeat the scan and the shuffles. A lost
+    executor loses none of it. ``run_job`` deletes the rows after the write.
     """
 
-    level: str = "MEMORY_AND_DISK"
-
-    def apply(self, df):
-        from pyspark import StorageLevel
-        return df.persist(getattr(StorageLevel, self.level))
+    def apply(self, df, held=None):
+        staged = stage(df, "job-rows")
+        if held is not None:
+            held.append(staged)
+        return staged.df
 
 
 @dataclass(frozen=True)
@@ -142,12 +148,10 @@ class JobSpec:
     steps: tuple = field(default_factory=tuple)
 
     def plan(self, source: DataFrame, held: list | None = None) -> DataFrame:
-        """The job's result plan; persisted frames are appended to ``held``."""
+        """The job's result plan; staged frames that it reads are appended to ``held``."""
         df = source
         for step in self.steps:
-            df = step.apply(df)
-            if isinstance(step, Persist) and held is not None:
-                held.append(df)
+            df = step.apply(df, held) if isinstance(step, (Hold, ImputeMean)) else step.apply(df)
         return keep_columns(df, self.table.columns)
 
 
@@ -162,8 +166,8 @@ PRICES = TableSpec("internet_prices", ("country_code",),
                     "avg_1gb_start2021_usd", "avg_1gb_start2020_usd"))
 
 # Header texts of the speed CSV and the ordered header map of the
-# price payload. Only the map's values are used, by position; the last key is
-# stored mis-encoded at the source, so its text is never matched.
+# price payload. Only the map's values are used, by position: the header line of a
+# payload is its first element whatever its text, and is skipped as such.
 SPEED_CSV_SCHEMA = "`Country` string, `Avg(Mbit/s)Ookla` double"
 SPEED_RENAMES = {"Country": "country", "Avg(Mbit/s)Ookla": "avg_mbit_per_s_ookla"}
 PRICE_HEADER_MAP = {
@@ -189,18 +193,18 @@ FILE_JOB = JobSpec("file", SPEED, (
 DOCUMENT_JOB = JobSpec("documents", USERS, (
     LiftField("_id", "oid", "id"),
     Require(("id", "region", "sub_region", "country")),
-    KeepFirst(("id", "country")),
     ParseNumbers({"internet_users": "thousands_bigint", "population": "thousands_bigint"}),
-    Persist(),
+    KeepFirst(("id", "country")),
+    Hold(),
     ImputeMean("region", {"internet_users": 0, "population": 0},
                integer=("internet_users", "population")),
 ))
 
 DELIMITED_JOB = JobSpec("delimited", PRICES, (
     Require(("name", "continental_region", "country_code")),
-    KeepFirst(("country_code", "name")),
     ParseNumbers({"no_internal_plans": "bigint", **{c: "money_double" for c in PRICE_MONEY}}),
-    Persist(),
+    KeepFirst(("country_code", "name")),
+    Hold(),
     ImputeMean("continental_region", {c: 2 for c in ["no_internal_plans", *PRICE_MONEY]},
                scale={c: 2 for c in PRICE_MONEY}),
     Select(tuple(PRICES.columns)),
@@ -208,31 +212,40 @@ DELIMITED_JOB = JobSpec("delimited", PRICES, (
 ))
 
 
-def run_job(spark: SparkSession, spec: JobSpec, source: DataFrame, mode, target: str,
+def run_job(spark: SparkSession, spec: JobSpec, source: DataFrame, mode, target,
             out_path: str | None = None, allow_empty: bool = False,
-            keep_missing: bool = True) -> JobResult:
-    """Plan ``spec`` over ``source`` and write it to the Parquet table at ``target``.
-
-    ``overwrite`` replaces ``target``. ``update`` compares with the table at
-    ``target`` and writes the updated table to ``out_path`` (a new location;
-    readers are repointed by the caller), or writes nothing if no row changed.
+            keep_missing: bool = True, rejects: DataFrame | None = None) -> JobResult:
+    """Plan ``spec`` over ``source`` and write it to ``target``.
+
+    ``target`` is a Parquet path or one of :mod:`quarry.sinks.targets`. ``overwrite``
+    replaces it. ``update`` compares with it and writes the changed table (a path target
+    to ``out_path``; its readers are repointed by the caller), or writes nothing if no row
+    changed. A source or a result without rows is refused, and the target stays as it
+    is, unless ``allow_empty``. ``rejects`` (lines the parser refused) are counted.
     """
     mode = InsertMode.parse(mode)
-    if mode is InsertMode.UPDATE and not out_path:
-        raise ValueError("update needs out_path: the target is never overwritten in place")
+    if isinstance(target, str):
+        target = PathTarget(target, out_path)
+    target.check(mode, source)
     if not allow_empty and source.isEmpty():
         raise ValueError(f"job {spec.name}: the source has no rows")
-    held: list[DataFrame] = []
+    held: list[Staged] = []
     try:
         df = spec.plan(source, held)
         if mode is InsertMode.OVERWRITE:
-            return write_overwrite(df, target)
-        current = spark.read.parquet(target)
-        return write_update(df, current, spec.table.key, spec.table.columns, out_path,
-                            keep_missing=keep_missing)
+            result = target.overwrite(df, allow_empty)
+        else:
+            rows = stage(df, "job-result")  # read by the key check, the change set and the merge
+            held.append(rows)
+            if not rows.rows() and not allow_empty:
+                raise EmptyResultError(f"job {spec.name}: the result has no rows; the target stays as it is")
+            result = target.update(rows.df, spec.table, keep_missing)
+        if rejects is not None:
+            result.rows_rejected = rejects.count()
+        return result
     finally:
         for h in held:
-            h.unpersist()
+            h.drop()
 
 
 # --- sample queries: the jobs on source data derived from the test tables --------
@@ -295,8 +308,9 @@ def _money(cents):
                     F.lpad((cents % 100).cast("string"), 2, "0"))
 
 
-def price_lines(spark, d) -> DataFrame:
-    """Parts as the price payload (9 comma fields; a header; some broken lines)."""
+def price_payloads(spark, d) -> DataFrame:
+    """Parts as price payloads: JSON arrays of a header and some hundred comma lines (9
+    fields, some broken), each line with its line break."""
     p = _t(spark, d, "part")
     cents = F.round(F.col("p_retailprice") * 100).cast("bigint")
     fields = [
@@ -311,18 +325,44 @@ def price_lines(spark, d) -> DataFrame:
         F.when(_every("p_partkey", 4), F.lit("")).otherwise(_money(cents + 50)),
         F.concat(_money(cents + 25), F.lit("\n")),
     ]
-    body = p.select(F.concat_ws(",", *fields).alias("value"))
-    header = spark.createDataFrame([(",".join(PRICE_HEADER_MAP),)], "value string")
-    return header.unionByName(body)
+    body = p.select(F.floor(F.col("p_partkey") / 500).alias("payload"), F.concat_ws(",", *fields).alias("line"))
+    header = F.array(F.lit(",".join(PRICE_HEADER_MAP) + "\n"))
+    return body.groupBy("payload").agg(F.to_json(F.concat(header, F.collect_list("line"))).alias("value")).select("value")
 
 
 def job_file_migration(spark, d):
-    src = read_csv(spark, speed_csv(spark, d), schema=SPEED_CSV_SCHEMA)
+    src = read_csv(spark, speed_csv(spark, d), schema=SPEED_CSV_SCHEMA, extra=True)
     target = staging_path(spark, "internet_speed")
     run_job(spark, FILE_JOB, src, "overwrite", target)
     return spark.read.parquet(target)
 
 
+def speed_csv_later(spark, d) -> str:
+    """A later delivery: columns in another order, one more column (its gaps drop rows),
+    some countries renamed and some speeds changed."""
+    p = _t(spark, d, "part")
+    rows = p.select(
+        F.when(_every("p_partkey", 19), _null("bigint")).otherwise(F.col("p_partkey")).alias("Rank"),
+        F.when(_every("p_partkey", 13), _null("double")).when(_every("p_partkey", 7), F.col("p_retailprice") + 1)
+         .otherwise(F.col("p_retailprice")).alias("Avg(Mbit/s)Ookla"),
+        F.when(_every("p_partkey", 17), _null()).when(_every("p_partkey", 5), F.concat("p_name", F.lit(" new")))
+         .otherwise(F.col("p_name")).alias("Country"))
+    path = staging_path(spark, "speed-csv-later")
+    rows.write.option("header", True).csv(path)
+    return path
+
+
+def job_table_migration(spark, d):
+    """The file job into a catalog table: created by the overwrite, then updated."""
+    name = f"quarry_speed_{uuid.uuid4().hex[:12]}"
+    target = TableTarget(name, staging_path(spark, "internet_speed_table"), buckets=8, key=SPEED.key)
+    for mode, path in (("overwrite", speed_csv(spark, d)), ("update", speed_csv_later(spark, d))):
+        run_job(spark, FILE_JOB, read_csv(spark, path, schema=SPEED_CSV_SCHEMA, extra=True), mode, target)
+    location = table_location(spark, name)
+    spark.sql(f"DROP TABLE {name}")  # external: the files stay
+    return spark.read.parquet(location)
+
+
 def job_document_migration(spark, d):
     src = read_documents(spark, user_documents(spark, d), schema=USER_DOC_SCHEMA)
     target = staging_path(spark, "internet_users")
@@ -331,16 +371,17 @@ def job_document_migration(spark, d):
 
 
 def job_delimited_migration(spark, d):
-    from quarry.plans.samples import land_lines
-    path = land_lines(price_lines(spark, d), "price-lines")
-    src = read_lines(spark, path, PRICE_NAMES, header=",".join(PRICE_HEADER_MAP))
+    path = staging_path(spark, "price-payloads")
+    price_payloads(spark, d).write.text(path)
+    src, rejects = read_payloads(spark, path, PRICE_NAMES, with_rejects=True)
     target = staging_path(spark, "internet_prices")
-    run_job(spark, DELIMITED_JOB, src, "overwrite", target)
+    run_job(spark, DELIMITED_JOB, src, "overwrite", target, rejects=rejects)
     return spark.read.parquet(target)
 
 
 JOB_QUERIES = {
     "job_file_migration": job_file_migration,
+    "job_table_migration": job_table_migration,
     "job_document_migration": job_document_migration,
     "job_delimited_migration": job_delimited_migration,
 }
@@ -387,6 +428,25 @@ k AS ({_sql_first('src', 'country', ['avg_mbit_per_s_ookla'], ['country', 'avg_m
 SELECT country, avg_mbit_per_s_ookla FROM k
 WHERE country IS NOT NULL AND avg_mbit_per_s_ookla IS NOT NULL""",
 
+    "job_table_migration": f"""
+WITH src AS (
+  SELECT CASE WHEN p_partkey % 17 = 0 THEN NULL ELSE p_name END AS country,
+         CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE p_retailprice END AS avg_mbit_per_s_ookla
+  FROM part),
+later AS (
+  SELECT CASE WHEN p_partkey % 17 = 0 THEN NULL WHEN p_partkey % 5 = 0 THEN p_name || ' new' ELSE p_name END AS country,
+         CASE WHEN p_partkey % 13 = 0 THEN NULL WHEN p_partkey % 7 = 0 THEN p_retailprice + 1 ELSE p_retailprice END AS avg_mbit_per_s_ookla,
+         CASE WHEN p_partkey % 19 = 0 THEN NULL ELSE CAST(p_partkey AS VARCHAR) END AS rank
+  FROM part),
+k AS ({_sql_first('src', 'country', ['avg_mbit_per_s_ookla'], ['country', 'avg_mbit_per_s_ookla'])}),
+l AS ({_sql_first('later', 'country', ['avg_mbit_per_s_ookla', 'rank'], ['country', 'avg_mbit_per_s_ookla', 'rank'])}),
+newer AS (SELECT country, avg_mbit_per_s_ookla FROM l
+          WHERE country IS NOT NULL AND avg_mbit_per_s_ookla IS NOT NULL AND rank IS NOT NULL)
+SELECT * FROM newer
+UNION ALL
+SELECT country, avg_mbit_per_s_ookla FROM k WHERE country IS NOT NULL AND avg_mbit_per_s_ookla IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM newer WHERE newer.country = k.country)""",
+
     "job_document_migration": f"""
 WITH docs AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS id,
@@ -402,11 +462,11 @@ WITH docs AS (
   FROM orders),
 req AS (SELECT * FROM docs WHERE id <> '' AND region <> '' AND sub_region <> ''
                              AND country <> ''),
-k1 AS ({_sql_first('req', 'id', [c for c in _USERS_COLS if c != 'id'], _USERS_COLS)}),
-k2 AS ({_sql_first('k1', 'country', [c for c in _USERS_COLS if c != 'country'], _USERS_COLS)}),
-num AS (
+parsed AS (
   SELECT id, country, {_sql_parse_bigint('internet_users', ',')} AS internet_users,
-         {_sql_parse_bigint('population', ',')} AS population, region, sub_region FROM k2),
+         {_sql_parse_bigint('population', ',')} AS population, region, sub_region FROM req),
+k1 AS ({_sql_first('parsed', 'id', [c for c in _USERS_COLS if c != 'id'], _USERS_COLS)}),
+num AS ({_sql_first('k1', 'country', [c for c in _USERS_COLS if c != 'country'], _USERS_COLS)}),
 m AS (
   SELECT region, CAST({_sql_mean('internet_users', 0, 0)} AS BIGINT) AS mu,
          CAST({_sql_mean('population', 0, 0)} AS BIGINT) AS mp FROM num GROUP BY region)
@@ -432,14 +492,14 @@ rows AS (
   SELECT {', '.join(f'p[{i + 1}] AS {c}' for i, c in enumerate(PRICE_NAMES))}
   FROM parts WHERE len(p) = 9),
 req AS (SELECT * FROM rows WHERE name <> '' AND continental_region <> '' AND country_code <> ''),
-k1 AS ({_sql_first('req', 'country_code', PRICE_NAMES[1:], PRICE_NAMES)}),
-k2 AS ({_sql_first('k1', 'name', [c for c in PRICE_NAMES if c != 'name'], PRICE_NAMES)}),
-num AS (
+parsed AS (
   SELECT country_code, name, continental_region,
          {_sql_parse_bigint('no_internal_plans')} AS no_internal_plans,
          {', '.join(_sql_parse_double(c, '$' + chr(13) + chr(10)) + ' AS ' + c
                     for c in PRICE_MONEY)}
-  FROM k2),
+  FROM req),
+k1 AS ({_sql_first('parsed', 'country_code', PRICE_NAMES[1:], PRICE_NAMES)}),
+num AS ({_sql_first('k1', 'name', [c for c in PRICE_NAMES if c != 'name'], PRICE_NAMES)}),
 m AS (
   SELECT continental_region,
          {_sql_mean('no_internal_plans', 2, 0)} AS m_no_internal_plans,

@@ -59,17 +59,19 @@ _DELTA_INPUTS = """
 s AS (
   SELECT o_orderkey, o_custkey,
          CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus,
-         o_totalprice, o_orderpriority
+         o_totalprice, o_orderdate, o_orderpriority
   FROM orders),
 t AS (
   SELECT o_orderkey, o_custkey,
          CASE WHEN o_orderkey % 11 = 0 THEN 'Z'
               WHEN o_orderkey % 13 = 0 OR o_orderkey % 34 = 0 THEN NULL
               ELSE o_orderstatus END AS o_orderstatus,
-         o_totalprice, o_orderpriority
+         o_totalprice,
+         CASE WHEN o_orderkey % 19 = 0 THEN o_orderdate - INTERVAL 1 DAY ELSE o_orderdate END AS o_orderdate,
+         o_orderpriority
   FROM orders WHERE o_orderkey % 10 <> 3)"""
 
-_VALUES = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+_VALUES = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 _NULL_SAFE = " OR ".join(f"s.{c} IS DISTINCT FROM t.{c}" for c in _VALUES)
 _REFERENCE_RULE = " OR ".join(f"(t.{c} IS NULL OR t.{c} <> s.{c})" for c in _VALUES)
 _DELTA = f"""
@@ -78,7 +80,7 @@ d AS (
   WHERE t.o_orderkey IS NULL OR {_NULL_SAFE})"""
 
 _LI_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-            "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+            "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 
 
 def _first_per_key(src: str, key: list[str], cols: list[str]) -> str:
@@ -113,8 +115,10 @@ def _group_avg_join(qt: str, k: int = 1) -> str:
 ORACLE = {
     "src_csv": "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier",
 
+    "src_csv_by_name": "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier",
+
     "src_nested_documents": """
-SELECT CAST(event_id AS VARCHAR) AS id, user_id, event_type, value,
+SELECT CAST(event_id AS VARCHAR) AS id, ts, user_id, event_type, value,
        CAST(regexp_extract(props, '"k"\\s*:\\s*(-?[0-9]+)', 1) AS INTEGER) AS k
 FROM events""",
 
@@ -248,6 +252,13 @@ WITH {_DELTA_INPUTS}, {_DELTA}
 SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.o_orderkey = t.o_orderkey)
 UNION ALL SELECT * FROM d""",
 
+    "sink_update_deletions": f"WITH {_DELTA_INPUTS} SELECT * FROM t WHERE o_orderkey % 10 <> 4",
+
+    "sink_overwrite_lines": "SELECT * FROM lineitem",
+
+    "sink_update_lines": _first_per_key(
+        "lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_extendedprice"], _LI_COLS),
+
     "sink_update_noop": f"""
 WITH {_DELTA_INPUTS}
 SELECT CAST(0 AS BIGINT) AS rows_written, false AS wrote, count(*) AS target_rows FROM t""",

@@ -24,17 +24,18 @@ from quarry.operators.staging import stage
 from quarry.plans import reports
 from quarry.session import staging_path
 from quarry.sinks.files import write_overwrite, write_update
-from quarry.sinks.tables import create_table, update_table
+from quarry.sinks.tables import create_table, table_location, update_table
 from quarry.sources.delimited import read_lines
 from quarry.sources.files import read_csv, read_documents
 
 # Fixed values for the sample queries.
+SUPPLIER_CSV = "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double"
 LOOKUP_NATION = "NATION_7"
 PART_RENAMES = {"p_partkey": "part_key", "p_name": "name", "p_brand": "brand",
                 "p_type": "type", "p_size": "size", "p_retailprice": "retail_price"}
 ORDER_LINE_NAMES = ["order_key", "status", "priority"]
 ORDER_KEY = ["o_orderkey"]
-ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,22 +65,30 @@ def src_csv(spark, d):
     """Supplier rows landed as CSV with a header, read back with a fixed schema."""
     path = staging_path(spark, "supplier-csv")
     table(spark, d, "supplier").write.option("header", True).csv(path)
-    schema = "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double"
-    return read_csv(spark, path, schema=schema)
+    return read_csv(spark, path, schema=SUPPLIER_CSV)
+
+
+def src_csv_by_name(spark, d):
+    """The same rows from a file with its columns in another order and one more between them."""
+    path = staging_path(spark, "supplier-csv")
+    s = table(spark, d, "supplier")
+    s.select("s_acctbal", F.lit("x").alias("note"), "s_name", "s_suppkey", "s_nationkey").write.option("header", True).csv(path)
+    return read_csv(spark, path, schema=SUPPLIER_CSV)
 
 
 def src_nested_documents(spark, d):
     """Events exported as JSON documents with a nested ``_id``; the id is lifted."""
     docs = table(spark, d, "events").select(
         F.struct(F.col("event_id").cast("string").alias("oid")).alias("_id"),
-        "user_id", "event_type", "value",
+        "ts", "user_id", "event_type", "value",
         F.from_json("props", "k int").alias("props"))
     path = staging_path(spark, "event-docs")
-    docs.write.json(path)
-    schema = ("_id struct<oid:string>, user_id bigint, event_type string, value double, "
+    micros = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}  # the default keeps milliseconds
+    docs.write.options(**micros).json(path)
+    schema = ("_id struct<oid:string>, ts timestamp_ntz, user_id bigint, event_type string, value double, "
               "props struct<k:int>")
-    back = lift_field(read_documents(spark, path, schema=schema), "_id", "oid", "id")
-    return back.select("id", "user_id", "event_type", "value", F.col("props.k").alias("k"))
+    back = lift_field(read_documents(spark, path, schema=schema, **micros), "_id", "oid", "id")
+    return back.select("id", "ts", "user_id", "event_type", "value", F.col("props.k").alias("k"))
 
 
 def _order_lines(spark, d) -> DataFrame:
@@ -178,21 +187,17 @@ def clean_numbers_int_text(spark, d):
 
 def dedupe_one_key(spark, d):
     """One document per distinct text: the lowest doc_id."""
-    return keep_first(table(spark, d, "documents"), "text", order_by="doc_id")
-
-
-def _lineitem_no_dates(spark, d) -> DataFrame:
-    return table(spark, d, "lineitem").drop("l_shipdate")
+    return keep_first(table(spark, d, "documents"), "text", order_by="doc_id", unique_order=True)
 
 
 def dedupe_two_keys(spark, d):
-    return keep_first_each(_lineitem_no_dates(spark, d),
+    return keep_first_each(table(spark, d, "lineitem"),
                            [["l_orderkey", "l_linenumber"], ["l_partkey", "l_suppkey"]])
 
 
 def dedupe_hot_keys(spark, d):
     """One line item per (return flag, line status): each key holds about a third of all rows."""
-    return keep_first(_lineitem_no_dates(spark, d), ["l_returnflag", "l_linestatus"])
+    return keep_first(table(spark, d, "lineitem"), ["l_returnflag", "l_linestatus"])
 
 
 # --- group means and imputation ----------------------------------------------
@@ -240,11 +245,13 @@ def delta_source(spark, d) -> DataFrame:
 def delta_target(spark, d) -> DataFrame:
     o = table(spark, d, "orders").select(*ORDER_COLUMNS)
     o = o.where((F.col("o_orderkey") % 10) != 3)
-    return o.withColumn("o_orderstatus",
-                        F.when(_every("o_orderkey", 11), F.lit("Z"))
-                         .when(_every("o_orderkey", 13) | _every("o_orderkey", 34),
-                               F.lit(None).cast("string"))
-                         .otherwise(F.col("o_orderstatus")))
+    return o.withColumns({
+        "o_orderstatus": F.when(_every("o_orderkey", 11), F.lit("Z"))
+                          .when(_every("o_orderkey", 13) | _every("o_orderkey", 34),
+                                F.lit(None).cast("string"))
+                          .otherwise(F.col("o_orderstatus")),
+        "o_orderdate": F.when(_every("o_orderkey", 19), F.col("o_orderdate") - F.expr("INTERVAL 1 DAY"))
+                        .otherwise(F.col("o_orderdate"))})
 
 
 def delta_changed_rows(spark, d):
@@ -286,13 +293,51 @@ def sink_update_replace(spark, d):
     return spark.read.parquet(out) if res.wrote else target
 
 
+def sink_update_deletions(spark, d):
+    """Source equal to the target but for rows it lacks: they go, though nothing else changed."""
+    target = stage(delta_target(spark, d), "orders-target").df
+    source = target.where((F.col("o_orderkey") % 10) != 4)
+    out = staging_path(spark, "orders-v2")
+    res = write_update(source, target, ORDER_KEY, ORDER_COLUMNS, out, keep_missing=False)
+    return spark.read.parquet(out) if res.wrote else target
+
+
 def sink_update_table(spark, d):
     """Catalog table bucketed by the key: created, updated, repointed to the new version."""
     name = f"quarry_orders_{uuid.uuid4().hex[:12]}"
     create_table(delta_target(spark, d), name, staging_path(spark, "orders-table"),
                  buckets=8, key=ORDER_KEY)
     update_table(delta_source(spark, d), name, ORDER_KEY, ORDER_COLUMNS)
-    return spark.table(name)
+    location = table_location(spark, name)
+    spark.sql(f"DROP TABLE {name}")  # external: the files stay
+    return spark.read.parquet(location)
+
+
+LINE_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_extendedprice"]
+
+
+def _lines_once(spark, d) -> DataFrame:
+    return keep_first(table(spark, d, "lineitem"), LINE_KEY)
+
+
+def sink_overwrite_lines(spark, d):
+    """All line items written over an older version of themselves."""
+    path = staging_path(spark, "lines-table")
+    lines = table(spark, d, "lineitem")
+    write_overwrite(lines.withColumn("l_quantity", F.col("l_quantity") + 1), path)
+    write_overwrite(lines, path)
+    return spark.read.parquet(path)
+
+
+def sink_update_lines(spark, d):
+    """Line items updated by a key of six columns: some new, some changed."""
+    lines = stage(_lines_once(spark, d), "lines").df
+    target = lines.where((F.col("l_orderkey") % 10) != 3).withColumn(
+        "l_returnflag", F.when(_every("l_orderkey", 7), F.lit(None).cast("string")).otherwise(F.col("l_returnflag")))
+    target = stage(target, "lines-target").df
+    out = staging_path(spark, "lines-v2")
+    write_update(lines, target, LINE_KEY, lines.columns, out)
+    return spark.read.parquet(out)
 
 
 def sink_update_noop(spark, d):
@@ -359,6 +404,7 @@ def flagship(spark, d):
 
 QUERIES = {
     "src_csv": src_csv,
+    "src_csv_by_name": src_csv_by_name,
     "src_nested_documents": src_nested_documents,
     "src_delimited_lines": src_delimited_lines,
     "src_delimited_rejects": src_delimited_rejects,
@@ -381,7 +427,10 @@ QUERIES = {
     "sink_overwrite_roundtrip": sink_overwrite_roundtrip,
     "sink_update_upsert": sink_update_upsert,
     "sink_update_replace": sink_update_replace,
+    "sink_update_deletions": sink_update_deletions,
     "sink_update_table": sink_update_table,
+    "sink_overwrite_lines": sink_overwrite_lines,
+    "sink_update_lines": sink_update_lines,
     "sink_update_noop": sink_update_noop,
     "report_lookup": report_lookup,
     "report_extreme_high": _extreme("highest"),

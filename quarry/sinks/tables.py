@@ -92,7 +92,7 @@ def _repoint(spark: SparkSession, name: str, path: str) -> None:
 
 
 def create_table(df: DataFrame, name: str, path: str, buckets: int | None = None,
-                 key=None) -> JobResult:
+                 key=None, allow_empty: bool = True) -> JobResult:
     """Write ``df`` to ``path`` and register it as external Parquet table ``name``.
 
     With ``buckets``, the table is bucketed (and sorted) by ``key``.
@@ -108,7 +108,7 @@ def create_table(df: DataFrame, name: str, path: str, buckets: int | None = None
            .bucketBy(buckets, *key).sortBy(*key).option("path", path).saveAsTable(name))
         return JobResult(mode="overwrite", target=name, wrote=True,
                          details={"location": path, "buckets": buckets})
-    res = write_overwrite(df, path)
+    res = write_overwrite(df, path, allow_empty=allow_empty)
     spark.sql(f"CREATE TABLE {_ident(name)} USING parquet LOCATION {_literal(path)}")
     res.target = name
     return res

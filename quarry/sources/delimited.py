@@ -66,10 +66,26 @@ def parse_lines(lines: DataFrame, names, delimiter: str = ",", header: str | Non
     return (rows, rejects) if with_rejects else rows
 
 
+def lines_after_first(spark: SparkSession, path) -> DataFrame:
+    """The lines of text files without the first line of each file, whatever its text.
+
+    The CSV reader leaves out a header per file, also when a file is read in several
+    splits. Each line is one field here: nothing is quoted, and the separator is a
+    sequence that text does not hold; should a line hold it, the reader keeps the whole
+    line as a record it could not parse, and that is taken. Blank lines are skipped.
+    """
+    read = spark.read.schema("value string, __raw string").options(
+        header=True, enforceSchema=True, sep="\u0001\u0002\u0001", quote="", maxCharsPerColumn=-1,
+        columnNameOfCorruptRecord="__raw")
+    return read.csv(path).select(F.coalesce("__raw", "value").alias("value"))
+
+
 def read_lines(spark: SparkSession, path, names, delimiter: str = ",",
-               header: str | None = None, **kw):
-    """Landed payload files (text) parsed by :func:`parse_lines`."""
-    return parse_lines(spark.read.text(path), names, delimiter, header, "value", **kw)
+               header: str | None = None, first_is_header: bool = False, **kw):
+    """Landed payload files (text) parsed by :func:`parse_lines`. The header is skipped by its
+    text (``header``) or as the first line of each file (``first_is_header``)."""
+    lines = lines_after_first(spark, path) if first_is_header else spark.read.text(path)
+    return parse_lines(lines, names, delimiter, header, "value", **kw)
 
 
 def payload_lines(payloads: DataFrame, column: str = "value") -> DataFrame:
