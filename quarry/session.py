@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -75,6 +76,25 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{root}/quarry-stage/{name}-{uuid.uuid4().hex}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per application.
+
+    Functions that run in workers are pickled by reference, so the workers must be able
+    to import them however the driver came by the package."""
+    sc = spark.sparkContext
+    if getattr(sc, "_quarry_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="quarry-ship-"), "quarry-package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                z.write(full, os.path.join("quarry", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    sc._quarry_shipped = True
+
+
 def qualify(spark: SparkSession, path: str) -> str:
     """Fully qualified Hadoop path string (scheme + normalised path)."""
     jvm = spark._jvm
