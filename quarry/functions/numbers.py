@@ -15,8 +15,6 @@ Rules (one set for every source):
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -67,8 +65,3 @@ def thousands_to_bigint(c) -> Column:
 def money_to_double(c) -> Column:
     """``'$1.50\\n'`` to 1.5."""
     return parse_double(c, MONEY + LINE_BREAKS)
-
-
-def is_number_text(s: str) -> bool:
-    """Driver-side twin of the guard, for argument checks and tests."""
-    return re.fullmatch(NUMBER_PATTERN.strip("^$"), s.strip()) is not None

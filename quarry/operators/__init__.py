@@ -1,5 +1,5 @@
 from quarry.operators.clean import (  # noqa: F401
-    drop_any_null, keep_columns, lift_field, rename, rename_by_position, require,
+    drop_any_null, keep_columns, lift_field, rename, require,
 )
 from quarry.operators.dedupe import keep_first, keep_first_each  # noqa: F401
 from quarry.operators.delta import (  # noqa: F401

@@ -16,14 +16,6 @@ def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed(mapping)
 
 
-def rename_by_position(df: DataFrame, names) -> DataFrame:
-    """Name columns by position (for header maps whose keys are unreliable)."""
-    names = list(names)
-    if len(names) != len(df.columns):
-        raise ValueError(f"{len(names)} names for {len(df.columns)} columns")
-    return df.toDF(*names)
-
-
 def require(df: DataFrame, names, trim: bool = False) -> DataFrame:
     """Keep rows where every named column is present (not NULL, not '')."""
     return df.where(all_present(df, names, trim))

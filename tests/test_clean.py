@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarry.operators.clean import (
-    drop_any_null, keep_columns, lift_field, rename, rename_by_position, require,
+    drop_any_null, keep_columns, lift_field, rename, require,
 )
 from tests.conftest import rows
 
@@ -30,9 +30,6 @@ def test_rename_and_errors(spark):
     assert out.columns == ["country", "avg_mbit_per_s_ookla"]
     with pytest.raises(ValueError):
         rename(df, {"nope": "x"})
-    assert rename_by_position(df, ["a", "b"]).columns == ["a", "b"]
-    with pytest.raises(ValueError):
-        rename_by_position(df, ["a"])
     with pytest.raises(ValueError):
         keep_columns(df, ["missing"])
 

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarry.functions.numbers import (
-    char_class, is_number_text, money_to_double, parse_bigint, parse_double,
+    char_class, money_to_double, parse_bigint, parse_double,
     thousands_to_bigint,
 )
 
@@ -43,7 +43,6 @@ def test_parse_never_fails_under_ansi(spark):
 
 def test_char_class_escapes_specials():
     assert char_class("$]^\\-") == "[$\\]\\^\\\\\\-]"
-    assert is_number_text(" 1.5 ") and not is_number_text("1.5d")
 
 
 def test_numbers_run_in_the_jvm(spark):
