@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation
@@ -30,9 +30,7 @@ class Staged:
 
     def drop(self) -> None:
         """Delete the staged files; only once nothing lazy still reads them."""
-        spark = self.df.sparkSession
-        p = spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        remove(self.df.sparkSession, self.path)
 
     def bytes(self) -> int:
         """Bytes of the rows in memory: observed while writing, else measured in one pass."""
@@ -78,6 +76,26 @@ def planner_broadcasts(df: DataFrame) -> bool:
     return 0 <= limit and estimated_bytes(df) <= limit
 
 
+_COLLECTORS: list[list[Staged]] = []
+
+
+@contextmanager
+def collected():
+    """A list of all that is staged inside the block, to be dropped by the caller once what
+    reads it is written."""
+    held: list[Staged] = []
+    _COLLECTORS.append(held)
+    try:
+        yield held
+    finally:
+        _COLLECTORS.remove(held)
+
+
+def remove(spark, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def stage(df: DataFrame, name: str) -> Staged:
     """Write ``df`` to the shared folder and read it back.
 
@@ -91,7 +109,10 @@ def stage(df: DataFrame, name: str) -> Staged:
     seen = df.observe(obs, F.count(F.lit(1)).alias("rows"), _row_bytes(df).alias("bytes"))
     seen.write.mode("errorifexists").parquet(path)
     got = obs.get
-    return Staged(spark.read.parquet(path), path, int(got["rows"]), int(got["bytes"] or 0))
+    staged = Staged(spark.read.parquet(path), path, int(got["rows"]), int(got["bytes"] or 0))
+    for held in _COLLECTORS:
+        held.append(staged)
+    return staged
 
 
 def broadcast_if_small(staged: Staged, max_rows: int = DEFAULT_BROADCAST_ROWS,

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quarry.operators.delta import assert_unique_sides, changed_rows, missing_keys, upsert_rows
-from quarry.operators.staging import stage
+from quarry.operators.staging import remove, stage
 from quarry.session import qualify
 from quarry.specs import InsertMode, JobResult
 
@@ -109,17 +109,12 @@ def write_overwrite(df: DataFrame, path: str, partition_by=None, allow_empty: bo
         if not n and not allow_empty:
             raise EmptyResultError(f"no rows to write to {path}; the table stays as it is")
     except Exception:
-        discard(spark, new)
+        remove(spark, new)
         raise
     swap(spark, new, path)
     return JobResult(mode=InsertMode.OVERWRITE.value, target=path, rows_written=n, wrote=True)
 
 
-def discard(spark, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").parquet(path)
 

@@ -29,7 +29,8 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.sinks.files import EmptyResultError, discard, write_overwrite, write_parquet, write_update
+from quarry.operators.staging import remove
+from quarry.sinks.files import EmptyResultError, write_overwrite, write_parquet, write_update
 from quarry.specs import JobResult
 
 
@@ -122,7 +123,7 @@ def overwrite_table(df: DataFrame, name: str, allow_empty: bool = True) -> JobRe
     _writer_for(spark, name)(df.observe(obs, F.count(F.lit(1)).alias("rows")), path)
     n = int(obs.get["rows"])
     if not n and not allow_empty:
-        discard(spark, path)
+        remove(spark, path)
         raise EmptyResultError(f"no rows to write to {name}; the table stays as it is")
     res = JobResult(mode="overwrite", target=name, rows_written=n, wrote=True)
     _repoint(spark, name, path)
