@@ -14,6 +14,7 @@ from quarry.llm.pieces import encoded
 from quarry.llm.quality_trees import accepted
 from quarry.llm.queries import piece_model, table
 from quarry.llm.simhash import near_dedup
+from quarry.operators.staging import collected, remove
 from quarry.session import staging_path
 
 
@@ -55,9 +56,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``. What a stage staged, and its predecessor's result, is
+    deleted once its own result is written."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = staging_path(spark, f"pipeline-{name.replace(' ', '-')}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with collected() as held:
+            stage(spark, docs, sf_dir).write.parquet(path)
+        for staged in held:
+            staged.drop()
+        if before:
+            remove(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs

@@ -8,11 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.operators.staging import broadcast_if_small, stage
+from quarry.session import ship_package
 
 # White space of the word rule: space and the control characters 9 to 13.
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
+# Bytes of an Arrow batch on its way to a Python worker.
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+_BATCH_DEFAULTS = (None, "67108864b", "-1b", "-1")
+
 FILE, ROW = "__loc_file", "__loc_row"
 
 
@@ -36,6 +42,17 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def in_arrow(df: DataFrame, batches, schema) -> DataFrame:
+    """``mapInArrow`` with this package on the workers' path, in batches of bounded bytes.
+
+    Spark's own bound is higher; it is lowered for the session unless the user chose one."""
+    spark = df.sparkSession
+    ship_package(spark)
+    if spark.conf.get(_BATCH, None) in _BATCH_DEFAULTS:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+    return df.mapInArrow(batches, schema)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}
@@ -44,13 +61,15 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def _is_file_scan(df: DataFrame) -> bool:
+def _is_parquet_scan(df: DataFrame) -> bool:
     plan = df._jdf.queryExecution().analyzed()
     while plan.getClass().getSimpleName() in ("Project", "Filter", "SubqueryAlias"):
         plan = plan.child()
     if plan.getClass().getSimpleName() != "LogicalRelation":
         return False
-    return "HadoopFsRelation" in plan.relation().getClass().getSimpleName()
+    relation = plan.relation()
+    return (relation.getClass().getSimpleName() == "HadoopFsRelation"
+            and relation.fileFormat().getClass().getSimpleName() == "ParquetFileFormat")
 
 
 def located(df: DataFrame, name: str = "located") -> DataFrame:
@@ -61,7 +80,7 @@ def located(df: DataFrame, name: str = "located") -> DataFrame:
     frame is first written to the shared folder, so that each row, repeated ones
     included, has an identity that a recomputation cannot change.
     """
-    if not _is_file_scan(df):
+    if not _is_parquet_scan(df):
         df = stage(df, name).df
     meta = df.metadataColumn("_metadata")
     return df.withColumns({FILE: meta.getField("file_path"), ROW: meta.getField("row_index")})

@@ -33,14 +33,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from quarry.llm.common import fresh, text_of
+from quarry.llm.common import fresh, in_arrow, text_of
 
 MARK = "▁"
-CACHE = 200_000          # parts in each of the two generations
+CACHE = 60_000           # parts in each of the two generations
 LONGEST_CACHED = 48      # characters
 _SHORT = 40              # symbols up to which agendas are rows of an array
 _NEVER = np.int32(2 ** 31 - 1)
-_SLICE_CHARS = 1 << 22   # characters encoded between two calls of the library
+_SLICE_CHARS = 1 << 20   # characters encoded between two calls of the library
 
 
 class Agenda:
@@ -64,17 +64,19 @@ class Agenda:
         rank = {s: k for k, s in enumerate(scores)}  # equal scores share a rank
         self.none = self.size + len(chars)  # stands for characters of no piece; in no rule
         self.width = self.none + 1
-        self.merges = {}
+        keys, ranks, made = [], [], []
         for piece, i in normal.items():
             for cut in range(1, len(piece)):
                 left, right = self.symbols.get(piece[:cut]), self.symbols.get(piece[cut:])
                 if left is not None and right is not None:
-                    self.merges[left * self.width + right] = (rank[sp.get_score(i)], i)
+                    keys.append(left * self.width + right)
+                    ranks.append(rank[sp.get_score(i)])
+                    made.append(i)
+        self._hash_rules(keys, ranks, made)
         self.of_char = np.full(0x110000, self.none, dtype=np.int32)
         for c, i in self.symbols.items():
             if len(c) == 1:
                 self.of_char[ord(c)] = i
-        self._hash_rules()
         self.lengths = {i: len(p) for p, i in normal.items()}
         self.cuts = not any(re.search(f"[^{MARK}]{MARK}", p) for p in normal)
 
@@ -83,25 +85,34 @@ class Agenda:
             return []
         return re.findall(f"{MARK}+[^{MARK}]*|[^{MARK}]+", normalised) if self.cuts else [normalised]
 
-    def _hash_rules(self) -> None:
+    def _hash_rules(self, keys: list[int], ranks: list[int], made: list[int]) -> None:
         """The rules as an open-addressing table, for lookups of whole arrays."""
-        bits = max(4, (4 * len(self.merges)).bit_length())
-        self.shift = np.uint64(64 - bits)
-        self.keys = np.full((1 << bits) + 64, -1, dtype=np.int64)
+        bits = max(4, (2 * len(keys)).bit_length())
+        self.shift = 64 - bits
+        self.keys = np.full((1 << bits) + 256, -1, dtype=np.int64)
         self.rank_of, self.piece_of = np.full(len(self.keys), _NEVER, dtype=np.int32), np.zeros(len(self.keys), dtype=np.int32)
-        self.tries = 1
-        homes = self._home(np.fromiter(self.merges, dtype=np.int64, count=len(self.merges)))
-        for (key, (rank, piece)), home in zip(self.merges.items(), homes.tolist()):
-            at = home
-            while self.keys[at] >= 0:
-                at += 1
-            if at - home >= 64 or at >= len(self.keys):
+        homes, self.tries = self._home(np.array(keys, dtype=np.int64)).tolist(), 1
+        taken = bytearray(len(self.keys))
+        for key, rank, piece, home in zip(keys, ranks, made, homes):
+            at = taken.find(0, home)
+            if at < 0 or at == len(taken) - 1:
                 raise ValueError("rules do not spread over the table")
+            taken[at] = 1
             self.keys[at], self.rank_of[at], self.piece_of[at] = key, rank, piece
             self.tries = max(self.tries, at - home + 1)
 
+    def _rule(self, left: int, right: int) -> tuple[int, int] | None:
+        """Rank and piece of the rule for one pair."""
+        key = left * self.width + right
+        at = (key * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF) >> self.shift
+        while (found := self.keys.item(at)) != key:
+            if found < 0:
+                return None
+            at += 1
+        return self.rank_of.item(at), self.piece_of.item(at)
+
     def _home(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(self.shift)).astype(np.int64)
 
     def _rules(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and piece of the rule for each pair; rank ``_NEVER`` if there is none."""
@@ -170,10 +181,10 @@ class Agenda:
         return out
 
     def _by_heap(self, sym: list[int]) -> list[int]:
-        merges, width, n = self.merges, self.width, len(sym)
+        rule, n = self._rule, len(sym)
         heap = []
         for at in range(n - 1):
-            if (m := merges.get(sym[at] * width + sym[at + 1])):
+            if (m := rule(sym[at], sym[at + 1])):
                 heap.append(m[0] << 40 | at)
         heapq.heapify(heap)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -184,17 +195,17 @@ class Agenda:
             nxt = after[at]
             if gone[at] or nxt >= n:
                 continue
-            m = merges.get(sym[at] * width + sym[nxt])
+            m = rule(sym[at], sym[nxt])
             if m is None or m[0] != entry >> 40:
                 continue  # one of the two has become part of another piece
             sym[at], gone[nxt] = m[1], True
             nxt = after[at] = after[nxt]
             if nxt < n:
                 before[nxt] = at
-                if (m := merges.get(sym[at] * width + sym[nxt])):
+                if (m := rule(sym[at], sym[nxt])):
                     heapq.heappush(heap, m[0] << 40 | at)
             prev = before[at]
-            if prev >= 0 and (m := merges.get(sym[prev] * width + sym[at])):
+            if prev >= 0 and (m := rule(sym[prev], sym[at])):
                 heapq.heappush(heap, m[0] << 40 | prev)
         return [s for s, g in zip(sym, gone) if not g]
 
@@ -282,9 +293,11 @@ def codec(path: str, begin_end: bool = True) -> Codec:
     return _CODECS[path, begin_end]
 
 
-def _slices(texts: list[str]) -> Iterator[list[str]]:
+def _slices(texts) -> Iterator[list[str]]:
+    """Lists of strings from an Arrow column or a list, of about as many characters each."""
     part, chars = [], 0
     for t in texts:
+        t = t if isinstance(t, str) else t.as_py()
         part.append(t)
         chars += len(t)
         if chars >= _SLICE_CHARS:
@@ -301,17 +314,17 @@ def encoded(df: DataFrame, model: str, text: str = "text", keep: list[str] | Non
     keep = [c for c in df.columns if c != text] if keep is None else keep
     body = fresh(df, "__text")
     src = df.select(*[df[c] for c in keep], text_of(df, text).alias(body))
-    more = "ids binary, n_tokens long, decoded string, n_corrected long"
-    kind = df.select(*[df[c] for c in keep]).schema
-    for field in more.split(", "):
-        kind = kind.add(*field.split(" "))
+    kept = df.select(*[df[c] for c in keep])
+    kind = kept.schema
+    for name, of in (("ids", "binary"), ("n_tokens", "long"), ("decoded", "string"), ("n_corrected", "long")):
+        kind = kind.add(fresh(kept, name), of)
 
     def batches(it):
         own = codec(model, begin_end)
         for batch in it:
             texts = batch.column(len(keep))
             at = 0
-            for part in _slices(texts.to_pylist()):
+            for part in _slices(texts):
                 done = own.encode(part)
                 packed = [p for p, _ in done]
                 yield pa.RecordBatch.from_arrays([
@@ -321,4 +334,4 @@ def encoded(df: DataFrame, model: str, text: str = "text", keep: list[str] | Non
                     names=[f.name for f in kind])
                 at += len(part)
 
-    return src.mapInArrow(batches, kind)
+    return in_arrow(src, batches, kind)

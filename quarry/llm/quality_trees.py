@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import fresh, text_of
+from quarry.llm.common import fresh, in_arrow, text_of
 
 MAX_TRAINING_ROWS = 40_000
 TREES, DEPTH, BINS, RATE = 60, 4, 64, 0.15
@@ -127,7 +127,7 @@ def _measured(df: DataFrame) -> DataFrame:
         for batch in it:
             x = [statistics(t.as_py() or b"") for t in batch.column(2).cast(pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(x, pa.list_(pa.float64()))], names=["y", "key", "x"])
-    return df.select("y", "key", "text").mapInArrow(batches, "y double, key string, x array<double>")
+    return in_arrow(df.select("y", "key", "text"), batches, "y double, key string, x array<double>")
 
 
 def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality",
@@ -158,7 +158,7 @@ def scored(df: DataFrame, forest: Forest, text: str = "text", keep: list[str] |
             done = forest.score(x.reshape(batch.num_rows, len(STATISTICS)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], pa.array(done)], names=[f.name for f in kind])
 
-    return src.mapInArrow(batches, kind)
+    return in_arrow(src, batches, kind)
 
 
 def accepted(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id",

@@ -66,7 +66,7 @@ k AS (
   SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id) AS keep_id,
          count(*) OVER (PARTITION BY text_sha256) AS group_size
   FROM d)
-SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM k
+SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256 FROM k
 """
 
 
@@ -182,8 +182,8 @@ d AS (
         1 + CAST((CAST('0x' || substr(hex, CAST(5 * i + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * j AS BIGINT)) & 31 AS BIGINT), 1)), ''))), '') AS payload_digest
   FROM p)
 SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
-       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN page_id <> first THEN first END AS refers_to
+       CASE WHEN page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
 FROM d
 """
 

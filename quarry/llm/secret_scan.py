@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from quarry.llm.common import fresh, text_of
+from quarry.llm.common import fresh, in_arrow, text_of
 
 KINDS = ("assign", "access", "hex", "token", "armor", "key")
 BASE = KINDS[:3]
@@ -209,4 +209,4 @@ def scanned(df: DataFrame, text: str = "text", keep: list[str] | None = None) ->
             rows = [[dict(zip(names, s)) for s in spans(t.as_py())] for t in batch.column(len(keep))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], pa.array(rows, _ARROW)], names=[f.name for f in kind])
 
-    return src.mapInArrow(batches, kind)
+    return in_arrow(src, batches, kind)

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import FILE, ROW, located, text_of, without_rows
+from quarry.llm.common import FILE, ROW, in_arrow, located, text_of, without_rows
 from quarry.llm.components import components
 from quarry.operators.staging import broadcast_if_small, stage
 
@@ -85,7 +85,7 @@ def fingerprints(df: DataFrame, text: str = "text", shingle: int = SHINGLE) -> D
             columns = [batch.column(batch.schema.get_field_index(c)) for c in keep]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(fps.view("<i8"))], names=[*keep, "fp"])
 
-    return df.mapInArrow(batches, kind)
+    return in_arrow(df, batches, kind)
 
 
 # ------------------------------------------------- partitions and thresholds
@@ -107,7 +107,7 @@ def bit_correlation(distinct: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_pydict({"bit": list(range(64)), "both": both.tolist(), "n": [n] * 64},
                                          schema=pa.schema([("bit", pa.int64()), ("both", pa.list_(pa.int64())), ("n", pa.int64())]))
 
-    parts = distinct.select("fp").mapInArrow(partial, "bit long, both array<long>, n long")
+    parts = in_arrow(distinct.select("fp"), partial, "bit long, both array<long>, n long")
     sums = parts.groupBy("bit").agg(*[F.sum(F.col("both")[i]).alias(f"b{i}") for i in range(64)], F.sum("n").alias("n")).collect()
     if not sums or not sums[0]["n"]:
         return np.eye(64)
@@ -165,7 +165,7 @@ def value_histograms(distinct: DataFrame, groups: list[list[int]]) -> dict[tuple
         rows = [(i, j, v, int(c)) for (i, j), a in counts.items() for v, c in enumerate(a) if c]
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(4)], names=["i", "j", "v", "c"])
 
-    sums = distinct.select("fp").mapInArrow(partial, "i long, j long, v long, c long").groupBy("i", "j", "v").agg(F.sum("c").alias("c"))
+    sums = in_arrow(distinct.select("fp"), partial, "i long, j long, v long, c long").groupBy("i", "j", "v").agg(F.sum("c").alias("c"))
     out = {(i, j): np.zeros(1 << len(b)) for i, j, b in blocks}
     for r in sums.collect():
         out[r["i"], r["j"]][r["v"]] = r["c"]
@@ -271,7 +271,7 @@ def probe_rows(distinct: DataFrame, groups: list[list[int]], allocation: Allocat
                             pa.array(np.full(len(value), bool(e >= 0)))],
                             names=["part", "value", "fp", "indexed", "probing"])
 
-    return distinct.select("fp").mapInArrow(lay_out, "part byte, value long, fp long, indexed boolean, probing boolean")
+    return in_arrow(distinct.select("fp"), lay_out, "part byte, value long, fp long, indexed boolean, probing boolean")
 
 
 # ------------------------------------------------------------------- linking

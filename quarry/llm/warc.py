@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.llm.common import in_arrow
 from quarry.operators.staging import broadcast_if_small, stage
 from quarry.session import staging_path
 
@@ -109,7 +110,7 @@ def write_warc(df: DataFrame, folder: str | None = None, key: str = "page_id", u
             out.close()
             yield pa.RecordBatch.from_pydict({"path": [path], "bytes": [made], "records": [records]})
 
-    return stage(rows.mapInArrow(write, "path string, bytes long, records long"), "warc-manifest").df
+    return stage(in_arrow(rows, write, "path string, bytes long, records long"), "warc-manifest").df
 
 
 # ------------------------------------------------------------------- reading
@@ -239,7 +240,7 @@ def read_warc(archives: DataFrame, split_bytes: int = SPLIT_BYTES, payloads: boo
         if rows:
             yield pack(rows)
 
-    return ranges.mapInArrow(read, READ_SCHEMA)
+    return in_arrow(ranges, read, READ_SCHEMA)
 
 
 def archive_table(spark: SparkSession, paths: str | list[str]) -> DataFrame:

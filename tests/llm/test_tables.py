@@ -1,6 +1,7 @@
 """Mixing, line dedup, WARC and the pipeline; every query's SQL against DuckDB."""
 
 import base64
+import glob
 import gzip
 import hashlib
 
@@ -12,6 +13,7 @@ from quarry.llm import queries
 from quarry.llm.line_dedup import line_dedup
 from quarry.llm.mixing import mix, mixed_rows
 from quarry.llm.warc import archive_table, page_number, read_warc, records_in, write_warc
+from quarry.session import shared_dir
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
@@ -180,5 +182,20 @@ def test_pipeline_stages_one_by_one(spark, sf):
 
 
 def test_run_returns_the_last_stage(spark, sf):
+    at = shared_dir(spark).replace("file:", "") + "/quarry-stage/*"
+    before = set(glob.glob(at))
     got = corpus_pipeline.run(spark, sf)
+    assert len(set(glob.glob(at)) - before) == 1  # the result; what the stages staged is gone
     assert {"doc_id", "ids", "n_tokens", "decoded"} <= set(got.columns) and got.count() > 0
+
+
+def test_every_stage_on_hostile_rows_and_empty_tables(spark, sf, hostile, empty):
+    for docs in (hostile, hostile.withColumnsRenamed({"keep_id": "ids", "size": "score", "n_chars": "__text"}), empty):
+        for name, stage in corpus_pipeline.STAGES:
+            got = stage(spark, docs, sf)
+            rows = got.collect()
+            assert bool(rows) == (docs is not empty), name
+            if name != corpus_pipeline.STAGES[-1][0]:
+                assert got.columns == docs.columns
+            else:
+                assert len(set(got.columns)) == len(got.columns) and len(rows) == docs.count()
