@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm.common import FILE, ROW, located, squeezed, text_of, without_rows
-from quarry.operators.staging import Staged, broadcast_if_small, stage
+from quarry.operators.staging import Staged, broadcast_if_small, remove, stage
 from quarry.session import staging_path
 
 _STATE_CONF = {
@@ -36,7 +36,7 @@ _STATE_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # All stores of an executor share this much memory; the rest is on disk.
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "96",
     "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",
     # Else every store, however small, sets aside some MB of disk in advance.
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
@@ -84,7 +84,9 @@ def exact_groups(df: DataFrame, text: str = "text", key: str = "doc_id",
     if not keyed.rows():
         return _decide(keyed.df, keyed.df.select(
             "digest", F.lit(0).cast("long").alias("rows"), F.col("rank").alias("keep")), key)
-    state = run_state(spark, keyed.path, keyed.df.schema, staging_path(spark, "dedup-state")).df
+    checkpoint = staging_path(spark, "dedup-state")
+    state = run_state(spark, keyed.path, keyed.df.schema, checkpoint).df
+    remove(spark, checkpoint)  # of this one run; its state is in the staged table
 
     hits = broadcast_if_small(stage(
         state.where("rows > 1").select("digest", F.col("keep.file").alias("keep_file"),
@@ -93,16 +95,18 @@ def exact_groups(df: DataFrame, text: str = "text", key: str = "doc_id",
               .withColumn("digest", digest(F.col("norm"))).join(hits, "digest"))
     stays = (F.col(FILE) == F.col("keep_file")) & (F.col(ROW) == F.col("keep_row"))
     first = bodies.where(stays).select("digest", F.col("norm").alias("kept_norm"))
-    clash = stage(bodies.where(~stays).join(first, "digest").where("norm != kept_norm")
-                  .select("digest").distinct(), "dedup-clash")
-    if not clash.rows():
+    # Written as found, without a grouping by digest above the join, which may thus split a hot digest.
+    found = stage(bodies.where(~stays).join(first, "digest").where("norm != kept_norm").select("digest"), "dedup-clash")
+    if not found.rows():
+        found.drop()
         return _decide(keyed.df, state, key)
+    clash = found.df.distinct()
 
     # A digest that covers different texts: its rows are grouped by the texts themselves.
-    split = bodies.join(clash.df, "digest", "left_semi").select(FILE, ROW, "norm")
+    split = bodies.join(clash, "digest", "left_semi").select(FILE, ROW, "norm")
     mixed = keyed.df.join(split, [FILE, ROW])
     groups = mixed.groupBy("digest", "norm").agg(F.count(F.lit(1)).alias("rows"), F.min("rank").alias("keep"))
-    rest = keyed.df.join(clash.df, "digest", "left_anti")
+    rest = keyed.df.join(clash, "digest", "left_anti")
     apart = mixed.join(groups, ["digest", "norm"]).select(*keyed.df.columns, "rows", "keep")
     return _decide(rest, state, key).unionByName(_outcome(apart, key))
 
