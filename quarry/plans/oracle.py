@@ -254,6 +254,8 @@ UNION ALL SELECT * FROM d""",
 
     "sink_update_deletions": f"WITH {_DELTA_INPUTS} SELECT * FROM t WHERE o_orderkey % 10 <> 4",
 
+    "sink_update_parts": f"WITH {_DELTA_INPUTS} SELECT * FROM s WHERE o_orderkey % 10 <> 4",
+
     "sink_overwrite_lines": "SELECT * FROM lineitem",
 
     "sink_update_lines": _first_per_key(

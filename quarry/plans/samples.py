@@ -24,6 +24,7 @@ from quarry.operators.staging import stage
 from quarry.plans import reports
 from quarry.session import staging_path
 from quarry.sinks.files import write_overwrite, write_update
+from quarry.sinks.partitions import create_partitioned, read_partitioned, update_partitioned
 from quarry.sinks.tables import create_table, table_location, update_table
 from quarry.sources.delimited import read_lines
 from quarry.sources.files import read_csv, read_documents
@@ -313,6 +314,15 @@ def sink_update_table(spark, d):
     return spark.read.parquet(location)
 
 
+def sink_update_parts(spark, d):
+    """A table in hash partitions of its key, updated with deletions: only touched parts are rewritten."""
+    path = staging_path(spark, "orders-parts")
+    create_partitioned(delta_target(spark, d), path, ORDER_KEY, 16)
+    source = delta_source(spark, d).where((F.col("o_orderkey") % 10) != 4)
+    update_partitioned(source, path, ORDER_KEY, ORDER_COLUMNS, 16, keep_missing=False)
+    return read_partitioned(spark, path).select(*ORDER_COLUMNS)
+
+
 LINE_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_extendedprice"]
 
 
@@ -431,6 +441,7 @@ QUERIES = {
     "sink_update_table": sink_update_table,
     "sink_overwrite_lines": sink_overwrite_lines,
     "sink_update_lines": sink_update_lines,
+    "sink_update_parts": sink_update_parts,
     "sink_update_noop": sink_update_noop,
     "report_lookup": report_lookup,
     "report_extreme_high": _extreme("highest"),

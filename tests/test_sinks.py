@@ -155,3 +155,26 @@ def test_null_keys_update_once(spark, tmp_path):
     v2 = spark.read.parquet(str(tmp_path / "v2"))
     assert res.rows_written == 2 and rows(v2) == [(None, "c"), (1, "b"), (2, "d")]
     assert not write_update(s, v2, "k", ["k", "v"], str(tmp_path / "v3")).wrote
+
+
+def test_partitioned_update_rewrites_only_touched_parts(spark, tmp_path):
+    from quarry.sinks.partitions import create_partitioned, read_partitioned, update_partitioned
+    path = str(tmp_path / "t")
+    rows_of = lambda: dict(rows(read_partitioned(spark, path), "k", "v"))
+    files = lambda: {os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
+    t = spark.range(400).selectExpr("CAST(id AS INT) AS k", "CAST(id % 7 AS STRING) AS v").union(spark.createDataFrame([(None, "null key")], SCHEMA))
+    create_partitioned(t, path, "k", 32)
+    before = files()
+    s = spark.createDataFrame([(5, "new"), (1000, "more"), (None, "changed"), (6, "6")], SCHEMA)
+    res = update_partitioned(s, path, "k", ["k", "v"], 32)
+    assert res.wrote and res.rows_written == 3 and 1 <= len(res.details["parts"]) <= 3
+    untouched = {f for f in before if int(f.split("__part=")[1].split("/")[0]) not in res.details["parts"]}
+    assert untouched <= files() and len(untouched) >= len(before) - 3 and not (before - untouched) & files()
+    want = {i: str(i % 7) for i in range(400)} | {5: "new", 1000: "more", None: "changed"}
+    assert rows_of() == want
+    assert not update_partitioned(s, path, "k", ["k", "v"], 32).wrote  # twice equals once
+    few = spark.createDataFrame([(5, "new"), (6, "6")], SCHEMA)
+    res = update_partitioned(few, path, "k", ["k", "v"], 32, keep_missing=False)
+    assert res.rows_written == 0 and res.details["rows_removed"] == 400 and rows_of() == {5: "new", 6: "6"}
+    with pytest.raises(OwnInputError):
+        update_partitioned(spark.read.parquet(path), path, "k", ["k", "v"], 32)
