@@ -59,6 +59,17 @@ def test_exact_checks_full_texts_when_digests_collide(hostile):
     assert view(weak) == view(strong)
 
 
+def test_rows_of_any_frame_have_an_identity(spark, sf, tmp_path):
+    """Scans, and frames that are no plain Parquet scan (a union with itself repeats locators)."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    docs.limit(20).select("doc_id", F.regexp_replace("text", "\\s+", " ").alias("text")).write.option("header", True).csv(str(tmp_path / "c"))
+    for frame in (docs.where("doc_id < 90"), docs.withColumn("text", F.upper("text")), docs.union(docs),
+                  docs.join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id"), spark.read.option("header", True).csv(str(tmp_path / "c"))):
+        texts = {brute.squeezed(r.text) for r in frame.collect()}
+        got = exact_dedup(frame)
+        assert got.columns == frame.columns and sorted(brute.squeezed(r.text) for r in got.collect()) == sorted(texts)
+
+
 def test_empty_tables(empty):
     assert exact_groups(empty).count() == 0 and exact_dedup(empty).count() == 0
     assert simhash_components(empty).count() == 0 and near_dedup(empty).count() == 0
