@@ -12,7 +12,9 @@ budget.
 The running sums need no task that holds a whole source. A source is cut by its
 shuffle hash into about the square root of its row count of ranges; sums of the
 ranges are accumulated per source and sums of the rows within each range, so a
-source of n rows is handled in pieces of about sqrt(n). The global order is one
+source of n rows is handled in pieces of about sqrt(n). A range that an often
+repeated identifier fills is cut further, by a hash of the rows' locators, and its
+rows are queued in that order. The global order is one
 range shuffle; only one sum per range partition is accumulated over all.
 
 Only DataFrame and SQL functions. Defined cases: null text has size 0; a null
@@ -37,6 +39,7 @@ WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 MAX_REPEATS = 2
 SEED = "mix-1:"
+CROWDED = 8  # times its even share of rows, beyond which a range is cut further
 
 _RUNNING = (W.unboundedPreceding, W.currentRow)
 _BEFORE = (W.unboundedPreceding, -1)
@@ -88,12 +91,18 @@ def mix(df: DataFrame, text: str = "text", key: str = "doc_id", source: str = "s
     pieces = F.ceil(F.sqrt(F.col("docs"))).cast("long")
     piece = F.floor(F.conv(F.substring("shuffle", 1, 8), 16, 10).cast("double") / F.lit(2.0 ** 32) * pieces).cast("long")
     rows = rows.withColumn("piece", piece)
-    sums = rows.groupBy("rank", "piece").agg(F.sum("size").alias("piece_words"))
-    before = sums.select("rank", "piece", F.coalesce(
-        F.sum("piece_words").over(W.partitionBy("rank").orderBy("piece").rowsBetween(*_BEFORE)),
+    # Evenly spread identifiers never fill a range so far.
+    crowded = (rows.groupBy("rank", "piece").agg(F.count(F.lit(1)).alias("n"), F.first("docs").alias("of"))
+               .where(F.col("n") > CROWDED * F.ceil(F.sqrt("of"))))
+    crowded = broadcast_if_small(stage(crowded.select("rank", "piece", F.ceil(F.col("n") / F.sqrt("of")).alias("cuts")), "mix-crowded"))
+    rows = rows.join(crowded, ["rank", "piece"], "left").withColumn(
+        "cut", F.coalesce(F.pmod(F.xxhash64(FILE, ROW), F.col("cuts")), F.lit(0)))
+    sums = rows.groupBy("rank", "piece", "cut").agg(F.sum("size").alias("piece_words"))
+    before = sums.select("rank", "piece", "cut", F.coalesce(
+        F.sum("piece_words").over(W.partitionBy("rank").orderBy("piece", "cut").rowsBetween(*_BEFORE)),
         F.lit(0)).alias("before"))
-    inner = W.partitionBy("rank", "piece").orderBy("shuffle", "key", FILE, ROW).rowsBetween(*_RUNNING)
-    once = (rows.withColumn("within", F.sum("size").over(inner)).join(before, ["rank", "piece"])
+    inner = W.partitionBy("rank", "piece", "cut").orderBy("shuffle", "key", FILE, ROW).rowsBetween(*_RUNNING)
+    once = (rows.withColumn("within", F.sum("size").over(inner)).join(before, ["rank", "piece", "cut"])
             .withColumn("sum", F.col("before") + F.col("within")))
 
     # Copies that can be taken at all: a finish time beyond the fullest source's is never reached.

@@ -78,6 +78,20 @@ def test_mix_on_hostile_rows(hostile, empty):
     assert blank and all(r.copies == 0 and r.target == 0 for r in blank)
 
 
+def test_mix_where_one_identifier_fills_a_source(spark):
+    """A third of all rows share an identifier; the sums stay exact and the source keeps its target."""
+    words = "w " * 7
+    df = spark.range(6000).selectExpr("IF(id < 2000, 1, id) AS doc_id", f"'{words}' AS text",
+                                      "IF(id < 3000, 'a', IF(id < 4500, 'b', 'c')) AS source")
+    got = mix(df).collect()
+    assert len(got) == 6000
+    taken = {}
+    for r in got:
+        taken[r.source_size, r.target] = taken.get((r.source_size, r.target), 0) + r.size * r.copies
+    assert sum(taken.values()) <= 1.5 * 6000 * 7
+    assert all(abs(t - target) <= 7 for (_, target), t in taken.items())
+
+
 # --------------------------------------------------------------- line dedup
 
 def test_line_dedup_drops_site_boilerplate_only(spark):
