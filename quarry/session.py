@@ -80,7 +80,9 @@ def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors' Python workers, once per application.
 
     Functions that run in workers are pickled by reference, so the workers must be able
-    to import them however the driver came by the package."""
+    to import them however the driver came by the package. The archive is a file of the
+    driver's, which Spark's own file server hands to the executors, as with ``--py-files``;
+    nothing reads it by path elsewhere."""
     sc = spark.sparkContext
     if getattr(sc, "_quarry_shipped", False):
         return
