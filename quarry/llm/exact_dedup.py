@@ -36,8 +36,10 @@ _STATE_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # All stores of an executor share this much memory; the rest is on disk.
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "96",
-    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "48",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "1",
+    # Stores of a stream that has ended are closed at the next maintenance.
+    "spark.sql.streaming.stateStore.maintenanceInterval": "5s",
     # Else every store, however small, sets aside some MB of disk in advance.
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
@@ -47,22 +49,32 @@ def sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
-def run_state(spark: SparkSession, folder: str, schema, checkpoint: str) -> Staged:
+# A store has a fixed cost in memory; fewer are made for few rows, never more than the
+# session's shuffle partitions.
+ROWS_PER_STORE = 40_000
+
+
+def run_state(spark: SparkSession, folder: str, schema, checkpoint: str, rows: int | None = None) -> Staged:
     """Feed the files of ``folder`` that ``checkpoint`` has not seen to the keyed state;
     return the state as a staged table: digest, rows, keep (struct). Call it again after
-    files arrived and only those are read."""
+    files arrived and only those are read. ``rows``: how many are expected in all, for the
+    number of stores (fixed for a checkpoint; default: the session's shuffle partitions)."""
+    conf = dict(_STATE_CONF)
+    if rows is not None:
+        most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        conf["spark.sql.shuffle.partitions"] = str(max(1, min(most, -(-rows // ROWS_PER_STORE))))
     stream = (spark.readStream.schema(schema).parquet(folder).groupBy("digest")
               .agg(F.count(F.lit(1)).alias("rows"), F.min("rank").alias("keep")))
-    before = {k: spark.conf.get(k, None) for k in _STATE_CONF}
+    before = {k: spark.conf.get(k, None) for k in conf}
     try:
-        for k, v in _STATE_CONF.items():
+        for k, v in conf.items():
             spark.conf.set(k, v)
         query = (stream.writeStream.format("noop").outputMode("update")
                  .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
         query.awaitTermination()
         state = spark.read.format("statestore").load(checkpoint)
-        rows, keep = [F.col("value")[f.name] for f in state.schema["value"].dataType.fields]
-        return stage(state.select(F.col("key.digest").alias("digest"), rows.alias("rows"), keep.alias("keep")),
+        count, keep = [F.col("value")[f.name] for f in state.schema["value"].dataType.fields]
+        return stage(state.select(F.col("key.digest").alias("digest"), count.alias("rows"), keep.alias("keep")),
                      "dedup-groups")
     finally:
         for k, v in before.items():
@@ -85,7 +97,7 @@ def exact_groups(df: DataFrame, text: str = "text", key: str = "doc_id",
         return _decide(keyed.df, keyed.df.select(
             "digest", F.lit(0).cast("long").alias("rows"), F.col("rank").alias("keep")), key)
     checkpoint = staging_path(spark, "dedup-state")
-    state = run_state(spark, keyed.path, keyed.df.schema, checkpoint).df
+    state = run_state(spark, keyed.path, keyed.df.schema, checkpoint, keyed.rows()).df
     remove(spark, checkpoint)  # of this one run; its state is in the staged table
 
     hits = broadcast_if_small(stage(

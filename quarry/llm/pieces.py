@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from quarry.llm.common import fresh, in_arrow, text_of
 
 MARK = "▁"
-CACHE = 60_000           # parts in each of the two generations
+CACHE = 40_000           # parts in each of the two generations
 LONGEST_CACHED = 48      # characters
 _SHORT = 40              # symbols up to which agendas are rows of an array
 _NEVER = np.int32(2 ** 31 - 1)
