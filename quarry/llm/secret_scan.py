@@ -40,7 +40,13 @@ _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")  # runs of [0-9a-f]+ of 32 or m
 _NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 _LONG = re.compile(r"[A-Za-z0-9+/_=.-]{32}")
-_TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{4,})\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_.-])")
+# The part between two dots, if its first character can start an object in base64; the parts beside it are looked at later.
+_PAYLOAD = re.compile(r"\.(?=([eICD][A-Za-z0-9_-]{2,}+={0,2})\.)")
+_URL64 = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_-")
+_SIGNATURE = re.compile(r"[A-Za-z0-9_-]*")
+# Brackets outside strings, from the end: a quote inside a string follows a backslash, one that opens it does not.
+_BACKWARD = re.compile(rb'"(?:[^"]|"(?=\\))*+"|[{}\[\]]')
+LEAST_HEADER = 14  # {"alg":""} in base64
 _RUN64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
 _RUN16 = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{64,}")
 _ARMOR = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([^-]*)-----END \1-----")
@@ -134,20 +140,73 @@ def key_format(data: bytes | None) -> str | None:
     return (_private_openssh(data) or _private_der(data)) if data else None
 
 
-def token_algorithm(header: str, payload: str) -> str | None:
-    """The algorithm that a signed token's header names, if header and payload are JSON objects."""
-    parts = [_unbase64(x) for x in (header, payload)]
-    if None in parts:
+def _object(part: str) -> dict | None:
+    """The JSON object that base64 text holds."""
+    if (data := _unbase64(part)) is None:
         return None
     try:
-        head, body = (json.loads(p.decode("utf-8")) for p in parts)
+        found = json.loads(data.decode("utf-8"))
     except (ValueError, RecursionError):
         return None
-    if isinstance(head, dict) and isinstance(body, dict) and isinstance(head.get("alg"), str):
-        return head["alg"]
+    return found if isinstance(found, dict) else None
+
+
+def token_algorithm(header: str, payload: str) -> str | None:
+    """The algorithm that a signed token's header names, if header and payload are JSON objects."""
+    head = _object(header)
+    if head is None or not isinstance(head.get("alg"), str) or _object(payload) is None:
+        return None
+    return head["alg"]
+
+
+def _header(part: str) -> tuple[int, str] | None:
+    """Start and algorithm of the token header that ends ``part``; a word may be glued to its front.
+
+    A header that starts at any place is whole in one of four decodings. In each, brackets are
+    matched from the end, so at most one object is parsed."""
+    part = part.rstrip("=")
+    if len(part) < LEAST_HEADER:
+        return None
+    found = []
+    for at in (0, *(shift + start // 3 * 4 for shift in range(4) if (start := _last_object(_unbase64(part[shift:]))) is not None)):
+        if (head := _object(part[at:])) is not None and isinstance(head.get("alg"), str):
+            found.append((at, head["alg"]))
+    return min(found, default=None)
+
+
+def _last_object(data: bytes | None) -> int | None:
+    """Where the object that ends the data starts, if that is a place where base64 can start."""
+    if not data or not (data := data.rstrip()).endswith(b"}"):
+        return None
+    depth = 0
+    for m in _BACKWARD.finditer(data[::-1]):
+        if m.group() in (b"}", b"]"):
+            depth += 1
+        elif m.group() in (b"{", b"["):
+            depth -= 1
+            if depth == 0:
+                start = len(data) - m.end()
+                return start if start % 3 == 0 else None
     return None
 
 
+def tokens(text: str) -> list[tuple[int, int, str]]:
+    """Start, end and algorithm of the signed tokens: three parts joined by dots, wherever they
+    stand in a longer run. The last part goes on to the end of its characters (hyphens included)."""
+    out = []
+    for m in _PAYLOAD.finditer(text):
+        if _object(m.group(1)) is None:
+            continue
+        start = m.start()
+        while start and text[start - 1] == "=" and m.start() - start < 2:
+            start -= 1
+        while start and text[start - 1] in _URL64:
+            start -= 1
+        if found := _header(text[start:m.start()]):
+            out.append((start + found[0], _SIGNATURE.match(text, m.end(1) + 1).end(), found[1]))
+    return out
+
+
 def _decoded(value: str) -> str | None:
     """Key layout of a value that is hex or base64."""
     if len(value) % 2 == 0 and re.fullmatch(r"[0-9A-Fa-f]+", value) and (found := key_format(bytes.fromhex(value))):
@@ -162,8 +221,9 @@ def spans(text: str) -> list[tuple[str, int, int, str | None]]:
     if any(n in small for n in _NAMES):
         for m in _ASSIGN.finditer(text):
             if len(value := m.group(2)) >= 8:
-                token = value.split(".")
+                token = value.split(".")  # as a whole, it may also use the other base64 alphabet
                 found = token_algorithm(*token[:2]) if len(token) == 3 else None
+                found = found or next((a for _, _, a in tokens(value)), None)
                 out.append(("assign", m.start(), m.end(), found or _decoded(value)))
     if "AKIA" in text:
         out += [("access", m.start(), m.end(), None) for m in _ACCESS.finditer(text) if m.end() - m.start() >= 16]
@@ -175,11 +235,9 @@ def spans(text: str) -> list[tuple[str, int, int, str | None]]:
             if found := key_format(_unbase64(body)):
                 out.append(("armor", m.start(), m.end(), found))
                 armored.append((m.start(), m.end()))
+    out += [("token", *t) for t in tokens(text)]
     if _LONG.search(text):
         out += [("hex", m.start(), m.end(), _decoded(m.group())) for m in _HEX.finditer(text)]
-        for m in _TOKEN.finditer(text):
-            if found := token_algorithm(m.group(1), m.group(2)):
-                out.append(("token", m.start(), m.end(), found))
         inside = lambda m: any(a <= m.start() and m.end() <= b for a, b in armored)
         seen = set()
         for pattern, decode in ((_RUN16, lambda x: bytes.fromhex(x[:len(x) // 2 * 2])), (_RUN64, _unbase64)):

@@ -124,6 +124,23 @@ def test_signed_tokens_need_a_json_header_with_an_algorithm():
     assert ("assign", 0, 8 + len(TOKEN), "HS256") in spans(f"token = {TOKEN}")
 
 
+def test_signed_tokens_are_found_wherever_they_are_glued():
+    n = len(TOKEN)
+    for front, back in (("See ", "."), ("See ", "..."), ("jwt.", ""), ("jwt_", " x"), ("my-jwt-", ". Then"), ("--", ", "), ("a.b.", ".c.d"), ("\\n", "")):
+        assert [s for s in spans(front + TOKEN + back) if s[0] == "token"] == [("token", len(front), len(front) + n, "HS256")], (front, back)
+    assert ("assign", 0, 9 + n, "HS256") in spans(f"token = {TOKEN}. Next")
+    assert [s[1:3] for s in spans(f"{TOKEN}.{TOKEN}.") if s[0] == "token"] == [(0, n), (n + 1, 2 * n + 1)]
+    short = b64(b'{"alg":"none"}', True).rstrip("=") + ".e30."
+    assert len(short) < 32 and spans(f"é {short} y") == [("token", 2, 2 + len(short), "none")]
+    for head in ({"kid": "a\\\"{[}", "alg": "RS256", "jwk": {"x": ["}"]}}, {"alg": "RS256", "x": "\\\\"}):
+        odd = b64(json.dumps(head).encode(), True).rstrip("=") + ".e30.abc"
+        assert [spans(f + odd) for f in ("x-", "xy_", "xyz-", "")] == [[("token", n, n + len(odd), "RS256")] for n in (2, 3, 4, 0)]
+    other = b64(b'{"typ":"x","jwk":{"alg":"none"}}', True).rstrip("=") + ".e30.abc"
+    assert spans(f"jwt_{other}.") == spans("1.2.3.e30.e30.e30.") == spans("..e30..") == []
+    for hard in ("ey.e30." * 20_000, "eyJ-" * 50_000 + ".e30.", "." * 100_000, "e30." * 50_000, "eyJhIjo" * 30_000 + "fQ.e30.x", "eyIi" * 50_000 + "fX0.e30.x", "=" * 100_000 + ".e30."):
+        assert [s for s in spans(hard) if s[0] == "token"] == []
+
+
 SECRET_TEXTS = ["password: hunter2hunter2", "PassWord='12345678'", "paſsword: 12345678", "tokKen = 12345678", "secret=1234567 secret=12345678", "AKIA" + "A" * 11 + " AKIA" + "B" * 12,
                 "a" * 31 + " " + "b" * 32 + "g" + "c" * 33, "api_key:api_key=abcdefgh", "token token = abcdefghij", "f" * 20_000, "=" * 20_000, "eyJ." * 3_000, None, "", "password" + " " * 5_000]
 
