@@ -6,7 +6,8 @@ base64 or hex, and reported only if their structure holds: a signed token has a
 JSON header that names an algorithm and a JSON payload; a private key parses as
 nested tag-length-value fields that use up the bytes exactly and have the layout
 of PKCS#1, PKCS#8 or SEC1, or as the length-prefixed fields of an OpenSSH key
-file. A pattern match whose value decodes to such a structure is marked as
+file. Armor inside the decoded text is taken off once, and lines that only a line
+break separates are joined first. A pattern match whose value decodes to such a structure is marked as
 confirmed.
 
 Spans are code points, end exclusive. Kinds: assign, access, hex (patterns),
@@ -23,6 +24,9 @@ import base64
 import binascii
 import json
 import re
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -50,7 +54,14 @@ LEAST_HEADER = 14  # {"alg":""} in base64
 _RUN64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
 _RUN16 = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{64,}")
 _ARMOR = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([^-]*)-----END \1-----")
+_ARMOR_BYTES = re.compile(_ARMOR.pattern.encode())
 _OPENSSH = b"openssh-key-v1\0"
+# Runs with only a line break (written out or escaped) and indentation between them. The first one starts as DER,
+# OpenSSH or armor does in base64 or hex, or is long.
+_BREAK = re.compile(r"(?:\\r)?\\n|[\x20\t]*+\r?\n[\x20\t]*+")
+_WRAPPED = re.compile(
+    r"(?:(?<=\\n)|(?<![A-Za-z0-9+/_-]))(?=M[A-P]|b3Bl|LS0t|30|6[fF]|2[dD]|[A-Za-z0-9+/_-]{32})"
+    rf"([A-Za-z0-9+/_-]++(?:(?:{_BREAK.pattern})[A-Za-z0-9+/_-]++)++)={{0,2}}")
 
 
 def _unbase64(run: str) -> bytes | None:
@@ -110,12 +121,13 @@ def _private_der(data: bytes) -> str | None:
     return None
 
 
-def _private_openssh(data: bytes) -> str | None:
-    if not data.startswith(_OPENSSH):
+def _openssh_end(data: bytes, at: int = 0) -> int | None:
+    """Where the OpenSSH key that starts at ``at`` ends."""
+    if not data.startswith(_OPENSSH, at):
         return None
-    at = len(_OPENSSH)
+    at += len(_OPENSSH)
 
-    def field() -> bytes | None:
+    def field() -> int | None:
         nonlocal at
         if at + 4 > len(data):
             return None
@@ -123,7 +135,7 @@ def _private_openssh(data: bytes) -> str | None:
         if at + 4 + size > len(data):
             return None
         at += 4 + size
-        return data[at - size:at]
+        return size
 
     cipher, kdf, options = field(), field(), field()
     if not cipher or not kdf or options is None or at + 4 > len(data):
@@ -132,12 +144,33 @@ def _private_openssh(data: bytes) -> str | None:
     at += 4
     if not 1 <= keys <= 64 or any(not field() for _ in range(keys)):
         return None
-    return "openssh" if field() and at == len(data) else None
+    return at if field() else None
+
+
+def _layout(data: bytes | None) -> str | None:
+    """The private key layout that binary ``data`` has, if any."""
+    if not data:
+        return None
+    return "openssh" if _openssh_end(data) == len(data) else _private_der(data)
+
+
+def _unarmored(body: str) -> str | None:
+    """Key layout of what is between the armor's marks."""
+    lines = re.split(r"(?:\\[nr]|\s)+", body)
+    return _layout(_unbase64("".join(x for x in lines if ":" not in x)))
+
+
+def _armored(data: bytes):
+    """Layout, start and end of the armored keys in the data."""
+    if b"PRIVATE KEY-----" in data:
+        for m in _ARMOR_BYTES.finditer(data):
+            if found := _unarmored(m.group(2).decode("latin-1")):
+                yield found, m.start(), m.end()
 
 
 def key_format(data: bytes | None) -> str | None:
-    """The private key layout that ``data`` has, if any."""
-    return (_private_openssh(data) or _private_der(data)) if data else None
+    """The private key layout that ``data`` has or, if it is text, that an armored key in it has."""
+    return (_layout(data) or next((x for x, _, _ in _armored(data)), None)) if data else None
 
 
 def _object(part: str) -> dict | None:
@@ -214,9 +247,67 @@ def _decoded(value: str) -> str | None:
     return key_format(_unbase64(value)) if re.fullmatch(r"[A-Za-z0-9+/_-]+={0,2}", value) else None
 
 
+def _key_at(data: bytes, at: int) -> tuple[int, Callable[[], str | None]] | None:
+    """Where the key that starts at ``at`` says it ends, and its layout if it holds."""
+    if data[at] == SEQUENCE and at + 2 <= len(data):
+        width = data[at + 1] & 0x7F if data[at + 1] & 0x80 else 0
+        end = at + 2 + width + (int.from_bytes(data[at + 2:at + 2 + width], "big") if width else data[at + 1])
+        return end, lambda: _private_der(data[at:end])
+    end = _openssh_end(data, at)
+    return (end, lambda: "openssh") if end else None
+
+
+def _decodings(joined: str):
+    """What the joined lines hold as base64 and as hex, with the place where it starts, and how many
+    characters make how many bytes."""
+    for shift in range(4):
+        run = joined[shift:]
+        if data := _unbase64(run[:-1] if len(run) % 4 == 1 else run):
+            yield data, shift, 4, 3
+    for m in _RUN16.finditer(joined):
+        for shift in (0, 1):
+            run = m.group()[shift:]
+            yield bytes.fromhex(run[:len(run) // 2 * 2]), m.start() + shift, 2, 1
+
+
+def wrapped_keys(text: str) -> list[tuple[int, int, str]]:
+    """Start, end and layout of keys in base64 or hex that take several lines, without armor around
+    them. Lines before or after a key that look alike are no part of it: a key states its length."""
+    out = []
+    for block in _WRAPPED.finditer(text):
+        at, lines = block.start(), []
+        for m in _BREAK.finditer(text, *block.span(1)):
+            lines.append((at, m.start()))
+            at = m.end()
+        lines.append((at, block.end(1)))
+        joined = "".join(text[a:b] for a, b in lines)
+        ends = list(accumulate(b - a for a, b in lines))
+        starts = [0, *ends[:-1]]
+        found = set()
+        for data, origin, chars, size in _decodings(joined):
+            def place(end: int) -> int:
+                return origin - (-end * chars // size)
+
+            for kind, start, end in _armored(data):
+                while data[end:end + 1].isspace():
+                    end += 1
+                found.add((bisect_right(starts, origin + start * chars // size) - 1, bisect_left(ends, place(end)), kind))
+            for line, start in enumerate(starts):
+                if start >= origin and (start - origin) % chars == 0 and (start - origin) // chars * size < len(data):
+                    key = _key_at(data, (start - origin) // chars * size)
+                    if key and key[0] <= len(data):
+                        last = bisect_left(ends, place(key[0]))
+                        if last < len(ends) and ends[last] == place(key[0]) and (kind := key[1]()):
+                            found.add((line, last, kind))
+        out += [(lines[a][0], block.end() if b == len(lines) - 1 else lines[b][1], kind) for a, b, kind in sorted(found) if a < b]
+    return out
+
+
 def spans(text: str) -> list[tuple[str, int, int, str | None]]:
     """(kind, start, end, confirmed structure or None), by start, then kind as listed."""
     out = []
+    wrapped = wrapped_keys(text) if "\n" in text or "\\n" in text else []
+    begun = {start: kind for start, _, kind in wrapped}
     small = text.lower()
     if any(n in small for n in _NAMES):
         for m in _ASSIGN.finditer(text):
@@ -224,25 +315,25 @@ def spans(text: str) -> list[tuple[str, int, int, str | None]]:
                 token = value.split(".")  # as a whole, it may also use the other base64 alphabet
                 found = token_algorithm(*token[:2]) if len(token) == 3 else None
                 found = found or next((a for _, _, a in tokens(value)), None)
-                out.append(("assign", m.start(), m.end(), found or _decoded(value)))
+                out.append(("assign", m.start(), m.end(), found or _decoded(value) or begun.get(m.start(2))))
     if "AKIA" in text:
         out += [("access", m.start(), m.end(), None) for m in _ACCESS.finditer(text) if m.end() - m.start() >= 16]
     armored = []
     if "-----BEGIN " in text:
         for m in _ARMOR.finditer(text):
-            lines = re.split(r"(?:\\[nr]|\s)+", m.group(2))
-            body = "".join(x for x in lines if ":" not in x)
-            if found := key_format(_unbase64(body)):
+            if found := _unarmored(m.group(2)):
                 out.append(("armor", m.start(), m.end(), found))
                 armored.append((m.start(), m.end()))
     out += [("token", *t) for t in tokens(text)]
+    inside = lambda start, end: any(a <= start and end <= b for a, b in armored)
+    keys = [(start, end, kind) for start, end, kind in wrapped if not inside(start, end)]
+    out += [("key", *k) for k in keys]
+    seen = {k[:2] for k in keys}
     if _LONG.search(text):
-        out += [("hex", m.start(), m.end(), _decoded(m.group())) for m in _HEX.finditer(text)]
-        inside = lambda m: any(a <= m.start() and m.end() <= b for a, b in armored)
-        seen = set()
+        out += [("hex", m.start(), m.end(), _decoded(m.group()) or begun.get(m.start())) for m in _HEX.finditer(text)]
         for pattern, decode in ((_RUN16, lambda x: bytes.fromhex(x[:len(x) // 2 * 2])), (_RUN64, _unbase64)):
             for m in pattern.finditer(text):
-                if m.span() not in seen and not inside(m) and (found := key_format(decode(m.group()))):
+                if m.span() not in seen and not inside(*m.span()) and (found := key_format(decode(m.group()))):
                     seen.add(m.span())
                     out.append(("key", m.start(), m.end(), found))
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))

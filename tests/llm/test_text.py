@@ -117,6 +117,39 @@ def test_key_material_is_confirmed_only_whole(data, name):
         assert any(s[0] == "hex" and s[3] == name for s in spans(data.hex()))
 
 
+def wrap(run, width, sep="\n"):
+    return sep.join(run[i:i + width] for i in range(0, len(run), width))
+
+
+@pytest.mark.parametrize("data,name", [(PKCS8, "pkcs8"), (PKCS1, "pkcs1"), (SEC1, "sec1"), (SSH, "openssh")])
+def test_encoded_armor_and_wrapped_keys(data, name):
+    pem = f"-----BEGIN PRIVATE KEY-----\n{wrap(b64(data), 64)}\n-----END PRIVATE KEY-----\n".encode()
+    for run in (b64(pem), pem.hex(), pem.hex().upper(), b64(b"Bag Attributes\n" + pem), b64(pem.replace(b"\n", b"\r\n"))):
+        assert ("key", 9, 9 + len(run), name) in spans(f"tls.key: {run}\n")
+        assert ("assign", 0, 8 + len(run), name) in spans(f"secret: {run}")
+    assert secret_scan.key_format(pem) == name and secret_scan.key_format(pem.replace(b"PRIVATE", b"PUBLIC")) is None
+    assert secret_scan.key_format(b64(pem).encode()) is None  # taken off once
+    for run in (b64(data), b64(data, True), data.hex(), data.hex().upper(), b64(pem), pem.hex()):
+        for width, sep in ((76, "\n"), (60, "\r\n"), (64, "\n    "), (16, "\n"), (40, "\\n")):
+            if len(run) <= width:
+                continue
+            lines = wrap(run, width, sep)
+            for front, back in (("é: ", " x"), ("Heading\n", ""), ("MAN" + sep, ".")):
+                got = [s for s in spans(front + lines + back) if s[0] == "key"]
+                assert [(s[3], s[2]) for s in got] == [(name, len(front + lines))] and got[0][1] == len(front), (run[:20], width, front)
+            assert ("key", 0, len(lines.rstrip("=")), name) in [(*s[:2], len(lines.rstrip("=")), s[3]) for s in spans(lines)]
+            assert ("assign", name) in [(s[0], s[3]) for s in spans("token: " + lines)]
+        if not run.endswith("="):
+            lines = wrap(run, 64)
+            assert run in (b64(pem), pem.hex()) or [s[1:] for s in spans(lines + "\nmore\nlines") if s[0] == "key"] == [(0, len(lines), name)]
+    assert [s for s in spans(wrap(b64(data[:-3]), 40)) if s[0] == "key"] == []
+
+
+def test_wrapped_lines_take_little_time():
+    for hard in ("MIIB\n" * 40_000, "30\n" * 60_000, "LS0tLS1CRUdJTiBQ\n" * 10_000, "b3BlbnNzaC1rZXktdjEA\n" * 8_000, "word\n" * 50_000, "\n" * 100_000, "M" * 100_000):
+        assert [s for s in spans(hard) if s[0] == "key"] == []
+
+
 def test_signed_tokens_need_a_json_header_with_an_algorithm():
     assert spans(f"x {TOKEN} y") == [("token", 2, 2 + len(TOKEN), "HS256")]
     fake = b64(b'{"typ":"none at all"}', True).rstrip("=") + "." + TOKEN.split(".", 1)[1]
