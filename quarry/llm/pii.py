@@ -27,6 +27,7 @@ are not read.
 from __future__ import annotations
 
 import math
+import unicodedata
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +40,22 @@ ADDED = ("mail_words", "phone_local", "ssn", "account", "person")
 THRESHOLD = 0.5
 CONTEXT = 40  # characters looked at before and after a span
 
+_GAP = r"[\x20\u00A0\u202F]"
+# National numbers: 3-3-4; a leading zero and pairs, an area and one block, or 8 to 12 digits in any groups, but no date;
+# nine digits in the groups used without a leading zero.
+_NATIONAL = "|".join((
+    r"\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}",
+    rf"(?<![0-9]/)(?!0[1-9](?:{_GAP}|[./-])[01]?[0-9](?:{_GAP}|[./-])(?:19|20)[0-9]{{2}}(?![0-9]))(?:"
+    rf"0[1-9](?:(?:{_GAP}|[.-])[0-9]{{2}}){{4}}(?![0-9])"
+    rf"|\(?0[1-9][0-9]{{0,4}}\)?(?:{_GAP}?[/-]{_GAP}?|{_GAP})[0-9]{{5,8}}(?:-[0-9]{{1,4}})?(?![0-9])"
+    rf"|\(?0[1-9](?:\)?{_GAP}?[./-]?{_GAP}?[0-9]){{6,10}})",
+    rf"[6-9][0-9]{{2}}(?:(?:{_GAP}|[.-])?[0-9]{{3}}){{2}}",
+    rf"[6-9][0-9]{{2}}(?:(?:{_GAP}|[.-])[0-9]{{2}}){{3}}",
+    rf"[89][0-9](?:{_GAP}|[.-])[0-9]{{3}}(?:(?:{_GAP}|[.-])[0-9]{{2}}){{2}}"))
+# A capitalised word of a name: Müller, McDonald, O'Brien, García-Márquez.
+_NAME = r"(?:\p{Lu}['’])?+\p{Lu}\p{M}*+[\p{Ll}\p{M}]++(?:[-'’]?+\p{Lu}\p{M}*+[\p{Ll}\p{M}]++)*+"
+_NO_LETTER = r"(?![\p{L}\p{M}])"
+
 # The base patterns. Each is entered at the start of a run or where the last match ended.
 PATTERNS = {
     "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -47,16 +64,16 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     # What the method proposes beyond them.
     "mail_words": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20?[\[(]at[\])]\x20?[A-Za-z0-9-]++(?:\x20?(?:[\[(]dot[\])]|\.)\x20?[A-Za-z0-9-]++)++",
-    "phone_local": r"(?<![0-9A-Za-z+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9A-Za-z-])",
+    "phone_local": rf"(?<![0-9\p{{L}}\p{{M}}+.-])(?:{_NATIONAL})(?![0-9\p{{L}}-])",
     "ssn": r"(?<![0-9A-Za-z.-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
     "account": r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
-    "person": r"(?<![A-Za-z])[A-Z][a-z]++\.?\x20[A-Z][a-z]++(?:\x20[A-Z][a-z]++)?+(?![A-Za-z])",
+    "person": rf"(?<![\p{{L}}\p{{M}}]){_NAME}\.?\x20{_NAME}{_NO_LETTER}(?:\x20{_NAME}{_NO_LETTER})?+",
 }
 # A cheap necessary condition per kind, so that most texts skip the pattern.
 GATES = {
     "email": "@", "phone": "+", "mail_words": "at",
-    "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone_local": r"[0-9]{3}[\x20.-][0-9]{4}", "ssn": r"-[0-9]{2}-[0-9]{4}",
-    "account": r"[A-Z]{2}[0-9]{2}", "person": r"[a-z]\.?\x20[A-Z][a-z]",
+    "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone_local": rf"[0-9]{{3}}[\x20.-][0-9]{{4}}|0[1-9](?:\)?{_GAP}?[./-]?{_GAP}?[0-9]){{6}}|[6-9][0-9](?:(?:{_GAP}|[.-])?[0-9]){{7}}", "ssn": r"-[0-9]{2}-[0-9]{4}",
+    "account": r"[A-Z]{2}[0-9]{2}", "person": r"[\p{Ll}\p{M}]\.?\x20\p{Lu}['’\p{Ll}\p{M}]",
 }
 _LITERAL = ("email", "phone")
 
@@ -72,7 +89,8 @@ ACCOUNT_COUNTRIES = "AT BE CH CZ DE DK ES FI FR GB GR HU IE IT LU NL NO PL PT RO
 BEFORE = {
     "email": "mail contact kontakt correo courriel write reach", "ip": "ip address host server client login from",
     "card": "card visa mastercard amex credit karte tarjeta carte payment", "phone": "phone tel call mobile cell fax telefon contact",
-    "mail_words": "mail contact kontakt correo courriel write reach", "phone_local": "phone tel call mobile cell fax telefon contact",
+    "mail_words": "mail contact kontakt correo courriel write reach", 
+    "phone_local": "phone tel call mobile cell fax telefon contact tél téléphone teléfono móvil portable handy rufnummer kontakt",
     "ssn": "ssn social security tax taxpayer", "account": "iban account bank konto cuenta compte transfer",
     "person": "name named mr mrs ms dr prof patient customer employee signed dear sincerely regards born"}
 AGAINST = "version release isbn issn order invoice item sku part serial page figure table chapter ticket build lat lon"
@@ -140,6 +158,13 @@ def _listed(value: Column, words: list[str]) -> Column:
     return value.isin(*words)
 
 
+# Usual layouts: North American, pairs with one separator, area and block, area and two groups.
+_USUAL = (
+    r"[2-9][0-9]{2}\)?[\x20.-]?[2-9][0-9]{2}[\x20.-]?[0-9]{4}$",
+    rf"^0[1-9]({_GAP}|[.-])[0-9]{{2}}(?:\1[0-9]{{2}}){{3}}$",
+    rf"^\(?0[1-9][0-9]{{1,4}}\)?(?:{_GAP}?[/-]{_GAP}?|{_GAP})(?:[0-9]{{5,8}}(?:-[0-9]{{1,4}})?|[0-9]{{3,4}}[\x20-][0-9]{{3,4}})$")
+
+
 def _strict(kind: str, hit: Column) -> Column:
     """Regex labeler: the form that a real one has."""
     if kind in ("email", "mail_words"):
@@ -148,7 +173,9 @@ def _strict(kind: str, hit: Column) -> Column:
         return _vote(~hit.rlike(r"^(?:0|127|255)\.|(?:^|\.)0[0-9]"), hit.rlike(r"^0\.|(?:^|\.)0[0-9]"))
     if kind == "card":
         return _vote(hit.rlike("^[3-6]"), hit.rlike(r"^([0-9])(?:[\x20-]?\1)+$"))
-    if kind in ("phone", "phone_local"):
+    if kind == "phone_local":
+        return _vote(hit.rlike("|".join(_USUAL)), hit.rlike(r"([0-9])\1{6}"))
+    if kind == "phone":
         return _vote(hit.rlike(r"[2-9][0-9]{2}\)?[\x20.-]?[2-9][0-9]{2}[\x20.-]?[0-9]{4}$"), hit.rlike(r"([0-9])\1{6}"))
     if kind == "ssn":
         return _vote(~hit.rlike("^(?:000|666|9)|-00-|-0000$"), hit.rlike("^(?:000|666|9)|-00-|-0000$"))
@@ -157,14 +184,27 @@ def _strict(kind: str, hit: Column) -> Column:
     return F.lit(0)
 
 
+def _unaccented(text: str) -> str:
+    return "".join(c for c in unicodedata.normalize("NFD", text) if not unicodedata.combining(c))
+
+
+_ACCENTED = "".join(c for c in map(chr, range(0xC0, 0x250)) if len(b := _unaccented(c)) == 1 and b.isascii())
+
+
+def _plain(hit: Column) -> Column:
+    """Latin letters without their accents, composed or not."""
+    return F.translate(F.regexp_replace(hit, r"\p{M}", ""), _ACCENTED, _unaccented(_ACCENTED))
+
+
 def _gazetteer(kind: str, hit: Column) -> Column:
     if kind in ("email", "mail_words"):
         return _vote(_listed(F.lower(F.regexp_extract(hit, "([A-Za-z]+)$", 1)), DOMAINS))
     if kind == "account":
         return _vote(_listed(F.substring(hit, 1, 2), ACCOUNT_COUNTRIES), F.lit(True))
     if kind == "person":
-        return _vote(_listed(F.regexp_extract(hit, r"^([A-Za-z]+)", 1), FIRST_NAMES + TITLES)
-                     | _listed(F.regexp_extract(hit, r"\x20([A-Za-z]+)", 1), FIRST_NAMES), F.lit(True))
+        plain = _plain(hit)
+        return _vote(_listed(F.regexp_extract(plain, r"^([A-Za-z]+)", 1), [_unaccented(x) for x in FIRST_NAMES + TITLES])
+                     | _listed(F.regexp_extract(plain, r"\x20([A-Za-z]+)", 1), [_unaccented(x) for x in FIRST_NAMES]), F.lit(True))
     return F.lit(0)
 
 

@@ -62,6 +62,25 @@ def test_weak_supervision_adds_spans_with_evidence(spark):
     assert got[len(PII_TEXTS)] == set() and got[len(PII_TEXTS) + 2] == set()
 
 
+def test_names_and_national_numbers_beyond_english(spark):
+    cases = [("person", t) for t in (
+        "Anna Müller", "José García", "Carlos Hernández", "Señora Núñez", "Señor García", "John Smith McDonald", "Jean-Pierre Lefèvre", "Maria O'Brien",
+        "Jose\u0301 Garci\u0301a", "Mary Smith")] + [("phone_local", t) for t in (
+            "030 1234567", "01 23 45 67 89", "01.23.45.67.89", "(030) 1234567", "0171/1234567", "030 / 1234-567", "020 7946 0958", "044 123 45 67",
+            "0301234567", "912 345 678", "612 34 56 78", "91 234 56 78", "612345678", "01\u00a023\u00a045\u00a067\u00a089", "04152 1234", "555-123-4567")]
+    texts = [("Kontakt: é " if kind == "phone_local" else "Name: é, ") + t + ", x" for kind, t in cases]
+    more = ["Kontakt 01.02.2024", "Kontakt 01/02/2024 10:00", "Kontakt 01 02 2024", "Kontakt 1030 1234567890123", "John SmithX", "é John Smith ABc",
+            "Tel. 01 23 45 67 89 10 Uhr", "Tel. 020 7946 0958 10 Uhr", "0" * 20_000, "01 " * 10_000, "Ab" * 20_000, "Él " * 8_000, "9 " * 20_000]
+    got = {r.doc_id: r.c.proposed for r in frame(spark, texts + more).select("doc_id", pii.candidates(F.col("text")).alias("c")).collect()}
+    for i, (kind, t) in enumerate(cases):
+        assert [(s.kind, texts[i][s.start:s.end]) for s in got[i]] == [(kind, t)]
+    found = [[t[s.start:s.end] for s in got[len(texts) + i]] for i, t in enumerate(more[:8])]
+    assert found == [[], [], [], [], [], ["John Smith"], ["01 23 45 67 89"], ["020 7946 0958"]]
+    added = {r.doc_id: [s.kind for s in r.spans if not s.base] for r in pii_spans(frame(spark, texts)).collect()}
+    kept = [t for i, (kind, t) in enumerate(cases) if added[i] == [kind]]
+    assert {"Anna Müller", "José García", "Carlos Hernández", "Señora Núñez", "030 1234567", "01 23 45 67 89", "(030) 1234567"} <= set(kept), kept
+
+
 def test_expectation_maximisation_finds_the_reliable_labeler():
     """Labelers 0 and 1 agree with the truth in 90 of 100 cases, labeler 2 is a coin."""
     patterns = {}
