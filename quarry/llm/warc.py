@@ -145,7 +145,7 @@ def _headers(data: bytes) -> dict[str, str] | None:
 
 def _member(window: _Window, offset: int) -> tuple[dict[str, str], bytes, int] | None:
     """Header, block and end of the record whose member starts at ``offset``, or None."""
-    unpack, data, at, fields, wanted = zlib.decompressobj(31), bytearray(), offset, None, 0
+    unpack, data, at, fields, wanted, searched = zlib.decompressobj(31), bytearray(), offset, None, 0, 0
     step = 1 << 12  # the first bytes tell most false candidates
     try:
         while not unpack.eof:
@@ -157,14 +157,13 @@ def _member(window: _Window, offset: int) -> tuple[dict[str, str], bytes, int] |
             if fields is None:
                 if not b"WARC/".startswith(bytes(data[:5])):
                     return None
-                head = data.find(b"\r\n\r\n")
+                head = data.find(b"\r\n\r\n", searched)  # as far as the member goes
+                searched = max(0, len(data) - 3)
                 if head >= 0:
                     fields = _headers(bytes(data[:head]))
                     if fields is None:
                         return None
                     wanted = head + 4 + int(fields["content-length"]) + 4
-                elif len(data) > 1 << 20:
-                    return None
             if fields is not None and len(data) > wanted:
                 return None
     except zlib.error:

@@ -4,12 +4,13 @@ import base64
 import glob
 import gzip
 import hashlib
+import random
 
 import duckdb
 import pytest
 
 import corpus_pipeline
-from quarry.llm import queries
+from quarry.llm import queries, warc
 from quarry.llm.line_dedup import line_dedup
 from quarry.llm.mixing import mix, mixed_rows
 from quarry.llm.warc import archive_table, page_number, read_warc, records_in, write_warc
@@ -152,6 +153,14 @@ def test_reader_passes_over_false_magic_and_damage(tmp_path):
         assert [b for b in found if b in (b"first", b"last")] == [b"first", b"last"] and inner in found
 
 
+def test_reader_takes_headers_of_any_length(tmp_path):
+    url = "data:," + random.Random(7).randbytes(3 << 20).hex()
+    member = warc._record(1, url, b"one", "D", None, "2024-01-01T00:00:00Z") + warc._record(2, "u", b"two", "D", None, "2024-01-01T00:00:00Z")
+    (tmp_path / "long.warc.gz").write_bytes(member)
+    got = [warc._row("p", *r) for r in warc.records_in(f"{tmp_path}/long.warc.gz", len(member), 0, len(member))]
+    assert [r[8] for r in got] == [b"one", b"two"] and got[0][4] == url
+
+
 def test_small_payloads_stay_responses_and_archives_roll(spark, tmp_path):
     folder = f"file://{tmp_path}/w"
     write_warc(pages(spark).coalesce(1), folder, least_payload=2, archive_bytes=400)
