@@ -13,6 +13,9 @@ its member starts, however far it runs; after a whole record (decoded to its
 checksum, with the length its header states) the scan goes on at its end. So each
 record is read once, whatever the ranges.
 
+HTTP headers are split off where the record's type of content is application/http;
+the whole block of any other record is its payload.
+
 A task holds one record and a read buffer at a time. Defined cases: a null page
 is an empty payload; with a null page id among equal payloads, the smallest
 other id is the response's; rows that tie for it are all responses; line breaks
@@ -200,7 +203,9 @@ READ_SCHEMA = ("path string, offset long, record_type string, record_id string,
 
 
 def _row(path: str, offset: int, fields: dict[str, str], block: bytes) -> tuple:
-    http, _, payload = block.partition(b"\r\n\r\n")
+    http, payload = b"", block
+    if fields.get("content-type", "").partition(";")[0].strip().lower() == "application/http":
+        http, _, payload = block.partition(b"\r\n\r\n")
     stated = [x.split(b":")[1] for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:")]
     full = int(stated[0]) if stated else len(payload)
     digest = fields.get("warc-payload-digest", "").rpartition(":")[2]

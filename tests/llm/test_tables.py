@@ -161,6 +161,20 @@ def test_reader_takes_headers_of_any_length(tmp_path):
     assert [r[8] for r in got] == [b"one", b"two"] and got[0][4] == url
 
 
+def test_blocks_that_are_not_http_are_whole_payloads(tmp_path):
+    blocks = [("warcinfo", "application/warc-fields", b"software: x\r\nformat: WARC\r\n"), ("conversion", "text/plain", b"no blank line"),
+              ("resource", "text/plain", b"Content-Length: 3\r\n\r\nrest of the text"), ("metadata", None, b"a: b\r\n\r\n"),
+              ("response", "Application/HTTP;msgtype=response", b"HTTP/1.1 200 OK\r\nContent-Length: 2\r\n\r\nhi")]
+    out = b""
+    for kind, content, block in blocks:
+        head = f"WARC/1.0\r\nWARC-Type: {kind}\r\n" + (f"Content-Type: {content}\r\n" if content else "") + f"Content-Length: {len(block)}\r\n\r\n"
+        out += gzip.compress(head.encode() + block + b"\r\n\r\n")
+    (tmp_path / "other.warc.gz").write_bytes(out)
+    got = [warc._row("p", *r) for r in records_in(f"{tmp_path}/other.warc.gz", len(out), 0, len(out))]
+    want = [b for _, _, b in blocks[:4]] + [b"hi"]
+    assert [r[8] for r in got] == want and [r[7] for r in got] == [len(b) for b in want]
+
+
 def test_small_payloads_stay_responses_and_archives_roll(spark, tmp_path):
     folder = f"file://{tmp_path}/w"
     write_warc(pages(spark).coalesce(1), folder, least_payload=2, archive_bytes=400)
