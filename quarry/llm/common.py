@@ -45,12 +45,18 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def in_arrow(df: DataFrame, batches, schema) -> DataFrame:
     """``mapInArrow`` with this package on the workers' path, in batches of bounded bytes.
 
-    Spark's own bound is higher; it is lowered for the session unless the user chose one."""
+    Spark's own bound is higher; it is lowered for the session unless the user chose one.
+    Batches come with columns by position: ``mapInArrow`` cannot take names with dots."""
     spark = df.sparkSession
     ship_package(spark)
     if spark.conf.get(_BATCH, None) in _BATCH_DEFAULTS:
         spark.conf.set(_BATCH, str(BATCH_BYTES))
-    return df.mapInArrow(batches, schema)
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]).mapInArrow(batches, schema)
+
+
+def named(column: str) -> Column:
+    """The column of exactly this name, dots and quotes included."""
+    return F.col("`" + column.replace("`", "``") + "`")
 
 
 def fresh(df: DataFrame, name: str) -> str:

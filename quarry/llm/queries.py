@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.llm import toxicity, whitening
 from quarry.llm.exact_dedup import exact_groups
 from quarry.llm.line_dedup import LEAST_PAGES, RATIO, line_dedup
 from quarry.llm.mixing import mix
@@ -20,6 +21,7 @@ from quarry.llm.quality_trees import THRESHOLD, held_out, scored, train
 from quarry.llm.secret_scan import BASE as SECRET_BASE
 from quarry.llm.secret_scan import scanned
 from quarry.llm.simhash import simhash_components
+from quarry.llm.spelling import spelling_groups
 from quarry.llm.warc import page_number, read_warc, write_warc
 
 
@@ -200,6 +202,28 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), "n_corrected")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(rows)
+    error = whitening.identity_error(rows, model)
+    shares = F.array(*[F.lit(float(v / model.trace) if model.trace else None).cast("double") for v in (model.values if model else [])])
+    found = whitening.whitened(rows, model, keep=["vec_id"])
+    return found.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n if model else None).cast("long").alias("n"), "deviation",
+        "whitened", F.get(shares, F.col("at")).cast("double").alias("explained"), F.lit(error).cast("double").alias("identity_error"))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = toxicity.scored(docs, toxicity.train(docs, table(spark, sf_dir, "labels")), keep=["doc_id"])
+    return found.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+                        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), F.size("hits").alias("n_hits"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_pii": op2_pii,
@@ -211,6 +235,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_warc": op9_warc,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_whitening": op11_whitening,
+    "op12_toxicity": op12_toxicity,
+    "op13_spelling": op13_spelling,
 }
 
 ORACLE = {"op3_exact_dedup": OP3_SQL, "op4_line_dedup": OP4_SQL, "op6_mixing": OP6_SQL, "op9_warc": OP9_SQL}

@@ -76,14 +76,14 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
 def fingerprints(df: DataFrame, text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """A located frame's locator and other columns given, with ``fp`` (long) for ``text``."""
     keep = [c for c in df.columns if c != text]
+    df = df.select(text, *keep)
     kind = df.select(*keep, F.lit(0).cast("long").alias("fp")).schema
 
     def batches(it):
         for batch in it:
-            texts = batch.column(batch.schema.get_field_index(text)).cast(pa.binary())
+            texts = batch.column(0).cast(pa.binary())
             fps = np.fromiter((fingerprint(t.as_py() or b"", shingle) for t in texts), dtype="<u8", count=len(texts))
-            columns = [batch.column(batch.schema.get_field_index(c)) for c in keep]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(fps.view("<i8"))], names=[*keep, "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(fps.view("<i8"))], names=[*keep, "fp"])
 
     return in_arrow(df, batches, kind)
 
