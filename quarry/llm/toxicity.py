@@ -45,7 +45,7 @@ FOLDS = 5
 SURE = 0.7                      # weight from which a term may be misspelled
 WINDOW = 8                      # tokens on each side
 LONGEST_TOKEN = 64              # longer ones are no misspelled terms: only exact terms and stems of them count
-HELD_TERMS, HELD_TOKENS = 200_000, 400_000
+HELD_TERMS, HELD_TOKENS = 200_000, 800_000
 
 # Letters and digits; signs that stand in for letters only between them.
 TOKEN = re.compile(r"[^\W_]+(?:[*@$]+[^\W_]+)*")
@@ -70,7 +70,7 @@ class Lexicon:
 
     weights: dict[str, float]
     trie: list = field(default_factory=list)   # node: (children, term or None, stem or None)
-    parts: dict = field(default_factory=dict)  # (start, length) in the token: texts of unedited parts
+    parts: dict = field(default_factory=dict)  # by the token's letters: places (start, end) and the unedited parts that may stand there
     memo: dict = field(default_factory=dict)
     settled: set = field(default_factory=set)
 
@@ -85,12 +85,23 @@ class Lexicon:
                 at = self.trie[at][0][c]
             children, whole, begun = self.trie[at]
             self.trie[at] = (children, whole if stem else term, term if stem else begun)
-            k = allowed(len(text), self.weights[term])
-            cuts = [len(text) * i // (k + 1) for i in range(k + 2)]
-            for start, end in zip(cuts, cuts[1:], strict=False):
-                for shift in range(-k, k + 1):
-                    if start + shift >= 0:
-                        self.parts.setdefault((start + shift, end - start), set()).add(text[start:end])
+
+    def parts_in(self, n: int) -> list[tuple[int, int, set[str]]]:
+        """Of every term that a token of ``n`` letters may be: the term's parts, one more than the edits
+        allowed, at each place that so many edits can shift them to."""
+        if n not in self.parts:
+            out: dict[tuple[int, int], set[str]] = {}
+            for term, weight in self.weights.items():
+                text = term.rstrip("*")
+                k = allowed(len(text), weight)
+                if n < len(text) - k or (text == term and n > len(text) + k):
+                    continue
+                cuts = [len(text) * i // (k + 1) for i in range(k + 2)]
+                for start, end in zip(cuts, cuts[1:], strict=False):
+                    for shift in range(max(-k, -start), k + 1):
+                        out.setdefault((start + shift, end + shift), set()).add(text[start:end])
+            self.parts[n] = [(*place, texts) for place, texts in out.items()]
+        return self.parts[n]
 
     def descend(self, token: str) -> list[tuple[str, int]]:
         """Terms within their allowed edits of the token, and the edits needed."""
@@ -136,10 +147,13 @@ class Lexicon:
         """The best term for a token: fewest edits, then weight."""
         if len(token) > LONGEST_TOKEN:
             found = self.exact(token)
-        elif any(token[s:s + k] in texts for (s, k), texts in self.parts.items()):
-            found = self.descend(token)
         else:
-            return None
+            for start, end, texts in self.parts.get(len(token)) or self.parts_in(len(token)):
+                if token[start:end] in texts:
+                    break
+            else:
+                return None
+            found = self.descend(token)
         return min(found, key=lambda f: (f[1], -self.weights[f[0]], f[0]), default=None)
 
     def hits_among(self, tokens: set[str]) -> dict[str, tuple[str, int]]:
@@ -184,29 +198,47 @@ HITS = ArrayType(StructType().add("start", IntegerType()).add("end", IntegerType
                  .add("edits", IntegerType()).add("quoted", DoubleType()))
 
 
-def hits(text: str, lexicon: Lexicon) -> list[tuple[int, int, str, int, float]]:
-    """Start, end, term, edits and quotation score of every hit."""
-    found = lexicon.hits_among(set(TOKEN.findall(text.lower())))
+def lowered(text: str) -> str:
+    """Lower case without a change of length: a letter that has no single lower one stays."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(x if len(x := c.lower()) == 1 else c for c in text)
+
+
+def scan(text: str, lexicon: Lexicon) -> tuple[list[tuple[int, int, str, int, float]], int]:
+    """Start, end, term, edits and quotation score of every hit, and the number of tokens."""
+    low = lowered(text)
+    words = TOKEN.findall(low)
+    found = lexicon.hits_among(set(words))
     if not found:
-        return []
-    spans = [m.span() for m in TOKEN.finditer(text)]
-    words = [text[s:e].lower() for s, e in spans]
-    return [(*spans[i], *found[w], quotation(text, spans, words, i)) for i, w in enumerate(words) if w in found]
+        return [], len(words)
+    spans, end = [], 0
+    for w in words:  # nothing of a token's letters stands between it and the one before
+        start = low.index(w, end)
+        end = start + len(w)
+        spans.append((start, end))
+    return [(*spans[i], *found[w], quotation(low, spans, words, i)) for i, w in enumerate(words) if w in found], len(words)
 
 
-def features(text: str, lexicon: Lexicon) -> list[float]:
-    got = hits(text, lexicon)
+def measures(got: list[tuple[int, int, str, int, float]], tokens: int, lexicon: Lexicon) -> list[float]:
+    """The ``FEATURES`` of a text with these hits."""
     if not got:
         return [0.0] * len(FEATURES)
     strength = [lexicon.weights[t] * 0.6 ** e for _, _, t, e, _ in got]
     meant = [s * (1 - q) for s, (*_, q) in zip(strength, got, strict=True)]
     exact = [m for m, h in zip(meant, got, strict=True) if not h[3]]
-    tokens = sum(1 for _ in TOKEN.finditer(text))
     return [float(np.log1p(sum(exact))), float(np.log1p(sum(meant) - sum(exact))), max(meant),
             float(np.log1p(100 * sum(meant) / tokens)), float(np.log1p(len({h[2] for h in got}))),
             float(np.log1p(sum(strength) - sum(meant)))]
 
 
+def hits(text: str, lexicon: Lexicon) -> list[tuple[int, int, str, int, float]]:
+    return scan(text, lexicon)[0]
+
+
+def features(text: str, lexicon: Lexicon) -> list[float]:
+    return measures(*scan(text, lexicon), lexicon)
+
+
 # ----------------------------------------------------------------- training
 
 @dataclass
@@ -276,7 +308,7 @@ def chosen(counts: list[tuple[str, int, int]], toxic: int, clean: int, most: int
 
 
 def terms_of(text: str) -> set[str]:
-    words = {w for w in TOKEN.findall(text.lower()) if 3 <= len(w) <= LONGEST_TOKEN}
+    words = {w for w in TOKEN.findall(lowered(text)) if 3 <= len(w) <= LONGEST_TOKEN}
     return words | {w[:k] + "*" for w in words for k in STEMS if len(w) > k}
 
 
@@ -373,9 +405,9 @@ def scored(df: DataFrame, model: Model, text: str = "text", keep: list[str] | No
         arrow = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("term", pa.string()), ("edits", pa.int32()), ("quoted", pa.float64())]))
         for batch in it:
             texts = batch.column(len(keep)).to_pylist()
-            x = np.array([features(t, model.lexicon) for t in texts]).reshape(len(texts), len(FEATURES))
-            found = [[dict(zip(("start", "end", "term", "edits", "quoted"), h, strict=True)) for h in hits(t, model.lexicon)] if r.any() else []
-                     for t, r in zip(texts, x, strict=True)]
+            seen = [scan(t, model.lexicon) for t in texts]
+            x = np.array([measures(*s, model.lexicon) for s in seen]).reshape(len(texts), len(FEATURES))
+            found = [[dict(zip(("start", "end", "term", "edits", "quoted"), h, strict=True)) for h in s[0]] for s in seen]
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], pa.array(model.score(x)), pa.array(found, arrow)], names=[f.name for f in kind])
 
     return in_arrow(src, batches, kind)
