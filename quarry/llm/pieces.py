@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from quarry.llm.common import fresh, in_arrow, text_of
 
 MARK = "▁"
-CACHE = 40_000           # parts in each of the two generations
+CACHE = 100_000           # parts in each of the two generations
 LONGEST_CACHED = 48      # characters
 _SHORT = 40              # symbols up to which agendas are rows of an array
 _NEVER = np.int32(2 ** 31 - 1)
@@ -73,6 +73,11 @@ class Agenda:
                     ranks.append(rank[sp.get_score(i)])
                     made.append(i)
         self._hash_rules(keys, ranks, made)
+        # With one piece to a rank the rank tells the piece.
+        self.piece_of_rank = np.zeros(len(scores), dtype=np.int32) if len(scores) == len(normal) else None
+        if self.piece_of_rank is not None:
+            for i in normal.values():
+                self.piece_of_rank[rank[sp.get_score(i)]] = i
         self.of_char = np.full(0x110000, self.none, dtype=np.int32)
         for c, i in self.symbols.items():
             if len(c) == 1:
@@ -91,7 +96,7 @@ class Agenda:
         self.shift = 64 - bits
         self.keys = np.full((1 << bits) + 256, -1, dtype=np.int64)
         self.rank_of, self.piece_of = np.full(len(self.keys), _NEVER, dtype=np.int32), np.zeros(len(self.keys), dtype=np.int32)
-        homes, self.tries = self._home(np.array(keys, dtype=np.int64)).tolist(), 1
+        homes = self._home(np.array(keys, dtype=np.int64)).tolist()
         taken = bytearray(len(self.keys))
         for key, rank, piece, home in zip(keys, ranks, made, homes):
             at = taken.find(0, home)
@@ -99,7 +104,6 @@ class Agenda:
                 raise ValueError("rules do not spread over the table")
             taken[at] = 1
             self.keys[at], self.rank_of[at], self.piece_of[at] = key, rank, piece
-            self.tries = max(self.tries, at - home + 1)
 
     def _rule(self, left: int, right: int) -> tuple[int, int] | None:
         """Rank and piece of the rule for one pair."""
@@ -114,71 +118,92 @@ class Agenda:
     def _home(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(self.shift)).astype(np.int64)
 
-    def _rules(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank and piece of the rule for each pair; rank ``_NEVER`` if there is none."""
+    def _slots(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place in the table for each pair, and whether it is a rule's."""
         keys = left.astype(np.int64) * self.width + right
         at = self._home(keys)
         found = self.keys[at]
-        for _ in range(1, self.tries):
-            step = (found != keys) & (found >= 0)
-            if not step.any():
-                break
-            at += step
-            found = self.keys[at]
-        return np.where(found == keys, self.rank_of[at], _NEVER), self.piece_of[at]
-
-    def encode(self, part: str) -> list[int]:
+        left_over = np.flatnonzero((found != keys) & (found >= 0))
+        while len(left_over):
+            at[left_over] += 1
+            now = self.keys[at[left_over]]
+            found[left_over] = now
+            left_over = left_over[(now != keys[left_over]) & (now >= 0)]
+        return at, found == keys
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of the rule for each pair, ``_NEVER`` if there is none."""
+        at, known = self._slots(left, right)
+        return np.where(known, self.rank_of[at], _NEVER)
+
+    def encode(self, part: str) -> bytes:
         return self.encode_all([part])[0]
 
-    def encode_all(self, parts: list[str]) -> list[list[int]]:
-        out: list[list[int]] = [[]] * len(parts)
+    def encode_all(self, parts: list[str]) -> list[bytes]:
+        """Packed ids of each part."""
+        out: list[bytes] = [b""] * len(parts)
         by_length: dict[int, list[int]] = {}
-        for k, part in enumerate(parts):
-            by_length.setdefault(len(part), []).append(k)
+        for k, n in enumerate(map(len, parts)):
+            by_length.setdefault(n, []).append(k)
         for n, which in by_length.items():
             if n <= _SHORT:
                 chars = np.frombuffer("".join([parts[k] for k in which]).encode("utf-32-le"), dtype="<u4").reshape(-1, n)
-                for k, merged in zip(which, self._by_rows(self.of_char[chars])):
-                    out[k] = merged
+                for rows, merged in self._merges(self.of_char[chars]):
+                    width, packed = 4 * merged.shape[1], merged.astype("<u4").tobytes()
+                    for i, row in enumerate(rows.tolist()):
+                        out[which[row]] = packed[i * width:(i + 1) * width]
+                    for i in np.flatnonzero((merged >= self.size).any(axis=1)).tolist():
+                        k = which[rows[i]]
+                        out[k] = self._fall_back(parts[k], merged[i].tolist())
             else:
                 for k in which:
-                    out[k] = self._by_heap(list(map(self.symbols.get, parts[k], repeat(self.none))))
-        return [self._fall_back(part, merged) if max(merged) >= self.size else merged for part, merged in zip(parts, out)]
+                    out[k] = self._fall_back(parts[k], self._by_heap(list(map(self.symbols.get, parts[k], repeat(self.none)))))
+        return out
 
     def _by_rows(self, sym: np.ndarray) -> list[list[int]]:
-        """Merge rows of equally many symbols, each by its own agenda."""
-        n = sym.shape[1]
+        """The merged symbols of every row."""
         out: list[list[int]] = [[]] * len(sym)
+        for rows, merged in self._merges(sym):
+            for row, symbols in zip(rows.tolist(), merged.tolist()):
+                out[row] = symbols
+        return out
+
+    def _merges(self, sym: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Merge rows of equally many symbols, each by its own agenda: row numbers and their
+        symbols, as they are done."""
+        n = sym.shape[1]
         rows, length = np.arange(len(sym)), n
-        rank, piece = (self._rules(sym[:, :-1].ravel(), sym[:, 1:].ravel()) if n > 1 else (np.empty(0, np.int32),) * 2)
-        rank, piece = rank.reshape(len(sym), n - 1), piece.reshape(len(sym), n - 1)
+        rank = self._ranks(sym[:, :-1].ravel(), sym[:, 1:].ravel()).reshape(len(sym), n - 1)
         while len(rows):
+            k = np.arange(len(rows))
             if length > 1:
                 at = rank.argmin(axis=1)
-                k = np.arange(len(rows))
-                done = rank[k, at] == _NEVER
+                best = rank[k, at]
+                done = best == _NEVER
             else:
                 done = np.ones(len(rows), dtype=bool)
             if done.any():
-                for row, merged in zip(rows[done].tolist(), sym[done].tolist()):
-                    out[row] = merged
+                yield rows[done], sym[done]
                 if done.all():
                     break
                 left = ~done
-                rows, sym, rank, piece, at = rows[left], sym[left], rank[left], piece[left], at[left]
+                rows, sym, rank, at, best = rows[left], sym[left], rank[left], at[left], best[left]
                 k = np.arange(len(rows))
-            sym[k, at] = piece[k, at]
+            if self.piece_of_rank is not None:
+                sym[k, at] = self.piece_of_rank[best]
+            else:
+                sym[k, at] = self.piece_of[self._slots(sym[k, at], sym[k, at + 1])[0]]
             # One symbol and one pair fewer: what lies behind them moves up.
-            cols = np.arange(length - 1)
-            sym = np.take_along_axis(sym, cols + (cols > at[:, None]), axis=1)
-            cols = np.arange(length - 2)
-            move = cols + (cols >= at[:, None])
-            rank, piece = np.take_along_axis(rank, move, axis=1), np.take_along_axis(piece, move, axis=1)
+            stays = np.ones(sym.shape, dtype=bool)
+            stays[k, at + 1] = False
+            sym = sym[stays].reshape(len(rows), length - 1)
+            stays = np.ones(rank.shape, dtype=bool)
+            stays[k, at] = False
+            rank = rank[stays].reshape(len(rows), length - 2)
             length -= 1
-            for near, ok in ((at, at < length - 1), (at - 1, at > 0)):
-                r, c = k[ok], near[ok]
-                rank[r, c], piece[r, c] = self._rules(sym[r, c], sym[r, c + 1])
-        return out
+            after, before = np.flatnonzero(at < length - 1), np.flatnonzero(at > 0)
+            r, c = np.concatenate([after, before]), np.concatenate([at[after], at[before] - 1])
+            rank[r, c] = self._ranks(sym[r, c], sym[r, c + 1])
 
     def _by_heap(self, sym: list[int]) -> list[int]:
         rule, n = self._rule, len(sym)
@@ -209,7 +234,7 @@ class Agenda:
                 heapq.heappush(heap, m[0] << 40 | prev)
         return [s for s, g in zip(sym, gone) if not g]
 
-    def _fall_back(self, part: str, merged: list[int]) -> list[int]:
+    def _fall_back(self, part: str, merged: list[int]) -> bytes:
         """Bytes, or else the unknown id, for characters that are in no piece of their own."""
         out, at = [], 0
         for s in merged:
@@ -222,7 +247,7 @@ class Agenda:
             elif not out or out[-1] != self.unknown:
                 out.append(self.unknown)
             at += 1
-        return out
+        return struct.pack(f"<{len(out)}I", *out)
 
 
 class Codec:
@@ -243,9 +268,20 @@ class Codec:
         """The library's ids of parts; the mark it puts before a text is the part's first."""
         return self.sp.encode([p[1:].replace(MARK, " ") for p in parts], num_threads=1)
 
+    def _check(self, parts: list[str], ours: list[bytes], wrong: set[str]) -> None:
+        """Compare the parts' ids with the library's; where they differ take the latter and note the part."""
+        theirs = self._library(parts)
+        flat = np.fromiter(chain.from_iterable(theirs), dtype="<u4")
+        if list(map(len, ours)) == [4 * len(t) for t in theirs] and b"".join(ours) == flat.tobytes():
+            return
+        for k, (part, ids) in enumerate(zip(parts, theirs)):
+            if part != MARK and ours[k] != (packed := struct.pack(f"<{len(ids)}I", *ids)):
+                wrong.add(part)
+                ours[k] = packed
+
     def encode(self, texts: list[str]) -> list[tuple[bytes, int]]:
         """Packed ids (little-endian, 32 bits) and corrected parts, for each text."""
-        cut = [self.agenda.parts(self.sp.normalize(t)) for t in texts]
+        cut = [self.agenda.parts(t) for t in self.sp.normalize(texts)]
         found = dict.fromkeys(chain.from_iterable(cut))
         young, old, missing = self.young, self.old, []
         for part in found:
@@ -257,15 +293,13 @@ class Codec:
             found[part] = ids
         wrong = set()
         if missing:
-            checkable = self.plain and self.agenda.cuts
             ours = self.agenda.encode_all(missing)
-            for part, ids, theirs in zip(missing, ours, self._library(missing) if checkable else repeat(None)):
-                if theirs is not None and ids != theirs and part != MARK:
-                    wrong.add(part)
-                    ids = theirs
-                packed = found[part] = struct.pack(f"<{len(ids)}I", *ids)
-                if len(part) <= LONGEST_CACHED and part not in wrong:
-                    self.young[part] = packed
+            if self.plain and self.agenda.cuts:
+                self._check(missing, ours, wrong)
+            found.update(zip(missing, ours))
+            self.young.update((p, ids) for p, ids in zip(missing, ours) if len(p) <= LONGEST_CACHED)
+            for p in wrong:
+                self.young.pop(p, None)
             if len(self.young) > CACHE:
                 self.old, self.young = self.young, {}
         out = []
