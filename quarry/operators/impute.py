@@ -15,6 +15,7 @@ from pyspark.sql.types import (
     ByteType, DataType, DecimalType, DoubleType, FloatType, IntegerType, LongType, ShortType,
 )
 
+from quarry.operators.exact_sums import binned_sums, mean_of
 from quarry.operators.staging import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_ROWS, join_small
 
 # Exact sums keep at most this many decimal places, so that Spark's decimal
@@ -33,7 +34,10 @@ def _addends(name: str, dtype: DataType | None, scale: int | None) -> tuple[str
     if isinstance(dtype, (ByteType, ShortType, IntegerType, LongType)):
         return f"CAST({c} AS DECIMAL(28, 0))", None, 0
     if isinstance(dtype, DecimalType) and dtype.scale <= MOST_PLACES:
-        return f"CAST({c} AS DECIMAL({min(28, max(dtype.precision, 1))}, {dtype.scale}))", None, dtype.scale
+        if dtype.precision <= 28:
+            return f"CAST({c} AS DECIMAL({max(dtype.precision, 1)}, {dtype.scale}))", None, dtype.scale
+        # A group with a value beyond 28 digits gets the mean of its double sum.
+        return f"TRY_CAST({c} AS DECIMAL(28, {dtype.scale}))", f"CAST({c} AS DOUBLE)", dtype.scale
     x = f"nanvl(CAST({c} AS DOUBLE), CAST(NULL AS DOUBLE))"
     if scale is None:
         return None, x, None
@@ -48,6 +52,12 @@ def mean_places(name: str, dtype: DataType | None, scale: int | None) -> int | N
     return _addends(name, dtype, scale)[2]
 
 
+def binned(name: str, dtype: DataType | None, scale: int | None) -> str | None:
+    """SQL of a column that is summed as doubles only, by bins; None for the others."""
+    exact, double, _ = _addends(name, dtype, scale)
+    return None if exact else double
+
+
 def _sums(name: str, dtype: DataType | None, scale: int | None) -> dict[str, str]:
     exact, double, _ = _addends(name, dtype, scale)
     out = {"__n": f"count({double or exact})"}
@@ -63,9 +73,8 @@ def mean_sums(name: str, dtype: DataType | None, scale: int | None = None, prefi
     several partial groups: ``__s`` (exact), ``__d`` (double), ``__n`` (values) and ``__e``
     (values in the exact sum), those that apply.
 
-    Integers and decimals (up to six places) are summed exactly. Doubles are summed as
-    doubles, of any size; such a sum depends in its last bits on the order in which
-    partitions are combined, so a mean that lies on a rounding tie may go either way. For
+    Integers and decimals (up to six places) are summed exactly. Other columns are summed
+    as doubles by :mod:`quarry.operators.exact_sums`, not here (see :func:`binned`). For
     columns that hold decimals of a known number of places (amounts of money), ``scale``
     sums them exactly as such; a group with a value of more places, or of 10^22 and
     beyond, gets the mean of its double sum. NaN counts as missing.
@@ -121,11 +130,23 @@ def group_means(df: DataFrame, group, columns: dict, integer=(), prefix: str = "
     integer = set(integer)
     types = {f.name: f.dataType for f in df.schema}  # one round trip to the JVM
     parts = {c: f"__{i}" for i, c in enumerate(columns)}
-    sums = df.groupBy(*group).agg(*[a for c, p in parts.items() for a in mean_sums(c, types[c], scale.get(c), p)])
+    by_bins = {p: x for c, p in parts.items() if (x := binned(c, types[c], scale.get(c)))}
+    sums = binned_sums(df, group, by_bins, {
+        p + a: sql for c, p in parts.items() if p not in by_bins for a, sql in _sums(c, types[c], scale.get(c)).items()})
     names = sums.columns
-    return sums.select(*group, *[
-        mean_from_sums(names, mean_places(c, types[c], scale.get(c)), columns[c], c in integer, p).alias(prefix + c)
-        for c, p in parts.items()])
+
+    def mean(c: str, p: str) -> Column:
+        if p not in by_bins:
+            return mean_from_sums(names, mean_places(c, types[c], scale.get(c)), columns[c], c in integer, p)
+        return rounded_mean(mean_of(p + "bins"), columns[c], c in integer)
+
+    return sums.select(*group, *[mean(c, p).alias(prefix + c) for c, p in parts.items()])
+
+
+def rounded_mean(mean: Column, digits: int | None, integer: bool = False) -> Column:
+    """A double mean rounded half away from zero (bigint when ``integer``)."""
+    digits = 0 if integer and digits is None else digits
+    return (mean if digits is None else F.round(mean, digits)).cast("bigint" if integer and digits is not None else "double")
 
 
 def impute_group_mean(df: DataFrame, group, columns: dict, integer=(),

@@ -19,7 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.operators.impute import MEAN_SUMS, mean_from_sums, mean_places, mean_sums
+from quarry.operators.exact_sums import binned_sums, bins, mean_of, part_sums, with_limbs
+from quarry.operators.impute import MEAN_SUMS, binned, mean_from_sums, mean_places, mean_sums, rounded_mean
 from quarry.operators.staging import planner_broadcasts
 from quarry.operators.topk import top_k
 from quarry.specs import QueryType
@@ -59,13 +60,17 @@ def lookup(left: DataFrame, right: DataFrame, left_on: str, right_on: str, value
     # keeps the pushed filters visible at both scans. Only the first row in output
     # order is wanted, so each side is cut to its distinct wanted columns first: a
     # value that fills a side does not multiply with the other.
-    wanted = list(columns.values())
     lhs = left.where(F.col(left_on) == F.lit(value))
     rhs = right.where(F.col(right_on) == F.lit(value))
-    lhs = lhs.select(*{left_on: 0, **{c: 0 for c in wanted if c in left.columns}}).distinct()
-    rhs = rhs.select(*{right_on: 0, **{c: 0 for c in wanted if c in right.columns}}).distinct()
-    j = lhs.join(rhs, lhs[left_on] == rhs[right_on], "inner")
-    out = j.select(*[F.col(src).alias(name) for name, src in columns.items()])
+    # A column that both sides have is the left side's. The sides are cut apart by new names, as the
+    # key or a wanted column may be called the same on both.
+    from_left = {name: src for name, src in columns.items() if src in left.columns}
+    from_right = {name: src for name, src in columns.items() if src not in left.columns}
+    place = {name: f"__{i}" for i, name in enumerate(columns)}
+    lhs = lhs.select(F.col(left_on).alias("__lk"), *[F.col(src).alias(place[n]) for n, src in from_left.items()]).distinct()
+    rhs = rhs.select(F.col(right_on).alias("__rk"), *[F.col(src).alias(place[n]) for n, src in from_right.items()]).distinct()
+    j = lhs.join(rhs, F.col("__lk") == F.col("__rk"), "inner")
+    out = j.select(*[F.col(place[name]).alias(name) for name in columns])
     return out.orderBy(*[F.col(n).asc_nulls_last() for n in columns]).limit(1)
 
 
@@ -80,10 +85,13 @@ def extreme_row(df: DataFrame, label: str, measure: str, query_type="lowest",
 
 def _best(sums: DataFrame, group: str, places: int | None, qt: QueryType, group_as: str,
           value_as: str, digits: int | None, k: int) -> DataFrame:
-    """Groups ranked on the unrounded mean of ``__s`` / ``__n``; the value shown is rounded once."""
+    """Groups ranked on the unrounded mean of their sums; the value shown is rounded once."""
     names = sums.columns
-    means = sums.select(F.col(group), mean_from_sums(names, None).alias("__mean"),
-                        mean_from_sums(names, places, digits).alias("__value"))
+    if "__bins" in names:
+        means = sums.select(F.col(group), mean_of("__bins").alias("__mean")).withColumn("__value", rounded_mean(F.col("__mean"), digits))
+    else:
+        means = sums.select(F.col(group), mean_from_sums(names, None).alias("__mean"),
+                            mean_from_sums(names, places, digits).alias("__value"))
     best = top_k(means, "__mean", k, qt, tiebreak=[group])
     return best.select(F.col(group).alias(group_as), F.col("__value").alias(value_as),
                        F.lit(qt.value).alias("query_type"))
@@ -95,12 +103,13 @@ def best_group(df: DataFrame, group: str, measure: dict | str, query_type="lowes
     """Group(s) with the highest/lowest mean; ``measure`` may map direction to column.
 
     ``k=1`` is the original report; a larger ``k`` gives the top-k groups. ``scale``: see
-    :func:`quarry.operators.impute.mean_expr`.
+    :func:`quarry.operators.impute.mean_sums`.
     """
     qt = QueryType.parse(query_type)
     col = measure[qt.value] if isinstance(measure, dict) else measure
     dtype = df.schema[col].dataType
-    sums = df.groupBy(group).agg(*mean_sums(col, dtype, scale))
+    double = binned(col, dtype, scale)
+    sums = binned_sums(df, [group], {"__": double}, {}) if double else df.groupBy(group).agg(*mean_sums(col, dtype, scale))
     return _best(sums, group, mean_places(col, dtype, scale), qt, group_as, value_as, digits, k)
 
 
@@ -124,7 +133,16 @@ def best_group_joined(left: DataFrame, right: DataFrame, on, group: str, measure
     dtype = left.schema[measure].dataType
     if pre_aggregate is None:
         pre_aggregate = not planner_broadcasts(right)
-    if pre_aggregate:
+    double = binned(measure, dtype, scale)
+    if double:
+        # By bin as well: integers, which add up to the same either way.
+        rows, at = with_limbs(left.select(lk, measure), {"__": double}), lk
+        if pre_aggregate:
+            rows, at = rows.groupBy(F.col(lk).alias("__k"), "__b").agg(*part_sums("__")), "__k"
+        found = rows.join(right.select(F.col(rk).alias("__rk"), F.col(group).alias("__group")), F.col(at) == F.col("__rk"), "inner")
+        sums = (found.groupBy(F.col("__group").alias(group), "__b").agg(*part_sums("__"))
+                .groupBy(group).agg(bins("__").alias("__bins")))
+    elif pre_aggregate:
         per_key = left.groupBy(F.col(lk).alias("__k")).agg(*mean_sums(measure, dtype, scale))
         sums = per_key.join(right, per_key["__k"] == right[rk], "inner").groupBy(group).agg(
             *[F.sum(c).alias(c) for c in per_key.columns if c in MEAN_SUMS])

@@ -133,3 +133,10 @@ def test_lookup_of_a_value_that_fills_both_sides(spark):
     left = spark.range(500).selectExpr("'x' AS name", "id % 3 AS p")
     right = spark.range(500).selectExpr("'x' AS country", "id % 2 AS s")
     assert rows(reports.lookup(left, right, "name", "country", "x", {"c": "name", "p": "p", "s": "s"})) == [("x", 0, 0)]
+
+
+def test_lookup_with_columns_of_the_same_name_on_both_sides(spark):
+    left = spark.createDataFrame([("c1", "l", 1), ("c2", "m", 2)], "country string, note string, n int")
+    right = spark.createDataFrame([("c1", "r", 10), ("c1", "q", 11)], "country string, note string, k int")
+    got = reports.lookup(left, right, "country", "country", "c1", {"key": "country", "text": "note", "n": "n", "k": "k"}).collect()
+    assert [tuple(r) for r in got] == [("c1", "l", 1, 10)]
