@@ -21,7 +21,10 @@ from quarry.operators.staging import DEFAULT_BROADCAST_BYTES, DEFAULT_BROADCAST_
 # Exact sums keep at most this many decimal places, so that Spark's decimal
 # arithmetic below never shortens a scale.
 MOST_PLACES = 6
-MEAN_SUMS = ("__s", "__d", "__n", "__e")
+MEAN_SUMS = ("__s", "__h", "__p", "__q", "__d", "__n", "__e")
+# Doubles that hold decimals are summed as whole numbers of their last place, below this size (beyond
+# it a double does not tell neighbours apart), in three limbs: a long holds over 10^13 of each.
+WHOLE, LIMB = 2 ** 53, 18
 
 
 def _quoted(name: str) -> str:
@@ -43,8 +46,10 @@ def _addends(name: str, dtype: DataType | None, scale: int | None) -> tuple[str
         return None, x, None
     if not 0 <= scale <= MOST_PLACES:
         raise ValueError(f"scale must be 0 to {MOST_PLACES}")
-    d = f"TRY_CAST({x} AS DECIMAL(28, {scale}))"
-    return f"CASE WHEN CAST({d} AS DOUBLE) = {x} THEN {d} END", x, scale
+    # The whole number whose quotient is the very double; division by a power of ten rounds correctly.
+    unit = f"{10 ** scale}D"
+    whole = f"rint({x} * {unit})"
+    return f"CASE WHEN abs({x} * {unit}) < {WHOLE}D AND {whole} / {unit} = {x} THEN CAST({whole} AS BIGINT) END", x, scale
 
 
 def mean_places(name: str, dtype: DataType | None, scale: int | None) -> int | None:
@@ -61,7 +66,11 @@ def binned(name: str, dtype: DataType | None, scale: int | None) -> str | None:
 def _sums(name: str, dtype: DataType | None, scale: int | None) -> dict[str, str]:
     exact, double, _ = _addends(name, dtype, scale)
     out = {"__n": f"count({double or exact})"}
-    if exact:
+    if exact and double and not isinstance(dtype, DecimalType):
+        mask = (1 << LIMB) - 1
+        out |= {"__h": f"sum(shiftright({exact}, {2 * LIMB}))", "__p": f"sum(shiftright({exact}, {LIMB}) & {mask}L)",
+                "__q": f"sum({exact} & {mask}L)", "__e": f"count({exact})"}
+    elif exact:
         out |= {"__s": f"sum({exact})", "__e": f"count({exact})"}
     if double:
         out["__d"] = f"sum({double})"
@@ -70,14 +79,14 @@ def _sums(name: str, dtype: DataType | None, scale: int | None) -> dict[str, str
 
 def mean_sums(name: str, dtype: DataType | None, scale: int | None = None, prefix: str = "") -> list[Column]:
     """The sums and counts behind a mean, as aggregates that can be summed again over
-    several partial groups: ``__s`` (exact), ``__d`` (double), ``__n`` (values) and ``__e``
-    (values in the exact sum), those that apply.
+    several partial groups: ``__s`` or ``__h``, ``__p``, ``__q`` (exact), ``__d`` (double), ``__n``
+    (values) and ``__e`` (values in the exact sum), those that apply.
 
     Integers and decimals (up to six places) are summed exactly. Other columns are summed
     as doubles by :mod:`quarry.operators.exact_sums`, not here (see :func:`binned`). For
     columns that hold decimals of a known number of places (amounts of money), ``scale``
-    sums them exactly as such; a group with a value of more places, or of 10^22 and
-    beyond, gets the mean of its double sum. NaN counts as missing.
+    sums them exactly as such; a group with a value of more places, or of 2^53 of its last
+    place and beyond, gets the mean of its double sum. NaN counts as missing.
     """
     return [F.expr(sql).alias(prefix + a) for a, sql in _sums(name, dtype, scale).items()]
 
@@ -103,7 +112,11 @@ def _rounded(total: str, n: str, places: int, digits: int) -> str:
 def mean_from_sums(columns: list[str], places: int | None, digits: int | None = None,
                    integer: bool = False, prefix: str = "") -> Column:
     """The mean (double; bigint when ``integer``) from columns named as by :func:`mean_sums`."""
-    n, total, double, held = (_quoted(prefix + c) if prefix + c in columns else None for c in ("__n", "__s", "__d", "__e"))
+    n, total, double, held, high = (_quoted(prefix + c) if prefix + c in columns else None for c in ("__n", "__s", "__d", "__e", "__h"))
+    if high:
+        limbs = [f"CAST({_quoted(prefix + c)} AS DECIMAL(38, 0))" for c in ("__h", "__p", "__q")]
+        total = f"({limbs[0]} * {2 ** (2 * LIMB)} + {limbs[1]} * {2 ** LIMB} + {limbs[2]})"
+        total = f"CAST({total} * CAST('{10.0 ** -(places or 0):.{places or 0}f}' AS DECIMAL(7, {places or 0})) AS DECIMAL(38, {places or 0}))"
     digits = 0 if integer and digits is None else digits
     kind = "BIGINT" if integer else "DOUBLE"
     plain = f"CASE WHEN {n} > 0 THEN {double or f'CAST({total} AS DOUBLE)'} / {n} END"
