@@ -114,6 +114,17 @@ def changed_rows(source: DataFrame, target: DataFrame, key, columns=None,
     return j.where(changed).select(*key, *columns)
 
 
+def with_target_columns(rows: DataFrame, target: DataFrame, key, columns) -> DataFrame:
+    """``rows`` with the target's other columns beside key and ``columns``: a row that the target
+    has keeps their values, a new one has NULL."""
+    cols = list(key) + [c for c in columns if c not in key]
+    others = [c for c in target.columns if c not in cols]
+    if not others:
+        return rows.select(*cols)
+    held = target.select(*[F.col(c).alias(_T + c) for c in [*key, *others]])
+    return join_by_key(rows.select(*cols), held, key, "left").select(*cols, *[F.col(_T + c).alias(c) for c in others])
+
+
 def upsert_rows(target: DataFrame, delta: DataFrame, key, columns,
                 keep_missing: bool = True, source: DataFrame | None = None) -> DataFrame:
     """The target after applying ``delta``.
@@ -121,12 +132,15 @@ def upsert_rows(target: DataFrame, delta: DataFrame, key, columns,
     ``keep_missing=True``: target rows whose key is not in the delta stay,
     delta rows replace or add. ``keep_missing=False``: the target becomes the
     source (keys absent from the source are removed); ``source`` is required.
+    Columns of the target that the update does not name keep their values (see
+    :func:`with_target_columns`).
     """
     key = [key] if isinstance(key, str) else list(key)
     cols = key + [c for c in columns if c not in key]
     if not keep_missing:
         if source is None:
             raise ValueError("keep_missing=False needs the whole source")
-        return source.select(*cols)
-    kept = join_by_key(target.select(*cols), delta.select(*[F.col(k).alias(_T + k) for k in key]), key, "left_anti")
-    return kept.unionByName(delta.select(*cols))
+        return with_target_columns(source, target, key, columns)
+    others = [c for c in target.columns if c not in cols]
+    kept = join_by_key(target.select(*cols, *others), delta.select(*[F.col(k).alias(_T + k) for k in key]), key, "left_anti")
+    return kept.unionByName(with_target_columns(delta, target, key, columns))

@@ -133,6 +133,11 @@ WITH {_ORDER_LINES}
 SELECT value AS line FROM lines
 WHERE value <> '{",".join(ORDER_LINE_NAMES)}' AND len(string_split(value, ',')) <> 3""",
 
+    "src_payload_rejects": """
+SELECT CASE WHEN c_custkey % 11 = 0 THEN '["name,id","' || c_name || ',' || c_custkey || '"'
+            ELSE c_name || ',' || c_custkey END AS line, c_custkey % 11 = 0 AS rejected
+FROM customer""",
+
     "proj_rename": "SELECT " + ", ".join(f"{k} AS {v}" for k, v in PART_RENAMES.items())
                    + " FROM part",
 
@@ -256,6 +261,8 @@ UNION ALL SELECT * FROM d""",
 
     "sink_update_parts": f"WITH {_DELTA_INPUTS} SELECT * FROM s WHERE o_orderkey % 10 <> 4",
 
+    "sink_update_carries_columns": "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders",
+
     "sink_overwrite_lines": "SELECT * FROM lineitem",
 
     "sink_update_lines": _first_per_key(

@@ -26,7 +26,7 @@ from quarry.session import staging_path
 from quarry.sinks.files import write_overwrite, write_update
 from quarry.sinks.partitions import create_partitioned, read_partitioned, update_partitioned
 from quarry.sinks.tables import create_table, table_location, update_table
-from quarry.sources.delimited import read_lines
+from quarry.sources.delimited import read_lines, read_payloads
 from quarry.sources.files import read_csv, read_documents
 
 # Fixed values for the sample queries.
@@ -126,6 +126,17 @@ def src_delimited_rejects(spark, d):
     return rejects
 
 
+def src_payload_rejects(spark, d):
+    """Payloads that broke off, beside the rows of those that did not: one payload per customer, cut short every eleventh."""
+    cut = F.when(_every("c_custkey", 11), F.lit("")).otherwise(F.lit("]"))
+    line = F.concat(F.col("c_name"), F.lit(","), F.col("c_custkey").cast("string"))
+    path = land_lines(table(spark, d, "customer").select(
+        F.concat(F.lit('["name,id","'), line, F.lit('"'), cut).alias("value")), "customer-payloads")
+    rows, rejects = read_payloads(spark, path, ["name", "id"], with_rejects=True)
+    return rows.select(F.concat_ws(",", "name", "id").alias("line"), F.lit(False).alias("rejected")).unionByName(
+        rejects.select("line", F.lit(True).alias("rejected")))
+
+
 # --- projections and filters -------------------------------------------------
 
 def proj_rename(spark, d):
@@ -323,6 +334,16 @@ def sink_update_parts(spark, d):
     return read_partitioned(spark, path).select(*ORDER_COLUMNS)
 
 
+def sink_update_carries_columns(spark, d):
+    """An update that names one column of three: the others keep their values."""
+    path = staging_path(spark, "orders-wide")
+    orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    old = orders.withColumn("o_totalprice", F.when(_every("o_orderkey", 3), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    create_partitioned(old, path, "o_orderkey", 16)
+    update_partitioned(orders.select("o_orderkey", "o_totalprice"), path, "o_orderkey", ["o_totalprice"])
+    return read_partitioned(spark, path).select(*orders.columns)
+
+
 LINE_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_extendedprice"]
 
 
@@ -418,6 +439,7 @@ QUERIES = {
     "src_nested_documents": src_nested_documents,
     "src_delimited_lines": src_delimited_lines,
     "src_delimited_rejects": src_delimited_rejects,
+    "src_payload_rejects": src_payload_rejects,
     "proj_rename": proj_rename,
     "filter_required_not_blank": filter_required_not_blank,
     "filter_drop_any_null": filter_drop_any_null,
@@ -442,6 +464,7 @@ QUERIES = {
     "sink_overwrite_lines": sink_overwrite_lines,
     "sink_update_lines": sink_update_lines,
     "sink_update_parts": sink_update_parts,
+    "sink_update_carries_columns": sink_update_carries_columns,
     "sink_update_noop": sink_update_noop,
     "report_lookup": report_lookup,
     "report_extreme_high": _extreme("highest"),

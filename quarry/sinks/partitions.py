@@ -1,7 +1,8 @@
 """Parquet tables in hash partitions of their key: an update rewrites only what it touches.
 
-The table is partitioned by ``__part``, a hash of the key modulo the number of parts
-(a fixed property of the table, given to every call), so a row never moves and a
+The table is partitioned by ``__part``, a hash of the key modulo the number of parts. Number
+and key are fixed when the table is made and kept with it (``_quarry_table.json``); an update
+with others would leave a key in two parts and is refused. So a row never moves and a
 changed row touches one part. An update stages the change set, then the merged rows
 of the touched parts, and only then replaces those parts (Spark's dynamic partition
 overwrite; nothing that is replaced is read by that write, so it can be repeated).
@@ -10,6 +11,8 @@ The other parts' files stay as they are.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +22,34 @@ from quarry.sinks.files import assert_not_reading
 from quarry.specs import InsertMode, JobResult
 
 PART = "__part"
+LAYOUT = "_quarry_table.json"  # readers of the folder skip names with an underscore
+
+
+class LayoutError(ValueError):
+    pass
+
+
+def _layout_file(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{LAYOUT}")
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _record_layout(spark: SparkSession, path: str, key: list[str], parts: int) -> None:
+    p, fs = _layout_file(spark, path)
+    out = fs.create(p, True)
+    out.write(json.dumps({"key": key, "parts": parts}).encode())
+    out.close()
+
+
+def layout(spark: SparkSession, path: str) -> tuple[list[str], int]:
+    """Key and number of parts of the table at ``path``."""
+    p, fs = _layout_file(spark, path)
+    if not fs.exists(p):
+        raise LayoutError(f"{path} is no table in hash partitions: it has no {LAYOUT}")
+    stream = fs.open(p)
+    got = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    stream.close()
+    return got["key"], got["parts"]
 
 
 def _part(key: list[str], parts: int) -> Column:
@@ -30,6 +61,7 @@ def create_partitioned(df: DataFrame, path: str, key, parts: int) -> JobResult:
     key = [key] if isinstance(key, str) else list(key)
     assert_unique(df, key, path)
     df.select("*", _part(key, parts)).repartition(PART).write.mode("errorifexists").partitionBy(PART).parquet(path)
+    _record_layout(df.sparkSession, path, key, parts)
     return JobResult(mode=InsertMode.OVERWRITE.value, target=path, wrote=True)
 
 
@@ -37,13 +69,18 @@ def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop(PART)
 
 
-def update_partitioned(source: DataFrame, path: str, key, columns, parts: int, keep_missing: bool = True,
+def update_partitioned(source: DataFrame, path: str, key, columns, parts: int | None = None, keep_missing: bool = True,
                        rule: str = "null_safe") -> JobResult:
     """Apply new and changed ``source`` rows (and, with ``keep_missing=False``, deletions) to the
-    table at ``path``; ``details["parts"]`` lists the parts that were rewritten."""
+    table at ``path``; ``details["parts"]`` lists the parts that were rewritten. Columns of the table
+    that ``columns`` does not name keep their values."""
     spark = source.sparkSession
     key = [key] if isinstance(key, str) else list(key)
     cols = key + [c for c in columns if c not in key]
+    own_key, own_parts = layout(spark, path)
+    if key != own_key or parts not in (None, own_parts):
+        raise LayoutError(f"{path} has {own_parts} parts of {own_key}, not {parts} of {key}")
+    parts = own_parts
     assert_not_reading(source, path)
     assert_unique(source, key, "source")  # the target's keys were when it was made, and stay so
     target, held = spark.read.parquet(path), []
@@ -64,7 +101,7 @@ def update_partitioned(source: DataFrame, path: str, key, columns, parts: int, k
         result.details["parts"] = numbers
         if not numbers:
             return result
-        merged = upsert_rows(target.where(F.col(PART).isin(numbers)), delta.df, key, cols)
+        merged = upsert_rows(target.where(F.col(PART).isin(numbers)).drop(PART), delta.df, key, cols)
         if gone is not None:
             merged = join_by_key(merged, gone.df.select(*[F.col(k).alias("__t_" + k) for k in key]), key, "left_anti")
         merged = keep(merged.select("*", _part(key, parts)), "merged")

@@ -88,17 +88,30 @@ def read_lines(spark: SparkSession, path, names, delimiter: str = ",",
     return parse_lines(lines, names, delimiter, header, "value", **kw)
 
 
-def payload_lines(payloads: DataFrame, column: str = "value") -> DataFrame:
+def payload_lines(payloads: DataFrame, column: str = "value", with_rejects: bool = False):
     """The data lines of payloads: each is a JSON array of lines whose first element is the
     header, whatever its text, and is left out by its position. Line breaks inside an
-    element stay. A payload is one response, so its array is bounded."""
-    each = payloads.select(F.posexplode(F.from_json(F.col(column), "array<string>")).alias("__pos", "value"))
-    return each.where("__pos > 0").select("value")
+    element stay. A payload is one response, so its array is bounded.
+
+    A payload that is no JSON array (broken off, or not JSON) has no lines; with
+    ``with_rejects`` such payloads come back too, whole, as a frame of one column ``line``. Blank ones are neither."""
+    # Parsed once, inside a one-row generator (see parse_lines).
+    parsed = payloads.select(F.inline(F.array(F.struct(F.col(column).alias("line"), F.from_json(F.col(column), "array<string>").alias("__all")))))
+    lines = parsed.select(F.posexplode("__all").alias("__pos", "value")).where("__pos > 0").select("value")
+    if not with_rejects:
+        return lines
+    return lines, parsed.where(F.col("__all").isNull() & F.col("line").rlike(r"\S")).select("line")
 
 
 def read_payloads(spark: SparkSession, path, names, delimiter: str = ",", whole_files: bool = False, **kw):
-    """Landed payloads, one JSON array per line (or per file), parsed by :func:`parse_lines`."""
-    return parse_lines(payload_lines(spark.read.text(path, wholetext=whole_files)), names, delimiter, **kw)
+    """Landed payloads, one JSON array per line (or per file), parsed by :func:`parse_lines`. Rejects
+    are lines with another number of fields and whole payloads that do not parse."""
+    lines, broken = payload_lines(spark.read.text(path, wholetext=whole_files), with_rejects=True)
+    found = parse_lines(lines, names, delimiter, **kw)
+    if not kw.get("with_rejects"):
+        return found
+    rows, rejects = found
+    return rows, rejects.unionByName(broken)
 
 
 def _re(delimiter: str) -> str:

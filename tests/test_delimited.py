@@ -40,3 +40,13 @@ def test_header_names_from_map_or_file(tmp_path):
     f = tmp_path / "h.json"
     f.write_text(json.dumps(m))
     assert header_names(str(f)) == ["country_code", "name"]
+
+
+def test_broken_payloads_are_rejects(spark, tmp_path):
+    from quarry.sources.delimited import read_payloads
+    good, cut, text, other = '["a,b","1,2","3","4,5"]', '["a,b","6,7"', "not json", '{"a": 1}'
+    (tmp_path / "p.txt").write_text("\n".join([good, cut, "", text, "[]", other, '["a,b","8,9"]']) + "\n")
+    rows, rejects = read_payloads(spark, str(tmp_path), ["a", "b"], with_rejects=True)
+    assert sorted(map(tuple, rows.collect())) == [("1", "2"), ("4", "5"), ("8", "9")]
+    assert sorted(r["line"] for r in rejects.collect()) == sorted(["3", cut, text, other])
+    assert read_payloads(spark, str(tmp_path), ["a", "b"]).count() == 3

@@ -178,3 +178,57 @@ def test_partitioned_update_rewrites_only_touched_parts(spark, tmp_path):
     assert res.rows_written == 0 and res.details["rows_removed"] == 400 and rows_of() == {5: "new", 6: "6"}
     with pytest.raises(OwnInputError):
         update_partitioned(spark.read.parquet(path), path, "k", ["k", "v"], 32)
+
+
+WIDE = "k int, v string, note string"
+
+
+def test_updates_keep_the_columns_they_do_not_name(spark, tmp_path):
+    from quarry.sinks.partitions import create_partitioned, read_partitioned, update_partitioned
+    t = spark.createDataFrame([(i, f"v{i}", f"note{i}") for i in range(20)] + [(None, "null", "note of null")], WIDE)
+    s = spark.createDataFrame([(3, "new"), (4, "v4"), (50, "more"), (None, "changed")], SCHEMA)
+    want = {i: (f"v{i}", f"note{i}") for i in range(20)} | {3: ("new", "note3"), 50: ("more", None), None: ("changed", "note of null")}
+    write_update(s, t, "k", ["v"], str(tmp_path / "v2"))
+    v2 = spark.read.parquet(str(tmp_path / "v2"))
+    assert v2.columns == ["k", "v", "note"] and {r["k"]: (r["v"], r["note"]) for r in v2.collect()} == want
+    create_partitioned(t, str(tmp_path / "p"), "k", 4)
+    assert update_partitioned(s, str(tmp_path / "p"), "k", ["v"]).rows_written == 3
+    got = read_partitioned(spark, str(tmp_path / "p"))
+    assert {r["k"]: (r["v"], r["note"]) for r in got.collect()} == want and got.count() == 22
+    write_update(s, t, "k", ["v"], str(tmp_path / "v3"), keep_missing=False)
+    assert {r["k"]: (r["v"], r["note"]) for r in spark.read.parquet(str(tmp_path / "v3")).collect()} == {
+        3: want[3], 4: ("v4", "note4"), 50: want[50], None: want[None]}
+
+
+def test_another_number_of_parts_or_key_is_refused(spark, tmp_path):
+    from quarry.sinks.partitions import LayoutError, create_partitioned, layout, read_partitioned, update_partitioned
+    path = str(tmp_path / "p")
+    t = spark.range(20).selectExpr("CAST(id AS INT) AS k", "CAST(id AS STRING) AS v")
+    create_partitioned(t, path, "k", 4)
+    assert layout(spark, path) == (["k"], 4)
+    s = spark.createDataFrame([(3, "new")], SCHEMA)
+    for bad in ({"key": "k", "parts": 8}, {"key": "v", "parts": 4}):
+        with pytest.raises(LayoutError):
+            update_partitioned(s, path, columns=["k", "v"], **bad)
+    assert rows(read_partitioned(spark, path).select("k", "v")) == rows(t)
+    update_partitioned(s, path, "k", ["v"], 4)
+    assert read_partitioned(spark, path).count() == 20
+    write_overwrite(t, str(tmp_path / "plain"))
+    with pytest.raises(LayoutError):
+        update_partitioned(s, str(tmp_path / "plain"), "k", ["v"], 4)
+
+
+def test_a_bucketed_table_without_rows_is_refused(spark, tmp_path):
+    from quarry.sinks.tables import create_table
+    name, path = "quarry_test_no_rows", str(tmp_path / "t")
+    none = spark.createDataFrame([], SCHEMA)
+    with pytest.raises(EmptyResultError):
+        create_table(none, name, path, buckets=4, key="k", allow_empty=False)
+    assert not spark.catalog.tableExists(name) and not os.path.exists(path)
+    res = create_table(spark.range(20).selectExpr("CAST(id AS INT) AS k", "'x' AS v"), name, path, buckets=4, key="k", allow_empty=False)
+    assert res.rows_written == 20 and spark.table(name).count() == 20
+    from quarry.sinks.tables import overwrite_table
+    with pytest.raises(EmptyResultError):
+        overwrite_table(none, name, allow_empty=False)
+    assert spark.table(name).count() == 20 and overwrite_table(none, name).rows_written == 0 == spark.table(name).count()
+    spark.sql(f"DROP TABLE {name}")
