@@ -82,7 +82,7 @@ OP4_SQL = rf"""
 WITH cut AS (
   SELECT page_id, lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS host,
     list_filter(list_transform(string_split(regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''),
-      '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', '', 'g'),
+      '(?is)<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)', '', 'g'),
       '(?i)</?(?:html|head|title|body|main|article|section|header|footer|nav|aside|div|p|ul|ol|li|h1|h2|h3|h4|h5|h6|br|hr|table|tr|td|th|pre|blockquote|form)\b[^>]*>', chr(10), 'g'),
       '<[^>]*>', '', 'g'), chr(10)),
       lambda x: regexp_replace(x, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')), lambda x: x <> '') AS lines
