@@ -22,7 +22,7 @@ from quarry.llm.secret_scan import BASE as SECRET_BASE
 from quarry.llm.secret_scan import scanned
 from quarry.llm.simhash import simhash_components
 from quarry.llm.spelling import spelling_groups
-from quarry.llm.warc import page_number, read_warc, write_warc
+from quarry.llm.warc import page_number, read_warc, verified, write_warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -169,7 +169,8 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = read_warc(write_warc(table(spark, sf_dir, "pages")), payloads=False)
+    archives = write_warc(table(spark, sf_dir, "pages"))
+    found = verified(read_warc(archives, payloads=False), archives)
     return found.select(page_number(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest",
                         "record_type", page_number(F.col("refers_to")).alias("refers_to"))
 

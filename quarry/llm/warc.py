@@ -13,6 +13,18 @@ its member starts, however far it runs; after a whole record (decoded to its
 checksum, with the length its header states) the scan goes on at its end. So each
 record is read once, whatever the ranges.
 
+What a reader returns of a payload (its length, its digest) is computed from the bytes
+it read, not taken from headers. :func:`verified` makes reading complete or
+fail: every byte of every archive must belong to a record, the manifest's number of
+records must have been read, and every payload must have the digest and length its
+headers state. A revisit has no payload: it takes length and digest from the response it
+refers to, which must exist with the digest that the revisit states.
+
+Archives are opened through ``pyarrow.fs``: local files, ``hdfs:``, ``viewfs:``, ``s3:`` (``s3a:``
+and ``s3n:`` name the same store), ``gs:``, ``abfs(s):`` and ``dbfs:`` by its mount. A folder
+of another scheme is refused before anything is written. Credentials are those that the
+file system finds in the executors' environment.
+
 HTTP headers are split off where the record's type of content is application/http;
 the whole block of any other record is its payload.
 
@@ -47,15 +59,24 @@ MOST_READ_TASKS = 20_000
 _CHUNK = 1 << 20
 MAGIC = b"\x1f\x8b\x08"
 _PAGE = "urn:x-page:"
+# Schemes as Hadoop names them, by what opens them.
+_MOUNTS = {"file": "/", "dbfs": "/dbfs/"}
+_SCHEMES = {"hdfs": "hdfs", "viewfs": "viewfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
 
 
 def _open(uri: str):
     """File system and path of a Hadoop-style URI."""
     from pyarrow import fs
 
-    if uri.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
-    return (fs.LocalFileSystem(), uri) if uri.startswith("/") else fs.FileSystem.from_uri(uri)
+    scheme, colon, rest = uri.partition(":")
+    if uri.startswith("/") or not colon:
+        return fs.LocalFileSystem(), uri
+    if scheme in _MOUNTS:
+        return fs.LocalFileSystem(), _MOUNTS[scheme] + rest.lstrip("/")
+    scheme = _SCHEMES.get(scheme)
+    if scheme is None:
+        raise ValueError(f"archives cannot be opened at {uri}: use one of {', '.join([*_MOUNTS, *_SCHEMES])}")
+    return fs.FileSystem.from_uri(f"{scheme}:{rest}")
 
 
 # ------------------------------------------------------------------- writing
@@ -79,6 +100,7 @@ def write_warc(df: DataFrame, folder: str | None = None, key: str = "page_id", u
     """Write the archives; return the staged manifest: path, bytes, records."""
     spark = df.sparkSession
     folder = (folder or staging_path(spark, "warc")).rstrip("/")
+    _open(folder)  # a store that no task could open is refused here
     date = date or datetime.datetime.now(datetime.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
     body = F.coalesce(df[html].cast("string"), F.lit("")).cast("binary")
     src = df.select(df[key].cast("long").alias("page"), df[url].cast("string").alias("url"), body.alias("payload"))
@@ -176,8 +198,8 @@ def _member(window: _Window, offset: int) -> tuple[dict[str, str], bytes, int] |
     return fields, bytes(data[head + 4:-4]), at - len(unpack.unused_data)
 
 
-def records_in(uri: str, size: int, start: int, end: int):
-    """Offset, header and block of each record whose member starts in [start, end)."""
+def members_in(uri: str, size: int, start: int, end: int):
+    """Offset, header, block and bytes of the member of each record that starts in [start, end)."""
     files, path = _open(uri)
     with files.open_input_file(path) as file:
         window, at = _Window(file, size), start
@@ -194,36 +216,49 @@ def records_in(uri: str, size: int, start: int, end: int):
             if found is None:
                 at += 1
                 continue
-            yield at, found[0], found[1]
+            yield at, found[0], found[1], found[2] - at
             at = found[2]
 
 
+def records_in(uri: str, size: int, start: int, end: int):
+    """Offset, header and block of each record whose member starts in [start, end)."""
+    for at, fields, block, _ in members_in(uri, size, start, end):
+        yield at, fields, block
+
+
 READ_SCHEMA = ("path string, offset long, record_type string, record_id string, target_uri string, refers_to string, "
-               "payload_digest string, payload_bytes long, payload binary, digest_ok boolean")
+               "payload_digest string, payload_bytes long, payload binary, digest_ok boolean, member_bytes long")
 
 
-def _row(path: str, offset: int, fields: dict[str, str], block: bytes) -> tuple:
+def _row(path: str, offset: int, fields: dict[str, str], block: bytes, member_bytes: int | None = None) -> tuple:
+    """A revisit has the digest and length that it states, any other record those of its payload."""
     http, payload = b"", block
     if fields.get("content-type", "").partition(";")[0].strip().lower() == "application/http":
         http, _, payload = block.partition(b"\r\n\r\n")
     stated = [x.split(b":")[1] for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:")]
     full = int(stated[0]) if stated else len(payload)
     digest = fields.get("warc-payload-digest", "").rpartition(":")[2]
-    revisit = fields["warc-type"] == "revisit"
-    ok = None if revisit else base64.b32encode(hashlib.sha1(payload).digest()).decode() == digest and full == len(payload)
+    revisit, ok = fields["warc-type"] == "revisit", None
+    if not revisit:
+        read = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+        ok = digest in ("", read) and full == len(payload)
+        digest, full = read, len(payload)
     return (path, offset, fields["warc-type"], fields.get("warc-record-id"), fields.get("warc-target-uri"),
-            fields.get("warc-refers-to"), digest, full, None if revisit else payload, ok)
+            fields.get("warc-refers-to"), digest, full, None if revisit else payload, ok, member_bytes)
 
 
 def read_warc(archives: DataFrame, split_bytes: int = SPLIT_BYTES, payloads: bool = True) -> DataFrame:
     """Records of the archives in a table with path and bytes; ``payloads=False`` leaves the
-    payload column null (lengths and digests are of the full payload either way)."""
+    payload column null (lengths and digests are of the full payload either way).
+
+    Damaged members are skipped here, and a revisit's length and digest are its own header's;
+    :func:`verified` checks both."""
     ranges = archives.where("bytes > 0").select("path", "bytes", F.explode(
         F.expr(f"sequence(0L, bytes - 1, {int(split_bytes)}L)")).alias("start"))
     tasks = ranges.agg(F.count(F.lit(1))).first()[0]
     ranges = ranges.repartition(max(1, min(tasks, MOST_READ_TASKS)))
     names = [x.split(" ")[0] for x in READ_SCHEMA.split(", ")]
-    kinds = [pa.string(), pa.int64(), *[pa.string()] * 5, pa.int64(), pa.binary(), pa.bool_()]
+    kinds = [pa.string(), pa.int64(), *[pa.string()] * 5, pa.int64(), pa.binary(), pa.bool_(), pa.int64()]
 
     def pack(rows):
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
@@ -232,10 +267,10 @@ def read_warc(archives: DataFrame, split_bytes: int = SPLIT_BYTES, payloads: boo
         rows, held = [], 0
         for batch in it:
             for path, size, start in zip(*(c.to_pylist() for c in batch.columns)):
-                for offset, fields, block in records_in(path, size, start, start + split_bytes):
-                    row = _row(path, offset, fields, block)
+                for offset, fields, block, member in members_in(path, size, start, start + split_bytes):
+                    row = _row(path, offset, fields, block, member)
                     if not payloads:
-                        row = (*row[:8], None, row[9])
+                        row = (*row[:8], None, *row[9:])
                     rows.append(row)
                     held += len(row[8] or b"") + 512
                     if held >= _CHUNK:
@@ -247,6 +282,42 @@ def read_warc(archives: DataFrame, split_bytes: int = SPLIT_BYTES, payloads: boo
     return in_arrow(ranges, read, READ_SCHEMA)
 
 
+class DamagedArchiveError(ValueError):
+    pass
+
+
+def verified(records: DataFrame, archives: DataFrame) -> DataFrame:
+    """The rows of :func:`read_warc` over ``archives``, once they are known to be all of them
+    and right; else :class:`DamagedArchiveError`.
+
+    The records are staged (with their payloads, if they were read). Revisits are joined to the
+    responses that some revisit names, one row each; a response that a third of all revisits
+    name is one row on its side, so the join may split the revisits."""
+    held = stage(records, "warc-records").df
+    read = held.groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.sum("member_bytes").alias("covered"),
+                                    F.count_if(~F.col("digest_ok")).alias("wrong"))
+    stated = F.col("records") if "records" in archives.columns else F.lit(None)
+    sums = (archives.select("path", "bytes", stated.cast("long").alias("records")).join(read, "path", "left")
+            .select("path", "bytes", "records", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n", "covered", "wrong")]))
+    off = sums.where("covered <> bytes or n <> records or wrong > 0")
+    bad = off.orderBy("path").limit(5).collect()
+    if bad:
+        raise DamagedArchiveError("; ".join(
+            f"{r['path']}: {r['n']} records of {r['records']}, {r['covered']} bytes of {r['bytes']}, {r['wrong']} wrong payloads" for r in bad))
+
+    revisit = F.col("record_type") == "revisit"
+    named = held.where(revisit).select(F.col("refers_to").alias("record_id")).distinct()
+    first = (held.where(~revisit).join(named, "record_id", "left_semi")
+             .groupBy(F.col("record_id").alias("first_id"), F.col("payload_digest").alias("first_digest"))
+             .agg(F.max("payload_bytes").alias("first_bytes")))
+    first = broadcast_if_small(stage(first, "warc-first"))
+    met = held.where(revisit).join(first, [held.refers_to == first.first_id, held.payload_digest == first.first_digest], "left")
+    length = F.when(F.col("first_bytes") == F.col("payload_bytes"), F.col("first_bytes")).otherwise(
+        F.raise_error(F.concat_ws(" ", F.lit("no response with the payload of revisit"), "record_id", F.lit("of"), "refers_to")).cast("long"))
+    met = met.select(*[length.alias(c) if c == "payload_bytes" else F.col(c) for c in held.columns])
+    return held.where(~revisit).unionByName(met)
+
+
 def archive_table(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Path and bytes of existing archives (files, folders or globs), listed by Spark."""
     return spark.read.format("binaryFile").load(paths).select("path", F.col("length").alias("bytes"))

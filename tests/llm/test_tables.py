@@ -4,10 +4,12 @@ import base64
 import glob
 import gzip
 import hashlib
+import os
 import random
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from quarry.llm import queries, warc
@@ -111,6 +113,75 @@ def test_line_dedup_drops_site_boilerplate_only(spark):
 
 # --------------------------------------------------------------------- warc
 
+def _plain(path, *members):
+    """An archive at ``path`` of these (header lines, block) and its row for the reader."""
+    with open(path, "wb") as f:
+        for head, block in members:
+            f.write(gzip.compress("\r\n".join(["WARC/1.1", *head, f"Content-Length: {len(block)}", "", ""]).encode() + block + b"\r\n\r\n"))
+
+
+def _listed(spark, path):
+    return archive_table(spark, str(path))
+
+
+def _sha(payload):
+    return base64.b32encode(hashlib.sha1(payload).digest()).decode()
+
+
+def test_verified_reads_all_or_fails(spark, tmp_path):
+    from quarry.llm.warc import DamagedArchiveError, verified
+    manifest = write_warc(pages(spark).coalesce(1), f"file:{tmp_path}/w")
+    assert sorted(map(str, verified(read_warc(manifest), manifest).collect())) == sorted(map(str, read_warc(manifest).collect()))
+    none = write_warc(pages(spark).limit(0))
+    assert verified(read_warc(none), none).count() == 0
+    path = manifest.first()["path"].removeprefix("file:")
+    whole = open(path, "rb").read()
+    starts = sorted(r.offset for r in read_warc(manifest).collect())
+    for at in (starts[0] + 40, starts[4] + 200, starts[-1] + 60, starts[2] + 1):  # a bit of a body, a header, the magic
+        broken = bytearray(whole)
+        broken[at] ^= 0x10
+        open(path, "wb").write(broken)
+        with pytest.raises(DamagedArchiveError):
+            verified(read_warc(manifest, split_bytes=500), manifest)
+    open(path, "wb").write(whole[:starts[-1]])  # a whole record less, and its file is as long as the records in it
+    shorter = manifest.withColumn("bytes", F.lit(starts[-1]).cast("long"))
+    with pytest.raises(DamagedArchiveError, match="records"):
+        verified(read_warc(shorter), shorter)
+    os.remove(path)
+    with pytest.raises(Exception, match="[Nn]o such file|not exist|open"):
+        verified(read_warc(manifest), manifest)
+
+
+def test_lengths_and_digests_are_of_the_bytes_read(spark, tmp_path):
+    from quarry.llm.warc import DamagedArchiveError, verified
+    kind = "Content-Type: application/http"
+    body = b"HTTP/1.1 200 OK\r\nContent-Length: 3\r\n\r\nabc"
+    say = lambda digest, name="<a>": ["WARC-Type: response", f"WARC-Record-ID: {name}", f"WARC-Payload-Digest: sha1:{digest}", kind]
+    again = lambda digest, to: (["WARC-Type: revisit", "WARC-Record-ID: <r>", f"WARC-Refers-To: {to}", f"WARC-Payload-Digest: sha1:{digest}", kind], body[:-3])
+    _plain(tmp_path / "right.gz", (say(_sha(b"abc")), body), again(_sha(b"abc"), "<a>"))
+    got = verified(read_warc(_listed(spark, tmp_path / "right.gz")), _listed(spark, tmp_path / "right.gz")).collect()
+    assert [(r.payload_digest, r.payload_bytes) for r in got] == [(_sha(b"abc"), 3)] * 2
+    _plain(tmp_path / "digest.gz", (say("AAAA"), body))
+    wrong = _listed(spark, tmp_path / "digest.gz")
+    assert read_warc(wrong).first()["payload_digest"] == _sha(b"abc")
+    with pytest.raises(DamagedArchiveError):
+        verified(read_warc(wrong), wrong)
+    _plain(tmp_path / "length.gz", (say(_sha(b"ab")), body[:-1]))
+    with pytest.raises(DamagedArchiveError):
+        verified(read_warc(_listed(spark, tmp_path / "length.gz")), _listed(spark, tmp_path / "length.gz"))
+    for name, digest, to in (("lost.gz", _sha(b"abc"), "<b>"), ("other.gz", _sha(b"abd"), "<a>")):
+        _plain(tmp_path / name, (say(_sha(b"abc")), body), again(digest, to))
+        with pytest.raises(Exception, match="no response with the payload"):
+            verified(read_warc(_listed(spark, tmp_path / name)), _listed(spark, tmp_path / name)).collect()
+
+
+def test_stores_that_no_task_could_open_are_refused_first(spark):
+    from quarry.llm.warc import _open
+    with pytest.raises(ValueError, match="wasbs"):
+        write_warc(pages(spark), "wasbs://c@account/archives")
+    assert _open("file:/a/b")[1] == _open("file:///a/b")[1] == _open("/a/b")[1] == "/a/b" and _open("dbfs:/a/b")[1] == "/dbfs/a/b"
+
+
 PAGES = [(1, "http://a/", "x"), (2, "http://b/", "x"), (3, "http://c/\r\nEvil: 1", ""), (4, None, None), (5, "http://é/", "é😀" * 50_000), (6, "http://d/", "unique"),
          (None, "http://n/", "x"), (None, None, "only null ids"), (7, "http://g/", "line\r\n\r\nWARC/1.1\r\nContent-Length: 5\r\n\r\n"), (6, "http://d/", "unique")]
 
