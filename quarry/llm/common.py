@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
 from quarry.operators.staging import broadcast_if_small, stage
 from quarry.session import ship_package
@@ -24,7 +25,7 @@ FILE, ROW = "__loc_file", "__loc_row"
 
 def text_of(df: DataFrame, name: str) -> Column:
     """The text column as string; null counts as empty."""
-    return F.coalesce(df[name].cast("string"), F.lit(""))
+    return F.coalesce(df[quoted(name)].cast("string"), F.lit(""))
 
 
 def word_count(text: Column) -> Column:
@@ -56,7 +57,26 @@ def in_arrow(df: DataFrame, batches, schema) -> DataFrame:
 
 def named(column: str) -> Column:
     """The column of exactly this name, dots and quotes included."""
-    return F.col("`" + column.replace("`", "``") + "`")
+    return F.col(quoted(column))
+
+
+def quoted(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def content_hash(df: DataFrame, columns: list[str]) -> Column:
+    """64-bit hash of the row's values in ``columns``; NULLs count by their place."""
+    def hashable(kind) -> bool:
+        inner = [f.dataType for f in kind] if isinstance(kind, StructType) else [kind.elementType] if isinstance(kind, ArrayType) else []
+        return not isinstance(kind, (MapType, VariantType)) and all(hashable(k) for k in inner)
+
+    parts = []
+    for c in columns:
+        value = df[quoted(c)]
+        if not hashable(df.schema[c].dataType):  # a map's or variant's entries, as text
+            value = F.to_json(F.struct(value.alias("v")))
+        parts += [value.isNull(), value]
+    return F.xxhash64(*parts)
 
 
 def fresh(df: DataFrame, name: str) -> str:
@@ -96,4 +116,4 @@ def without_rows(df: DataFrame, dropped: DataFrame, columns: list[str]) -> DataF
     """Rows of a located frame whose locator is not in ``dropped``; the latter is staged
     and broadcast only if its measured size allows."""
     gone = broadcast_if_small(stage(dropped.select(FILE, ROW), "dropped"))
-    return df.join(gone, [FILE, ROW], "left_anti").select(*[df[c] for c in columns])
+    return df.join(gone, [FILE, ROW], "left_anti").select(*[df[quoted(c)] for c in columns])

@@ -27,7 +27,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import FILE, ROW, located, squeezed, text_of, without_rows
+from quarry.llm.common import FILE, ROW, located, quoted, squeezed, text_of, without_rows
 from quarry.operators.staging import Staged, broadcast_if_small, remove, stage
 from quarry.session import staging_path
 
@@ -90,8 +90,8 @@ def exact_groups(df: DataFrame, text: str = "text", key: str = "doc_id",
     body = text_of(src, text)
     ranked = src.select(
         F.col(FILE), F.col(ROW), digest(squeezed(body)).alias("digest"),
-        F.struct((-F.length(body)).alias("neg_chars"), src[key].isNull().alias("no_key"),
-                 src[key].alias("key"), F.col(FILE).alias("file"), F.col(ROW).alias("row")).alias("rank"))
+        F.struct((-F.length(body)).alias("neg_chars"), src[quoted(key)].isNull().alias("no_key"),
+                 src[quoted(key)].alias("key"), F.col(FILE).alias("file"), F.col(ROW).alias("row")).alias("rank"))
     keyed = stage(ranked, "dedup-keyed")
     if not keyed.rows():
         return _decide(keyed.df, keyed.df.select(

@@ -1,7 +1,7 @@
 """Mixing sources to target weights by weighted fair queueing.
 
 Every source is a queue of its documents in a fixed shuffled order (by a seeded
-MD5 of the identifier), the whole queue up to ``max_repeats`` times over. A
+MD5 of the identifier, or of the content of a row without one; then by content), the whole queue up to ``max_repeats`` times over. A
 document's virtual finish time is the cumulative number of its source's words,
 itself included, divided by the source's weight. All copies are range-sorted by
 finish time and taken until the total budget is used up. A queue that runs out
@@ -13,15 +13,19 @@ The running sums need no task that holds a whole source. A source is cut by its
 shuffle hash into about the square root of its row count of ranges; sums of the
 ranges are accumulated per source and sums of the rows within each range, so a
 source of n rows is handled in pieces of about sqrt(n). A range that an often
-repeated identifier fills is cut further, by a hash of the rows' locators, and its
-rows are queued in that order. The global order is one
+repeated identifier fills is cut further, by ranges of the content hash, and where equal
+rows fill such a range, by a hash of their locators. Every cut is a range of one and the
+same order (shuffle hash, content, locator), so where cuts are made changes no sum; and as
+only rows that are equal in every column are ordered by locator, the mix has the
+same rows however the table is written or partitioned. The global order is one
 range shuffle; only one sum per range partition is accumulated over all.
 
 Only DataFrame and SQL functions. Defined cases: null text has size 0; a null
 source is a source of its own, ranked last; documents of size 0 are never
 needed to reach a target and count as taken 0 times; rows that repeat are
-separate documents, ordered by their position in the input files. An empty
-table, or no words at all, gives nothing taken. Extra columns are not read.
+separate documents, any of which may be the one that is taken. An empty
+table, or no words at all, gives nothing taken. Extra columns tell rows apart that have
+one identifier or none, and are not used otherwise.
 """
 
 from __future__ import annotations
@@ -32,23 +36,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quarry.llm.common import FILE, ROW, located, text_of, word_count
+from quarry.llm.common import FILE, ROW, content_hash, fresh, located, quoted, text_of, word_count
 from quarry.operators.staging import broadcast_if_small, stage
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 MAX_REPEATS = 2
 SEED = "mix-1:"
-CROWDED = 8  # times its even share of rows, beyond which a range is cut further
+CROWDED = 8  # times its even share of rows, beyond which a range is cut further; changes no result
 
 _RUNNING = (W.unboundedPreceding, W.currentRow)
 _BEFORE = (W.unboundedPreceding, -1)
 
 
-def _shuffle_key(key: Column) -> Column:
-    """Rows without an identifier are spread by their locator."""
-    place = F.concat_ws(":", F.lit(""), F.col(FILE), F.col(ROW).cast("string"))
-    return F.md5(F.concat(F.lit(SEED), F.coalesce(key.cast("string"), place)).cast("binary"))
+def _shuffle_key(key: Column, content: Column) -> Column:
+    """Rows without an identifier are spread by their content."""
+    return F.md5(F.concat(F.lit(SEED), F.coalesce(key.cast("string"), F.concat(F.lit(":"), content.cast("string")))).cast("binary"))
+
+
+def _range_of(hashed: Column, ranges: Column) -> Column:
+    """Which of so many equal ranges of all longs a hash lies in."""
+    return F.floor((hashed.cast("double") / F.lit(2.0 ** 64) + 0.5) * ranges).cast("long")
+
+
+def _cut(rows: DataFrame, within: list[str], cuts: str, name: str) -> DataFrame:
+    """``rows`` with a column ``cuts``: into how many ranges the rows of its ``within`` are to be
+    cut, null where they are no crowd (evenly spread identifiers never are)."""
+    crowd = (rows.groupBy(*within).agg(F.count(F.lit(1)).alias("n"), F.first("docs").alias("of"))
+             .where(F.col("n") > CROWDED * F.ceil(F.sqrt("of")))
+             .select(*within, F.ceil(F.col("n") / F.sqrt("of")).alias(cuts)))
+    return rows.join(broadcast_if_small(stage(crowd, name)), within, "left")
 
 
 def source_table(sized: DataFrame, weights: Sequence[float], max_repeats: int, share: float) -> DataFrame:
@@ -82,35 +99,39 @@ def mix(df: DataFrame, text: str = "text", key: str = "doc_id", source: str = "s
         max_repeats: int = MAX_REPEATS) -> DataFrame:
     """Per input row: locator, ``key``, size, source_size, target, copies (0 to ``max_repeats``)."""
     src = df if FILE in df.columns else located(df, "mix-input")
-    sized = stage(src.select(
-        F.col(FILE), F.col(ROW), src[key].alias("key"), src[source].cast("string").alias("source"),
-        word_count(text_of(src, text)).alias("size"), _shuffle_key(src[key]).alias("shuffle")), "mix-sized").df
+    content = content_hash(src, [c for c in src.columns if c not in (FILE, ROW)])
+    sized = src.select(
+        F.col(FILE), F.col(ROW), src[quoted(key)].alias("key"), src[quoted(source)].cast("string").alias("source"),
+        word_count(text_of(src, text)).alias("size"), content.alias("content"))
+    sized = stage(sized.withColumns({"shuffle": _shuffle_key(F.col("key"), F.col("content")),
+                                     "place": F.xxhash64(FILE, ROW)}), "mix-sized").df
     sources = broadcast_if_small(stage(source_table(sized, weights, max_repeats, share), "mix-sources"))
     rows = sized.join(sources, sized.source.eqNullSafe(sources.source)).drop(sources.source)
 
     pieces = F.ceil(F.sqrt(F.col("docs"))).cast("long")
     piece = F.floor(F.conv(F.substring("shuffle", 1, 8), 16, 10).cast("double") / F.lit(2.0 ** 32) * pieces).cast("long")
     rows = rows.withColumn("piece", piece)
-    # Evenly spread identifiers never fill a range so far.
-    crowded = (rows.groupBy("rank", "piece").agg(F.count(F.lit(1)).alias("n"), F.first("docs").alias("of"))
-               .where(F.col("n") > CROWDED * F.ceil(F.sqrt("of"))))
-    crowded = broadcast_if_small(stage(crowded.select("rank", "piece", F.ceil(F.col("n") / F.sqrt("of")).alias("cuts")), "mix-crowded"))
-    rows = rows.join(crowded, ["rank", "piece"], "left").withColumn(
-        "cut", F.coalesce(F.pmod(F.xxhash64(FILE, ROW), F.col("cuts")), F.lit(0)))
-    sums = rows.groupBy("rank", "piece", "cut").agg(F.sum("size").alias("piece_words"))
-    before = sums.select("rank", "piece", "cut", F.coalesce(
-        F.sum("piece_words").over(W.partitionBy("rank").orderBy("piece", "cut").rowsBetween(*_BEFORE)),
+    rows = _cut(rows, ["rank", "piece"], "cuts", "mix-crowded")
+    rows = rows.withColumns({"of_shuffle": F.when(F.col("cuts").isNotNull(), F.col("shuffle")).otherwise(""),
+                             "part": F.coalesce(_range_of(F.col("content"), F.col("cuts")), F.lit(0))})
+    rows = _cut(rows, ["rank", "piece", "of_shuffle", "part"], "equal_cuts", "mix-equal")
+    rows = rows.withColumns({"of_content": F.when(F.col("equal_cuts").isNotNull(), F.col("content")).otherwise(0),
+                             "cut": F.coalesce(_range_of(F.col("place"), F.col("equal_cuts")), F.lit(0))})
+    cell = ["piece", "of_shuffle", "part", "of_content", "cut"]
+    sums = rows.groupBy("rank", *cell).agg(F.sum("size").alias("piece_words"))
+    before = sums.select("rank", *cell, F.coalesce(
+        F.sum("piece_words").over(W.partitionBy("rank").orderBy(*cell).rowsBetween(*_BEFORE)),
         F.lit(0)).alias("before"))
-    inner = W.partitionBy("rank", "piece", "cut").orderBy("shuffle", "key", FILE, ROW).rowsBetween(*_RUNNING)
-    once = (rows.withColumn("within", F.sum("size").over(inner)).join(before, ["rank", "piece", "cut"])
+    inner = W.partitionBy("rank", *cell).orderBy("shuffle", "content", "place", FILE, ROW).rowsBetween(*_RUNNING)
+    once = (rows.withColumn("within", F.sum("size").over(inner)).join(before, ["rank", *cell])
             .withColumn("sum", F.col("before") + F.col("within")))
 
     # Copies that can be taken at all: a finish time beyond the fullest source's is never reached.
     copies = once.where("size > 0").select(
-        FILE, ROW, "rank", "size", "shuffle", "budget",
+        FILE, ROW, "rank", "size", "shuffle", "content", "budget",
         F.explode(F.transform(F.sequence(F.lit(0), F.lit(max_repeats - 1)),
                               lambda e: (F.col("sum") + e * F.col("words")) / F.col("weight"))).alias("finish"))
-    order = ["finish", "rank", "shuffle", FILE, ROW]
+    order = ["finish", "rank", "shuffle", "content", FILE, ROW]
     queue = copies.repartitionByRange(*order).withColumn("part", F.spark_partition_id())
     queue = stage(queue, "mix-queue").df
     parts = queue.groupBy("part").agg(F.sum("size").alias("part_words"))
@@ -130,7 +151,8 @@ def mixed_rows(df: DataFrame, text: str = "text", key: str = "doc_id", source: s
     """The mix itself: rows of ``df``, each as often as it is taken, with all its columns."""
     src = located(df, "mix-input")
     plan = mix(src, text, key, source, weights, share, max_repeats).where("copies > 0")
-    plan = broadcast_if_small(stage(plan.select(FILE, ROW, F.col("copies").alias("__copies")), "mix-plan"))
+    copies = fresh(df, "copies")
+    plan = broadcast_if_small(stage(plan.select(FILE, ROW, F.col("copies").alias(copies)), "mix-plan"))
     return (src.join(plan, [FILE, ROW])
-            .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-            .select(*[src[c] for c in df.columns]))
+            .select(*[src[quoted(c)] for c in df.columns], F.explode(F.sequence(F.lit(1), F.col(copies))).alias(fresh(df, "copy")))
+            .drop(fresh(df, "copy")))

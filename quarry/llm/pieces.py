@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from quarry.llm.common import fresh, in_arrow, text_of
+from quarry.llm.common import fresh, in_arrow, quoted, text_of
 
 MARK = "▁"
 CACHE = 100_000           # parts in each of the two generations
@@ -347,8 +347,8 @@ def encoded(df: DataFrame, model: str, text: str = "text", keep: list[str] | Non
     32-bit), n_tokens, decoded (the text that the ids decode to) and n_corrected."""
     keep = [c for c in df.columns if c != text] if keep is None else keep
     body = fresh(df, "__text")
-    src = df.select(*[df[c] for c in keep], text_of(df, text).alias(body))
-    kept = df.select(*[df[c] for c in keep])
+    src = df.select(*[df[quoted(c)] for c in keep], text_of(df, text).alias(body))
+    kept = df.select(*[df[quoted(c)] for c in keep])
     kind = kept.schema
     for name, of in (("ids", "binary"), ("n_tokens", "long"), ("decoded", "string"), ("n_corrected", "long")):
         kind = kind.add(fresh(kept, name), of)

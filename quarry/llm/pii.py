@@ -32,7 +32,7 @@ import unicodedata
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import fresh, let, text_of
+from quarry.llm.common import fresh, let, quoted, text_of
 from quarry.operators.staging import stage
 
 BASE = ("email", "ip", "card", "phone")
@@ -336,7 +336,7 @@ def pii_spans(df: DataFrame, text: str = "text", keep: list[str] | None = None,
     (1 for base spans), base; by start, then kind in the order of ``BASE`` and ``ADDED``."""
     keep = [c for c in df.columns if c != text] if keep is None else keep
     c = fresh(df, "__spans")
-    found = stage(df.select(*[df[k] for k in keep], candidates(text_of(df, text)).alias(c)), "pii-spans").df
+    found = stage(df.select(*[df[quoted(k)] for k in keep], candidates(text_of(df, text)).alias(c)), "pii-spans").df
     weights = train(found.select(F.col(c)["base"].alias("base"), F.col(c)["proposed"].alias("proposed")))
     order = F.array(*[F.lit(k) for k in (*BASE, *ADDED)])
 

@@ -30,7 +30,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import WORD, fresh, let, text_of
+from quarry.llm.common import WORD, fresh, let, quoted, text_of
 from quarry.llm.quality_trees import held_out
 
 MAX_ROWS = 20_000
@@ -207,7 +207,7 @@ def judged(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc
     keep = list(df.columns) if keep is None else keep
     rules = learn(training_rows(df, labels, text, key, label, max_rows))
     s = fresh(df, "__stats")
-    got = df.select(*[df[c] for c in keep], statistics(text_of(df, text)).alias(s))
+    got = df.select(*[df[quoted(c)] for c in keep], statistics(text_of(df, text)).alias(s))
     f = features(F.col(s))
     failed = (F.col(s)["n_words"] < MIN_WORDS) | (100 * F.col(s)["n_repeat_words"] > MAX_REPEAT_PERCENT * F.col(s)["n_words"])
     rule = verdict(rules, f)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import fresh, in_arrow, text_of
+from quarry.llm.common import fresh, in_arrow, quoted, text_of
 
 MAX_TRAINING_ROWS = 40_000
 TREES, DEPTH, BINS, RATE = 60, 4, 64, 0.15
@@ -149,8 +149,8 @@ def scored(df: DataFrame, forest: Forest, text: str = "text", keep: list[str] |
     """``keep`` columns (default: all), then ``score``: the probability of label 1."""
     keep = list(df.columns) if keep is None else keep
     body, score = fresh(df, "__text"), fresh(df, "score")
-    src = df.select(*[df[c] for c in keep], text_of(df, text).alias(body))
-    kind = df.select(*[df[c] for c in keep]).schema.add(score, "double")
+    src = df.select(*[df[quoted(c)] for c in keep], text_of(df, text).alias(body))
+    kind = df.select(*[df[quoted(c)] for c in keep]).schema.add(score, "double")
 
     def batches(it):
         for batch in it:

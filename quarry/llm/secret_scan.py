@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from quarry.llm.common import fresh, in_arrow, text_of
+from quarry.llm.common import fresh, in_arrow, quoted, text_of
 
 KINDS = ("assign", "access", "hex", "token", "armor", "key")
 BASE = KINDS[:3]
@@ -349,8 +349,8 @@ def scanned(df: DataFrame, text: str = "text", keep: list[str] | None = None) ->
     """``keep`` columns (default: all), then ``spans``: array of kind, start, end, structure."""
     keep = list(df.columns) if keep is None else keep
     body, found = fresh(df, "__text"), fresh(df, "spans")
-    src = df.select(*[df[c] for c in keep], text_of(df, text).alias(body))
-    kind = df.select(*[df[c] for c in keep]).schema.add(found, SPANS)
+    src = df.select(*[df[quoted(c)] for c in keep], text_of(df, text).alias(body))
+    kind = df.select(*[df[quoted(c)] for c in keep]).schema.add(found, SPANS)
     names = ("kind", "start", "end", "structure")
 
     def batches(it):

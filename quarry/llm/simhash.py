@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import FILE, ROW, in_arrow, located, text_of, without_rows
+from quarry.llm.common import FILE, ROW, in_arrow, located, quoted, text_of, without_rows
 from quarry.llm.components import components
 from quarry.operators.staging import broadcast_if_small, stage
 
@@ -329,7 +329,7 @@ def simhash_components(df: DataFrame, text: str = "text", key: str = "doc_id", s
     smallest key reachable over links of at most ``distance`` bits), keep (the locator that
     stands for the component: smallest key, null last, then first by locator)."""
     src = df if FILE in df.columns else located(df, "simhash-input")
-    wanted = src.select(F.col(FILE), F.col(ROW), src[key].alias("key"), text_of(src, text).alias("text"))
+    wanted = src.select(F.col(FILE), F.col(ROW), src[quoted(key)].alias("key"), text_of(src, text).alias("text"))
     rows = stage(fingerprints(wanted, "text", shingle), "simhash-fingerprints").df
     first = F.struct(F.col("key").isNull().alias("no_key"), F.col("key").alias("key"),
                      F.col(FILE).alias("file"), F.col(ROW).alias("row"))

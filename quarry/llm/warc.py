@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import in_arrow
+from quarry.llm.common import in_arrow, quoted
 from quarry.operators.staging import broadcast_if_small, stage
 from quarry.session import staging_path
 
@@ -102,8 +102,8 @@ def write_warc(df: DataFrame, folder: str | None = None, key: str = "page_id", u
     folder = (folder or staging_path(spark, "warc")).rstrip("/")
     _open(folder)  # a store that no task could open is refused here
     date = date or datetime.datetime.now(datetime.timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
-    body = F.coalesce(df[html].cast("string"), F.lit("")).cast("binary")
-    src = df.select(df[key].cast("long").alias("page"), df[url].cast("string").alias("url"), body.alias("payload"))
+    body = F.coalesce(df[quoted(html)].cast("string"), F.lit("")).cast("binary")
+    src = df.select(df[quoted(key)].cast("long").alias("page"), df[quoted(url)].cast("string").alias("url"), body.alias("payload"))
     src = src.withColumn("digest", F.sha1("payload"))
     sized = src.select("page", "digest", F.octet_length("payload").alias("bytes")).where(F.col("bytes") >= least_payload)
     shared = (sized.groupBy("digest").agg(F.min("page").alias("first"), F.count(F.lit(1)).alias("n"))

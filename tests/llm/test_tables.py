@@ -95,6 +95,39 @@ def test_mix_where_one_identifier_fills_a_source(spark):
     assert all(abs(t - target) <= 7 for (_, target), t in taken.items())
 
 
+def test_mix_takes_the_same_rows_however_they_are_written(spark, tmp_path, monkeypatch):
+    rows = [(i % 5 if i % 3 else None, f"src{i % 2}", " ".join(["w"] * (i % 9)), i % 4, {"m": i % 2}, i % 6) for i in range(400)]
+    rows += [(7, "src0", "often the same identifier", i % 50, {"m": 1}, 0) for i in range(300)]
+    rows += [(None, "src1", "equal in every column", 1, {"m": 1}, 0)] * 300
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string, copies int, copy map<string,int>, `a.b` int")
+    seen, cells = set(), []
+    for crowded in (8, 0.2, 1000):  # nowhere, nearly everywhere and never cut
+        monkeypatch.setattr("quarry.llm.mixing.CROWDED", crowded)
+        for parts in (1, 5):
+            got = mixed_rows(df.repartition(parts, F.rand()))
+            assert got.columns == df.columns
+            seen.add(tuple(sorted(str(r.asDict()) for r in got.collect())))
+    assert len(seen) == 1 and len(next(iter(seen))) > 1000
+    df.repartition(3).write.parquet(str(tmp_path / "again"))
+    assert tuple(sorted(str(r.asDict()) for r in mixed_rows(spark.read.parquet(str(tmp_path / "again"))).collect())) in seen
+
+
+def test_names_that_clash_or_hold_dots(spark):
+    from quarry.llm.exact_dedup import exact_dedup
+    from quarry.llm.pieces import encoded
+    from quarry.llm.secret_scan import scanned
+    from quarry.llm.simhash import near_dedup
+    names = ["doc_id", "text", "source", "a.b", "__common", "__copies", "__copy", "copies", "copy", "content", "cut", "piece", "weird`name"]
+    df = spark.createDataFrame([(i, f"some words here {i // 2}", "s", *[i % 2] * 10) for i in range(12)], names)
+    assert exact_dedup(df).columns == near_dedup(df).columns == mixed_rows(df).columns == names
+    assert exact_dedup(df).count() == 6 and mixed_rows(df).count() == 18
+    dotted = df.select(F.col("doc_id").alias("the.id"), F.col("text").alias("the.text"), F.col("source").alias("the.source"), "`a.b`")
+    assert exact_dedup(dotted, "the.text", "the.id").count() == 6
+    assert mixed_rows(dotted, "the.text", "the.id", "the.source").columns == dotted.columns
+    assert scanned(dotted, "the.text", keep=["the.id", "a.b"]).columns[:2] == ["the.id", "a.b"]
+    assert encoded(dotted, queries.piece_model(), "the.text", keep=["the.id", "a.b"]).columns[:2] == ["the.id", "a.b"]
+
+
 # --------------------------------------------------------------- line dedup
 
 def test_line_dedup_drops_site_boilerplate_only(spark):
