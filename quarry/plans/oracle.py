@@ -10,7 +10,7 @@ parsing by truncation (DuckDB's cast from double rounds).
 from __future__ import annotations
 
 from quarry.functions.numbers import NUMBER_PATTERN
-from quarry.plans.samples import LOOKUP_NATION, ORDER_LINE_NAMES, PART_RENAMES
+from quarry.plans.samples import LINE_KEY, LOOKUP_NATION, ORDER_LINE_NAMES, PART_RENAMES
 
 
 def _parse_double(expr: str, strip: str = "") -> str:
@@ -263,6 +263,19 @@ UNION ALL SELECT * FROM d""",
 
     "sink_update_carries_columns": "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders",
 
+    "sink_version_history": f"""
+WITH {_DELTA_INPUTS}, {_DELTA}
+SELECT CAST(1 AS BIGINT) AS version, * FROM t
+UNION ALL SELECT CAST(2 AS BIGINT), * FROM t WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.o_orderkey = t.o_orderkey)
+UNION ALL SELECT CAST(2 AS BIGINT), * FROM d""",
+
+    "sink_update_snapshot": f"""
+WITH once AS (SELECT DISTINCT {', '.join(LINE_KEY)} FROM lineitem),
+n AS (SELECT count(*) AS table_rows, count(*) FILTER (WHERE l_orderkey % 3 = 0) AS changed FROM once)
+SELECT CAST(run AS BIGINT) AS run, table_rows AS rows_read, CASE run WHEN 1 THEN changed ELSE 0 END AS rows_written,
+       run = 1 AS compared, run = 1 AS wrote, table_rows
+FROM n, (SELECT unnest([1, 2]) AS run)""",
+
     "sink_overwrite_lines": "SELECT * FROM lineitem",
 
     "sink_update_lines": _first_per_key(

@@ -344,6 +344,28 @@ def sink_update_carries_columns(spark, d):
     return read_partitioned(spark, path).select(*orders.columns)
 
 
+def sink_version_history(spark, d):
+    """Two versions of a partitioned table, made by an update: both are there, whole."""
+    path = staging_path(spark, "orders-versions")
+    create_partitioned(delta_target(spark, d), path, ORDER_KEY, 16)
+    update_partitioned(delta_source(spark, d), path, ORDER_KEY, ORDER_COLUMNS)
+    both = [read_partitioned(spark, path, n).select(F.lit(n).cast("bigint").alias("version"), *ORDER_COLUMNS) for n in (1, 2)]
+    return both[0].unionByName(both[1])
+
+
+def sink_update_snapshot(spark, d):
+    """A snapshot of line items applied to the table of its first rows per key, and then once more: the second
+    time the digests of all parts are equal and no row of the table is read."""
+    path, lines = staging_path(spark, "lines-snapshot"), stage(_lines_once(spark, d), "lines-once").df
+    old = lines.withColumn("l_tax", F.when(_every("l_orderkey", 3), F.col("l_tax") + 1).otherwise(F.col("l_tax")))
+    create_partitioned(old, path, LINE_KEY, 32)
+    runs = [update_partitioned(lines, path, LINE_KEY, lines.columns) for _ in range(2)]
+    reports = [(n, r.rows_read, r.rows_written, len(r.details["compared"]) > 0, r.wrote) for n, r in enumerate(runs, 1)]
+    rows = read_partitioned(spark, path).count()
+    return (spark.createDataFrame(reports, "run bigint, rows_read bigint, rows_written bigint, compared boolean, wrote boolean")
+            .withColumn("table_rows", F.lit(rows).cast("bigint")))
+
+
 LINE_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_extendedprice"]
 
 
@@ -465,6 +487,8 @@ QUERIES = {
     "sink_update_lines": sink_update_lines,
     "sink_update_parts": sink_update_parts,
     "sink_update_carries_columns": sink_update_carries_columns,
+    "sink_version_history": sink_version_history,
+    "sink_update_snapshot": sink_update_snapshot,
     "sink_update_noop": sink_update_noop,
     "report_lookup": report_lookup,
     "report_extreme_high": _extreme("highest"),

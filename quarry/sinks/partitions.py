@@ -1,97 +1,204 @@
-"""Parquet tables in hash partitions of their key: an update rewrites only what it touches.
-
-The table is partitioned by ``__part``, a hash of the key modulo the number of parts. Number
-and key are fixed when the table is made and kept with it (``_quarry_table.json``); an update
-with others would leave a key in two parts and is refused. So a row never moves and a
-changed row touches one part. An update stages the change set, then the merged rows
-of the touched parts, and only then replaces those parts (Spark's dynamic partition
-overwrite; nothing that is replaced is read by that write, so it can be repeated).
-The other parts' files stay as they are.
+"""Parquet tables in hash partitions of their key, with versions: an update reads and writes
+only what it touches, and takes effect in one step.
+
+A table is cut by a hash of its key modulo the number of parts. Number, key and schema are
+fixed when the table is made and kept with it; an update with others would leave a key in two
+parts and is refused. So a row never moves and a changed row touches one part.
+
+A version (``sinks/versions``) names the folder of each part, with the digest of its
+rows. A write puts new parts in a folder of its own, beside those in use, and then
+commits the next version. Until then readers have the old table, whole; from then on the new
+one. Folders that no version names any more go with :func:`vacuum`.
+
+An update that names all columns takes the digests of the source's parts first, in one pass
+with partial sums. Parts of equal digest are not read; if all are equal, no row of the
+table is. Of the others, the change set is staged and the parts it touches are
+merged into the new folder.
 """
 
 from __future__ import annotations
 
-import json
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructType
 
+from quarry.operators import digests
 from quarry.operators.delta import assert_unique, changed_rows, join_by_key, missing_keys, upsert_rows
 from quarry.operators.staging import Staged, remove, stage
-from quarry.sinks.files import assert_not_reading
+from quarry.sinks import versions
+from quarry.sinks.files import EmptyResultError, assert_not_reading
 from quarry.specs import InsertMode, JobResult
 
 PART = "__part"
-LAYOUT = "_quarry_table.json"  # readers of the folder skip names with an underscore
+_DATA = "data-"
 
 
 class LayoutError(ValueError):
     pass
 
 
-def _layout_file(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{LAYOUT}")
-    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _record_layout(spark: SparkSession, path: str, key: list[str], parts: int) -> None:
-    p, fs = _layout_file(spark, path)
-    out = fs.create(p, True)
-    out.write(json.dumps({"key": key, "parts": parts}).encode())
-    out.close()
+def _current(spark: SparkSession, path: str, number: int | None = None) -> tuple[int, dict]:
+    known = versions.versions(spark, path)
+    if not known or number not in (None, *known):
+        raise LayoutError(f"{path} has no version {number}" if known else f"{path} is no table in hash partitions: it has no version")
+    number = known[-1] if number is None else number
+    return number, versions.read_version(spark, path, number)
 
 
 def layout(spark: SparkSession, path: str) -> tuple[list[str], int]:
     """Key and number of parts of the table at ``path``."""
-    p, fs = _layout_file(spark, path)
-    if not fs.exists(p):
-        raise LayoutError(f"{path} is no table in hash partitions: it has no {LAYOUT}")
-    stream = fs.open(p)
-    got = json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-    stream.close()
-    return got["key"], got["parts"]
+    _, v = _current(spark, path)
+    return v["key"], v["parts"]
 
 
 def _part(key: list[str], parts: int) -> Column:
     return F.pmod(F.xxhash64(*key), F.lit(parts)).cast("int").alias(PART)
 
 
-def create_partitioned(df: DataFrame, path: str, key, parts: int) -> JobResult:
-    """Write ``df``, whose ``key`` must be unique, to a new table of ``parts`` hash partitions."""
-    key = [key] if isinstance(key, str) else list(key)
+def _rows_of(spark: SparkSession, path: str, version: dict, numbers=None) -> DataFrame:
+    """The rows of a version, or of some of its parts."""
+    schema, held = StructType.fromJson(version["schema"]), version["held"]
+    folders = [f"{path.rstrip('/')}/{p['folder']}" for n, p in held.items() if numbers is None or int(n) in numbers]
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
+def _digests_of(df: DataFrame, columns: list[str]) -> dict[int, list[int]]:
+    """Rows and digest sums by part: at most as many entries as the table has parts. Without
+    columns that can be hashed, rows only."""
+    if all(digests.hashable(df.schema[c].dataType) for c in columns):
+        found = digests.digests(df, PART, columns)
+    else:
+        found = df.groupBy(PART).agg(F.count(F.lit(1)).alias("rows"))
+    return {r[PART]: list(r)[1:] for r in found.collect()}
+
+
+def _write_parts(rows: DataFrame, path: str, key: list[str], parts: int) -> tuple[str, dict]:
+    """Write rows to a new folder; its name, and folder and digest of each part."""
+    spark, name = rows.sparkSession, _DATA + uuid.uuid4().hex
+    folder, schema = f"{path.rstrip('/')}/{name}", rows.schema
+    try:
+        rows.select("*", _part(key, parts)).repartition(PART).write.mode("errorifexists").partitionBy(PART).parquet(folder)
+        written = spark.read.schema(StructType([*schema.fields]).add(PART, IntegerType())).parquet(folder)
+        return name, {str(n): {"folder": f"{name}/{PART}={n}", "digest": d} for n, d in _digests_of(written, rows.columns).items()}
+    except Exception:
+        remove(spark, folder)
+        raise
+
+
+def _commit(spark: SparkSession, path: str, number: int, content: dict, name: str) -> None:
+    try:
+        versions.commit(spark, path, number, content)
+    except versions.CommitConflictError:
+        remove(spark, f"{path.rstrip('/')}/{name}")
+        raise
+
+
+def _write_all(df: DataFrame, path: str, key: list[str], parts: int, number: int, allow_empty: bool, schema: StructType | None = None) -> JobResult:
     assert_unique(df, key, path)
-    df.select("*", _part(key, parts)).repartition(PART).write.mode("errorifexists").partitionBy(PART).parquet(path)
-    _record_layout(df.sparkSession, path, key, parts)
-    return JobResult(mode=InsertMode.OVERWRITE.value, target=path, wrote=True)
+    name, held = _write_parts(df, path, key, parts)
+    rows = sum(p["digest"][0] for p in held.values())
+    if not rows and not allow_empty:
+        remove(df.sparkSession, f"{path.rstrip('/')}/{name}")
+        raise EmptyResultError(f"no rows to write to {path}; the table stays as it is")
+    content = {"key": key, "parts": parts, "schema": (schema or df.schema).jsonValue(), "held": held}
+    _commit(df.sparkSession, path, number, content, name)
+    return JobResult(mode=InsertMode.OVERWRITE.value, target=path, rows_read=rows, rows_written=rows, wrote=True, details={"version": number})
 
 
-def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(PART)
+def create_partitioned(df: DataFrame, path: str, key, parts: int, allow_empty: bool = True) -> JobResult:
+    """Write ``df``, whose ``key`` must be unique, to a new table of ``parts`` hash partitions."""
+    if PART in df.columns:
+        raise LayoutError(f"{PART} is the name of the table's own column")
+    if versions.names_in(df.sparkSession, path):
+        raise LayoutError(f"{path} is not empty")
+    return _write_all(df, path, [key] if isinstance(key, str) else list(key), parts, 1, allow_empty)
+
+
+def overwrite_partitioned(df: DataFrame, path: str, allow_empty: bool = True) -> JobResult:
+    """Put ``df`` in the place of the table's rows, as its next version."""
+    spark = df.sparkSession
+    number, v = _current(spark, path)
+    assert_not_reading(df, path)
+    schema = StructType.fromJson(v["schema"])
+    if set(df.columns) != set(schema.names):
+        raise LayoutError(f"{path} has the columns {schema.names}, not {df.columns}")
+    return _write_all(_as_in(df, schema, path), path, v["key"], v["parts"], number + 1, allow_empty, schema)
+
+
+def read_partitioned(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The table's rows: of the last version, or of an earlier one that is still there."""
+    return _rows_of(spark, path, _current(spark, path, version)[1])
+
+
+def _as_in(df: DataFrame, schema: StructType, path: str) -> DataFrame:
+    """``df`` in the table's types, where that loses nothing."""
+    jvm = df.sparkSession._jvm
+    java = lambda t: jvm.org.apache.spark.sql.types.DataType.fromJson(t.json())
+    for f in schema:
+        if f.name in df.columns and not jvm.org.apache.spark.sql.catalyst.expressions.Cast.canUpCast(
+                java(df.schema[f.name].dataType), java(f.dataType)):
+            raise LayoutError(f"{path}: column {f.name} is {f.dataType.simpleString()}, which does not hold every "
+                              f"{df.schema[f.name].dataType.simpleString()}; cast the source")
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema if f.name in df.columns])
+
+
+def _different(source: dict, held: dict, keep_missing: bool) -> list[int]:
+    """Parts whose rows may differ: source digests by part against the table's."""
+    own = {int(n): p["digest"] for n, p in held.items()}
+    return sorted(n for n in (source if keep_missing else {**own, **source}) if source.get(n) != own.get(n))
 
 
 def update_partitioned(source: DataFrame, path: str, key, columns, parts: int | None = None, keep_missing: bool = True,
-                       rule: str = "null_safe") -> JobResult:
+                       rule: str = "null_safe", trust_digests: bool = True) -> JobResult:
     """Apply new and changed ``source`` rows (and, with ``keep_missing=False``, deletions) to the
-    table at ``path``; ``details["parts"]`` lists the parts that were rewritten. Columns of the table
-    that ``columns`` does not name keep their values."""
+    table at ``path`` as its next version. Columns of the table that ``columns`` does not name keep
+    their values.
+
+    ``details["compared"]`` lists the parts that were read, ``details["parts"]`` those that were
+    rewritten; ``rows_read`` counts the source. Digests decide which parts are read only if the update names every column,
+    the rule is ``null_safe`` and ``trust_digests`` is left on."""
     spark = source.sparkSession
     key = [key] if isinstance(key, str) else list(key)
     cols = key + [c for c in columns if c not in key]
-    own_key, own_parts = layout(spark, path)
-    if key != own_key or parts not in (None, own_parts):
-        raise LayoutError(f"{path} has {own_parts} parts of {own_key}, not {parts} of {key}")
-    parts = own_parts
+    number, version = _current(spark, path)
+    if key != version["key"] or parts not in (None, version["parts"]):
+        raise LayoutError(f"{path} has {version['parts']} parts of {version['key']}, not {parts} of {key}")
+    parts, schema, held_parts = version["parts"], StructType.fromJson(version["schema"]), version["held"]
+    strange = [c for c in cols if c not in schema.names or c not in source.columns]
+    if strange:
+        raise LayoutError(f"{path}: columns {strange} must exist in source and table")
     assert_not_reading(source, path)
-    assert_unique(source, key, "source")  # the target's keys were when it was made, and stay so
-    target, held = spark.read.parquet(path), []
+    source = _as_in(source.select(*cols), schema, path)
+    numbered = source.select("*", _part(key, parts))
+    digested = (trust_digests and rule == "null_safe" and set(cols) == set(schema.names)
+                and all(digests.hashable(f.dataType) for f in schema))
+    if digested:
+        found = _digests_of(numbered, schema.names)
+        compared = _different(found, held_parts, keep_missing)
+    else:
+        found = {r[PART]: [r["rows"]] for r in numbered.groupBy(PART).agg(F.count(F.lit(1)).alias("rows")).collect()}
+        compared = sorted(set(found) | (set() if keep_missing else {int(n) for n in held_parts}))
+    result = JobResult(mode=InsertMode.UPDATE.value, target=path, rows_read=sum(d[0] for d in found.values()),
+                       details={"compared": compared, "parts": [], "version": number})
+    if not keep_missing:
+        result.details["rows_removed"] = 0
+    if not compared:
+        return result
+    if len(compared) < parts:
+        source = numbered.where(F.col(PART).isin(compared)).drop(PART)
+    # Keys of parts that are not compared are those of the table, where they are unique.
+    assert_unique(source, key, "source")
+    target, staged = _rows_of(spark, path, version, set(compared)), []
 
     def keep(df: DataFrame, name: str) -> Staged:
-        held.append(stage(df, name))
-        return held[-1]
+        staged.append(stage(df, name))
+        return staged[-1]
 
     try:
-        delta = keep(changed_rows(source, target, key, columns, rule), "delta")
-        result = JobResult(mode=InsertMode.UPDATE.value, target=path, rows_written=delta.rows())
+        delta = keep(changed_rows(source, target, key, cols, rule), "delta")
+        result.rows_written = delta.rows()
         touched, gone = delta.df.select(_part(key, parts)), None
         if not keep_missing:
             gone = keep(missing_keys(target, source, key), "delta-gone")
@@ -101,17 +208,34 @@ def update_partitioned(source: DataFrame, path: str, key, columns, parts: int |
         result.details["parts"] = numbers
         if not numbers:
             return result
-        merged = upsert_rows(target.where(F.col(PART).isin(numbers)).drop(PART), delta.df, key, cols)
+        merged = upsert_rows(_rows_of(spark, path, version, set(numbers)), delta.df, key, cols)
         if gone is not None:
             merged = join_by_key(merged, gone.df.select(*[F.col(k).alias("__t_" + k) for k in key]), key, "left_anti")
-        merged = keep(merged.select("*", _part(key, parts)), "merged")
-        (merged.df.repartition(PART).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(PART).parquet(path))
-        left = {r[0] for r in merged.df.select(PART).distinct().collect()}
-        for number in set(numbers) - left:  # parts that lost all their rows
-            remove(spark, f"{path.rstrip('/')}/{PART}={number}")
-        result.wrote = True
+        name, new = _write_parts(merged.select(*schema.names), path, key, parts)
+        rest = {n: p for n, p in held_parts.items() if int(n) not in numbers}
+        _commit(spark, path, number + 1, {**version, "held": {**rest, **new}}, name)
+        result.wrote, result.details["version"] = True, number + 1
         return result
     finally:
-        for h in held:
+        for h in staged:
             h.drop()
+
+
+def vacuum(spark: SparkSession, path: str, keep: int = 1) -> int:
+    """Delete all versions but the last ``keep`` and every folder that none of those names (also
+    what a job that died left); how many folders went. Not while a job writes the table, nor
+    while a reader is still at a version that goes."""
+    if keep < 1:
+        raise ValueError("the last version must stay")
+    known = versions.versions(spark, path)
+    for number in known[:-keep]:
+        versions.forget(spark, path, number)
+    used = {p["folder"] for n in known[-keep:] for p in versions.read_version(spark, path, n)["held"].values()}
+    went, root = 0, path.rstrip("/")
+    for name in (n for n in versions.names_in(spark, root) if n.startswith(_DATA)):
+        parts = [f"{name}/{p}" for p in versions.names_in(spark, f"{root}/{name}") if p.startswith(PART)]
+        away = [f for f in parts if f not in used]
+        for folder in [name] if len(away) == len(parts) else away:
+            remove(spark, f"{root}/{folder}")
+        went += len(away)
+    return went
