@@ -122,6 +122,17 @@ SELECT CAST(event_id AS VARCHAR) AS id, ts, user_id, event_type, value,
        CAST(regexp_extract(props, '"k"\\s*:\\s*(-?[0-9]+)', 1) AS INTEGER) AS k
 FROM events""",
 
+    "src_mixed_documents": """
+WITH e AS (
+  SELECT event_id, user_id, event_type, CAST(event_id AS VARCHAR) AS id FROM events)
+SELECT id, CAST(user_id AS BIGINT) AS user_id, event_type, CAST(NULL AS VARCHAR) AS line FROM e WHERE event_id % 11 <> 0
+UNION ALL
+SELECT NULL, NULL, NULL,
+  '{"_id":' || CASE WHEN event_id % 3 = 0 THEN '{"oid":"' || id || '"}' WHEN event_id % 2 = 0 THEN '"' || id || '"' ELSE id END
+  || ',"user_id":' || coalesce(CASE WHEN event_id % 5 = 0 THEN '"' || user_id || '"' ELSE CAST(user_id AS VARCHAR) END, 'null')
+  || ',"event_type":' || coalesce('"' || event_type || '"', 'null')
+FROM e WHERE event_id % 11 = 0""",
+
     "src_delimited_lines": f"""
 WITH {_ORDER_LINES},
 parts AS (SELECT string_split(value, ',') AS p FROM lines

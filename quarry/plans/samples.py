@@ -28,6 +28,7 @@ from quarry.sinks.partitions import create_partitioned, read_partitioned, update
 from quarry.sinks.tables import create_table, table_location, update_table
 from quarry.sources.delimited import read_lines, read_payloads
 from quarry.sources.files import read_csv, read_documents
+from quarry.sources.variants import read_mixed_documents
 
 # Fixed values for the sample queries.
 SUPPLIER_CSV = "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double"
@@ -92,6 +93,23 @@ def src_nested_documents(spark, d):
     return back.select("id", "ts", "user_id", "event_type", "value", F.col("props.k").alias("k"))
 
 
+def src_mixed_documents(spark, d):
+    """Events exported as documents whose ``_id`` is a struct, a text or a number, and whose ``user_id`` is at times
+    text; every eleventh breaks off. Rows, and the broken lines beside them."""
+    key, user = F.col("event_id").cast("string"), F.col("user_id").cast("string")
+    name = (F.when(_every("event_id", 3), F.concat(F.lit('{"oid":"'), key, F.lit('"}')))
+             .when(_every("event_id", 2), F.concat(F.lit('"'), key, F.lit('"'))).otherwise(key))
+    line = F.concat(F.lit('{"_id":'), name,
+                    F.lit(',"user_id":'), F.coalesce(F.when(_every("event_id", 5), F.concat(F.lit('"'), user, F.lit('"'))).otherwise(user), F.lit("null")),
+                    F.lit(',"event_type":'), F.coalesce(F.concat(F.lit('"'), "event_type", F.lit('"')), F.lit("null")),
+                    F.when(_every("event_id", 11), F.lit("")).otherwise(F.lit("}")))
+    path = land_lines(table(spark, d, "events").select(line.alias("value")), "mixed-docs")
+    rows, rejects = read_mixed_documents(spark, path, {
+        "id": (["$._id.oid", "$._id"], "string"), "user_id": (["$.user_id"], "bigint"), "event_type": (["$.event_type"], "string")},
+        with_rejects=True)
+    return rows.unionByName(rejects, allowMissingColumns=True)
+
+
 def _order_lines(spark, d) -> DataFrame:
     o = table(spark, d, "orders")
     key = F.col("o_orderkey").cast("string")
@@ -462,6 +480,7 @@ QUERIES = {
     "src_delimited_lines": src_delimited_lines,
     "src_delimited_rejects": src_delimited_rejects,
     "src_payload_rejects": src_payload_rejects,
+    "src_mixed_documents": src_mixed_documents,
     "proj_rename": proj_rename,
     "filter_required_not_blank": filter_required_not_blank,
     "filter_drop_any_null": filter_drop_any_null,
