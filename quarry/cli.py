@@ -1,4 +1,5 @@
-"""spark-submit entry point: run one of the three migration jobs.
+"""spark-submit entry point: run one of the three migration jobs, or (``report ...``, see
+``report_cli``) one of the four reports.
 
     spark-submit -m quarry.cli file overwrite --source speed.csv --target /tables/speed
     spark-submit -m quarry.cli delimited update --source /landing/prices/ \\
@@ -49,6 +50,10 @@ def parse_args(argv=None):
 
 def main(argv=None, spark=None) -> int:
     """Run one job; a given ``spark`` session is used and left running."""
+    argv = sys.argv[1:] if argv is None else list(argv)
+    if argv[:1] == ["report"]:
+        from quarry import report_cli
+        return report_cli.main(argv[1:], spark)
     args = parse_args(argv)
     from quarry.plans import jobs
     from quarry.session import build_session

@@ -63,3 +63,33 @@ def test_document_job_from_the_command_line(spark, tmp_path, capsys):
     main(["documents", "overwrite", "--source", str(docs), "--target", str(target)], spark=spark)
     got = rows(spark.read.parquet(str(target)), "id", "internet_users")
     assert got == [("1", 1500), ("2", 1500)]
+
+
+def test_reports_from_the_command_line(spark, tmp_path, capsys):
+    from quarry.sinks.partitions import create_partitioned
+    prices, users = str(tmp_path / "prices"), str(tmp_path / "users")
+    spark.createDataFrame([("Chile", "S", 2.0), ("Peru", "S", 4.0), ("Malta", "E", 3.5)], "name string, region string, price double").write.parquet(prices)
+    create_partitioned(spark.createDataFrame([("Chile", 10, "A"), ("Malta", 30, "B"), ("Peru", 30, "A")], "country string, n int, part string"), users, "country", 4)
+
+    def run(*args):
+        code = main(["report", *args], spark=spark)
+        out = capsys.readouterr().out.strip().splitlines()
+        return code, json.loads(out[-1]) if out else None
+
+    both = ["--left", prices, "--right", f"parts:{users}", "--on", "name=country"]
+    found = ["--column", "country=name", "--column", "users=n"]
+    assert run("lookup", *both, "--value", "Peru", *found) == (0, {"country": "Peru", "users": 30})
+    assert run("lookup", *both, "--value", "Atlantis", *found) == (1, None)
+    assert run("extreme", "--left", f"parts:{users}", "--label", "country", "--measure", "n", "--query-type", "highest") == (
+        0, {"country": "Malta", "n": 30, "query_type": "highest"})
+    assert run("group", "--left", prices, "--group", "region", "--measure", "price") == (0, {"region": "S", "price": 3.0, "query_type": "lowest"})
+    assert run("joined", *both, "--group", "part", "--measure", "price", "--query-type", "highest") == (
+        0, {"part": "B", "price": 3.5, "query_type": "highest"})
+
+
+@pytest.mark.parametrize("bad", [["lookup", "--left", "x"], ["extreme", "--left", "x", "--label", "a"], ["other", "--left", "x"],
+                                 ["group", "--left", "x", "--group", "a", "--measure", "b", "--query-type", "middle"],
+                                 ["lookup", "--left", "x", "--right", "y", "--on", "a", "--value", "v", "--column", "a=b"]])
+def test_report_arguments_are_checked_before_a_session(bad):
+    with pytest.raises(SystemExit):
+        main(["report", *bad], spark=None)
