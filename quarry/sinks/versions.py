@@ -6,8 +6,8 @@ or not at all, and of two writers that started from one version the second fails
 take the highest number; the folders it names are never changed. So a table changes
 in one step, and a job that dies before that step leaves it as it was.
 
-The rename is exclusive on HDFS and local folders. On object stores, where a rename copies,
-one writer at a time must be ensured from outside.
+The rename is exclusive on HDFS. Local folders check for the name and then rename, object stores
+copy: there one writer at a time must be ensured from outside.
 """
 
 from __future__ import annotations
