@@ -117,6 +117,9 @@ ORACLE = {
 
     "src_csv_by_name": "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier",
 
+    "src_csv_folder": """
+SELECT c_custkey, c_name, CASE WHEN c_custkey % 3 <> 2 THEN c_nationkey END AS c_nationkey, c_acctbal FROM customer""",
+
     "src_nested_documents": """
 SELECT CAST(event_id AS VARCHAR) AS id, ts, user_id, event_type, value,
        CAST(regexp_extract(props, '"k"\\s*:\\s*(-?[0-9]+)', 1) AS INTEGER) AS k
@@ -287,6 +290,12 @@ SELECT CAST(run AS BIGINT) AS run, table_rows AS rows_read, CASE run WHEN 1 THEN
        run = 1 AS compared, run = 1 AS wrote, table_rows
 FROM n, (SELECT unnest([1, 2]) AS run)""",
 
+    "sink_landed_payloads": f"""
+SELECT c_custkey, c_name, {_cents("c_acctbal")} + CASE WHEN c_custkey % 2 = 0 AND c_custkey % 3 <> 0 THEN 1 ELSE 0 END AS cents,
+  count(*) FILTER (WHERE c_custkey % 2 = 0) OVER () AS rows_1,
+  count(*) FILTER (WHERE c_custkey % 2 = 1 OR c_custkey % 3 = 0) OVER () AS rows_2, CAST(0 AS BIGINT) AS rows_3
+FROM customer""",
+
     "sink_overwrite_lines": "SELECT * FROM lineitem",
 
     "sink_update_lines": _first_per_key(

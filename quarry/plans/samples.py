@@ -24,14 +24,17 @@ from quarry.operators.staging import stage
 from quarry.plans import reports
 from quarry.session import staging_path
 from quarry.sinks.files import write_overwrite, write_update
+from quarry.sinks.landed import update_from_landed
 from quarry.sinks.partitions import create_partitioned, read_partitioned, update_partitioned
 from quarry.sinks.tables import create_table, table_location, update_table
 from quarry.sources.delimited import read_lines, read_payloads
 from quarry.sources.files import read_csv, read_documents
+from quarry.sources.headers import read_csv_folder
 from quarry.sources.variants import read_mixed_documents
 
 # Fixed values for the sample queries.
 SUPPLIER_CSV = "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double"
+CUSTOMER_CSV = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double"
 LOOKUP_NATION = "NATION_7"
 PART_RENAMES = {"p_partkey": "part_key", "p_name": "name", "p_brand": "brand",
                 "p_type": "type", "p_size": "size", "p_retailprice": "retail_price"}
@@ -78,6 +81,16 @@ def src_csv_by_name(spark, d):
     return read_csv(spark, path, schema=SUPPLIER_CSV)
 
 
+def src_csv_folder(spark, d):
+    """Customers in one folder of files with three different headers, one of them without a column."""
+    path, c = staging_path(spark, "customer-csv"), table(spark, d, "customer")
+    headers = [["c_custkey", "c_name", "c_nationkey", "c_acctbal"], ["c_acctbal", "c_nationkey", "c_custkey", "c_name"],
+               ["c_mktsegment", "c_name", "c_custkey", "c_acctbal"]]
+    for n, names in enumerate(headers):
+        c.where(F.col("c_custkey") % 3 == n).select(*names).write.mode("append").option("header", True).csv(path)
+    return read_csv_folder(spark, path, CUSTOMER_CSV, optional=["c_nationkey"])
+
+
 def src_nested_documents(spark, d):
     """Events exported as JSON documents with a nested ``_id``; the id is lifted."""
     docs = table(spark, d, "events").select(
@@ -384,6 +397,31 @@ def sink_update_snapshot(spark, d):
             .withColumn("table_rows", F.lit(rows).cast("bigint")))
 
 
+def sink_landed_payloads(spark, d):
+    """Customers landed as payloads in two waves, the second with new balances for some of the first; the table takes
+    each file once. Its rows, and how many rows the three runs read (the third finds no new file)."""
+    folder, path = staging_path(spark, "customer-landing"), staging_path(spark, "customer-table")
+    c = table(spark, d, "customer").select("c_custkey", "c_name", _cents("c_acctbal").alias("cents"))
+    create_partitioned(c.limit(0), path, "c_custkey", 16)
+
+    def land(rows: DataFrame) -> None:
+        line = F.concat(F.lit('["id,name,cents","'), F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name", F.col("cents").cast("string")), F.lit('"]'))
+        rows.select(line.alias("value")).write.mode("append").text(folder)
+
+    def rows_of(paths):
+        return read_payloads(spark, paths, ["id", "name", "cents"]).select(
+            parse_bigint("id").cast(c.schema["c_custkey"].dataType).alias("c_custkey"), F.col("name").alias("c_name"), parse_bigint("cents").alias("cents"))
+
+    read = []
+    for wave in (c.where(F.col("c_custkey") % 2 == 0).withColumn("cents", F.col("cents") + 1),
+                 c.where((F.col("c_custkey") % 2 == 1) | _every("c_custkey", 3)), None):
+        if wave is not None:
+            land(wave)
+        read.append(update_from_landed(spark, folder, path, rows_of, ["c_name", "cents"]).rows_read)
+    runs = [F.lit(n).cast("bigint").alias(f"rows_{i}") for i, n in enumerate(read, 1)]
+    return read_partitioned(spark, path).select("c_custkey", "c_name", "cents", *runs)
+
+
 LINE_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_extendedprice"]
 
 
@@ -476,6 +514,7 @@ def flagship(spark, d):
 QUERIES = {
     "src_csv": src_csv,
     "src_csv_by_name": src_csv_by_name,
+    "src_csv_folder": src_csv_folder,
     "src_nested_documents": src_nested_documents,
     "src_delimited_lines": src_delimited_lines,
     "src_delimited_rejects": src_delimited_rejects,
@@ -508,6 +547,7 @@ QUERIES = {
     "sink_update_carries_columns": sink_update_carries_columns,
     "sink_version_history": sink_version_history,
     "sink_update_snapshot": sink_update_snapshot,
+    "sink_landed_payloads": sink_landed_payloads,
     "sink_update_noop": sink_update_noop,
     "report_lookup": report_lookup,
     "report_extreme_high": _extreme("highest"),

@@ -33,6 +33,7 @@ from quarry.specs import InsertMode, JobResult
 
 PART = "__part"
 _DATA = "data-"
+LEDGER = "landed"  # the note that lists the folders of a table's ledger, and how their names begin
 
 
 class LayoutError(ValueError):
@@ -87,22 +88,30 @@ def _write_parts(rows: DataFrame, path: str, key: list[str], parts: int) -> tupl
         raise
 
 
-def _commit(spark: SparkSession, path: str, number: int, content: dict, name: str) -> None:
+def _commit(spark: SparkSession, path: str, number: int, content: dict, name: str | None = None) -> None:
     try:
         versions.commit(spark, path, number, content)
     except versions.CommitConflictError:
-        remove(spark, f"{path.rstrip('/')}/{name}")
+        if name:
+            remove(spark, f"{path.rstrip('/')}/{name}")
         raise
 
 
-def _write_all(df: DataFrame, path: str, key: list[str], parts: int, number: int, allow_empty: bool, schema: StructType | None = None) -> JobResult:
+def note_of(spark: SparkSession, path: str) -> tuple[int, dict]:
+    """Number of the last version, and what writers noted beside its rows (see :func:`update_partitioned`)."""
+    number, version = _current(spark, path)
+    return number, version.get("note", {})
+
+
+def _write_all(df: DataFrame, path: str, key: list[str], parts: int, number: int, allow_empty: bool, schema: StructType | None = None,
+               note: dict | None = None) -> JobResult:
     assert_unique(df, key, path)
     name, held = _write_parts(df, path, key, parts)
     rows = sum(p["digest"][0] for p in held.values())
     if not rows and not allow_empty:
         remove(df.sparkSession, f"{path.rstrip('/')}/{name}")
         raise EmptyResultError(f"no rows to write to {path}; the table stays as it is")
-    content = {"key": key, "parts": parts, "schema": (schema or df.schema).jsonValue(), "held": held}
+    content = {"key": key, "parts": parts, "schema": (schema or df.schema).jsonValue(), "held": held, "note": note or {}}
     _commit(df.sparkSession, path, number, content, name)
     return JobResult(mode=InsertMode.OVERWRITE.value, target=path, rows_read=rows, rows_written=rows, wrote=True, details={"version": number})
 
@@ -124,7 +133,7 @@ def overwrite_partitioned(df: DataFrame, path: str, allow_empty: bool = True) ->
     schema = StructType.fromJson(v["schema"])
     if set(df.columns) != set(schema.names):
         raise LayoutError(f"{path} has the columns {schema.names}, not {df.columns}")
-    return _write_all(_as_in(df, schema, path), path, v["key"], v["parts"], number + 1, allow_empty, schema)
+    return _write_all(_as_in(df, schema, path), path, v["key"], v["parts"], number + 1, allow_empty, schema, v.get("note"))
 
 
 def read_partitioned(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
@@ -151,18 +160,26 @@ def _different(source: dict, held: dict, keep_missing: bool) -> list[int]:
 
 
 def update_partitioned(source: DataFrame, path: str, key, columns, parts: int | None = None, keep_missing: bool = True,
-                       rule: str = "null_safe", trust_digests: bool = True) -> JobResult:
+                       rule: str = "null_safe", trust_digests: bool = True, note: dict | None = None,
+                       version_read: int | None = None) -> JobResult:
     """Apply new and changed ``source`` rows (and, with ``keep_missing=False``, deletions) to the
     table at ``path`` as its next version. Columns of the table that ``columns`` does not name keep
     their values.
 
     ``details["compared"]`` lists the parts that were read, ``details["parts"]`` those that were
     rewritten; ``rows_read`` counts the source. Digests decide which parts are read only if the update names every column,
-    the rule is ``null_safe`` and ``trust_digests`` is left on."""
+    the rule is ``null_safe`` and ``trust_digests`` is left on.
+
+    ``note`` is kept with the version that the update makes, its entries over those of the version before; with
+    a note there is a next version even if no row changed. So what a writer must remember takes effect with its rows.
+    A writer whose note follows from an earlier look at the table names the version it saw, ``version_read``: if another
+    is current by now, the update fails."""
     spark = source.sparkSession
     key = [key] if isinstance(key, str) else list(key)
     cols = key + [c for c in columns if c not in key]
     number, version = _current(spark, path)
+    if version_read not in (None, number):
+        raise versions.CommitConflictError(f"{path}: version {number} was written by another job since version {version_read} was read")
     if key != version["key"] or parts not in (None, version["parts"]):
         raise LayoutError(f"{path} has {version['parts']} parts of {version['key']}, not {parts} of {key}")
     parts, schema, held_parts = version["parts"], StructType.fromJson(version["schema"]), version["held"]
@@ -184,8 +201,16 @@ def update_partitioned(source: DataFrame, path: str, key, columns, parts: int |
                        details={"compared": compared, "parts": [], "version": number})
     if not keep_missing:
         result.details["rows_removed"] = 0
-    if not compared:
+    noted = {**version, "note": {**version.get("note", {}), **(note or {})}}
+
+    def unchanged() -> JobResult:
+        if note is not None:
+            _commit(spark, path, number + 1, noted)
+            result.details["version"] = number + 1
         return result
+
+    if not compared:
+        return unchanged()
     if len(compared) < parts:
         source = numbered.where(F.col(PART).isin(compared)).drop(PART)
     # Keys of parts that are not compared are those of the table, where they are unique.
@@ -207,13 +232,13 @@ def update_partitioned(source: DataFrame, path: str, key, columns, parts: int |
         numbers = sorted(r[0] for r in touched.distinct().collect())  # at most ``parts`` of them
         result.details["parts"] = numbers
         if not numbers:
-            return result
+            return unchanged()
         merged = upsert_rows(_rows_of(spark, path, version, set(numbers)), delta.df, key, cols)
         if gone is not None:
             merged = join_by_key(merged, gone.df.select(*[F.col(k).alias("__t_" + k) for k in key]), key, "left_anti")
         name, new = _write_parts(merged.select(*schema.names), path, key, parts)
         rest = {n: p for n, p in held_parts.items() if int(n) not in numbers}
-        _commit(spark, path, number + 1, {**version, "held": {**rest, **new}}, name)
+        _commit(spark, path, number + 1, {**noted, "held": {**rest, **new}}, name)
         result.wrote, result.details["version"] = True, number + 1
         return result
     finally:
@@ -230,8 +255,12 @@ def vacuum(spark: SparkSession, path: str, keep: int = 1) -> int:
     known = versions.versions(spark, path)
     for number in known[:-keep]:
         versions.forget(spark, path, number)
-    used = {p["folder"] for n in known[-keep:] for p in versions.read_version(spark, path, n)["held"].values()}
+    held = [versions.read_version(spark, path, n) for n in known[-keep:]]
+    used = {p["folder"] for v in held for p in v["held"].values()}
+    ledgers = {name for v in held for name in v.get("note", {}).get(LEDGER, [])}
     went, root = 0, path.rstrip("/")
+    for name in (n for n in versions.names_in(spark, root) if n.startswith(LEDGER + "-") and n not in ledgers):
+        remove(spark, f"{root}/{name}")
     for name in (n for n in versions.names_in(spark, root) if n.startswith(_DATA)):
         parts = [f"{name}/{p}" for p in versions.names_in(spark, f"{root}/{name}") if p.startswith(PART)]
         away = [f for f in parts if f not in used]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -32,6 +34,11 @@ def read_csv(spark: SparkSession, path, schema: StructType | str | None = None,
     return text.select(*[text[_quoted(f.name)].try_cast(f.dataType).alias(f.name) for f in wanted], *more)
 
 
+def file_name(path: str) -> str:
+    """A file's path as readers take it, who read patterns: with its signs escaped."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
