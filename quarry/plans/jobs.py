@@ -20,10 +20,11 @@ documents, payloads of comma lines).
 
 from __future__ import annotations
 
+import time
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.numbers import money_to_double, parse_bigint, thousands_to_bigint
@@ -212,6 +213,17 @@ DELIMITED_JOB = JobSpec("delimited", PRICES, (
 ))
 
 
+def observed_rows(seen: Observation, seconds: float = 10.0) -> int | None:
+    """What the first pass over an observed frame counted. None if Spark did not report it: a plan that
+    is known to be empty before it runs has no metrics, and waiting for them would not end."""
+    end = time.monotonic() + seconds
+    while not seen._jo.future().isCompleted():
+        if time.monotonic() > end:
+            return None
+        time.sleep(0.05)
+    return seen.get.get("rows")
+
+
 def run_job(spark: SparkSession, spec: JobSpec, source: DataFrame, mode, target,
             out_path: str | None = None, allow_empty: bool = False,
             keep_missing: bool = True, rejects: DataFrame | None = None) -> JobResult:
@@ -222,6 +234,9 @@ def run_job(spark: SparkSession, spec: JobSpec, source: DataFrame, mode, target,
     to ``out_path``; its readers are repointed by the caller), or writes nothing if no row
     changed. A source or a result without rows is refused, and the target stays as it
     is, unless ``allow_empty``. ``rejects`` (lines the parser refused) are counted.
+
+    ``rows_read`` counts the source's rows in the job's own first pass over them; rows that a
+    lost executor makes Spark compute again count again.
     """
     mode = InsertMode.parse(mode)
     if isinstance(target, str):
@@ -230,8 +245,9 @@ def run_job(spark: SparkSession, spec: JobSpec, source: DataFrame, mode, target,
     if not allow_empty and source.isEmpty():
         raise ValueError(f"job {spec.name}: the source has no rows")
     held: list[Staged] = []
+    seen = Observation(f"job-{spec.name}-{uuid.uuid4().hex[:8]}")
     try:
-        df = spec.plan(source, held)
+        df = spec.plan(source.observe(seen, F.count(F.lit(1)).alias("rows")), held)
         if mode is InsertMode.OVERWRITE:
             result = target.overwrite(df, allow_empty)
         else:
@@ -240,6 +256,7 @@ def run_job(spark: SparkSession, spec: JobSpec, source: DataFrame, mode, target,
             if not rows.rows() and not allow_empty:
                 raise EmptyResultError(f"job {spec.name}: the result has no rows; the target stays as it is")
             result = target.update(rows.df, spec.table, keep_missing)
+        result.rows_read = observed_rows(seen)
         if rejects is not None:
             result.rows_rejected = rejects.count()
         return result

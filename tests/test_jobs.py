@@ -4,7 +4,9 @@ from quarry.plans.jobs import (
     DELIMITED_JOB, DOCUMENT_JOB, FILE_JOB, PRICE_HEADER_MAP, PRICE_NAMES, USER_DOC_SCHEMA,
     run_job,
 )
-from quarry.sources.delimited import parse_lines
+from quarry.plans import jobs
+from quarry.sources.delimited import parse_lines, payload_lines
+from quarry.sources.files import read_csv
 from quarry.specs import InsertMode, TableSpec
 from tests.conftest import rows
 
@@ -158,7 +160,7 @@ def test_payload_headers_are_skipped_by_position_and_rejects_counted(spark, tmp_
     src, rejects = read_payloads(spark, str(tmp_path / "p"), PRICE_NAMES, with_rejects=True)
     assert {r[PRICE_NAMES[-1]] for r in src.collect()} == {"$5.00\n"}  # line breaks reach the parser
     res = run_job(spark, DELIMITED_JOB, src, "overwrite", str(tmp_path / "t"), rejects=rejects)
-    assert res.rows_written == 4 and res.rows_rejected == 2 and res.rows_read is None
+    assert res.rows_written == 4 and res.rows_rejected == 2 and res.rows_read == 4
     assert spark.read.parquet(str(tmp_path / "t")).agg({"avg_1gb_start2020_usd": "max"}).first()[0] == 5.0
     (tmp_path / "l").mkdir()
     for k in (1, 2):
@@ -193,3 +195,21 @@ def test_delimited_job_hostile_rows(spark):
         ("c1", "N1", "R", 3.0, 1.0, 2.0, 3.0, 4.0, 5.0),
         ("c2", "N2", "R", 3.0, 3.0, 2.0, 5.0, 6.0, 7.0),
     ]
+
+
+def test_rows_read_are_the_rows_of_the_source(spark, tmp_path):
+    """Counted below the dedupe windows, in the job's own pass, for every job and both modes."""
+    d = "/root/testdata/sf0.001"
+    lines = parse_lines(payload_lines(jobs.price_payloads(spark, d)), PRICE_NAMES)
+    for spec, source in ((jobs.FILE_JOB, read_csv(spark, jobs.speed_csv(spark, d), schema=jobs.SPEED_CSV_SCHEMA)),
+                         (jobs.DOCUMENT_JOB, spark.read.json(jobs.user_documents(spark, d))), (jobs.DELIMITED_JOB, lines)):
+        path = str(tmp_path / spec.name)
+        first = jobs.run_job(spark, spec, source, "overwrite", path)
+        again = jobs.run_job(spark, spec, source, "update", path, out_path=path + "-2")
+        n = source.count()
+        assert first.rows_read == n and again.rows_read == n and first.rows_written < n and not again.wrote
+
+
+def test_a_plan_known_to_be_empty_has_no_count(spark, tmp_path):
+    source = spark.createDataFrame([], jobs.SPEED_CSV_SCHEMA)
+    assert jobs.run_job(spark, jobs.FILE_JOB, source, "overwrite", str(tmp_path / "o"), allow_empty=True).rows_read in (None, 0)
