@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.predicates import any_of
+from quarry.operators.key_filter import split_by_keys
 
 RULES = ("null_safe", "null_as_changed")
 _T = "__t_"
@@ -91,8 +92,11 @@ def missing_keys(target: DataFrame, source: DataFrame, key) -> DataFrame:
 
 
 def changed_rows(source: DataFrame, target: DataFrame, key, columns=None,
-                 rule: str = "null_safe") -> DataFrame:
-    """Source rows (key + columns, source values) that are new or changed."""
+                 rule: str = "null_safe", key_filter: bool = False) -> DataFrame:
+    """Source rows (key + columns, source values) that are new or changed.
+
+    ``key_filter``: target rows without a key of the source are sorted out by a bitmap of those keys
+    (:mod:`quarry.operators.key_filter`) and not shuffled. It costs a pass over the source's keys."""
     if rule not in RULES:
         raise ValueError(f"unknown rule {rule!r}; expected one of {RULES}")
     key = [key] if isinstance(key, str) else list(key)
@@ -103,6 +107,8 @@ def changed_rows(source: DataFrame, target: DataFrame, key, columns=None,
         if c not in source.columns or c not in target.columns:
             raise ValueError(f"column {c!r} must exist in source and target")
 
+    if key_filter:
+        target = split_by_keys(target, source, key)[0]
     t = target.select(*[F.col(c).alias(_T + c) for c in key + columns], F.lit(True).alias(_PRESENT))
     j = join_by_key(source.select(*key, *columns), t, key, "left")
     if rule == "null_safe":
@@ -126,14 +132,15 @@ def with_target_columns(rows: DataFrame, target: DataFrame, key, columns) -> Dat
 
 
 def upsert_rows(target: DataFrame, delta: DataFrame, key, columns,
-                keep_missing: bool = True, source: DataFrame | None = None) -> DataFrame:
+                keep_missing: bool = True, source: DataFrame | None = None, key_filter: bool = False) -> DataFrame:
     """The target after applying ``delta``.
 
     ``keep_missing=True``: target rows whose key is not in the delta stay,
     delta rows replace or add. ``keep_missing=False``: the target becomes the
     source (keys absent from the source are removed); ``source`` is required.
     Columns of the target that the update does not name keep their values (see
-    :func:`with_target_columns`).
+    :func:`with_target_columns`). ``key_filter``: target rows that cannot have a key of the delta
+    stay without a shuffle; the target is scanned twice for it.
     """
     key = [key] if isinstance(key, str) else list(key)
     cols = key + [c for c in columns if c not in key]
@@ -142,5 +149,8 @@ def upsert_rows(target: DataFrame, delta: DataFrame, key, columns,
             raise ValueError("keep_missing=False needs the whole source")
         return with_target_columns(source, target, key, columns)
     others = [c for c in target.columns if c not in cols]
-    kept = join_by_key(target.select(*cols, *others), delta.select(*[F.col(k).alias(_T + k) for k in key]), key, "left_anti")
-    return kept.unionByName(with_target_columns(delta, target, key, columns))
+    every = target.select(*cols, *others)
+    may, cannot = split_by_keys(every, delta, key) if key_filter else (every, None)
+    kept = join_by_key(may, delta.select(*[F.col(k).alias(_T + k) for k in key]), key, "left_anti")
+    merged = kept.unionByName(with_target_columns(delta, may, key, columns))
+    return merged if cannot is None else cannot.unionByName(merged)

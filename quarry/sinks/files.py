@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quarry.operators.delta import assert_unique_sides, changed_rows, missing_keys, upsert_rows
-from quarry.operators.staging import remove, stage
+from quarry.operators.key_filter import MAX_KEYS, same_types
+from quarry.operators.staging import estimated_bytes, remove, stage
 from quarry.session import qualify
 from quarry.specs import InsertMode, JobResult
 
@@ -121,7 +122,7 @@ def write_parquet(df: DataFrame, path: str) -> None:
 
 def write_update(source: DataFrame, target: DataFrame, key, columns, out_path: str,
                  keep_missing: bool = True, rule: str = "null_safe",
-                 check_keys: bool = True, writer=write_parquet) -> JobResult:
+                 check_keys: bool = True, writer=write_parquet, key_filter: bool | None = None) -> JobResult:
     """Apply new and changed source rows to ``target``; write the result to ``out_path``.
 
     Nothing is written when the change set is empty (``wrote=False``,
@@ -129,6 +130,10 @@ def write_update(source: DataFrame, target: DataFrame, key, columns, out_path: s
     ``keep_missing=False``, rows whose key the source lacks are a change too: they go, and
     ``details["rows_removed"]`` counts them.
     ``writer(df, path)`` writes the merged table (plain Parquet by default).
+
+    ``key_filter``: sort target rows out by a bitmap of the incoming keys before the joins shuffle
+    them (:mod:`quarry.operators.key_filter`). By default, where the key's types are equal, the incoming side is too large
+    to broadcast and at most a quarter of the target. The result is the same either way.
     """
     key = [key] if isinstance(key, str) else list(key)
     columns = list(columns)
@@ -136,7 +141,14 @@ def write_update(source: DataFrame, target: DataFrame, key, columns, out_path: s
         assert_unique_sides({"source": source, "target": target}, key)
     assert_not_reading(source, out_path)
     assert_not_reading(target, out_path)
-    delta = stage(changed_rows(source, target, key, columns, rule), "delta")
+    def filtered(side_bytes) -> bool:
+        if key_filter is not None or not same_types(source, target, key):
+            return bool(key_filter)
+        limit = int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+        return max(limit, 0) < side_bytes() <= estimated_bytes(target) // 4
+
+    spark = source.sparkSession
+    delta = stage(changed_rows(source, target, key, columns, rule, filtered(lambda: estimated_bytes(source))), "delta")
     n = delta.rows()
     result = JobResult(mode=InsertMode.UPDATE.value, target=out_path, rows_written=n)
     removed = 0
@@ -144,7 +156,8 @@ def write_update(source: DataFrame, target: DataFrame, key, columns, out_path: s
         removed = missing_keys(target, source, key).count()
         result.details["rows_removed"] = removed
     if n or removed:
-        merged = upsert_rows(target, delta.df, key, columns, keep_missing, source)
+        small = n <= MAX_KEYS and filtered(delta.bytes)
+        merged = upsert_rows(target, delta.df, key, columns, keep_missing, source, key_filter=small)
         writer(merged, out_path)
         result.wrote = True
     # The staged delta only froze the rows between the count and the write.

@@ -142,7 +142,8 @@ def update_table(source: DataFrame, name: str, key, columns, keep_missing: bool
     current = spark.table(name)
     path = next_version(table_location(spark, name), name)
     res = write_update(source, current, key, columns, path, keep_missing=keep_missing,
-                       rule=rule, check_keys=check_keys, writer=_writer_for(spark, name))
+                       rule=rule, check_keys=check_keys, writer=_writer_for(spark, name),
+                       key_filter=False if bucket_spec(spark, name) else None)  # buckets join without a shuffle
     if res.wrote:
         _repoint(spark, name, path)
         res.details["location"] = path
