@@ -10,7 +10,7 @@ parsing by truncation (DuckDB's cast from double rounds).
 from __future__ import annotations
 
 from quarry.functions.numbers import NUMBER_PATTERN
-from quarry.plans.samples import LINE_KEY, LOOKUP_NATION, ORDER_LINE_NAMES, PART_RENAMES
+from quarry.plans.samples import LINE_KEY, LOOKUP_CUSTOMER, LOOKUP_NATION, ORDER_LINE_NAMES, PART_RENAMES
 
 
 def _parse_double(expr: str, strip: str = "") -> str:
@@ -305,6 +305,10 @@ FROM customer""",
 WITH {_DELTA_INPUTS}
 SELECT CAST(0 AS BIGINT) AS rows_written, false AS wrote, count(*) AS target_rows FROM t""",
 
+    "report_lookup_files": f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, true AS few_files
+FROM orders WHERE o_custkey = {LOOKUP_CUSTOMER}""",
+
     "report_lookup": f"""
 WITH speed AS (
   SELECT n.n_name AS country, {exact_mean('s.s_acctbal', 2, 2)} AS avg_speed

@@ -28,6 +28,7 @@ from quarry.sinks.landed import update_from_landed
 from quarry.sinks.partitions import create_partitioned, read_partitioned, update_partitioned
 from quarry.sinks.tables import create_table, table_location, update_table
 from quarry.sources.delimited import read_lines, read_payloads
+from quarry.sources.file_index import read_equal, refresh_index
 from quarry.sources.files import read_csv, read_documents
 from quarry.sources.headers import read_csv_folder
 from quarry.sources.variants import read_mixed_documents
@@ -35,6 +36,7 @@ from quarry.sources.variants import read_mixed_documents
 # Fixed values for the sample queries.
 SUPPLIER_CSV = "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double"
 CUSTOMER_CSV = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double"
+LOOKUP_CUSTOMER = 7
 LOOKUP_NATION = "NATION_7"
 PART_RENAMES = {"p_partkey": "part_key", "p_name": "name", "p_brand": "brand",
                 "p_type": "type", "p_size": "size", "p_retailprice": "retail_price"}
@@ -479,6 +481,17 @@ def report_lookup(spark, d):
                            "price_1gb_usd": "avg_price"})
 
 
+def report_lookup_files(spark, d):
+    """The orders of one customer from a table of 16 files: an index tells which of them can hold any. Beside
+    each row, whether at most a quarter of the files was opened."""
+    path, index = staging_path(spark, "orders-files"), staging_path(spark, "orders-index")
+    orders = table(spark, d, "orders").select(*ORDER_COLUMNS)
+    orders.repartition(16, "o_custkey").write.parquet(path)
+    files = refresh_index(spark, path, "o_custkey", index)
+    found = read_equal(spark, path, "o_custkey", index, LOOKUP_CUSTOMER)
+    return found.withColumn("few_files", F.lit(4 * len(found.inputFiles()) <= files))
+
+
 def _extreme(qt):
     def q(spark, d):
         return reports.extreme_row(table(spark, d, "customer"), "c_name", "c_acctbal", qt)
@@ -550,6 +563,7 @@ QUERIES = {
     "sink_landed_payloads": sink_landed_payloads,
     "sink_update_noop": sink_update_noop,
     "report_lookup": report_lookup,
+    "report_lookup_files": report_lookup_files,
     "report_extreme_high": _extreme("highest"),
     "report_extreme_low": _extreme("lowest"),
     "report_group_avg_high": _group_avg("highest"),

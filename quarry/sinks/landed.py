@@ -20,20 +20,13 @@ from pyspark.sql import functions as F
 
 from quarry.operators.staging import collected, remove
 from quarry.sinks.partitions import LEDGER, layout, note_of, update_partitioned
-from quarry.sources.files import file_name
+from quarry.sources.files import FILE, file_name, list_files
 from quarry.specs import InsertMode, JobResult
 
-_FILE = ["path", "modificationTime", "length"]
 _ENTRY = "path string, modificationTime timestamp, length bigint, run bigint"
 MAX_FOLDERS = 32  # of a ledger; beyond that its entries are written together
 
 
-def landed_files(spark: SparkSession, folder: str, **options) -> DataFrame:
-    """Path, time and length of the files in ``folder``; ``options`` as of a file reader (``pathGlobFilter``,
-    ``recursiveFileLookup``). The files are not opened."""
-    return spark.read.format("binaryFile").options(**options).load(folder).select(*_FILE)
-
-
 def ledger(spark: SparkSession, table: str) -> DataFrame:
     """The files that ``table`` has taken, with the number of the run that took each."""
     return _entries(spark, table, note_of(spark, table)[1].get(LEDGER, []))
@@ -50,14 +43,14 @@ def update_from_landed(spark: SparkSession, folder: str, table: str, rows_of: Ca
 
     ``rows_of(paths)`` plans the rows of those files, at most one per key of the table: what it
     says of a key that several files of one run hold is its own matter. A later run's row
-    replaces an earlier one's. ``details["files"]`` counts the files taken and ``details["run"]``
+    replaces an earlier one's. ``options`` are a file reader's (``pathGlobFilter``, ``recursiveFileLookup``). ``details["files"]`` counts the files taken and ``details["run"]``
     numbers the run; without new files nothing is read or written. What ``rows_of`` stages is deleted at the end."""
     table = table.rstrip("/")
     key, _ = layout(spark, table)
     version, note = note_of(spark, table)
     run, folders = note.get("runs", 0) + 1, note.get(LEDGER, [])
     known = _entries(spark, table, folders)
-    new = landed_files(spark, folder, **options).join(known, _FILE, "left_anti").withColumn("run", F.lit(run).cast("bigint"))
+    new = list_files(spark, folder, **options).join(known, FILE, "left_anti").withColumn("run", F.lit(run).cast("bigint"))
     name = f"{LEDGER}-{uuid.uuid4().hex}"
     whole = len(folders) >= MAX_FOLDERS
     committed = False

@@ -34,6 +34,14 @@ def read_csv(spark: SparkSession, path, schema: StructType | str | None = None,
     return text.select(*[text[_quoted(f.name)].try_cast(f.dataType).alias(f.name) for f in wanted], *more)
 
 
+FILE = ["path", "modificationTime", "length"]
+
+
+def list_files(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Path, time and length of the files under ``path``, which are not opened; ``options`` as of a file reader."""
+    return spark.read.format("binaryFile").options(**options).load(path).select(*FILE)
+
+
 def file_name(path: str) -> str:
     """A file's path as readers take it, who read patterns: with its signs escaped."""
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
