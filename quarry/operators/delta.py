@@ -19,7 +19,7 @@ when the target turns out to be small at run time).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.predicates import any_of
@@ -28,6 +28,9 @@ from quarry.operators.key_filter import split_by_keys
 RULES = ("null_safe", "null_as_changed")
 _T = "__t_"
 _PRESENT = "__t_present"
+CHANGE = "__change"  # of a merged row: one of the next five, see :func:`merged_rows`
+KEPT, CHANGED, GONE, REPEATED_SOURCE, REPEATED_TARGET = range(5)
+_SIDE, _BEFORE, _AFTER = "__side", "__side_before", "__side_after"
 
 
 class DuplicateKeyError(ValueError):
@@ -103,23 +106,71 @@ def changed_rows(source: DataFrame, target: DataFrame, key, columns=None,
     if columns is None:
         columns = [c for c in source.columns if c not in key]
     columns = [c for c in columns if c not in key]
-    for c in key + columns:
-        if c not in source.columns or c not in target.columns:
-            raise ValueError(f"column {c!r} must exist in source and target")
+    _assert_in_both(source, target, key + columns)
 
     if key_filter:
         target = split_by_keys(target, source, key)[0]
     t = target.select(*[F.col(c).alias(_T + c) for c in key + columns], F.lit(True).alias(_PRESENT))
     j = join_by_key(source.select(*key, *columns), t, key, "left")
-    if rule == "null_safe":
-        changed = F.col(_PRESENT).isNull() | any_of(
-            [~F.col(c).eqNullSafe(F.col(_T + c)) for c in columns])
-    else:
-        changed = F.col(_PRESENT).isNull() | F.coalesce(any_of(
-            [F.col(_T + c).isNull() | (F.col(_T + c) != F.col(c)) for c in columns]), F.lit(False))
+    changed = F.col(_PRESENT).isNull() | _differs(rule, [(F.col(c), F.col(_T + c)) for c in columns])
     return j.where(changed).select(*key, *columns)
 
 
+def _assert_in_both(source: DataFrame, target: DataFrame, columns) -> None:
+    for c in columns:
+        if c not in source.columns or c not in target.columns:
+            raise ValueError(f"column {c!r} must exist in source and target")
+
+
+def _differs(rule: str, pairs: list[tuple[Column, Column]]) -> Column:
+    """Whether a source row's values differ from the target's under ``rule``: pairs of (source, target)."""
+    if rule == "null_safe":
+        return any_of([~s.eqNullSafe(t) for s, t in pairs])
+    return F.coalesce(any_of([t.isNull() | (t != s) for s, t in pairs]), F.lit(False))
+
+
+def merged_rows(source: DataFrame, target: DataFrame, key, columns, keep_missing: bool = True,
+                rule: str = "null_safe", by: dict[str, Column] | None = None) -> DataFrame:
+    """The target after the update, and in ``__change`` what became of each row: the same rows as
+    :func:`changed_rows` and then :func:`upsert_rows` give, from one shuffle of each side.
+
+    Both sides are dealt out by the key together, and each row looks at its neighbours of the same key:
+    ``KEPT`` rows have the target's values, ``CHANGED`` rows are new or have the source's. With
+    ``keep_missing=False``, target rows without a source row are ``GONE``, for the caller to count and
+    leave out. Rows of a key that a side holds more than once are ``REPEATED_SOURCE`` or ``REPEATED_TARGET``, all of them
+    and not multiplied; where there are any, the others mean nothing. Key columns and ``columns``
+    must have the same types on both sides.
+
+    ``by``: columns computed from the key, added in front. Rows are dealt out by the last of them, and each task's
+    rows are ordered by all.
+    """
+    if rule not in RULES:
+        raise ValueError(f"unknown rule {rule!r}; expected one of {RULES}")
+    key = [key] if isinstance(key, str) else list(key)
+    columns = [c for c in columns if c not in key]
+    _assert_in_both(source, target, key + columns)
+    others = [c for c in target.columns if c not in key + columns]
+    names, by = [*key, *columns, *others], by or {}
+    nothing = [F.lit(None).cast(target.schema[c].dataType).alias(c) for c in others]
+    rows = source.select(*key, *columns, *nothing, F.lit(1).alias(_SIDE)).unionByName(
+        target.select(*names, F.lit(0).alias(_SIDE)))
+    if by:
+        rows = rows.withColumns(by).repartition(list(by)[-1])
+    w = Window.partitionBy(*by, *key).orderBy(_SIDE)
+    seen = rows.withColumns({_BEFORE: F.lag(_SIDE).over(w), _AFTER: F.lead(_SIDE).over(w),
+                             **{_T + c: F.lag(c).over(w) for c in names}})  # not of a struct: it would be shuffled beside its columns
+    mine, before, after, prev = F.col(_SIDE) == 1, F.col(_BEFORE), F.col(_AFTER), lambda c: F.col(_T + c)
+    known = F.coalesce(before == 0, F.lit(False))
+    twice = F.coalesce(before == F.col(_SIDE), F.lit(False)) | F.coalesce(after == F.col(_SIDE), F.lit(False))
+    change = (F.when(twice, F.when(mine, REPEATED_SOURCE).otherwise(REPEATED_TARGET))
+               .when(mine, F.when(~known | _differs(rule, [(F.col(c), prev(c)) for c in columns]), CHANGED).otherwise(KEPT))
+               .when(after.isNull(), KEPT if keep_missing else GONE))  # else the source's row comes in its place
+    marked = seen.withColumn(CHANGE, change).where(F.col(CHANGE).isNotNull())
+    own = ~mine | ~known | (F.col(CHANGE) != KEPT) | F.lit(not keep_missing)
+    return marked.select(*by, *[F.when(own, F.col(c)).otherwise(prev(c)).alias(c) for c in key + columns],
+                         *[F.when(mine & known, prev(c)).otherwise(F.col(c)).alias(c) for c in others], CHANGE)
+
+
 def with_target_columns(rows: DataFrame, target: DataFrame, key, columns) -> DataFrame:
     """``rows`` with the target's other columns beside key and ``columns``: a row that the target
     has keeps their values, a new one has NULL."""

@@ -8,9 +8,10 @@ Rules:
    deleted. It compares the root paths of the analysed plan, below cached frames too.
 2. An overwrite writes the new rows to a folder beside the table and swaps the
    two by renaming once all rows are there; a job that fails leaves the old table.
-3. An update computes the change set once and stages it in the shared folder;
-   the count and the write both use the staged rows, so the delta is not
-   computed twice and cannot differ between the two. The staged delta is
+3. An update shuffles each side once, merges them and stages the merged rows, marked, in the
+   shared folder (:func:`merged_rows`); key check, counts and write all use the staged rows, so they cannot differ.
+   Where the target need not be shuffled (bucketed by the key, or a small source's keys sort
+   its rows out), the change set is staged instead and then joined to the target. What was staged is
    deleted once the new table is written.
 4. The merged table is written to a new location; the caller repoints readers
    to it (catalog ``ALTER TABLE ... SET LOCATION``, or a path in the job's
@@ -26,7 +27,10 @@ from urllib.parse import unquote, urlsplit
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from quarry.operators.delta import assert_unique_sides, changed_rows, missing_keys, upsert_rows
+from quarry.operators.delta import (
+    CHANGE, CHANGED, GONE, REPEATED_SOURCE, REPEATED_TARGET, assert_unique_sides, changed_rows, merged_rows,
+    missing_keys, upsert_rows,
+)
 from quarry.operators.key_filter import MAX_KEYS, same_types
 from quarry.operators.staging import estimated_bytes, remove, stage
 from quarry.session import qualify
@@ -122,7 +126,8 @@ def write_parquet(df: DataFrame, path: str) -> None:
 
 def write_update(source: DataFrame, target: DataFrame, key, columns, out_path: str,
                  keep_missing: bool = True, rule: str = "null_safe",
-                 check_keys: bool = True, writer=write_parquet, key_filter: bool | None = None) -> JobResult:
+                 check_keys: bool = True, writer=write_parquet, key_filter: bool | None = None,
+                 one_pass: bool | None = None) -> JobResult:
     """Apply new and changed source rows to ``target``; write the result to ``out_path``.
 
     Nothing is written when the change set is empty (``wrote=False``,
@@ -133,14 +138,16 @@ def write_update(source: DataFrame, target: DataFrame, key, columns, out_path: s
 
     ``key_filter``: sort target rows out by a bitmap of the incoming keys before the joins shuffle
     them (:mod:`quarry.operators.key_filter`). By default, where the key's types are equal, the incoming side is too large
-    to broadcast and at most a quarter of the target. The result is the same either way.
+    to broadcast and at most a quarter of the target.
+
+    ``one_pass``: merge both sides in one shuffle instead of joining twice. By default, where keys are checked,
+    the bitmap does not apply and the types of key and ``columns`` are equal. The result is the same in every way.
     """
     key = [key] if isinstance(key, str) else list(key)
     columns = list(columns)
-    if check_keys:
-        assert_unique_sides({"source": source, "target": target}, key)
     assert_not_reading(source, out_path)
     assert_not_reading(target, out_path)
+
     def filtered(side_bytes) -> bool:
         if key_filter is not None or not same_types(source, target, key):
             return bool(key_filter)
@@ -148,7 +155,15 @@ def write_update(source: DataFrame, target: DataFrame, key, columns, out_path: s
         return max(limit, 0) < side_bytes() <= estimated_bytes(target) // 4
 
     spark = source.sparkSession
-    delta = stage(changed_rows(source, target, key, columns, rule, filtered(lambda: estimated_bytes(source))), "delta")
+    by_bitmap = filtered(lambda: estimated_bytes(source))
+    if one_pass is None:
+        named = [c for c in {*key, *columns} if c in source.columns and c in target.columns]
+        one_pass = check_keys and not key_filter and not by_bitmap and same_types(source, target, named)
+    if one_pass:
+        return _update_in_one_pass(source, target, key, columns, out_path, keep_missing, rule, writer)
+    if check_keys:
+        assert_unique_sides({"source": source, "target": target}, key)
+    delta = stage(changed_rows(source, target, key, columns, rule, by_bitmap), "delta")
     n = delta.rows()
     result = JobResult(mode=InsertMode.UPDATE.value, target=out_path, rows_written=n)
     removed = 0
@@ -163,3 +178,24 @@ def write_update(source: DataFrame, target: DataFrame, key, columns, out_path: s
     # The staged delta only froze the rows between the count and the write.
     delta.drop()
     return result
+
+
+def _update_in_one_pass(source: DataFrame, target: DataFrame, key: list[str], columns: list[str], out_path: str,
+                        keep_missing: bool, rule: str, writer) -> JobResult:
+    merged = stage(merged_rows(source, target, key, columns, keep_missing, rule), "merged")
+    try:
+        def marked(change: int) -> DataFrame:
+            return merged.df.where(F.col(CHANGE) == change)
+
+        n = {r[CHANGE]: r["count"] for r in merged.df.groupBy(CHANGE).count().collect()}  # at most five rows
+        if n.keys() & {REPEATED_SOURCE, REPEATED_TARGET}:
+            assert_unique_sides({"source": marked(REPEATED_SOURCE), "target": marked(REPEATED_TARGET)}, key)
+        result = JobResult(mode=InsertMode.UPDATE.value, target=out_path, rows_written=n.get(CHANGED, 0))
+        if not keep_missing:
+            result.details["rows_removed"] = n.get(GONE, 0)
+        if n.get(CHANGED) or n.get(GONE):
+            writer(merged.df.where(F.col(CHANGE) != GONE).drop(CHANGE), out_path)
+            result.wrote = True
+        return result
+    finally:
+        merged.drop()

@@ -141,9 +141,10 @@ def update_table(source: DataFrame, name: str, key, columns, keep_missing: bool
     spark = source.sparkSession
     current = spark.table(name)
     path = next_version(table_location(spark, name), name)
+    buckets = bucket_spec(spark, name)  # they join without a shuffle
     res = write_update(source, current, key, columns, path, keep_missing=keep_missing,
                        rule=rule, check_keys=check_keys, writer=_writer_for(spark, name),
-                       key_filter=False if bucket_spec(spark, name) else None)  # buckets join without a shuffle
+                       key_filter=False if buckets else None, one_pass=False if buckets else None)
     if res.wrote:
         _repoint(spark, name, path)
         res.details["location"] = path
