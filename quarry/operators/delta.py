@@ -129,6 +129,15 @@ def _differs(rule: str, pairs: list[tuple[Column, Column]]) -> Column:
     return F.coalesce(any_of([t.isNull() | (t != s) for s, t in pairs]), F.lit(False))
 
 
+def marked_rows(df: DataFrame, key, by: dict[str, Column]) -> DataFrame:
+    """The rows of a new table, marked and dealt out as those of :func:`merged_rows`: ``KEPT``, or
+    ``REPEATED_SOURCE`` where the key occurs more than once."""
+    w = Window.partitionBy(*by, *key)
+    n = F.count(F.lit(1)).over(w)
+    return (df.withColumns(by).repartition(list(by)[-1])
+            .select(*by, *df.columns, F.when(n > 1, REPEATED_SOURCE).otherwise(KEPT).alias(CHANGE)))
+
+
 def merged_rows(source: DataFrame, target: DataFrame, key, columns, keep_missing: bool = True,
                 rule: str = "null_safe", by: dict[str, Column] | None = None) -> DataFrame:
     """The target after the update, and in ``__change`` what became of each row: the same rows as

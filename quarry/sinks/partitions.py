@@ -12,8 +12,12 @@ one. Folders that no version names any more go with :func:`vacuum`.
 
 An update that names all columns takes the digests of the source's parts first, in one pass
 with partial sums. Parts of equal digest are not read; if all are equal, no row of the
-table is. Of the others, the change set is staged and the parts it touches are
-merged into the new folder.
+table is. The others are merged with the source in one shuffle of both, straight into the new
+folder; parts in which nothing changed are deleted there and the old ones stay.
+
+Rows are dealt out by slots, several to a part, so that a large part is more than one task. The
+files hold a column beside the schema's, ``__change``: what the last write made of the row
+(:func:`quarry.operators.delta.merged_rows`). Readers name their columns and do not see it.
 """
 
 from __future__ import annotations
@@ -25,13 +29,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructType
 
 from quarry.operators import digests
-from quarry.operators.delta import assert_unique, changed_rows, join_by_key, missing_keys, upsert_rows
-from quarry.operators.staging import Staged, remove, stage
+from quarry.operators.delta import (
+    CHANGE, CHANGED, GONE, REPEATED_SOURCE, REPEATED_TARGET, assert_unique, marked_rows, merged_rows,
+)
+from quarry.operators.staging import remove, stage
 from quarry.sinks import versions
 from quarry.sinks.files import EmptyResultError, assert_not_reading
 from quarry.specs import InsertMode, JobResult
 
 PART = "__part"
+_SLOT = "__slot"
+_SLOTS = 8  # of a part
 _DATA = "data-"
 LEDGER = "landed"  # the note that lists the folders of a table's ledger, and how their names begin
 
@@ -58,6 +66,11 @@ def _part(key: list[str], parts: int) -> Column:
     return F.pmod(F.xxhash64(*key), F.lit(parts)).cast("int").alias(PART)
 
 
+def _dealt(key: list[str], parts: int) -> dict[str, Column]:
+    """Part and slot of a row: slots are a finer remainder of the same hash."""
+    return {PART: _part(key, parts), _SLOT: F.pmod(F.xxhash64(*key), F.lit(parts * _SLOTS)).cast("int")}
+
+
 def _rows_of(spark: SparkSession, path: str, version: dict, numbers=None) -> DataFrame:
     """The rows of a version, or of some of its parts."""
     schema, held = StructType.fromJson(version["schema"]), version["held"]
@@ -75,19 +88,29 @@ def _digests_of(df: DataFrame, columns: list[str]) -> dict[int, list[int]]:
     return {r[PART]: list(r)[1:] for r in found.collect()}
 
 
-def _write_parts(rows: DataFrame, path: str, key: list[str], parts: int) -> tuple[str, dict]:
-    """Write rows to a new folder; its name, and folder and digest of each part."""
+def _write_parts(rows: DataFrame, path: str, columns: list[str]) -> tuple[str, dict, DataFrame]:
+    """Write rows, with their parts, to a new folder; its name, folder and digest of each part, and what was
+    written. ``GONE`` rows lie apart, in parts with negative numbers, which are not the table's."""
     spark, name = rows.sparkSession, _DATA + uuid.uuid4().hex
-    folder, schema = f"{path.rstrip('/')}/{name}", rows.schema
+    folder = f"{path.rstrip('/')}/{name}"
     try:
-        rows.select("*", _part(key, parts)).repartition(PART).write.mode("errorifexists").partitionBy(PART).parquet(folder)
-        written = spark.read.schema(StructType([*schema.fields]).add(PART, IntegerType())).parquet(folder)
-        return name, {str(n): {"folder": f"{name}/{PART}={n}", "digest": d} for n, d in _digests_of(written, rows.columns).items()}
+        written = stage(rows.drop(_SLOT), "parts", folder, PART).df
+        held = _digests_of(written.where(F.col(PART) >= 0), columns)
+        return name, {str(n): {"folder": f"{name}/{PART}={n}", "digest": d} for n, d in held.items()}, written
     except Exception:
         remove(spark, folder)
         raise
 
 
+def _assert_written_once(written: DataFrame, folder: str, key: list[str], mark: int, what: str) -> None:
+    """:func:`assert_unique` for rows that are written: those marked are all that can repeat."""
+    try:
+        assert_unique(written.where(F.col(CHANGE) == mark), key, what)
+    except Exception:
+        remove(written.sparkSession, folder)
+        raise
+
+
 def _commit(spark: SparkSession, path: str, number: int, content: dict, name: str | None = None) -> None:
     try:
         versions.commit(spark, path, number, content)
@@ -105,8 +128,8 @@ def note_of(spark: SparkSession, path: str) -> tuple[int, dict]:
 
 def _write_all(df: DataFrame, path: str, key: list[str], parts: int, number: int, allow_empty: bool, schema: StructType | None = None,
                note: dict | None = None) -> JobResult:
-    assert_unique(df, key, path)
-    name, held = _write_parts(df, path, key, parts)
+    name, held, written = _write_parts(marked_rows(df, key, _dealt(key, parts)), path, df.columns)
+    _assert_written_once(written, f"{path.rstrip('/')}/{name}", key, REPEATED_SOURCE, path)
     rows = sum(p["digest"][0] for p in held.values())
     if not rows and not allow_empty:
         remove(df.sparkSession, f"{path.rstrip('/')}/{name}")
@@ -118,8 +141,8 @@ def _write_all(df: DataFrame, path: str, key: list[str], parts: int, number: int
 
 def create_partitioned(df: DataFrame, path: str, key, parts: int, allow_empty: bool = True) -> JobResult:
     """Write ``df``, whose ``key`` must be unique, to a new table of ``parts`` hash partitions."""
-    if PART in df.columns:
-        raise LayoutError(f"{PART} is the name of the table's own column")
+    if own := {PART, _SLOT, CHANGE}.intersection(df.columns):
+        raise LayoutError(f"{', '.join(sorted(own))}: a name of the table's own columns")
     if versions.names_in(df.sparkSession, path):
         raise LayoutError(f"{path} is not empty")
     return _write_all(df, path, [key] if isinstance(key, str) else list(key), parts, 1, allow_empty)
@@ -213,37 +236,30 @@ def update_partitioned(source: DataFrame, path: str, key, columns, parts: int |
         return unchanged()
     if len(compared) < parts:
         source = numbered.where(F.col(PART).isin(compared)).drop(PART)
+    target = _rows_of(spark, path, version, set(compared))
+    merged = merged_rows(source, target, key, cols, keep_missing, rule, _dealt(key, parts))
+    if not keep_missing:
+        merged = merged.withColumn(PART, F.when(F.col(CHANGE) == GONE, -1 - F.col(PART)).otherwise(F.col(PART)))
+    name, new, written = _write_parts(merged, path, schema.names)
+    folder = f"{path.rstrip('/')}/{name}"
     # Keys of parts that are not compared are those of the table, where they are unique.
-    assert_unique(source, key, "source")
-    target, staged = _rows_of(spark, path, version, set(compared)), []
-
-    def keep(df: DataFrame, name: str) -> Staged:
-        staged.append(stage(df, name))
-        return staged[-1]
-
-    try:
-        delta = keep(changed_rows(source, target, key, cols, rule), "delta")
-        result.rows_written = delta.rows()
-        touched, gone = delta.df.select(_part(key, parts)), None
-        if not keep_missing:
-            gone = keep(missing_keys(target, source, key), "delta-gone")
-            result.details["rows_removed"] = gone.rows()
-            touched = touched.unionByName(gone.df.select(_part(key, parts)))
-        numbers = sorted(r[0] for r in touched.distinct().collect())  # at most ``parts`` of them
-        result.details["parts"] = numbers
-        if not numbers:
-            return unchanged()
-        merged = upsert_rows(_rows_of(spark, path, version, set(numbers)), delta.df, key, cols)
-        if gone is not None:
-            merged = join_by_key(merged, gone.df.select(*[F.col(k).alias("__t_" + k) for k in key]), key, "left_anti")
-        name, new = _write_parts(merged.select(*schema.names), path, key, parts)
-        rest = {n: p for n, p in held_parts.items() if int(n) not in numbers}
-        _commit(spark, path, number + 1, {**noted, "held": {**rest, **new}}, name)
-        result.wrote, result.details["version"] = True, number + 1
-        return result
-    finally:
-        for h in staged:
-            h.drop()
+    _assert_written_once(written, folder, key, REPEATED_SOURCE, "source")
+    _assert_written_once(written, folder, key, REPEATED_TARGET, path)
+    counts = written.where(F.col(CHANGE).isin(CHANGED, GONE)).groupBy(PART, CHANGE).count().collect()  # at most two a part
+    result.rows_written = sum(r["count"] for r in counts if r[CHANGE] == CHANGED)
+    if not keep_missing:
+        result.details["rows_removed"] = sum(r["count"] for r in counts if r[CHANGE] == GONE)
+    numbers = sorted({r[PART] if r[PART] >= 0 else -1 - r[PART] for r in counts})
+    result.details["parts"] = numbers
+    if not numbers:
+        remove(spark, folder)
+        return unchanged()
+    for part in [p for p in versions.names_in(spark, folder) if p.startswith(f"{PART}=") and int(p.partition("=")[2]) not in numbers]:
+        remove(spark, f"{folder}/{part}")
+    rest = {n: p for n, p in held_parts.items() if int(n) not in numbers}
+    _commit(spark, path, number + 1, {**noted, "held": {**rest, **{n: p for n, p in new.items() if int(n) in numbers}}}, name)
+    result.wrote, result.details["version"] = True, number + 1
+    return result
 
 
 def vacuum(spark: SparkSession, path: str, keep: int = 1) -> int:
